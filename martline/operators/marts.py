@@ -38,16 +38,17 @@ def _window_total(detail: DataFrame, window_keys: list[str], extra_keys: list, v
     """One row per distinct (window_keys + extra_keys) tuple carrying the
     total of `value` over its window_keys group.
 
-    Step 1 groups by every output column (partial aggregation).  Step 2
-    re-sums those partial totals per window key over the grouped rows only.
+    Step 1 groups by every output column (partial aggregation: the shuffle
+    carries at most one row per group and task).  Step 2 re-sums the partial
+    totals per window key with a window over the *grouped* rows; a window
+    partition there holds only the distinct attribute variants of one key
+    (normally one row), so no partition can grow with the number of sales.
     """
     grouped = (detail.groupBy(*window_keys, *extra_keys)
                .agg(F.sum(value).alias("__part")))
-    totals = (grouped.groupBy(*window_keys).agg(F.sum("__part").alias(out)))
-    # The per-key totals are joined back on the window keys; Spark/AQE pick
-    # broadcast or shuffle from the measured size of `totals`.
-    return (join_back(grouped.drop("__part"), totals, window_keys)
-            .withColumn(out, F.col(out).cast(MONEY)))
+    w = Window.partitionBy(*window_keys)
+    return (grouped.withColumn(out, F.sum("__part").over(w).cast(MONEY))
+            .drop("__part"))
 
 
 def customer_mart(detail: DataFrame) -> DataFrame:

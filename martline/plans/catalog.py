@@ -150,3 +150,7 @@ def q_union_by_name(spark, sf_dir):
     recent = (fact.where(_is_recent()).select(*reversed(MANDATORY_COLUMNS))
               .withColumn("additional_column", F.lit("payment_mode")))
     return older.unionByName(recent, allowMissingColumns=True)
+
+
+# Further catalogue sections register themselves on import.
+from martline.plans import loads  # noqa: E402,F401
