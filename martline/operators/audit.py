@@ -53,3 +53,12 @@ def job_metrics(files: DataFrame, landed: DataFrame, customer_mart: DataFrame,
     ]
     stacked = reduce(DataFrame.unionByName, parts)
     return stacked.groupBy().pivot("metric", JOB_METRICS).agg(F.first("value"))
+
+
+def latest_state(events: DataFrame, key: str, time_col: str, columns: list[str]) -> DataFrame:
+    """Fold status events to one row per `key` (X3): every column from the
+    latest event, plus the first event time as `start_time`."""
+    latest = F.max_by(F.struct(*[F.col(c) for c in columns]), F.col(time_col))
+    return (events.groupBy(key)
+            .agg(F.min(time_col).alias("start_time"), latest.alias("__s"))
+            .select(key, "start_time", *[F.col(f"__s.{c}").alias(c) for c in columns]))

@@ -155,3 +155,4 @@ def q_union_by_name(spark, sf_dir):
 # Further catalogue sections register themselves on import.
 from martline.plans import loads  # noqa: E402,F401
 from martline.plans import ingest  # noqa: E402,F401
+from martline.plans import governance  # noqa: E402,F401
