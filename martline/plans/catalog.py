@@ -156,3 +156,4 @@ def q_union_by_name(spark, sf_dir):
 from martline.plans import loads  # noqa: E402,F401
 from martline.plans import ingest  # noqa: E402,F401
 from martline.plans import governance  # noqa: E402,F401
+from martline.plans import streams  # noqa: E402,F401
