@@ -55,8 +55,7 @@ def truncate_text(text, limit: int = ERROR_TEXT_LIMIT) -> Column:
 
 def elapsed_seconds(start, end) -> Column:
     """Seconds between two timestamps, 3 decimals."""
-    micros = (F.unix_micros(_c(end).cast("timestamp"))
-              - F.unix_micros(_c(start).cast("timestamp")))
+    micros = F.timestamp_diff("MICROSECOND", _c(start), _c(end))
     return (micros.cast(T.DecimalType(20, 0)) / F.lit(1_000_000)).cast(SECONDS)
 
 

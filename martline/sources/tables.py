@@ -8,6 +8,15 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                "lineitem", "events", "documents", "embeddings", "pages",
                "benchmark", "labels", "conversations")
 
+# Resolved readers are reused within a session: a DataFrame is an immutable
+# plan, and re-reading the same read-only table would only repeat the file
+# listing and footer reads on the driver.
+_readers: dict[tuple, DataFrame] = {}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    if key not in _readers:
+        _readers[key] = spark.read.parquet(path)
+    return _readers[key]
