@@ -19,6 +19,7 @@ from martline.sources import star as S
 # landing tables are written once per (application, data set, layout) into
 # fresh, never-reused folders under the shared root.
 _runs: dict[tuple, C.Ingest] = {}
+_roots: dict[tuple, str] = {}
 
 
 def ingest_run(spark: SparkSession, sf_dir: str, layout: str) -> C.Ingest:
@@ -31,9 +32,15 @@ def ingest_run(spark: SparkSession, sf_dir: str, layout: str) -> C.Ingest:
         else:
             SF.write_standard_files(fact, root)
         _runs[key] = C.ingest_sales(spark, root, scratch_path(spark, f"landing_{layout}"))
+        _roots[key] = root
     return _runs[key]
 
 
+def files_root(spark: SparkSession, sf_dir: str, layout: str) -> str:
+    ingest_run(spark, sf_dir, layout)
+    return _roots[(spark.sparkContext.applicationId, sf_dir, layout)]
+
+
 def with_batch(df: DataFrame, path_col: str) -> DataFrame:
     """Logical source file = `variant=<v>/batch=<yyyy-MM>` directory."""
     return (df.withColumn("variant", F.regexp_extract(path_col, r"variant=([^/]+)/", 1))
@@ -194,3 +201,15 @@ def q_job_audit_metrics(spark, sf_dir):
     customer_mart, sales_mart = _landed_marts(spark, sf_dir, run.landed)
     files = with_batch(run.manifest, "path").select("variant", "batch", "accepted").distinct()
     return audit.job_metrics(files, run.landed, customer_mart, sales_mart)
+
+
+@register("daily_load", _files_views("SELECT * FROM sales_mart",
+                                     "dim_customer", "dim_store", "dim_sales_team"))
+def q_daily_load(spark, sf_dir):
+    """The whole daily load over the mixed-layout files; returns the sales
+    mart as written to its month-partitioned table."""
+    from martline.plans.daily_load import run_daily_load
+    target = scratch_path(spark, "daily_load")
+    result = run_daily_load(spark, files_root(spark, sf_dir, "mixed"), target, S.star(spark, sf_dir))
+    mart = marts.sales_mart(spark.read.parquet(f"{target}/sales_detail"))
+    return spark.read.schema(mart.schema).parquet(result.sales_mart_path).select(*mart.columns)
