@@ -79,14 +79,14 @@ def sales_mart(detail: DataFrame) -> DataFrame:
     (A5 + W3 + F4 + F5).
 
     Rank 1 in (store, month) by total DESC, NULLs last, is exactly
-    "total <=> max(total) of the group" (an all-NULL group ties at rank 1),
-    so the incentive needs only a grouped max joined back, not a sort of
-    each store-month.
+    "total <=> max(total) over (store, month)" (an all-NULL group ties at
+    rank 1), so no sort by total is needed.  The max window runs over the
+    grouped rows (one per salesperson and month): a window partition holds
+    the salespeople of one store, whatever the number of sales.
     """
     totals = _sales_totals(detail)
-    best = (totals.groupBy("store_id", "__month")
-            .agg(F.max("total_sales").alias("__best")))
-    return (join_back(totals, best, ["store_id", "__month"])
+    best = F.max("total_sales").over(Window.partitionBy("store_id", "__month"))
+    return (totals.withColumn("__best", best)
             .select("store_id", "sales_person_id", "full_name",
                     month_text("__month").alias("sales_month"),
                     "total_sales",
