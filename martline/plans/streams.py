@@ -10,7 +10,7 @@ from martline.plans.catalog import register
 from martline.session import scratch_path
 from martline.sources import sales_files as SF
 from martline.sources import star as S
-from martline.sources.synthetic import synthetic_sales
+from martline.sources.synthetic import MAX_QUANTITY, MIX, synthetic_sales
 from martline.streaming import file_ingest as T
 
 
@@ -32,7 +32,16 @@ def q_stream_ingest(spark, sf_dir):
     return spark.read.parquet(f"{base}/rows").select(*SALES_COLUMNS)
 
 
-@register("synthetic_sales")
+@register("synthetic_sales", f"""
+WITH q AS (
+  SELECT o_custkey AS customer_id, s_nationkey AS store_id, p_name AS product_name,
+         CAST(o_orderdate AS DATE) AS sales_date, l_suppkey AS sales_person_id,
+         CAST(p_retailprice AS DECIMAL(10,2)) AS price,
+         CAST((((l_orderkey * {MIX[0]} + l_linenumber * {MIX[1]} + l_partkey * {MIX[2]} + 42)
+                % {MAX_QUANTITY}) + {MAX_QUANTITY}) % {MAX_QUANTITY} + 1 AS INTEGER) AS quantity
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+       JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey)
+SELECT *, CAST(price * quantity AS DECIMAL(18,2)) AS total_cost FROM q""")
 def q_synthetic_sales(spark, sf_dir):
     """One synthetic sale per order line, with total = price * quantity."""
     return synthetic_sales(spark, sf_dir)

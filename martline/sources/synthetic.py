@@ -4,8 +4,10 @@ The source job's generators draw random customers, stores, products,
 salespeople, dates and quantities on one machine.  Here every order line
 becomes one synthetic sale: customer, date, salesperson (and so store) and
 product come from the tables, the quantity is a deterministic pseudo-random
-1..10 from a hash of the line and a seed, and `total_cost = price * quantity`
-holds exactly.  Hash-based draws are reproducible under task retries.
+1..10 mixed from the line's keys and a seed, and `total_cost = price *
+quantity` holds exactly.  Draws are reproducible under task retries (no
+random state), and the integer mix stays far from overflow for keys up to
+10^13, so any SQL engine computes the same quantities.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from martline.operators.joins import sized_broadcast
 from martline.sources.tables import read_table
 
 MAX_QUANTITY = 10
+# Multipliers of the quantity mix (primes).
+MIX = (7919, 104729, 31)
 
 
 def synthetic_sales(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
@@ -26,8 +30,9 @@ def synthetic_sales(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFra
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    qty = (F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", F.lit(seed)),
-                  F.lit(MAX_QUANTITY)) + 1).cast("int")
+    mixed = (F.col("l_orderkey") * MIX[0] + F.col("l_linenumber") * MIX[1]
+             + F.col("l_partkey") * MIX[2] + F.lit(seed))
+    qty = (F.pmod(mixed, F.lit(MAX_QUANTITY)) + 1).cast("int")
     price = F.col("p_retailprice").cast(PRICE)
     return (lineitem
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
