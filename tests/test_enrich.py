@@ -43,3 +43,16 @@ def test_dimension_broadcast_only_behind_size_check(spark):
     big = spark.range(100)
     assert "broadcast" in str(sized_broadcast(small, max_rows=10)._jdf.queryExecution().logical()).lower()
     assert "broadcast" not in str(sized_broadcast(big, max_rows=10)._jdf.queryExecution().logical()).lower()
+
+
+def test_broadcast_prechecks_and_bounds(spark):
+    from martline.operators.joins import fits_broadcast
+    small, big = spark.range(5), spark.range(50)
+    grouped = big.groupBy((big.id % 3).alias("k")).count()
+    # a driving table over the cap vetoes the broadcast without evaluating df
+    assert not fits_broadcast(small, max_rows=10, prechecks=(big,))
+    assert fits_broadcast(small, max_rows=10, prechecks=(small,))
+    # a frame bounded by construction is judged by its bound
+    assert fits_broadcast(grouped, max_rows=10, bound_by=small)
+    assert fits_broadcast(grouped, max_rows=10)
+    assert not fits_broadcast(big, max_rows=10)
