@@ -51,6 +51,9 @@ def _first_line(uri: str) -> str | None:
 
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
+    for hadoop_scheme in ("s3a://", "s3n://"):
+        if uri.startswith(hadoop_scheme):
+            uri = "s3://" + uri[len(hadoop_scheme):]
     fs, path = pafs.FileSystem.from_uri(uri)
     buf = b""
     with fs.open_input_stream(path) as stream:
