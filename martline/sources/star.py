@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from martline.contracts import MONEY, PRICE
 from martline.operators.joins import sized_broadcast
-from martline.sources.tables import read_table
+from martline.sources.tables import per_session, read_table
 
 # Characters 1-8 of a TPC-H name are the prefix ("Customer", "Supplier"),
 # characters 10.. the number; they stand in for first and last names.
@@ -27,6 +27,7 @@ def _last(c: str):
     return F.substring(c, 10, _LAST)
 
 
+@per_session
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item, typed like an ingested sales file."""
     lineitem = read_table(spark, sf_dir, "lineitem").select(
@@ -54,6 +55,7 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -69,6 +71,7 @@ def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .alias("phone_number")))
 
 
+@per_session
 def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stores; every fourth nation is left out so the inner join loses rows."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -81,6 +84,7 @@ def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.col("n_name"), F.lit(" manager")).alias("store_manager_name")))
 
 
+@per_session
 def dim_sales_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Salespeople; the lowest id of each store is its manager.
 
@@ -115,6 +119,7 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "dim_sales_team": dim_sales_team(spark, sf_dir)}
 
 
+@per_session
 def enriched_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`fact_sales` inner-joined to customer, store and sales team, with the
     join tree arranged for the base tables.

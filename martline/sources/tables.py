@@ -20,3 +20,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if key not in _readers:
         _readers[key] = spark.read.parquet(path)
     return _readers[key]
+
+
+def per_session(fn):
+    """Memoise a (spark, sf_dir, ...) -> DataFrame builder per session.
+
+    DataFrames are immutable lazy plans, so queries of one session can share
+    the star's frames instead of re-analysing the same joins each time.  Only
+    for builders over the read-only base tables.
+    """
+    memo: dict[tuple, DataFrame] = {}
+
+    def wrapper(spark: SparkSession, sf_dir: str, *args):
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), args)
+        if key not in memo:
+            memo[key] = fn(spark, sf_dir, *args)
+        return memo[key]
+
+    wrapper.__doc__ = fn.__doc__
+    wrapper.__name__ = fn.__name__
+    return wrapper
