@@ -40,7 +40,6 @@ def enrich_sales(fact: DataFrame, dim_customer: DataFrame, dim_store: DataFrame,
     dimension is broadcast only if its size check passes.
     """
     key = (lambda name: (cache_key, name)) if cache_key is not None else (lambda name: None)
-    # Each narrowed dimension has exactly the rows of the dimension given.
     out = (fact
            .join(sized_broadcast(_store_side(dim_store), key=key("store")),
                  F.col("store_id") == F.col("st_id"))
