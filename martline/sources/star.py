@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from martline.contracts import MONEY, PRICE
 from martline.operators.joins import sized_broadcast
-from martline.sources.tables import per_session, read_table
+from martline.sources.tables import per_session, read_fact_table, read_table
 
 # Characters 1-8 of a TPC-H name are the prefix ("Customer", "Supplier"),
 # characters 10.. the number; they stand in for first and last names.
@@ -30,7 +30,7 @@ def _last(c: str):
 @per_session
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item, typed like an ingested sales file."""
-    lineitem = read_table(spark, sf_dir, "lineitem").select(
+    lineitem = read_fact_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -133,7 +133,8 @@ def enriched_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     part) instead of once per join.
     """
     t = lambda name: read_table(spark, sf_dir, name)
-    lineitem = t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice")
+    lineitem = read_fact_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice")
     part = t("part").select("p_partkey")
     orders = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     supplier = t("supplier").select("s_suppkey", "s_nationkey")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from martline.contracts import MONEY, PRICE
 from martline.operators.joins import sized_broadcast
-from martline.sources.tables import read_table
+from martline.sources.tables import read_fact_table, read_table
 
 MAX_QUANTITY = 10
 # Multipliers of the quantity mix (primes).
@@ -25,7 +25,7 @@ MIX = (7919, 104729, 31)
 
 
 def synthetic_sales(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
-    lineitem = read_table(spark, sf_dir, "lineitem").select(
+    lineitem = read_fact_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
