@@ -30,7 +30,7 @@ def _last(c: str):
 @per_session
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item, typed like an ingested sales file."""
-    lineitem = read_fact_table(spark, sf_dir, "lineitem").select(
+    lineitem = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -133,6 +133,8 @@ def enriched_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     part) instead of once per join.
     """
     t = lambda name: read_table(spark, sf_dir, name)
+    # Broadcast joins run before the first shuffle here, so a scan with too
+    # few splits is spread over all task slots first (see read_fact_table).
     lineitem = read_fact_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice")
     part = t("part").select("p_partkey")

@@ -34,12 +34,14 @@ def synthetic_sales(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFra
              + F.col("l_partkey") * MIX[2] + F.lit(seed))
     qty = (F.pmod(mixed, F.lit(MAX_QUANTITY)) + 1).cast("int")
     price = F.col("p_retailprice").cast(PRICE)
+    # Dimensions first (broadcast when they pass the size check), orders
+    # last: the line items meet each big table once.
     return (lineitem
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(sized_broadcast(supplier, key=(sf_dir, "supplier")),
                   F.col("l_suppkey") == F.col("s_suppkey"))
             .join(sized_broadcast(part, key=(sf_dir, "part")),
                   F.col("l_partkey") == F.col("p_partkey"))
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .select(F.col("o_custkey").alias("customer_id"),
                     F.col("s_nationkey").alias("store_id"),
                     F.col("p_name").alias("product_name"),
