@@ -143,7 +143,7 @@ def q_header_validation(spark, sf_dir):
 def q_file_manifest(spark, sf_dir):
     """File discovery: every CSV file with name, size and logical batch."""
     run = ingest_run(spark, sf_dir, "mixed")
-    files = run.manifest.select("path", "file_name")
+    files = run.manifest.select("path", "file_name", "file_size", "modified_at")
     return with_batch(files, "path")
 
 

@@ -26,7 +26,7 @@ from martline.functions import base_name
 CORRUPT = "_corrupt_record"
 _CONTRACT_TYPES = {f.name: f.dataType for f in SALES_SCHEMA.fields}
 
-MANIFEST_SCHEMA = "path string, header string"
+MANIFEST_SCHEMA = "path string, file_size long, modified_at timestamp, header string"
 
 
 # --------------------------------------------------------------------------
@@ -68,12 +68,14 @@ def _first_line(uri: str) -> str | None:
 
 def _probe(batches):
     for pdf in batches:
-        yield pdf.assign(header=[_first_line(p) for p in pdf["path"]])[["path", "header"]]
+        yield pdf.assign(header=[_first_line(p) for p in pdf["path"]])[
+            ["path", "file_size", "modified_at", "header"]]
 
 
 def probe_headers(files: DataFrame) -> DataFrame:
-    """(path, header) for every file; a distributed probe, one line per file."""
-    return files.select("path").mapInPandas(_probe, MANIFEST_SCHEMA)
+    """(path, size, mtime, header) for every file; a distributed probe that
+    reads one line per file."""
+    return files.select("path", "file_size", "modified_at").mapInPandas(_probe, MANIFEST_SCHEMA)
 
 
 def header_columns(header: str | None) -> list[str]:
