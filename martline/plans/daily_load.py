@@ -7,7 +7,8 @@
    sales detail also partitioned by month and store;
 4. rebuild the aggregate marts from the written detail tables (the writes
    cut the lineage) and replace only the months this load touched;
-5. mark the files completed and append file and job audit rows.
+5. mark the files completed and append file and job audit rows; a failed
+   run appends a FAILED job record with its stage and error, then re-raises.
 
 Every step is a Spark job over whole tables; the driver only sees the
 header groups (to build one scan per header) and a handful of counters.
@@ -15,13 +16,17 @@ header groups (to build one scan per header) and a handful of counters.
 
 from __future__ import annotations
 
+import datetime
+import traceback
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martline.contracts import MANDATORY_COLUMNS, SALES_COLUMNS
+from martline import __version__
+from martline.contracts import ENVIRONMENTS, MANDATORY_COLUMNS, SALES_COLUMNS, TRIGGER_TYPES
+from martline.functions import elapsed_seconds, truncate_text
 from martline.operators import audit, enrich, marts, quality, registry
 from martline.sinks import parquet as P
 from martline.sources import csv_ingest as C
@@ -37,22 +42,74 @@ class LoadResult:
     file_audit_path: str
 
 
+def _job_row(spark: SparkSession, job: dict) -> DataFrame:
+    """One audit record of literal job attributes (what the run knows about
+    itself), typed like the job audit table."""
+    schema = ("job_id long, job_name string, pipeline_version string, environment string, "
+              "trigger_type string, spark_application_id string, start_time timestamp_ntz, "
+              "end_time timestamp_ntz, status string, failure_stage string, "
+              "error_message string")
+    return spark.createDataFrame([job], schema)
+
+
 def run_daily_load(spark: SparkSession, source_root: str, target_root: str,
-                   dims: dict[str, DataFrame], load_time=None) -> LoadResult:
-    now = load_time if load_time is not None else F.localtimestamp()
+                   dims: dict[str, DataFrame], environment: str = "DEV",
+                   trigger_type: str = "MANUAL") -> LoadResult:
+    """Run the load; a SUCCESS or FAILED job audit record is appended either
+    way (FAILED with the stage reached and the error text), then any error
+    is re-raised so the scheduler sees the failure."""
+    if environment not in ENVIRONMENTS or trigger_type not in TRIGGER_TYPES:
+        raise ValueError(f"environment must be in {ENVIRONMENTS}, trigger in {TRIGGER_TYPES}")
+    started = datetime.datetime.now()
+    job = {"job_id": uuid.uuid4().int >> 65, "job_name": "daily_sales_load",
+           "pipeline_version": __version__, "environment": environment,
+           "trigger_type": trigger_type,
+           "spark_application_id": spark.sparkContext.applicationId,
+           "start_time": started}
+    job_audit_path = f"{target_root}/job_audit"
+    state = {"stage": "SPARK_INGESTION"}
+    try:
+        result = _load(spark, source_root, target_root, dims, started, state)
+    except Exception:
+        failed = _job_row(spark, {**job, "end_time": datetime.datetime.now(), "status": "FAILED",
+                                  "failure_stage": state["stage"],
+                                  "error_message": traceback.format_exc()})
+        (failed.withColumn("error_message", truncate_text("error_message"))
+         .withColumn("execution_time_seconds", elapsed_seconds("start_time", "end_time"))
+         .write.mode("append").parquet(job_audit_path))
+        raise
+    metrics, run = result["metrics"], result["run"]
+    done = _job_row(spark, {**job, "end_time": datetime.datetime.now(), "status": "SUCCESS",
+                            "failure_stage": None, "error_message": None})
+    # `done` and `metrics` are one row each; union + first() merges them
+    # without a cross join.
+    merged = (done.unionByName(metrics, allowMissingColumns=True).groupBy()
+              .agg(*[F.first(c, ignorenulls=True).alias(c)
+                     for c in [*done.columns, *metrics.columns]]))
+    (merged.withColumn("execution_time_seconds", elapsed_seconds("start_time", "end_time"))
+     .write.mode("append").parquet(job_audit_path))
+    return LoadResult(run, result["customer_mart_path"], result["sales_mart_path"],
+                      result["registry_path"], job_audit_path, result["file_audit_path"])
+
+
+def _load(spark, source_root, target_root, dims, started, state) -> dict:
+    now = F.lit(started).cast("timestamp_ntz")
     landing = f"{target_root}/landing/{uuid.uuid4().hex}"
     run = C.ingest_sales(spark, source_root, landing)
 
+    state["stage"] = "STAGING_REGISTRATION"
     files = (run.manifest.where("accepted")
              .select("file_name", F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
                      .alias("file_location")))
     registry_path = f"{target_root}/registry"
     registry.register_files(files, now).write.mode("append").parquet(registry_path)
 
+    state["stage"] = "QUARANTINE"
     landed = run.landed
     (quality.cleanse(landed.where("is_malformed"), SALES_COLUMNS, MANDATORY_COLUMNS)
      .write.mode("append").parquet(f"{target_root}/quarantine"))
 
+    state["stage"] = "DETAIL_MART_WRITE"
     rich = enrich.enrich_sales(landed.where(~F.col("is_malformed")), dims["dim_customer"],
                                dims["dim_store"], dims["dim_sales_team"])
     customer_detail_path = f"{target_root}/customer_detail"
@@ -64,6 +121,7 @@ def run_daily_load(spark: SparkSession, source_root: str, target_root: str,
     P.write_partitioned(sales_detail, f"{target_root}/sales_partitioned",
                         ["sales_month", "store_id"])
 
+    state["stage"] = "MART_CALCULATION"
     customer_mart_path = f"{target_root}/customer_mart"
     sales_mart_path = f"{target_root}/sales_mart"
     customer_mart = marts.customer_mart(customer_detail)
@@ -71,16 +129,20 @@ def run_daily_load(spark: SparkSession, source_root: str, target_root: str,
     P.refresh_months(customer_mart, customer_mart_path, "sales_date_month")
     P.refresh_months(sales_mart, sales_mart_path, "sales_month")
 
-    registry.complete_files(files, now).write.mode("append").parquet(registry_path)
+    state["stage"] = "STAGING_COMPLETION"
+    registry.complete_files(files, F.timestamp_add("SECOND", F.lit(1), now)) \
+        .write.mode("append").parquet(registry_path)
 
+    state["stage"] = "AUDIT"
     file_audit_path = f"{target_root}/file_audit"
-    (audit.file_metrics(run.manifest.withColumn("file_path", F.col("path")),
-                        landed.withColumn("file_path", F.col("source_file")), ["file_path"])
+    manifest = run.manifest.withColumn("file_path", F.col("path"))
+    per_file = audit.file_metrics(manifest, landed.withColumn("file_path", F.col("source_file")),
+                                  ["file_path"])
+    (per_file.join(manifest.select("file_path", "file_name", "file_size",
+                                   F.col("reason").alias("error_message")), "file_path")
      .withColumn("load_time", now)
      .write.mode("append").parquet(file_audit_path))
-    job_audit_path = f"{target_root}/job_audit"
-    (audit.job_metrics(run.manifest, landed, customer_mart, sales_mart)
-     .withColumn("load_time", now)
-     .write.mode("append").parquet(job_audit_path))
-    return LoadResult(run, customer_mart_path, sales_mart_path, registry_path,
-                      job_audit_path, file_audit_path)
+    metrics = audit.job_metrics(run.manifest, landed, customer_mart, sales_mart)
+    return {"run": run, "metrics": metrics, "customer_mart_path": customer_mart_path,
+            "sales_mart_path": sales_mart_path, "registry_path": registry_path,
+            "file_audit_path": file_audit_path}

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martline import __version__
 from martline.contracts import (ENVIRONMENTS, JOB_STATUSES, MANDATORY_COLUMNS,
                                 REGISTRY_ACTIVE, REGISTRY_INACTIVE, TRIGGER_TYPES)
 from martline.functions import elapsed_seconds, truncate_text
@@ -62,8 +63,8 @@ def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = (logical_files(spark, sf_dir).join(rows, "batch", "left")
              .withColumn("rows_read", F.coalesce("rows_read", F.lit(0).cast("long")))
              .withColumn("job_id", F.regexp_replace("batch", "-", "").cast("int")))
-    common = [F.col("job_id"), F.lit("DEV").alias("environment"),
-              F.lit("MANUAL").alias("trigger_type")]
+    common = [F.col("job_id"), F.lit(__version__).alias("pipeline_version"),
+              F.lit("DEV").alias("environment"), F.lit("MANUAL").alias("trigger_type")]
     started = files.select(*common, _at("batch", 1).alias("event_time"),
                            F.lit("RUNNING").alias("status"),
                            F.lit(None).cast("string").alias("failure_stage"),
@@ -105,12 +106,13 @@ WHERE variant = 'standard'""",
 FROM files f LEFT JOIN (SELECT batch, count(*) AS rows_read FROM landed GROUP BY batch) r
   ON f.batch = r.batch""",
     "job_events": f"""
-SELECT job_id, 'DEV' AS environment, 'MANUAL' AS trigger_type, {_at_sql(1)} AS event_time,
+SELECT job_id, '{__version__}' AS pipeline_version, 'DEV' AS environment,
+       'MANUAL' AS trigger_type, {_at_sql(1)} AS event_time,
        'RUNNING' AS status, CAST(NULL AS VARCHAR) AS failure_stage,
        CAST(NULL AS VARCHAR) AS error_message, CAST(0 AS BIGINT) AS rows_read
 FROM job_files
 UNION ALL
-SELECT job_id, 'DEV', 'MANUAL', {_at_sql(1, 'rows_read * 7 + 250')},
+SELECT job_id, '{__version__}', 'DEV', 'MANUAL', {_at_sql(1, 'rows_read * 7 + 250')},
        CASE WHEN accepted THEN 'SUCCESS' ELSE 'FAILED' END,
        CASE WHEN NOT accepted THEN 'SCHEMA_VALIDATION' END,
        CASE WHEN NOT accepted THEN repeat('SCHEMA_VALIDATION: ' || reason || '; ', {ERROR_REPEAT}) END,
@@ -145,6 +147,7 @@ def q_registry_new_files(spark, sf_dir):
 
 @register("audit_latest_state", _gov_views("""
 SELECT job_id, min(event_time) AS start_time,
+       arg_max(pipeline_version, event_time) AS pipeline_version,
        arg_max(environment, event_time) AS environment,
        arg_max(trigger_type, event_time) AS trigger_type,
        arg_max(status, event_time) AS status,
@@ -158,8 +161,8 @@ FROM job_events GROUP BY job_id"""))
 def q_audit_latest_state(spark, sf_dir):
     """Current state of each job from its append-only events (X3), error
     text capped (F10), elapsed seconds with 3 decimals (F12)."""
-    cols = ["environment", "trigger_type", "status", "event_time", "failure_stage",
-            "error_message", "rows_read"]
+    cols = ["pipeline_version", "environment", "trigger_type", "status", "event_time",
+            "failure_stage", "error_message", "rows_read"]
     state = audit.latest_state(job_events(spark, sf_dir), "job_id", "event_time", cols)
     return (state.withColumnRenamed("event_time", "end_time")
             .withColumn("error_message", truncate_text("error_message"))

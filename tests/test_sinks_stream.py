@@ -64,6 +64,8 @@ def test_daily_load_end_to_end(spark, scratch):
     files = spark.read.parquet(scratch + "/out/file_audit")
     assert files.agg(F.sum("rows_read")).first()[0] == landed.count()
     job = spark.read.parquet(scratch + "/out/job_audit").first()
+    assert job["status"] == "SUCCESS" and job["execution_time_seconds"] >= 0
+    assert job["spark_application_id"] == spark.sparkContext.applicationId
     assert job["rows_read"] == landed.count()
     assert job["rows_rejected"] == landed.where("is_malformed").count()
     reg = spark.read.parquet(scratch + "/out/registry")
@@ -73,3 +75,18 @@ def test_daily_load_end_to_end(spark, scratch):
     # second run over the same files: marts are replaced, not appended
     run_daily_load(spark, scratch + "/in", scratch + "/out", S.star(spark, SMALL))
     assert spark.read.parquet(res.sales_mart_path).count() == job["sales_mart_rows_written"]
+
+
+def test_daily_load_failure_is_audited(spark, scratch):
+    import pytest
+
+    from martline.plans.daily_load import run_daily_load
+    fact = S.fact_sales(spark, SMALL)
+    SF.write_sales_files(fact, scratch + "/in")
+    dims = dict(S.star(spark, SMALL))
+    dims["dim_store"] = dims["dim_store"].drop("store_manager_name")   # breaks enrichment
+    with pytest.raises(Exception):
+        run_daily_load(spark, scratch + "/in", scratch + "/out", dims)
+    job = spark.read.parquet(scratch + "/out/job_audit").first()
+    assert job["status"] == "FAILED" and job["failure_stage"] == "DETAIL_MART_WRITE"
+    assert job["error_message"] and len(job["error_message"]) <= 65000
