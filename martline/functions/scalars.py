@@ -39,7 +39,7 @@ def incentive(total, is_top) -> Column:
 
 def strict_date(text) -> Column:
     """Parse 'yyyy-MM-dd'; a bad value gives NULL (never an ANSI error)."""
-    return F.try_to_date(_c(text), F.lit(DATE_FORMAT))
+    return F.try_to_date(_c(text), DATE_FORMAT)
 
 
 def typed_or_null(text, data_type: T.DataType) -> Column:

@@ -57,3 +57,19 @@ def null_counts(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
     return (wide.unpivot([], columns, "column_name", "n_nulls")
             .select(F.lit(table).alias("table_name"), "column_name", "n_nulls"))
+
+
+def cast_to_contract(raw: DataFrame, schema) -> DataFrame:
+    """Cast text columns to the contract types.
+
+    A value that does not parse becomes NULL (never an ANSI error) and flags
+    its row: `is_malformed` = some value was present but did not cast.
+    Columns of `schema` missing from `raw` are not produced.
+    """
+    from martline.functions import typed_or_null
+
+    fields = [f for f in schema.fields if f.name in raw.columns]
+    typed = {f.name: typed_or_null(F.col(f.name), f.dataType) for f in fields}
+    failed = [F.col(n).isNotNull() & c.isNull() for n, c in typed.items()]
+    return raw.select(*[c.alias(n) for n, c in typed.items()],
+                      reduce(lambda a, b: a | b, failed).alias("is_malformed"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martline.contracts import MANDATORY_COLUMNS, SALES_COLUMNS
+from martline.contracts import MANDATORY_COLUMNS, SALES_COLUMNS, SALES_SCHEMA
 from martline.operators import audit, enrich, marts, quality
 from martline.plans import oracle as O
 from martline.plans.catalog import register
@@ -99,6 +99,17 @@ def q_csv_mixed_headers(spark, sf_dir):
     return ingest_run(spark, sf_dir, "mixed").landed.select(*SALES_COLUMNS, "is_malformed")
 
 
+@register("csv_string_cast", _files_views(f"""
+SELECT {', '.join(MANDATORY_COLUMNS)}, is_malformed FROM sales_files WHERE variant = 'extra'"""))
+def q_csv_string_cast(spark, sf_dir):
+    """The source job's own reading style: one header layout read as text
+    (header names bind the columns), then cast to the contract; bad values
+    become NULL and flag the row instead of failing the job."""
+    raw = (spark.read.option("header", "true")
+           .csv(f"{files_root(spark, sf_dir, 'mixed')}/variant=extra"))
+    return quality.cast_to_contract(raw, SALES_SCHEMA)
+
+
 def _header_literal(cols: list[str]) -> str:
     return "'" + ",".join(cols) + "'"
 

@@ -49,3 +49,24 @@ def test_latest_state_and_scalars(spark):
                                 "s timestamp, e timestamp, m string") \
         .select(elapsed_seconds("s", "e").alias("sec"), truncate_text("m").alias("m")).first()
     assert str(row["sec"]) == "1.234" and len(row["m"]) == 65000
+
+
+def test_cast_to_contract_flags_unparseable_values(spark):
+    from martline.contracts import SALES_SCHEMA
+    raw = spark.createDataFrame(
+        [("1", "121", "2023-03-03", "10.50"), ("x", "121", "2023/03/03", None)],
+        "customer_id string, store_id string, sales_date string, total_cost string")
+    rows = quality.cast_to_contract(raw, SALES_SCHEMA).collect()
+    ok, bad = sorted(rows, key=lambda r: r["is_malformed"])
+    assert not ok["is_malformed"] and ok["customer_id"] == 1 and str(ok["total_cost"]) == "10.50"
+    assert bad["is_malformed"] and bad["customer_id"] is None and bad["sales_date"] is None
+    assert bad["total_cost"] is None   # absent value: NULL, but not a parse failure
+
+
+def test_file_key_is_stable(spark):
+    files = spark.createDataFrame([("a.csv", "/x")], "file_name string, file_location string")
+    t = datetime(2023, 1, 1)
+    from pyspark.sql import functions as F
+    k1 = registry.register_files(files, F.lit(t)).first()["file_id"]
+    k2 = registry.complete_files(files, F.lit(t)).first()["file_id"]
+    assert k1 == k2
