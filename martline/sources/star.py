@@ -99,9 +99,12 @@ def dim_sales_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One row per nation key found in `nation`: at most |nation| rows.
     managers = (staffed.groupBy(F.col("n_nationkey").alias("m_nationkey"))
                 .agg(F.min("s_suppkey").alias("manager_id")))
+    # Every staffed row's nation is one of `managers`' keys, so a left join
+    # keeps exactly the inner-join rows; being a left join onto unique keys,
+    # Catalyst drops it (and the aggregation) when no manager column is used.
     return (staffed
             .join(sized_broadcast(managers, key=(sf_dir, "managers"), bound_by=nation),
-                  F.col("s_nationkey") == F.col("m_nationkey"))
+                  F.col("s_nationkey") == F.col("m_nationkey"), "left")
             .select(F.col("s_suppkey").alias("id"),
                     _first("s_name").alias("first_name"),
                     _last("s_name").alias("last_name"),

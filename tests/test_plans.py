@@ -57,3 +57,10 @@ def test_csv_typed_scans_have_no_shuffle(spark):
     plan = _plan(typed)
     assert "Exchange" not in plan and plan.count("FileScan csv") == 2
     assert run.observation.get["rows"] == run.landed.count()
+
+
+def test_manager_lookup_pruned_when_unused(spark):
+    # the manager join is a left join onto unique keys: Catalyst removes it
+    # (with its aggregation) from plans that do not use manager columns
+    assert "m_nationkey" not in _plan(QUERIES["sales_mart"](spark, SMALL))
+    assert "m_nationkey" in _plan(QUERIES["sales_detail"](spark, SMALL))
