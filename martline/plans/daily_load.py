@@ -21,6 +21,7 @@ import traceback
 import uuid
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,8 +115,14 @@ def _load(spark, source_root, target_root, dims, started, state) -> dict:
                                dims["dim_store"], dims["dim_sales_team"])
     customer_detail_path = f"{target_root}/customer_detail"
     sales_detail_path = f"{target_root}/sales_detail"
-    P.write_parquet(marts.customer_detail(rich), customer_detail_path)
-    P.write_parquet(marts.sales_detail(rich), sales_detail_path)
+    # Both detail marts project the same enriched rows: keep them for the
+    # two writes (memory and disk; lost blocks are recomputed from lineage).
+    rich = rich.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        P.write_parquet(marts.customer_detail(rich), customer_detail_path)
+        P.write_parquet(marts.sales_detail(rich), sales_detail_path)
+    finally:
+        rich.unpersist()
     sales_detail = spark.read.parquet(sales_detail_path)
     customer_detail = spark.read.parquet(customer_detail_path)
     P.write_partitioned(sales_detail, f"{target_root}/sales_partitioned",

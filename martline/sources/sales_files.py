@@ -15,6 +15,7 @@ per batch directory, the file a user would see).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,10 +61,15 @@ def _write(rows: DataFrame, columns: list[str], path: str) -> None:
 
 def write_sales_files(fact: DataFrame, root: str) -> str:
     """Write all fact rows as CSV under `root`, in three header layouts."""
-    text = _as_text(fact, malformed_dates=True)
-    _write(text.where(F.col("variant") == "standard"), STANDARD, f"{root}/variant=standard")
-    _write(text.where(F.col("variant") == "extra"), EXTRA, f"{root}/variant=extra")
-    _write(text.where(F.col("variant") == "missing"), MISSING, f"{root}/variant=missing")
+    # Three writes read the same rows: keep them once (spilling to disk as
+    # needed; a lost executor's blocks are recomputed from lineage).
+    text = _as_text(fact, malformed_dates=True).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _write(text.where(F.col("variant") == "standard"), STANDARD, f"{root}/variant=standard")
+        _write(text.where(F.col("variant") == "extra"), EXTRA, f"{root}/variant=extra")
+        _write(text.where(F.col("variant") == "missing"), MISSING, f"{root}/variant=missing")
+    finally:
+        text.unpersist()
     return root
 
 
