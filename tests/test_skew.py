@@ -54,3 +54,33 @@ def test_hot_key_split_by_aqe_is_exact(spark):
     expect = sorted(map(tuple, pdf[key].astype(str).values.tolist()))
     actual = sorted(map(tuple, got[key].astype(str).values.tolist()))
     assert len(got) == len(rows) and actual == expect
+
+
+def test_hot_salesperson_shuffles_partial_rows_only(spark):
+    """One salesperson with a third of all sales: the mart's first shuffle
+    carries one partial row per group and task, not the sales."""
+    import re
+
+    from martline.contracts import SALES_DETAIL_COLUMNS
+    schema = ("store_id int, sales_person_id long, sales_person_first_name string, "
+              "sales_person_last_name string, store_manager_name string, manager_id long, "
+              "is_manager string, sales_person_address string, sales_person_pincode string, "
+              "sales_date date, total_cost decimal(18,2), sales_month string")
+    rows = []
+    for i in range(30000):
+        p = 10 if i % 3 == 0 else 11 + i % 40
+        d = date(2023, 1, 1) + timedelta(days=i % 60)
+        rows.append((1 + p % 3, p, "A", "X", "m", 1, "N", "a", "1", d, D(i % 100),
+                     d.strftime("%Y-%m")))
+    tasks = 8
+    detail = spark.createDataFrame(rows, schema).repartition(tasks).select(*SALES_DETAIL_COLUMNS)
+    df = marts.sales_mart(detail)
+    groups = len({(r[0], r[1], r[10]) for r in rows})
+    df._jdf.queryExecution().executedPlan().executeCollect()
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    counts = sorted(float(c) for c in re.findall(r"ShuffleQueryStage \(\d+\), Statistics\("
+                                                  r"sizeInBytes=[^,]+, rowCount=([^)]+)\)", text))
+    assert counts[-1] == len(rows)            # the test's own input repartition
+    assert all(c <= groups * tasks for c in counts[:-1])
+    assert df.count() == groups
