@@ -75,7 +75,7 @@ def test_hot_salesperson_shuffles_partial_rows_only(spark):
     tasks = 8
     detail = spark.createDataFrame(rows, schema).repartition(tasks).select(*SALES_DETAIL_COLUMNS)
     df = marts.sales_mart(detail)
-    groups = len({(r[0], r[1], r[10]) for r in rows})
+    groups = len({(r[0], r[1], r[11]) for r in rows})
     df._jdf.queryExecution().executedPlan().executeCollect()
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     text = df._jdf.queryExecution().explainString(mode)
