@@ -73,3 +73,34 @@ def test_sales_mart_equals_window_distinct_semantics(spark, rows):
     detail = spark.createDataFrame(data, SCHEMA).select(*SALES_DETAIL_COLUMNS)
     got = {tuple(r) for r in marts.sales_mart(detail).collect()}
     assert got == _reference(rows)
+
+
+CUSTOMER_SCHEMA = ("customer_id long, first_name string, last_name string, address string, "
+                   "pincode string, phone_number string, sales_date date, "
+                   "total_cost decimal(18,2)")
+
+crow = st.tuples(st.sampled_from([1, 2, None]),                 # customer (NULL key too)
+                 st.sampled_from(["A", "B"]),                   # address variants
+                 st.sampled_from([date(2023, 1, 5), date(2023, 1, 20), date(2023, 2, 7)]),
+                 st.one_of(st.none(), st.integers(0, 300).map(lambda c: D(c) / 4)))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(crow, min_size=1, max_size=12))
+def test_customer_mart_equals_window_distinct_semantics(spark, rows):
+    data = [(c, "F", "L", a, "1", "91", d, None if v is None else v.quantize(D("0.01")))
+            for c, a, d, v in rows]
+    got = {tuple(r) for r in marts.customer_mart(
+        spark.createDataFrame(data, CUSTOMER_SCHEMA)).collect()}
+    df = pd.DataFrame(data, columns=["c", "f", "l", "a", "p", "ph", "d", "v"])
+    df["m"] = df["d"].map(lambda x: x.replace(day=1))
+    def norm(c):
+        return None if c is None or c != c else int(c)
+
+    totals = {}
+    for (c, m), g in df.groupby(["c", "m"], dropna=False):
+        vals = [x for x in g["v"] if x is not None and x == x]
+        totals[(norm(c), m)] = sum(vals, D("0")).quantize(D("0.01")) if vals else None
+    expect = {(norm(r.c), "F L", r.a, "91", r.m, totals[(norm(r.c), r.m)])
+              for r in df.itertuples()}
+    assert got == expect
