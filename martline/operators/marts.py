@@ -1,11 +1,12 @@
 """Detail projections and monthly aggregate marts.
 
 The source job computes each mart as "window sum over raw rows, then
-DISTINCT".  Here the same result is computed as a grouped sum (map-side
-partial aggregation, so the shuffle carries one row per group and task, not
-every sale), followed by window/join steps that only ever see mart-sized
-data.  Results are identical, including the case where one window key maps
-to several distinct output tuples.
+DISTINCT".  Here the same result is one grouped aggregation on the window
+key (map-side partial aggregation: the shuffle carries one row per key and
+task, not every sale) that also keeps the key's distinct attribute
+variants; windows, where needed, only ever see mart-sized data.  Results
+are identical, including when one window key maps to several distinct
+output tuples.
 """
 
 from __future__ import annotations
@@ -33,22 +34,25 @@ def sales_detail(enriched: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # Grouped totals with "window key" semantics
 # --------------------------------------------------------------------------
-def _window_total(detail: DataFrame, window_keys: list[str], extra_keys: list, value: str,
-                  out: str) -> DataFrame:
-    """One row per distinct (window_keys + extra_keys) tuple carrying the
-    total of `value` over its window_keys group.
-
-    Step 1 groups by every output column (partial aggregation: the shuffle
-    carries at most one row per group and task).  Step 2 re-sums the partial
-    totals per window key with a window over the *grouped* rows; a window
-    partition there holds only the distinct attribute variants of one key
-    (normally one row), so no partition can grow with the number of sales.
+def _window_total(detail: DataFrame, window_keys: list[str], variant_cols: list[str],
+                  value: str, out: str) -> DataFrame:
+    """One row per distinct (window_keys + variant_cols) tuple, carrying the
+    total of `value` over its window_keys group (the semantics of
+    "sum() OVER (window_keys)" followed by DISTINCT).
+
+    A single grouped aggregation on the window keys, partial per task, both
+    sums the value and collects the set of distinct attribute variants
+    (e.g. name, address).  That set is exactly the output rows of the key,
+    deduplicated map-side, so it never grows with the number of sales (a
+    key holding a third of all rows still yields its one or few variants);
+    it is exploded back into rows after the shuffle.  A struct keeps a NULL
+    attribute as a variant of its own.
     """
-    grouped = (detail.groupBy(*window_keys, *extra_keys)
-               .agg(F.sum(value).alias("__part")))
-    w = Window.partitionBy(*window_keys)
-    return (grouped.withColumn(out, F.sum("__part").over(w).cast(MONEY))
-            .drop("__part"))
+    grouped = (detail.groupBy(*window_keys)
+               .agg(F.sum(value).cast(MONEY).alias(out),
+                    F.collect_set(F.struct(*variant_cols)).alias("__variants")))
+    return (grouped.select(*window_keys, out, F.explode("__variants").alias("__v"))
+            .select(*window_keys, *[F.col(f"__v.{c}").alias(c) for c in variant_cols], out))
 
 
 def customer_mart(detail: DataFrame) -> DataFrame:
