@@ -158,3 +158,18 @@ from martline.plans import loads  # noqa: E402,F401
 from martline.plans import ingest  # noqa: E402,F401
 from martline.plans import governance  # noqa: E402,F401
 from martline.plans import streams  # noqa: E402,F401
+
+
+def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Publish the star, the enriched rows, the detail marts and the two
+    aggregate marts as temporary views, for `spark.sql(...)` users."""
+    v = S.star(spark, sf_dir)
+    rich = enriched(spark, sf_dir)
+    views = {**v, "enriched_sales": rich,
+             "customer_detail": marts.customer_detail(rich),
+             "sales_detail": marts.sales_detail(rich),
+             "customer_mart": marts.customer_mart(marts.customer_detail(rich)),
+             "sales_mart": marts.sales_mart(marts.sales_detail(rich))}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted(views)

@@ -103,3 +103,13 @@ def test_grouped_plan_has_no_window_over_raw_rows(spark):
         .executedPlan().toString()
     # partial aggregation happens below the first exchange
     assert "partial_sum" in plan
+
+
+def test_views_for_sql_users(spark):
+    from martline.plans.catalog import register_views
+    from tests.conftest import SMALL
+    names = register_views(spark, SMALL)
+    assert {"fact_sales", "sales_mart", "customer_mart"} <= set(names)
+    top = spark.sql("SELECT count(*) AS n FROM sales_mart WHERE incentive > 0").first()["n"]
+    stores = spark.sql("SELECT count(DISTINCT store_id, sales_month) AS n FROM sales_mart").first()["n"]
+    assert 0 < stores <= top   # at least one top seller per store-month (ties share)
