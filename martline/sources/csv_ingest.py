@@ -26,7 +26,8 @@ from martline.functions import base_name
 CORRUPT = "_corrupt_record"
 _CONTRACT_TYPES = {f.name: f.dataType for f in SALES_SCHEMA.fields}
 
-MANIFEST_SCHEMA = "path string, file_size long, modified_at timestamp, header string"
+MANIFEST_SCHEMA = ("path string, file_size long, modified_at timestamp, header string, "
+                   "probe_error string")
 
 
 # --------------------------------------------------------------------------
@@ -67,9 +68,19 @@ def _first_line(uri: str) -> str | None:
 
 
 def _probe(batches):
+    """Header of each file; a file that cannot be read gets its error text
+    instead (it is rejected, the run goes on)."""
     for pdf in batches:
-        yield pdf.assign(header=[_first_line(p) for p in pdf["path"]])[
-            ["path", "file_size", "modified_at", "header"]]
+        headers, errors = [], []
+        for path in pdf["path"]:
+            try:
+                headers.append(_first_line(path))
+                errors.append(None)
+            except Exception as exc:  # unreadable file: reject it, keep going
+                headers.append(None)
+                errors.append(f"{type(exc).__name__}: {exc}"[:1000])
+        yield pdf.assign(header=headers, probe_error=errors)[
+            ["path", "file_size", "modified_at", "header", "probe_error"]]
 
 
 def probe_headers(files: DataFrame) -> DataFrame:
@@ -99,8 +110,10 @@ def validate_headers(manifest: DataFrame) -> DataFrame:
             .withColumn("columns", cols)
             .withColumn("missing_columns", F.array_sort(F.array_except(required, F.col("columns"))))
             .withColumn("extra_columns", F.array_sort(F.array_except(F.col("columns"), required)))
-            .withColumn("accepted", F.size("missing_columns") == 0)
-            .withColumn("reason", F.when(F.col("header").isNull(), F.lit("no header"))
+            .withColumn("accepted", (F.size("missing_columns") == 0) & F.col("probe_error").isNull())
+            .withColumn("reason", F.when(F.col("probe_error").isNotNull(),
+                                         F.concat(F.lit("unreadable: "), F.col("probe_error")))
+                        .when(F.col("header").isNull(), F.lit("no header"))
                         .when(~F.col("accepted"),
                               F.concat(F.lit("missing columns: "),
                                        F.array_join("missing_columns", ","))))

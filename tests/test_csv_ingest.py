@@ -80,3 +80,18 @@ def test_values_bound_by_name_and_bad_rows_flagged(spark, scratch):
     # counted during the landing write, equal to the landed table
     assert run.observation.get["rows"] == len(rows) == 7
     assert run.observation.get["malformed"] == 4
+
+
+def test_unreadable_file_is_rejected_not_fatal(spark, scratch):
+    import pandas as pd
+    root = _local(scratch) + "/in"
+    _write(root, "valid.csv", HEAD + "\n1,121,sugar,2023-03-03,1,50.00,2,100.00\n")
+    probe = pd.DataFrame({"path": ["file:" + root + "/valid.csv", "file:" + root + "/gone.csv"],
+                          "file_size": [1, 1], "modified_at": [None, None]})
+    out = list(C._probe(iter([probe])))[0]
+    assert out.loc[0, "header"] == HEAD and out.loc[0, "probe_error"] is None
+    assert out.loc[1, "header"] is None and "gone.csv" in out.loc[1, "probe_error"]
+    manifest = spark.createDataFrame(out, C.MANIFEST_SCHEMA)
+    rows = {r["file_name"]: r for r in C.validate_headers(manifest).collect()}
+    assert rows["valid.csv"]["accepted"]
+    assert not rows["gone.csv"]["accepted"] and rows["gone.csv"]["reason"].startswith("unreadable")
