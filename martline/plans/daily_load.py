@@ -22,7 +22,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martline import __version__
@@ -131,10 +131,13 @@ def _load(spark, source_root, target_root, dims, started, state) -> dict:
     state["stage"] = "MART_CALCULATION"
     customer_mart_path = f"{target_root}/customer_mart"
     sales_mart_path = f"{target_root}/sales_mart"
-    customer_mart = marts.customer_mart(customer_detail)
-    sales_mart = marts.sales_mart(sales_detail)
-    P.refresh_months(customer_mart, customer_mart_path, "sales_date_month")
-    P.refresh_months(sales_mart, sales_mart_path, "sales_month")
+    # Rows written are counted while writing (no second pass over the marts).
+    counted = {"customer": Observation("customer_mart"), "sales": Observation("sales_mart")}
+    rows = F.count(F.lit(1)).alias("rows")
+    P.refresh_months(marts.customer_mart(customer_detail).observe(counted["customer"], rows),
+                     customer_mart_path, "sales_date_month")
+    P.refresh_months(marts.sales_mart(sales_detail).observe(counted["sales"], rows),
+                     sales_mart_path, "sales_month")
 
     state["stage"] = "STAGING_COMPLETION"
     registry.complete_files(files, F.timestamp_add("SECOND", F.lit(1), now)) \
@@ -149,7 +152,8 @@ def _load(spark, source_root, target_root, dims, started, state) -> dict:
                                    F.col("reason").alias("error_message")), "file_path")
      .withColumn("load_time", now)
      .write.mode("append").parquet(file_audit_path))
-    metrics = audit.job_metrics(run.manifest, landed, customer_mart, sales_mart)
+    metrics = audit.job_metrics(run.manifest, landed, counted["customer"].get["rows"],
+                                counted["sales"].get["rows"])
     return {"run": run, "metrics": metrics, "customer_mart_path": customer_mart_path,
             "sales_mart_path": sales_mart_path, "registry_path": registry_path,
             "file_audit_path": file_audit_path}
