@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from martline import __version__
 from martline.contracts import ENVIRONMENTS, MANDATORY_COLUMNS, SALES_COLUMNS, TRIGGER_TYPES
 from martline.functions import elapsed_seconds, truncate_text
+from martline.session import app_id
 from martline.operators import audit, enrich, marts, quality, registry
 from martline.sinks import parquet as P
 from martline.sources import csv_ingest as C
@@ -65,7 +66,7 @@ def run_daily_load(spark: SparkSession, source_root: str, target_root: str,
     job = {"job_id": uuid.uuid4().int >> 65, "job_name": "daily_sales_load",
            "pipeline_version": __version__, "environment": environment,
            "trigger_type": trigger_type,
-           "spark_application_id": spark.sparkContext.applicationId,
+           "spark_application_id": app_id(spark),
            "start_time": started}
     job_audit_path = f"{target_root}/job_audit"
     state = {"stage": "SPARK_INGESTION"}

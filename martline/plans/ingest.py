@@ -10,7 +10,7 @@ from martline.contracts import MANDATORY_COLUMNS, SALES_COLUMNS, SALES_SCHEMA
 from martline.operators import audit, enrich, marts, quality
 from martline.plans import oracle as O
 from martline.plans.catalog import register
-from martline.session import scratch_path
+from martline.session import app_id, scratch_path
 from martline.sources import csv_ingest as C
 from martline.sources import sales_files as SF
 from martline.sources import star as S
@@ -23,7 +23,7 @@ _roots: dict[tuple, str] = {}
 
 
 def ingest_run(spark: SparkSession, sf_dir: str, layout: str) -> C.Ingest:
-    key = (spark.sparkContext.applicationId, sf_dir, layout)
+    key = (app_id(spark), sf_dir, layout)
     if key not in _runs:
         fact = S.fact_sales(spark, sf_dir)
         root = scratch_path(spark, f"sales_files_{layout}")
@@ -38,7 +38,7 @@ def ingest_run(spark: SparkSession, sf_dir: str, layout: str) -> C.Ingest:
 
 def files_root(spark: SparkSession, sf_dir: str, layout: str) -> str:
     ingest_run(spark, sf_dir, layout)
-    return _roots[(spark.sparkContext.applicationId, sf_dir, layout)]
+    return _roots[(app_id(spark), sf_dir, layout)]
 
 
 def with_batch(df: DataFrame, path_col: str) -> DataFrame:

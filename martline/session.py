@@ -34,6 +34,27 @@ def build_session(app: str = "martline", cores: int | str = "*",
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (classic or Connect session)."""
+    return spark.conf.get("spark.app.id", None) or f"session-{id(spark)}"
+
+
+def task_slots(spark: SparkSession) -> int:
+    """Task slots of the cluster; the shuffle partition count where the
+    session does not expose a SparkContext (Spark Connect)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _context_checkpoint_dir(spark: SparkSession):
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # Spark Connect: no SparkContext
+        return None
+
+
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
@@ -41,12 +62,11 @@ def shared_root(spark: SparkSession) -> str:
     can reach).  Only when the session has none, as in local tests, is a
     fresh local folder created and registered.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or _context_checkpoint_dir(spark)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="martline-")
-    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martline.session import app_id, task_slots
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                "lineitem", "events", "documents", "embeddings", "pages",
                "benchmark", "labels", "conversations")
@@ -16,7 +18,7 @@ _readers: dict[tuple, DataFrame] = {}
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
+    key = (id(spark), app_id(spark), path)
     if key not in _readers:
         _readers[key] = spark.read.parquet(path)
     return _readers[key]
@@ -36,11 +38,15 @@ def read_fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     shuffle).  Round-robin repartitioning is retry-safe: Spark sorts rows
     before assigning them, so a lost task recomputes the same split.
     """
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    key = (id(spark), app_id(spark), sf_dir.rstrip("/"), name)
     if key not in _spread:
         df = read_table(spark, sf_dir, name)
-        slots = spark.sparkContext.defaultParallelism
-        _spread[key] = df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+        slots = task_slots(spark)
+        try:
+            splits = df.rdd.getNumPartitions()   # planning only, no job
+        except Exception:                        # Spark Connect: no RDD view
+            splits = slots
+        _spread[key] = df.repartition(slots) if splits < slots else df
     return _spread[key]
 
 
@@ -54,7 +60,7 @@ def per_session(fn):
     memo: dict[tuple, DataFrame] = {}
 
     def wrapper(spark: SparkSession, sf_dir: str, *args):
-        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), args)
+        key = (id(spark), app_id(spark), sf_dir.rstrip("/"), args)
         if key not in memo:
             memo[key] = fn(spark, sf_dir, *args)
         return memo[key]
