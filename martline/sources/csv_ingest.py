@@ -14,8 +14,11 @@ write reads every column once; all row metrics come from the landed table.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
+from pyspark import cloudpickle
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,7 +88,12 @@ def _probe(batches):
 
 def probe_headers(files: DataFrame) -> DataFrame:
     """(path, size, mtime, header) for every file; a distributed probe that
-    reads one line per file."""
+    reads one line per file.
+
+    The probe is shipped to the Python workers by value (it needs only
+    pandas and pyarrow there), so executors need not have this package
+    installed or on their path."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     return files.select("path", "file_size", "modified_at").mapInPandas(_probe, MANIFEST_SCHEMA)
 
 

@@ -3,6 +3,7 @@ from decimal import Decimal as D
 
 from martline.sources import csv_ingest as C
 
+SMALL_DIR = "/root/testdata/sf0.001"
 HEAD = "customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost"
 
 
@@ -95,3 +96,20 @@ def test_unreadable_file_is_rejected_not_fatal(spark, scratch):
     rows = {r["file_name"]: r for r in C.validate_headers(manifest).collect()}
     assert rows["valid.csv"]["accepted"]
     assert not rows["gone.csv"]["accepted"] and rows["gone.csv"]["reason"].startswith("unreadable")
+
+
+def test_probe_ships_without_the_package(spark, tmp_path):
+    """Workers need not have this package: the probe is pickled by value."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    C.probe_headers(C.list_csv_files(spark, SMALL_DIR))   # registers by-value pickling
+    blob = tmp_path / "probe.pkl"
+    blob.write_bytes(cloudpickle.dumps(C._probe))
+    code = ("import pickle, sys; sys.path = [p for p in sys.path if 'repo' not in p]; "
+            f"f = pickle.load(open({str(blob)!r}, 'rb')); print(f.__name__)")
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path),
+                         capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    assert out.stdout.strip() == "_probe"
