@@ -64,3 +64,10 @@ def test_manager_lookup_pruned_when_unused(spark):
     # (with its aggregation) from plans that do not use manager columns
     assert "m_nationkey" not in _plan(QUERIES["sales_mart"](spark, SMALL))
     assert "m_nationkey" in _plan(QUERIES["sales_detail"](spark, SMALL))
+
+
+def test_customer_mart_is_one_shuffle_on_its_key(spark):
+    plan = _plan(QUERIES["customer_mart"](spark, SMALL))
+    keyed = re.findall(r"Exchange hashpartitioning\(customer_id#\d+L?, sales_date_month#\d+", plan)
+    assert len(keyed) == 1
+    assert "partial_collect_set" in plan and "Window [" not in plan
