@@ -73,12 +73,16 @@ def run_daily_load(spark: SparkSession, source_root: str, target_root: str,
     try:
         result = _load(spark, source_root, target_root, dims, started, state)
     except Exception:
-        failed = _job_row(spark, {**job, "end_time": datetime.datetime.now(), "status": "FAILED",
-                                  "failure_stage": state["stage"],
-                                  "error_message": traceback.format_exc()})
-        (failed.withColumn("error_message", truncate_text("error_message"))
-         .withColumn("execution_time_seconds", elapsed_seconds("start_time", "end_time"))
-         .write.mode("append").parquet(job_audit_path))
+        error = traceback.format_exc()
+        try:
+            failed = _job_row(spark, {**job, "end_time": datetime.datetime.now(),
+                                      "status": "FAILED", "failure_stage": state["stage"],
+                                      "error_message": error})
+            (failed.withColumn("error_message", truncate_text("error_message"))
+             .withColumn("execution_time_seconds", elapsed_seconds("start_time", "end_time"))
+             .write.mode("append").parquet(job_audit_path))
+        except Exception:  # the audit record must never mask the load's own error
+            pass
         raise
     metrics, run = result["metrics"], result["run"]
     done = _job_row(spark, {**job, "end_time": datetime.datetime.now(), "status": "SUCCESS",
