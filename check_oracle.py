@@ -1,11 +1,14 @@
 """Run catalogue queries against their DuckDB oracles.
 
     python check_oracle.py [sf_dir] [query ...]
+
+Set CHECK_JSON=<path> to also write the per-query results as JSON.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import sys
 import time
 
@@ -19,6 +22,7 @@ def main(argv: list[str]) -> int:
     names = argv[1:] or list(QUERIES)
     spark = build_session("check-oracle", cores=8, shuffle_partitions=8)
     bad = 0
+    results = []
     for name in names:
         t0 = time.time()
         try:
@@ -29,7 +33,13 @@ def main(argv: list[str]) -> int:
         ok = "error" not in r and (not r.get("oracle") or r.get("values_match"))
         bad += not ok
         print(("OK  " if ok else "BAD ") + json.dumps(r, default=str), flush=True)
+        results.append({**r, "ok": ok})
     spark.stop()
+    checked = sum(1 for r in results if r.get("oracle"))
+    print(f"SUMMARY {len(results) - bad}/{len(results)} ok, {checked} with an oracle", flush=True)
+    if os.environ.get("CHECK_JSON"):
+        with open(os.environ["CHECK_JSON"], "w") as f:
+            json.dump(results, f, indent=1, default=str)
     return 1 if bad else 0
 
 

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and key-existence flags."""
+"""Join helpers: size-checked broadcast, key-existence flags and NULL-safe join-back."""
 
 from __future__ import annotations
 
