@@ -115,3 +115,28 @@ def test_stream_restart_after_stop_is_exactly_once(spark, scratch):
     assert rows.count() == fact.count()
     assert rows.exceptAll(fact.select(*MANDATORY_COLUMNS)).count() == 0
     assert fact.select(*MANDATORY_COLUMNS).exceptAll(rows).count() == 0
+
+
+def test_failed_load_is_resumed_by_the_next_run(spark, scratch):
+    import pytest
+
+    from martline.operators import registry
+    from martline.plans.daily_load import run_daily_load
+    fact = S.fact_sales(spark, SMALL)
+    SF.write_sales_files(fact, scratch + "/in")
+    good = S.star(spark, SMALL)
+    broken = dict(good)
+    broken["dim_store"] = good["dim_store"].drop("store_manager_name")
+    with pytest.raises(Exception):
+        run_daily_load(spark, scratch + "/in", scratch + "/out", broken)
+    events = spark.read.parquet(scratch + "/out/registry")
+    on_hand = events.select("file_name").distinct()
+    pending = registry.resume_files(on_hand, events).count()
+    assert pending == on_hand.count() > 0          # registered, never completed
+    res = run_daily_load(spark, scratch + "/in", scratch + "/out", good)
+    events = spark.read.parquet(scratch + "/out/registry")
+    assert registry.resume_files(on_hand, events).count() == 0
+    clean = run_daily_load(spark, scratch + "/in", scratch + "/clean", good)
+    resumed = spark.read.parquet(res.sales_mart_path)
+    fresh = spark.read.parquet(clean.sales_mart_path).select(*resumed.columns)
+    assert resumed.exceptAll(fresh).count() == 0 and fresh.exceptAll(resumed).count() == 0
