@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martline.llm import mixing, quality, simhash, tokens, toxicity
+from martline.llm import balltree, chat, mixing, quality, simhash, tokens, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,14 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_format(_table(spark, sf_dir, "conversations"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -34,9 +42,44 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_exact_topk": op3_exact_topk,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_mix_sources": op5_mix_sources,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS query_id, b.vec_id,
+                   CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+            WHERE a.vec_id % 50 = 0)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id, score
+        FROM s QUALIFY rank <= 5""",
+    "op4_chat_formatting": """
+        WITH t AS (
+            SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+        c AS (
+            SELECT conv_id, list({'r': role, 't': text} ORDER BY turn, role, text) AS turns, count(*) AS n_turns
+            FROM t GROUP BY conv_id),
+        k AS (
+            SELECT * FROM c a
+            WHERE NOT EXISTS (
+                SELECT 1 FROM c b
+                WHERE b.n_turns >= a.n_turns AND list_slice(b.turns, 1, a.n_turns) = a.turns
+                  AND (b.n_turns > a.n_turns OR b.conv_id < a.conv_id)))
+        SELECT k.conv_id, CAST(0 AS INTEGER) AS part, k.n_turns,
+               (SELECT count(*) - 1 FROM c b
+                WHERE b.n_turns <= k.n_turns AND list_slice(k.turns, 1, b.n_turns) = b.turns) AS n_collapsed,
+               array_to_string(list_transform(k.turns, lambda x: '<|im_start|>' || replace(x.r, '<|', '< |') || chr(10)
+                                              || replace(x.t, '<|', '< |') || '<|im_end|>' || chr(10)), '') AS text
+        FROM k""",
+}
