@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martline.llm import balltree, chat, mixing, quality, simhash, tokens, toxicity
+from martline.llm import balltree, chat, html, mixing, quality, simhash, tokens, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES = {
     "op3_exact_topk": op3_exact_topk,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_mix_sources": op5_mix_sources,
+    "op7_html_extraction": op7_html_extraction,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
 }
