@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martline.llm import balltree, chat, html, mixing, quality, simhash, tokens, toxicity
+from martline.llm import balltree, chat, decontaminate, html, mixing, quality, simhash, tokens, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(_table(spark, sf_dir, "pages"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op3_exact_topk": op3_exact_topk,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_mix_sources": op5_mix_sources,
+    "op6_decontaminate": op6_decontaminate,
     "op7_html_extraction": op7_html_extraction,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
@@ -87,4 +92,37 @@ ORACLES: dict[str, str] = {
                array_to_string(list_transform(k.turns, lambda x: '<|im_start|>' || replace(x.r, '<|', '< |') || chr(10)
                                               || replace(x.t, '<|', '< |') || '<|im_end|>' || chr(10)), '') AS text
         FROM k""",
+    # every window of a document against the seeds of every item; the comparison counts changed tokens
+    "op6_decontaminate": r"""
+        WITH d AS (
+            SELECT DISTINCT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS tokens FROM documents),
+        b AS (
+            SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS tokens FROM benchmark),
+        i AS (SELECT item_id, tokens, least(len(tokens), 13) AS width FROM b WHERE len(tokens) > 0),
+        iw AS (
+            SELECT item_id, width, unnest(list_transform(range(1, len(tokens) - width + 2),
+                                                         lambda p: tokens[p:p + width - 1])) AS w FROM i),
+        dw AS (
+            SELECT doc_id, unnest(range(0, len(tokens))) AS pos, tokens FROM d),
+        dx AS (
+            SELECT doc_id, pos, width, tokens[pos + 1:pos + width] AS w
+            FROM dw, (SELECT DISTINCT width FROM i) WHERE pos + width <= len(tokens)),
+        m AS (
+            SELECT unnest([0, 1, 2]) AS g),
+        ik AS (
+            SELECT DISTINCT item_id, width, w, g,
+                   CASE WHEN width = 13 THEN list_filter(w, lambda x, n: (n - 1) % 3 = g) ELSE w END AS seed
+            FROM iw, m WHERE width = 13 OR g = 0),
+        dk AS (
+            SELECT doc_id, pos, width, w, g,
+                   CASE WHEN width = 13 THEN list_filter(w, lambda x, n: (n - 1) % 3 = g) ELSE w END AS seed
+            FROM dx, m WHERE width = 13 OR g = 0),
+        hits AS (
+            SELECT dk.doc_id, ik.item_id, dk.pos, dk.width,
+                   len(list_filter(list_zip(dk.w, ik.w), lambda p: p[1] <> p[2])) AS changed
+            FROM dk JOIN ik ON dk.width = ik.width AND dk.g = ik.g AND dk.seed = ik.seed)
+        SELECT doc_id, item_id, count(DISTINCT pos) AS n_windows, CAST(min(pos) AS INTEGER) AS first_token,
+               CAST(max(pos + width) - 1 AS INTEGER) AS last_token, CAST(min(changed) AS INTEGER) AS least_changed
+        FROM hits WHERE changed <= CASE WHEN width = 13 THEN 2 ELSE 0 END
+        GROUP BY doc_id, item_id""",
 }
