@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +64,37 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: 64-bit words of a membership filter: a fixed 2 MB whatever the tables hold.
+FILTER_WORDS = 1 << 18
+
+
+def _bit(hash_: Column) -> tuple[Column, Column]:
+    """Word and bit of a hash in a filter."""
+    return (F.shiftrightunsigned(hash_, 6).bitwiseAND(FILTER_WORDS - 1).cast("int"),
+            hash_.bitwiseAND(63).cast("int"))
+
+
+def seen_filter(values: DataFrame, name: str) -> Callable[[Column], Column]:
+    """A test whether a 64-bit hash may be among ``values``: true for all that are, and for few others.
+
+    The filter is a bitmap of FILTER_WORDS longs, so its size is fixed; it only
+    spares rows a shuffle, and an exact join must follow.
+    """
+    word, bit = _bit(F.col(name))
+    used = (values.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits"))
+            .groupBy("word").agg(F.bit_or("bits").alias("bits")))
+    full = values.sparkSession.range(FILTER_WORDS).join(used, F.col("id") == F.col("word"), "left")
+    bits = full.agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits")))),
+        lambda x: x["bits"]).alias("bits")).scalar()
+
+    def known(hash_: Column) -> Column:
+        at, shift = _bit(hash_)
+        return F.call_function("shiftright", F.get(bits, at), shift).bitwiseAND(1) == 1
+
+    return known
+
+
 def with_offsets(df: DataFrame, key: str, order: list[str], size: str, into: str) -> DataFrame:
     """Exclusive running sum of ``size`` within ``key`` in ``order``, without one task per key.
 

@@ -12,13 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.common import row_key, stored
+from martline.llm.common import row_key, seen_filter, stored
 
 #: Tokens of a window, and substitutions that an overlap may hold.
 WINDOW, SUBSTITUTIONS = 13, 2
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
-#: 64-bit words of the filter over the test hashes: a fixed 2 MB whatever the tables hold.
-FILTER_WORDS = 1 << 18
 
 
 def masks(window: int, substitutions: int) -> list[list[int]]:
@@ -43,22 +41,6 @@ def _seeds(tokens: Column, at: Column, windows: dict[int, int]) -> list[Column]:
     return out
 
 
-def _bit(hash_: Column) -> tuple[Column, Column]:
-    """Word and bit of a hash in the filter."""
-    return (F.shiftrightunsigned(hash_, 6).bitwiseAND(FILTER_WORDS - 1).cast("int"),
-            hash_.bitwiseAND(63).cast("int"))
-
-
-def _filter_bits(test: DataFrame) -> DataFrame:
-    """One row with the filter: FILTER_WORDS longs, bit set for every test hash."""
-    word, bit = _bit(F.col("seed"))
-    used = (test.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits"))
-            .groupBy("word").agg(F.bit_or("bits").alias("bits")))
-    full = test.sparkSession.range(FILTER_WORDS).join(used, F.col("id") == F.col("word"), "left")
-    return full.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits")))),
-                                lambda x: x["bits"]).alias("bits"))
-
-
 def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
              substitutions: int = SUBSTITUTIONS) -> DataFrame:
     """(k1, k2, doc_id, item_id, width, pos, changed): windows of documents that overlap an item.
@@ -86,16 +68,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     if test is None:
         return docs.sparkSession.createDataFrame([], shape)
 
-    bits = _filter_bits(test).scalar()
+    known = seen_filter(test, "seed")
     plain = docs.select(*row_key(), F.col("doc_id").cast("long").alias("doc_id"), _tokens(F.col("text")).alias("tokens"))
-    at_all = (plain.where(F.size("tokens") >= min(windows))
-              .select("*", F.explode(F.sequence(F.lit(0), F.size("tokens") - min(windows))).alias("pos")))
+    # explode of a null gives no row: shorter documents end here, and no filter makes Spark tokenise twice
+    span = F.size("tokens") - min(windows)
+    at_all = plain.select("*", F.explode(F.when(span >= 0, F.sequence(F.lit(0), span))).alias("pos"))
     seeds = _seeds(F.col("tokens"), F.col("pos"), windows)
 
-    def known(seed: Column) -> Column:
-        word, bit = _bit(seed)
-        return F.call_function("shiftright", F.get(bits, word), bit).bitwiseAND(1) == 1
-
     hit = None
     for _, _, seed in seeds:
         hit = known(seed) if hit is None else hit | known(seed)

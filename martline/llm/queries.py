@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martline.llm import balltree, chat, decontaminate, html, mixing, quality, simhash, tokens, toxicity
+from martline.llm import balltree, chat, decontaminate, html, mixing, quality, runindex, simhash, tokens, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op8_run_length_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runindex.repeat_report(_table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op5_mix_sources": op5_mix_sources,
     "op6_decontaminate": op6_decontaminate,
     "op7_html_extraction": op7_html_extraction,
+    "op8_run_length_dedup": op8_run_length_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
 }
