@@ -131,15 +131,16 @@ class RunLengthIndex:
     """Run-length Burrows-Wheeler transform of a set of texts, suffix positions sampled at run ends.
 
     letters, lengths: the runs; first, last: text positions of the suffixes at
-    each run's ends.  ``depth``: suffixes are sorted by that many letters at least.
+    each run's ends.  ``least`` is the shortest match of interest.  Suffixes are sorted to
+    the ends of their texts: only then does a run's inner pair go on to the left as neighbours.
     """
 
-    def __init__(self, text: np.ndarray, ends: np.ndarray, depth: int):
+    def __init__(self, text: np.ndarray, ends: np.ndarray, least: int):
         self.text, n = text, len(text)
         begin = np.append(0, ends[:-1])
         self.left = np.repeat(ends, ends - begin) - np.arange(n)  # bytes up to the own text's end
         self.words = self._words()
-        order, self.alike = self._sorted(depth)
+        order, self.alike = self._sorted(int((ends - begin).max()), least)
         before = text[order - 1].astype(np.int16)
         starts = np.zeros(n, bool)
         starts[begin[begin < n]] = True
@@ -161,9 +162,9 @@ class RunLengthIndex:
             out = (out << np.uint64(8)) | np.where(inside, padded[i:i + n], 0).astype(np.uint64)
         return out
 
-    def _sorted(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix positions in order of their first ``depth`` letters or more, by prefix doubling, and the
-        groups of positions that agree in at least half of ``depth``."""
+    def _sorted(self, depth: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Suffix positions in order of their first ``depth`` letters, by prefix doubling, and groups
+        within which all positions lie that agree in ``least`` letters."""
         n = len(self.text)
         # seven letters of nine bits: a letter is its byte + 1, zero lies beyond the end
         key = np.zeros(n, np.uint64)
@@ -177,9 +178,10 @@ class RunLengthIndex:
         rank = np.empty(n, np.int64)
         group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
         rank[order] = group
-        alike, sorted_to = rank, 7
+        alike, sorted_to = rank.copy(), 7
         while sorted_to < depth:
-            alike = rank.copy()
+            if sorted_to <= least:
+                alike = rank.copy()
             again = ~(new & np.append(new[1:], True))  # slots whose group is not single yet
             slots = np.flatnonzero(again)
             if not len(slots):
@@ -207,10 +209,8 @@ class RunLengthIndex:
             apart = self.words[x] ^ self.words[y]
             same = (apart == 0) & (most[todo] > at + 8)
             done = todo[~same]
-            # equal leading bytes of the word that differs
-            bits = np.frexp(apart[~same].astype(np.float64))[1]
-            top = np.where(apart[~same] == 0, 0, bits)
-            out[done] = np.minimum(at + (64 - top) // 8, most[done])
+            equal = sum((apart[~same] >> np.uint64(64 - 8 * i) == 0).astype(np.int64) for i in range(1, 9))
+            out[done] = np.minimum(at + equal, most[done])  # equal leading bytes of the word that differs
             todo, at = todo[same], at + 8
         return out
 
