@@ -27,6 +27,10 @@ CELLS = 1 << 18
 MAX_ROWS = 20_000
 CURVE_EVERY = 5
 EPOCHS, RATE, RIDGE = 10, 2.0, 1e-5
+#: Standard errors by which a cell's log-count ratio must differ from zero to be used.
+SURE = 2.0
+#: Added to every count before the ratio is taken.
+SMOOTH = 0.3
 #: Weight of the squared score change between a sentence and its swapped form.
 SWAP_WEIGHT = 0.5
 #: Score from which a document counts as toxic.
@@ -116,10 +120,11 @@ def fit_rows(rows: list[np.ndarray], label: np.ndarray, pairs: list[list[int]],
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(rows), bool)
     fit = np.flatnonzero(~held)
-    count = {c: 1.0 + np.bincount(np.concatenate([rows[i] for i in fit if y[i] == c]), minlength=CELLS)
+    count = {c: SMOOTH + np.bincount(np.concatenate([rows[i] for i in fit if y[i] == c]), minlength=CELLS)
              for c in (1.0, 0.0)}
     ratio = np.log((count[1.0] / count[1.0].sum()) / (count[0.0] / count[0.0].sum()))
-    ratio[count[1.0] + count[0.0] < 5] = 0.0  # cells of one or two rows say nothing about other texts
+    # only what stands out of its own sampling error says something about other texts
+    ratio[np.abs(ratio) < SURE * np.sqrt(1 / count[1.0] + 1 / count[0.0])] = 0.0
     scale = np.append(ratio, 1.0)
     used = {i: np.append(rows[i][ratio[rows[i]] != 0], CELLS) for i in fit}
     weight = {1.0: 0.5 / y[fit].mean(), 0.0: 0.5 / (1 - y[fit].mean())}

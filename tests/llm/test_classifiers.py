@@ -1,0 +1,119 @@
+"""Quality and toxicity classifiers: held-out accuracy, rules of training, awkward rows."""
+
+import zlib
+
+import numpy as np
+import pytest
+
+from martline.llm import quality, supervised, toxicity
+from tests.conftest import SMALL
+
+SF = "/root/testdata/sf0.01"
+
+
+def held(doc_id, folds, fold):
+    return zlib.crc32(str(doc_id).encode()) % folds == fold
+
+
+def test_quality_on_held_out_rows(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    rows = {r["doc_id"]: r for r in quality.quality_scores(docs, labels).collect()}
+    assert len(rows) == docs.count()
+    assert all(r["held_out"] == held(i, 5, 0) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3)
+               for i, r in rows.items())
+    truth = [(r["doc_id"], r["quality"]) for r in labels.collect() if held(r["doc_id"], 5, 0)]
+    right = [rows[i]["predicted"] == y for i, y in truth]
+    assert len(right) > 50 and np.mean(right) > 0.9
+
+
+def test_toxicity_on_held_out_rows(spark):
+    wide = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{wide}/documents.parquet"), spark.read.parquet(f"{wide}/labels.parquet")
+    rows = {r["doc_id"]: r for r in toxicity.toxicity_scores(docs, labels).collect()}
+    assert len(rows) == docs.count()
+    assert all(r["held_out"] == held(i, 4, 2) and 0 <= r["score"] <= 1 for i, r in rows.items())
+    truth = [(rows[r["doc_id"]]["predicted"], r["toxic"]) for r in labels.collect() if held(r["doc_id"], 4, 2)]
+    toxic = [p for p, y in truth if y]
+    assert len(toxic) > 50 and np.mean(toxic) > 0.8
+    assert np.mean([p for p, y in truth if not y]) < 0.03
+
+
+def test_held_out_labels_change_nothing(spark):
+    docs, labels = spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet")
+    flipped = labels.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 5 = 0, 1 - quality, quality) as quality",
+                                "if(crc32(cast(doc_id as string)) % 4 = 2, 1 - toxic, toxic) as toxic")
+    for run in (quality.quality_scores, toxicity.toxicity_scores):
+        a = {r["doc_id"]: r["score"] for r in run(docs, labels).collect()}
+        b = {r["doc_id"]: r["score"] for r in run(docs, flipped).collect()}
+        assert a == b
+
+
+def test_dual_coordinate_descent_reaches_the_hinge_optimum():
+    rng = np.random.default_rng(2)
+    rows = [np.unique(rng.integers(0, 30, 6)) for _ in range(80)]
+    y = np.array([1.0 if (r < 10).sum() > (r > 20).sum() else -1.0 for r in rows])
+    ratio = np.concatenate([np.ones(30), np.zeros(quality.CELLS - 30)])
+    costs = np.full(80, 0.3)
+    w = quality._descend(rows, y, ratio, costs)
+
+    def loss(v):
+        m = np.array([v[r].sum() + v[-1] for r in rows])
+        return 0.5 * (v @ v) + 0.3 * np.maximum(0, 1 - y * m).sum()
+
+    best = loss(w)
+    for _ in range(200):
+        assert loss(w + rng.normal(0, 0.02, len(w)) * (np.arange(len(w)) < 30)) > best - 0.05
+
+
+def test_swapping_identity_terms():
+    forms = toxicity.swapped("The Women, and some muslims.")
+    assert forms[0] == "the people, and some people."
+    assert len(forms) == 3 and all("women" not in f for f in forms)
+    assert toxicity.swapped("nothing to swap here") == []
+
+
+def test_the_counterfactual_penalty_closes_the_gap_between_a_group_and_neutral_terms():
+    features = toxicity.Features()
+    good, bad = ["we met {} at the market", "the {} sang well", "{} live here"], ["{} are scum", "those {} are trash"]
+    texts, y = [], []
+    for i in range(60):
+        texts += [good[i % 3].format("people"), bad[i % 2].format("muslims"), f"plain words number{i}"]
+        y += [0, 1, 0]
+    rows = [features.cells(t) for t in texts]
+    pairs = [p for t in texts for p in toxicity.swap_pairs(t.encode(), features)]
+    assert pairs
+
+    def gap(weight):
+        model = toxicity.fit_rows(rows, np.array(y), pairs, weight)
+        named, neutral = features.cells("the muslims sang well"), features.cells("the people sang well")
+        margin = [model[c].sum() for c in (named, neutral)]
+        return margin[0] - margin[1], supervised.probabilities(model, [features.cells("they are scum")])[0]
+
+    (free, _), (held_in, toxic) = gap(0.0), gap(0.5)
+    assert free > 0 and abs(held_in) < 0.25 * free
+    assert toxic > 0.3
+
+
+@pytest.mark.parametrize("run", [quality.quality_scores, toxicity.toxicity_scores])
+def test_awkward_rows_and_labels(spark, run, awkward, no_docs):
+    shape = "doc_id long, quality int, toxic int, id string, y string"
+    labels = spark.createDataFrame([(1, 1, 0, "x", "x"), (2, 0, 1, "x", "x"), (4, 1, 0, "x", "x"), (5, 0, 1, "x", "x"),
+                                    (5, 0, 1, "x", "x"), (None, 1, 1, "x", "x"), (7, None, None, "x", "x"), (3, 1, 0, "x", "x"),
+                                    (3, 0, 1, "x", "x")], shape)
+    rows = run(awkward, labels).collect()
+    assert len(rows) == awkward.count() and all(0 <= r["score"] <= 1 for r in rows)
+    assert [r["held_out"] for r in rows if r["doc_id"] is None] == [False, False]
+    twice = [r["score"] for r in rows if r["doc_id"] == 5]
+    assert len(twice) == 3
+    assert run(no_docs, labels).collect() == []
+    none = spark.createDataFrame([], shape)
+    assert {r["score"] for r in run(awkward, none).collect()} == {0.5}
+
+
+def test_keep_good_filters_and_keeps_columns(spark, awkward, no_docs):
+    docs, labels = spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet")
+    want = {r["doc_id"] for r in quality.quality_scores(docs, labels).collect() if r["predicted"]}
+    kept = quality.keep_good(docs, labels)
+    assert {r["doc_id"] for r in kept.collect()} == want and kept.columns == docs.columns
+    assert quality.keep_good(awkward, labels).columns == awkward.columns
+    assert quality.keep_good(no_docs, labels).collect() == []
