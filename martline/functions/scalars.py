@@ -62,3 +62,9 @@ def elapsed_seconds(start, end) -> Column:
 def base_name(path) -> Column:
     """Last path segment of a file path or URI."""
     return F.element_at(F.split(_c(path), "/"), -1)
+
+
+def padded(number, width: int) -> Column:
+    """The number as text, zeros before it up to `width` characters; longer numbers stay whole."""
+    text = _c(number).cast("string")
+    return F.concat(F.repeat(F.lit("0"), F.greatest(F.lit(width) - F.char_length(text), F.lit(0))), text)

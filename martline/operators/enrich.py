@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martline.contracts import ENRICHED_COLUMNS
-from martline.operators.joins import flag_matches, sized_broadcast
+from martline.operators.joins import flag_matches
 
 
 def _customer_side(dim_customer: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def _team_side(dim_sales_team: DataFrame) -> DataFrame:
 
 
 def enrich_sales(fact: DataFrame, dim_customer: DataFrame, dim_store: DataFrame,
-                 dim_sales_team: DataFrame, cache_key=None) -> DataFrame:
+                 dim_sales_team: DataFrame) -> DataFrame:
     """Inner-join sales to customer, store and sales team.
 
     Each dimension is narrowed and renamed *before* its join, so no duplicate
@@ -39,31 +39,26 @@ def enrich_sales(fact: DataFrame, dim_customer: DataFrame, dim_store: DataFrame,
     most selective first (store), largest dimension last (customer); each
     dimension is broadcast only if its size check passes.
     """
-    key = (lambda name: (cache_key, name)) if cache_key is not None else (lambda name: None)
     out = (fact
-           .join(sized_broadcast(_store_side(dim_store), key=key("store")),
+           .join(_store_side(dim_store),
                  F.col("store_id") == F.col("st_id"))
-           .join(sized_broadcast(_team_side(dim_sales_team), key=key("team")),
+           .join(_team_side(dim_sales_team),
                  F.col("sales_person_id") == F.col("sp_id"))
-           .join(sized_broadcast(_customer_side(dim_customer), key=key("customer")),
+           .join(_customer_side(dim_customer),
                  F.col("customer_id") == F.col("c_id")))
     return out.select(*ENRICHED_COLUMNS)
 
 
 def unmatched_dimension_rows(fact: DataFrame, dim_customer: DataFrame, dim_store: DataFrame,
-                             dim_sales_team: DataFrame, cache_key=None) -> DataFrame:
+                             dim_sales_team: DataFrame) -> DataFrame:
     """Sales rows the inner enrichment drops, once each, with the missing dims.
 
     `missing_dimensions` lists, comma-separated in fixed order, the
     dimensions (customer, store, sales_team) that have no matching key.
     """
-    key = (lambda name: (cache_key, name)) if cache_key is not None else (lambda name: None)
-    flagged = flag_matches(fact, "customer_id", dim_customer, "customer_id", "has_customer",
-                           key=key("customer_keys"))
-    flagged = flag_matches(flagged, "store_id", dim_store, "id", "has_store",
-                           key=key("store_keys"))
-    flagged = flag_matches(flagged, "sales_person_id", dim_sales_team, "id", "has_sales_team",
-                           key=key("team_keys"))
+    flagged = flag_matches(fact, "customer_id", dim_customer, "customer_id", "has_customer")
+    flagged = flag_matches(flagged, "store_id", dim_store, "id", "has_store")
+    flagged = flag_matches(flagged, "sales_person_id", dim_sales_team, "id", "has_sales_team")
     missing = F.concat_ws(",",
                           F.when(~F.col("has_customer"), F.lit("customer")),
                           F.when(~F.col("has_store"), F.lit("store")),

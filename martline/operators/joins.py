@@ -1,71 +1,22 @@
-"""Join helpers: size-checked broadcast, key-existence flags and NULL-safe join-back."""
+"""Join helpers: key-existence flags and NULL-safe join-back.
+
+No join carries a broadcast hint and none is sized by a job of its own: Spark
+broadcasts what its statistics, or AQE's measured shuffle sizes, show to be
+below `spark.sql.autoBroadcastJoinThreshold`, and sort-merge joins the rest.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) shipped to every executor.  Above it the join is
-# left to Spark (sort-merge, or a runtime broadcast chosen by AQE from the
-# measured shuffle size).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-_CONF_KEY = "martline.broadcast.maxRows"
-
-# Decisions are memoised per caller-given key, so a dimension is measured
-# once per process, not once per query.
-_decisions: dict[tuple, bool] = {}
-
-
-def broadcast_cap(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(_CONF_KEY, str(DEFAULT_BROADCAST_ROWS)))
-
-
-def _at_most(df: DataFrame, cap: int) -> bool:
-    """True when `df` has at most `cap` rows; reads at most `cap + 1` rows
-    per partition (a limit), so the cost is bounded even when it is not."""
-    return df.limit(cap + 1).count() <= cap
-
-
-def fits_broadcast(df: DataFrame, max_rows: int | None = None, key=None,
-                   bound_by: DataFrame | None = None,
-                   prechecks: tuple[DataFrame, ...] = ()) -> bool:
-    """True when `df` provably has at most `max_rows` rows.
-
-    * `prechecks`: base tables that drive `df`'s size; if any exceeds the
-      cap, the answer is "no" without evaluating `df` at all (not
-      broadcasting is always correct, so this shortcut is safe).
-    * `bound_by`: a frame whose row count bounds `df`'s by construction
-      (e.g. `df` is grouped on a key taken from `bound_by` through an inner
-      join); it is counted instead of `df`.
-    """
-    cap = broadcast_cap(df) if max_rows is None else max_rows
-    memo = (key, cap) if key is not None else None
-    if memo is not None and memo in _decisions:
-        return _decisions[memo]
-    ok = (all(_at_most(p, cap) for p in prechecks)
-          and _at_most(df if bound_by is None else bound_by, cap))
-    if memo is not None:
-        _decisions[memo] = ok
-    return ok
-
-
-def sized_broadcast(df: DataFrame, max_rows: int | None = None, key=None,
-                    bound_by: DataFrame | None = None,
-                    prechecks: tuple[DataFrame, ...] = ()) -> DataFrame:
-    """`broadcast(df)` behind a proven row bound; otherwise `df` unchanged."""
-    ok = fits_broadcast(df, max_rows, key, bound_by, prechecks)
-    return F.broadcast(df) if ok else df
-
-
 def flag_matches(facts: DataFrame, fact_key: str, keys: DataFrame, dim_key: str,
-                 flag: str, key=None) -> DataFrame:
+                 flag: str) -> DataFrame:
     """Left-join a boolean `flag` = "fact_key exists among keys.dim_key".
 
     Keys are de-duplicated first, so the fact side never multiplies.
     """
     distinct_keys = keys.select(F.col(dim_key).alias(f"__{flag}_k")).dropDuplicates()
-    # distinct keys of a table are at most its rows
-    distinct_keys = sized_broadcast(distinct_keys, key=key, bound_by=keys)
     joined = facts.join(distinct_keys, F.col(fact_key) == F.col(f"__{flag}_k"), "left")
     return joined.withColumn(flag, F.col(f"__{flag}_k").isNotNull()).drop(f"__{flag}_k")
 

@@ -1,12 +1,11 @@
 """Detail projections and monthly aggregate marts.
 
 The source job computes each mart as "window sum over raw rows, then
-DISTINCT".  Here the same result is one grouped aggregation on the window
-key (map-side partial aggregation: the shuffle carries one row per key and
-task, not every sale) that also keeps the key's distinct attribute
-variants; windows, where needed, only ever see mart-sized data.  Results
-are identical, including when one window key maps to several distinct
-output tuples.
+DISTINCT".  Here the sales are first summed per output tuple (map-side
+partial aggregation: the shuffle carries one row per tuple and task, not
+every sale); what follows only ever sees mart-sized data.  Results are
+identical, including when one window key maps to several distinct output
+tuples.
 """
 
 from __future__ import annotations
@@ -40,19 +39,14 @@ def _window_total(detail: DataFrame, window_keys: list[str], variant_cols: list[
     total of `value` over its window_keys group (the semantics of
     "sum() OVER (window_keys)" followed by DISTINCT).
 
-    A single grouped aggregation on the window keys, partial per task, both
-    sums the value and collects the set of distinct attribute variants
-    (e.g. name, address).  That set is exactly the output rows of the key,
-    deduplicated map-side, so it never grows with the number of sales (a
-    key holding a third of all rows still yields its one or few variants);
-    it is exploded back into rows after the shuffle.  A struct keeps a NULL
-    attribute as a variant of its own.
+    The sales are summed per tuple, a hash aggregation that is partial per
+    task; a window then adds up the few attribute variants (e.g. two
+    addresses) of each key.  Its partitions hold variants, never sales.
     """
-    grouped = (detail.groupBy(*window_keys)
-               .agg(F.sum(value).cast(MONEY).alias(out),
-                    F.collect_set(F.struct(*variant_cols)).alias("__variants")))
-    return (grouped.select(*window_keys, out, F.explode("__variants").alias("__v"))
-            .select(*window_keys, *[F.col(f"__v.{c}").alias(c) for c in variant_cols], out))
+    tuples = (detail.groupBy(*window_keys, *variant_cols)
+              .agg(F.sum(value).alias("__part")))
+    total = F.sum("__part").over(Window.partitionBy(*window_keys)).cast(MONEY)
+    return tuples.withColumn(out, total).drop("__part")
 
 
 def customer_mart(detail: DataFrame) -> DataFrame:
@@ -84,13 +78,13 @@ def sales_mart(detail: DataFrame) -> DataFrame:
 
     Rank 1 in (store, month) by total DESC, NULLs last, is exactly
     "total <=> max(total) over (store, month)" (an all-NULL group ties at
-    rank 1), so no sort by total is needed.  The max window runs over the
-    grouped rows (one per salesperson and month): a window partition holds
-    the salespeople of one store, whatever the number of sales.
+    rank 1), so no sort is needed: the maximum is a grouped aggregation,
+    partial per task, joined back.  A store with a third of all salespeople
+    is no single task.
     """
     totals = _sales_totals(detail)
-    best = F.max("total_sales").over(Window.partitionBy("store_id", "__month"))
-    return (totals.withColumn("__best", best)
+    best = totals.groupBy("store_id", "__month").agg(F.max("total_sales").alias("__best"))
+    return (join_back(totals, best, ["store_id", "__month"])
             .select("store_id", "sales_person_id", "full_name",
                     month_text("__month").alias("sales_month"),
                     "total_sales",
@@ -101,14 +95,26 @@ def sales_mart(detail: DataFrame) -> DataFrame:
 def store_month_rank(detail: DataFrame) -> DataFrame:
     """rank() of each salesperson's monthly total within (store, month).
 
-    The window runs over the aggregated mart (one row per salesperson and
-    month), never over raw sales rows.
+    Totals fall into bands that rise with the total (sixteen per doubling);
+    a rank is the rows of the higher bands plus the rank inside the band.
+    The window of a large store thus spreads over its bands, and the rows
+    per band are counted by a grouped aggregation.  NULL totals rank last.
     """
-    totals = _sales_totals(detail)
-    w = Window.partitionBy("store_id", "__month").orderBy(F.col("total_sales").desc_nulls_last())
-    return totals.select("store_id", "sales_person_id", "full_name",
-                         month_text("__month").alias("sales_month"), "total_sales",
-                         F.rank().over(w).alias("rnk"))
+    keys = ["store_id", "__month"]
+    total = F.col("total_sales").cast("double")
+    band = (F.signum(total) * F.floor(F.log2(1 + F.abs(total)) * 16)).cast("int")
+    totals = _sales_totals(detail).withColumn("__band", band)
+    higher = Window.partitionBy(*keys).orderBy(F.col("__band").desc_nulls_last())
+    bands = (totals.groupBy(*keys, "__band").agg(F.count(F.lit(1)).alias("__n"))
+             .withColumn("__above", F.coalesce(F.sum("__n").over(
+                 higher.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+             .drop("__n"))
+    within = Window.partitionBy(*keys, "__band").orderBy(F.col("total_sales").desc_nulls_last())
+    ranked = totals.withColumn("__within", F.rank().over(within))
+    return (join_back(ranked, bands, [*keys, "__band"])
+            .select("store_id", "sales_person_id", "full_name",
+                    month_text("__month").alias("sales_month"), "total_sales",
+                    (F.col("__above") + F.col("__within")).cast("int").alias("rnk")))
 
 
 def distinct_store_people(detail: DataFrame) -> DataFrame:

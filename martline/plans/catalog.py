@@ -137,7 +137,7 @@ WHERE NOT EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = f.customer_
 def q_unmatched_dimension_rows(spark, sf_dir):
     v = S.star(spark, sf_dir)
     return enrich.unmatched_dimension_rows(v["fact_sales"], v["dim_customer"], v["dim_store"],
-                                           v["dim_sales_team"], cache_key=sf_dir)
+                                           v["dim_sales_team"])
 
 
 @register("union_by_name", O.with_views(f"""

@@ -191,8 +191,7 @@ def q_file_audit_metrics(spark, sf_dir):
 def _landed_marts(spark, sf_dir, landed: DataFrame):
     clean = landed.where(~F.col("is_malformed"))
     v = S.star(spark, sf_dir)
-    rich = enrich.enrich_sales(clean, v["dim_customer"], v["dim_store"], v["dim_sales_team"],
-                               cache_key=sf_dir)
+    rich = enrich.enrich_sales(clean, v["dim_customer"], v["dim_store"], v["dim_sales_team"])
     return (marts.customer_mart(marts.customer_detail(rich)),
             marts.sales_mart(marts.sales_detail(rich)))
 

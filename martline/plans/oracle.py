@@ -18,7 +18,8 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 SELECT c_custkey AS customer_id, substring(c_name, 1, 8) AS first_name,
        substring(c_name, 10) AS last_name, n_name AS address,
        CAST(c_nationkey AS VARCHAR) AS pincode,
-       '91' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS phone_number
+       '91' || repeat('0', greatest(8 - length(CAST(c_custkey AS VARCHAR)), 0))
+         || CAST(c_custkey AS VARCHAR) AS phone_number
 FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "dim_store": """
 SELECT n_nationkey AS id, r_name AS address, n_name || ' manager' AS store_manager_name

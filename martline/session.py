@@ -39,15 +39,6 @@ def app_id(spark: SparkSession) -> str:
     return spark.conf.get("spark.app.id", None) or f"session-{id(spark)}"
 
 
-def task_slots(spark: SparkSession) -> int:
-    """Task slots of the cluster; the shuffle partition count where the
-    session does not expose a SparkContext (Spark Connect)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _context_checkpoint_dir(spark: SparkSession):
     try:
         return spark.sparkContext.getCheckpointDir()

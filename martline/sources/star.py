@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martline.contracts import MONEY, PRICE
-from martline.operators.joins import sized_broadcast
-from martline.sources.tables import per_session, read_fact_table, read_table
+from martline.functions import padded
+from martline.sources.tables import per_session, read_table
 
 # Characters 1-8 of a TPC-H name are the prefix ("Customer", "Supplier"),
 # characters 10.. the number; they stand in for first and last names.
@@ -35,13 +35,13 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    # orders grows with the facts: Spark picks the strategy from its size.
-    # supplier and part are dimensions: broadcast only behind a row check.
+    # No hints: Spark broadcasts a side whose size it knows to be small (table statistics
+    # when planning, shuffle sizes at runtime) and sort-merge joins the others.
     rows = (lineitem
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(sized_broadcast(supplier, key=(sf_dir, "supplier")),
+            .join(supplier,
                   F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(sized_broadcast(part, key=(sf_dir, "part")),
+            .join(part,
                   F.col("l_partkey") == F.col("p_partkey")))
     return rows.select(
         F.col("o_custkey").alias("customer_id"),
@@ -60,14 +60,14 @@ def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (customer
-            .join(sized_broadcast(nation, key=(sf_dir, "nation")),
+            .join(nation,
                   F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.col("c_custkey").alias("customer_id"),
                     _first("c_name").alias("first_name"),
                     _last("c_name").alias("last_name"),
                     F.col("n_name").alias("address"),
                     F.col("c_nationkey").cast("string").alias("pincode"),
-                    F.concat(F.lit("91"), F.lpad(F.col("c_custkey").cast("string"), 8, "0"))
+                    F.concat(F.lit("91"), padded("c_custkey", 8))
                     .alias("phone_number")))
 
 
@@ -77,7 +77,7 @@ def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     return (nation.where(F.col("n_nationkey") % 4 != 3)
-            .join(sized_broadcast(region, key=(sf_dir, "region")),
+            .join(region,
                   F.col("n_regionkey") == F.col("r_regionkey"))
             .select(F.col("n_nationkey").alias("id"),
                     F.col("r_name").alias("address"),
@@ -94,16 +94,15 @@ def dim_sales_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    staffed = supplier.join(sized_broadcast(nation, key=(sf_dir, "nation")),
+    staffed = supplier.join(nation,
                             F.col("s_nationkey") == F.col("n_nationkey"))
-    # One row per nation key found in `nation`: at most |nation| rows.
     managers = (staffed.groupBy(F.col("n_nationkey").alias("m_nationkey"))
                 .agg(F.min("s_suppkey").alias("manager_id")))
     # Every staffed row's nation is one of `managers`' keys, so a left join
     # keeps exactly the inner-join rows; being a left join onto unique keys,
     # Catalyst drops it (and the aggregation) when no manager column is used.
     return (staffed
-            .join(sized_broadcast(managers, key=(sf_dir, "managers"), bound_by=nation),
+            .join(managers,
                   F.col("s_nationkey") == F.col("m_nationkey"), "left")
             .select(F.col("s_suppkey").alias("id"),
                     _first("s_name").alias("first_name"),
@@ -131,14 +130,12 @@ def enriched_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     but every dimension is attached at the level that owns its key: the
     customer to orders (a quarter of the line items), the store and the
     sales team to supplier (both keyed by the supplier or its nation).  Each
-    big table then meets the line items once, so when no side fits the
-    broadcast cap the line items are shuffled once per key (order, supplier,
+    big table then meets the line items once, so when no side is small
+    enough to broadcast the line items are shuffled once per key (order, supplier,
     part) instead of once per join.
     """
     t = lambda name: read_table(spark, sf_dir, name)
-    # Broadcast joins run before the first shuffle here, so a scan with too
-    # few splits is spread over all task slots first (see read_fact_table).
-    lineitem = read_fact_table(spark, sf_dir, "lineitem").select(
+    lineitem = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice")
     part = t("part").select("p_partkey")
     orders = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -155,25 +152,17 @@ def enriched_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("address").alias("sales_person_address"),
                     F.col("pincode").alias("sales_person_pincode")))
 
-    # Derived dimensions are counted only when the table that drives their
-    # size is itself under the cap (prechecks), so at scale a large
-    # dimension costs no check at all.
-    base = {n: t(n) for n in ("nation", "supplier", "customer")}
     sellers = (supplier
-               .join(sized_broadcast(store, key=(sf_dir, "e_store"),
-                                     prechecks=(base["nation"],)),
+               .join(store,
                      F.col("s_nationkey") == F.col("st_id"))
-               .join(sized_broadcast(team, key=(sf_dir, "e_team"),
-                                     prechecks=(base["supplier"],)),
+               .join(team,
                      F.col("s_suppkey") == F.col("sp_id")))
-    buyers = orders.join(sized_broadcast(customer, key=(sf_dir, "e_customer"),
-                                         prechecks=(base["customer"],)),
+    buyers = orders.join(customer,
                          F.col("o_custkey") == F.col("c_id"))
     lines = (lineitem
-             .join(sized_broadcast(part, key=(sf_dir, "e_part")),
+             .join(part,
                    F.col("l_partkey") == F.col("p_partkey"))
-             .join(sized_broadcast(sellers, key=(sf_dir, "e_sellers"),
-                                   prechecks=(base["supplier"],)),
+             .join(sellers,
                    F.col("l_suppkey") == F.col("s_suppkey")))
     rows = lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
     return rows.select(

@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martline.contracts import MONEY, PRICE
-from martline.operators.joins import sized_broadcast
-from martline.sources.tables import read_fact_table, read_table
+from martline.sources.tables import read_table
 
 MAX_QUANTITY = 10
 # Multipliers of the quantity mix (primes).
@@ -25,7 +24,7 @@ MIX = (7919, 104729, 31)
 
 
 def synthetic_sales(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFrame:
-    lineitem = read_fact_table(spark, sf_dir, "lineitem").select(
+    lineitem = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -37,9 +36,9 @@ def synthetic_sales(spark: SparkSession, sf_dir: str, seed: int = 42) -> DataFra
     # Dimensions first (broadcast when they pass the size check), orders
     # last: the line items meet each big table once.
     return (lineitem
-            .join(sized_broadcast(supplier, key=(sf_dir, "supplier")),
+            .join(supplier,
                   F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(sized_broadcast(part, key=(sf_dir, "part")),
+            .join(part,
                   F.col("l_partkey") == F.col("p_partkey"))
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .select(F.col("o_custkey").alias("customer_id"),

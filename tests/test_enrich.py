@@ -37,22 +37,27 @@ def test_enriched_plus_unmatched_is_source(spark):
     assert len(rich.columns) == len(set(rich.columns))
 
 
-def test_dimension_broadcast_only_behind_size_check(spark):
-    from martline.operators.joins import sized_broadcast
-    small = spark.range(10)
-    big = spark.range(100)
-    assert "broadcast" in str(sized_broadcast(small, max_rows=10)._jdf.queryExecution().logical()).lower()
-    assert "broadcast" not in str(sized_broadcast(big, max_rows=10)._jdf.queryExecution().logical()).lower()
-
-
-def test_broadcast_prechecks_and_bounds(spark):
-    from martline.operators.joins import fits_broadcast
-    small, big = spark.range(5), spark.range(50)
-    grouped = big.groupBy((big.id % 3).alias("k")).count()
-    # a driving table over the cap vetoes the broadcast without evaluating df
-    assert not fits_broadcast(small, max_rows=10, prechecks=(big,))
-    assert fits_broadcast(small, max_rows=10, prechecks=(small,))
-    # a frame bounded by construction is judged by its bound
-    assert fits_broadcast(grouped, max_rows=10, bound_by=small)
-    assert fits_broadcast(grouped, max_rows=10)
-    assert not fits_broadcast(big, max_rows=10)
+def test_building_a_plan_starts_no_job(spark):
+    from martline.plans.catalog import QUERIES
+    from tests.conftest import SMALL
+    sc = spark.sparkContext
+    for name in ("sales_mart", "customer_mart", "store_month_rank", "dimension_enrichment",
+                 "unmatched_dimension_rows", "synthetic_sales"):
+        QUERIES[name](spark, SMALL)                     # table readers are resolved here
+    tracker = sc.statusTracker()
+    sc.setJobGroup("plan-building", "")
+    try:
+        for name in ("sales_mart", "customer_mart", "store_month_rank", "dimension_enrichment",
+                     "unmatched_dimension_rows", "synthetic_sales"):
+            QUERIES[name](spark, SMALL)
+        assert not tracker.getJobIdsForGroup("plan-building")
+        spark.range(10).count()
+        assert tracker.getJobIdsForGroup("plan-building")   # the counter does count jobs
+    finally:
+        sc._jsc.clearJobGroup()
+
+
+def test_long_customer_numbers_stay_whole(spark):
+    from martline.functions import padded
+    rows = spark.createDataFrame([(7,), (12345678,), (123456789,)], "n long").select(padded("n", 8).alias("t"))
+    assert [r["t"] for r in rows.collect()] == ["00000007", "12345678", "123456789"]

@@ -84,3 +84,37 @@ def test_hot_salesperson_shuffles_partial_rows_only(spark):
     assert counts[-1] == len(rows)            # the test's own input repartition
     assert all(c <= groups * tasks for c in counts[:-1])
     assert df.count() == groups
+
+
+def test_a_store_with_a_third_of_all_salespeople(spark):
+    """Rank and top seller stay exact, ties and NULL totals included, and the
+    ranking window of the large store spreads over its bands."""
+    import random
+
+    from martline.contracts import SALES_DETAIL_COLUMNS
+    schema = ("store_id int, sales_person_id long, sales_person_first_name string, "
+              "sales_person_last_name string, store_manager_name string, manager_id long, "
+              "is_manager string, sales_person_address string, sales_person_pincode string, "
+              "sales_date date, total_cost decimal(18,2), sales_month string")
+    rnd = random.Random(1)
+    rows, totals = [], {}
+    for p in range(3000):
+        store = 1 if p % 3 == 0 else 2 + p % 20
+        cents = rnd.choice([None, -500, 0, 1, 12345, rnd.randrange(10**7)])
+        money = None if cents is None else D(cents) / 100
+        rows.append((store, p, "A", f"P{p}", "m", 1, "N", "a", "1", date(2023, 1, 5), money, "2023-01"))
+        totals[p] = (store, money)
+    detail = spark.createDataFrame(rows, schema).select(*SALES_DETAIL_COLUMNS)
+    got = {r["sales_person_id"]: r for r in marts.store_month_rank(detail).collect()}
+    mart = {r["sales_person_id"]: r for r in marts.sales_mart(detail).collect()}
+    by_store = {}
+    for store, money in totals.values():
+        by_store.setdefault(store, []).append(money)
+    low = D("-1e20")
+    for p, (store, money) in totals.items():
+        rank = 1 + sum((m if m is not None else low) > (money if money is not None else low)
+                       for m in by_store[store])
+        assert got[p]["rnk"] == rank, (p, money)
+        want = (money * D("0.01")).quantize(D("0.01"), "ROUND_HALF_UP") if rank == 1 and money is not None else (
+            None if rank == 1 else D("0.00"))
+        assert mart[p]["incentive"] == want
