@@ -25,6 +25,14 @@ ENVIRONMENTS = ["DEV", "TEST", "PROD"]
 TRIGGER_TYPES = ["MANUAL", "AIRFLOW", "CRON", "API", "TEST"]
 REGISTRY_ACTIVE = "A"
 REGISTRY_INACTIVE = "I"
+# Columns of the two detail marts.
+CUSTOMER_DETAIL_COLUMNS = ["customer_id", "first_name", "last_name", "address",
+                           "pincode", "phone_number", "sales_date", "total_cost"]
+
+SALES_DETAIL_COLUMNS = ["store_id", "sales_person_id", "sales_person_first_name",
+                        "sales_person_last_name", "store_manager_name", "manager_id",
+                        "is_manager", "sales_person_address", "sales_person_pincode",
+                        "sales_date", "total_cost", "sales_month"]
 # ---------------------------------------------------------------------------
 
 MONEY = T.DecimalType(18, 2)
@@ -56,10 +64,5 @@ ENRICHED_COLUMNS = [
     "sales_person_address", "sales_person_pincode",
 ]
 
-CUSTOMER_DETAIL_COLUMNS = ["customer_id", "first_name", "last_name", "address",
-                           "pincode", "phone_number", "sales_date", "total_cost"]
-
-SALES_DETAIL_COLUMNS = ["store_id", "sales_person_id", "sales_person_first_name",
-                        "sales_person_last_name", "store_manager_name", "manager_id",
-                        "is_manager", "sales_person_address", "sales_person_pincode",
-                        "sales_date", "total_cost", "sales_month"]
+# A sale without one of these cannot be in the marts; any other column may be NULL.
+MART_COLUMNS_NEEDED = ["customer_id", "store_id", "sales_date", "sales_person_id", "total_cost"]

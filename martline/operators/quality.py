@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martline.operators.joins import flag_matches
+
 
 def reject_reason(required: list[str]):
     """NULL for a clean row, else why it goes to quarantine."""
@@ -38,13 +40,32 @@ def duplicate_keys(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
 
 def orphan_count(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str,
                  constraint: str) -> DataFrame:
-    """One row: how many child rows have a key absent from the parent."""
-    parents = parent.select(F.col(parent_key).alias("__pk")).dropDuplicates()
-    orphans = child.join(parents, F.col(child_key) == F.col("__pk"), "left_anti")
+    """One row: how many child rows have a key absent from the parent.
+    A NULL key refers to nothing and is no violation."""
+    orphans = child.where(F.col(child_key).isNotNull()).join(
+        parent.select(F.col(parent_key).alias("__pk")), F.col(child_key) == F.col("__pk"), "left_anti")
     return orphans.agg(F.count(F.lit(1)).alias("n_violations")).select(
         F.lit(constraint).alias("check_name"), "n_violations")
 
 
+def orphan_counts(child: DataFrame, refs: list[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """`orphan_count` for several (child key, parent, parent key, name) in one pass over the child."""
+    flagged = child
+    for i, (key, parent, parent_key, _) in enumerate(refs):
+        flagged = flag_matches(flagged, key, parent, parent_key, f"__has{i}")
+    wide = flagged.agg(*[F.count_if(F.col(key).isNotNull() & ~F.col(f"__has{i}")).alias(name)
+                         for i, (key, _, _, name) in enumerate(refs)])
+    return wide.unpivot([], [f"`{name}`" for *_, name in refs], "check_name", "n_violations")
+
+
+def cascade(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """Child rows that survive the deletion of rows from their parent (X6): the
+    key is still there, or NULL."""
+    parents = parent.select(F.col(parent_key).alias("__pk")).where("__pk is not null").distinct()
+    return (child.join(parents, F.col(child_key) == F.col("__pk"), "left")
+            .where(F.col("__pk").isNotNull() | F.col(child_key).isNull()).drop("__pk"))
+
+
 def domain_violations(df: DataFrame, column: str, allowed: list[str], check: str) -> DataFrame:
     """One row: values outside the allowed domain, NULL included."""
     bad = ~F.coalesce(F.col(column).isin(allowed), F.lit(False))

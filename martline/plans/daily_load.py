@@ -1,42 +1,51 @@
 """The daily sales load, end to end.
 
-1. list, validate and land the CSV files (rejected files are reported in the
-   manifest; malformed rows are landed flagged and quarantined);
+1. list the CSV files and take those that no load has completed (new files and
+   files of a load that failed); validate and land them (rejected files are
+   reported in the manifest, flagged rows go to quarantine with their raw text);
 2. register the accepted files as active;
-3. enrich the well-formed rows and write both detail marts (Parquet), the
-   sales detail also partitioned by month and store;
-4. rebuild the aggregate marts from the written detail tables (the writes
-   cut the lineage) and replace only the months this load touched;
-5. mark the files completed and append file and job audit rows; a failed
-   run appends a FAILED job record with its stage and error, then re-raises.
-
-Every step is a Spark job over whole tables; the driver only sees the
-header groups (to build one scan per header) and a handful of counters.
+3. enrich the usable rows (all columns that the marts need are there) and append
+   both detail marts under the load's id; earlier loads stay as they are;
+4. recompute the months this load touched from the detail rows of all completed
+   loads and this one, and replace just these months;
+5. mark the files completed and append file and job audit rows; a failed run
+   appends a FAILED job record with its stage and error, then re-raises.
+
+A load counts from the moment its files are marked completed: detail rows of a
+failed load are never read again, and its files are taken by the next one.
+Every step is a Spark job over whole tables; the driver sees a handful of counters.
 """
 
 from __future__ import annotations
 
 import datetime
+import logging
 import traceback
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martline import __version__
-from martline.contracts import ENVIRONMENTS, MANDATORY_COLUMNS, SALES_COLUMNS, TRIGGER_TYPES
-from martline.functions import elapsed_seconds, truncate_text
+from martline.contracts import (ENVIRONMENTS, MART_COLUMNS_NEEDED, MANDATORY_COLUMNS, REGISTRY_INACTIVE,
+                                SALES_COLUMNS, TRIGGER_TYPES)
+from martline.functions import elapsed_seconds, month_start, truncate_text
 from martline.session import app_id
 from martline.operators import audit, enrich, marts, quality, registry
 from martline.sinks import parquet as P
 from martline.sources import csv_ingest as C
 
+SOURCE_SYSTEM = "csv"
+
 
 @dataclass
 class LoadResult:
     ingest: C.Ingest
+    load_id: int
     customer_mart_path: str
     sales_mart_path: str
     registry_path: str
@@ -49,116 +58,146 @@ def _job_row(spark: SparkSession, job: dict) -> DataFrame:
     itself), typed like the job audit table."""
     schema = ("job_id long, job_name string, pipeline_version string, environment string, "
               "trigger_type string, spark_application_id string, start_time timestamp_ntz, "
-              "end_time timestamp_ntz, status string, failure_stage string, "
-              "error_message string")
-    return spark.createDataFrame([job], schema)
+              "end_time timestamp_ntz, status string, failure_stage string, error_message string, "
+              + ", ".join(f"{m} long" for m in audit.JOB_METRICS))
+    row = spark.createDataFrame([{f: job.get(f) for f in
+                                  [c.split()[0] for c in schema.split(", ")]}], schema)
+    return (row.withColumn("error_message", truncate_text("error_message"))
+            .withColumn("execution_time_seconds", elapsed_seconds("start_time", "end_time"))
+            .withColumn("event_time", F.coalesce("end_time", "start_time")))
+
+
+def _now() -> datetime.datetime:
+    return datetime.datetime.now()
+
+
+def _table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """An append-only table of the target, empty before its first load."""
+    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def run_daily_load(spark: SparkSession, source_root: str, target_root: str,
                    dims: dict[str, DataFrame], environment: str = "DEV",
                    trigger_type: str = "MANUAL") -> LoadResult:
-    """Run the load; a SUCCESS or FAILED job audit record is appended either
-    way (FAILED with the stage reached and the error text), then any error
-    is re-raised so the scheduler sees the failure."""
+    """Run the load.  A RUNNING job audit record is appended at the start, a
+    SUCCESS or FAILED one at the end (FAILED with the stage reached and the
+    error text); any error is re-raised so the scheduler sees the failure."""
     if environment not in ENVIRONMENTS or trigger_type not in TRIGGER_TYPES:
         raise ValueError(f"environment must be in {ENVIRONMENTS}, trigger in {TRIGGER_TYPES}")
-    started = datetime.datetime.now()
     job = {"job_id": uuid.uuid4().int >> 65, "job_name": "daily_sales_load",
            "pipeline_version": __version__, "environment": environment,
-           "trigger_type": trigger_type,
-           "spark_application_id": app_id(spark),
-           "start_time": started}
+           "trigger_type": trigger_type, "spark_application_id": app_id(spark),
+           "start_time": _now()}
     job_audit_path = f"{target_root}/job_audit"
+    record = lambda **x: _job_row(spark, {**job, **x}).write.mode("append").parquet(job_audit_path)
+    record(status="RUNNING")
     state = {"stage": "SPARK_INGESTION"}
     try:
-        result = _load(spark, source_root, target_root, dims, started, state)
+        result, metrics = _load(spark, source_root, target_root, dims, job, state)
     except Exception:
         error = traceback.format_exc()
         try:
-            failed = _job_row(spark, {**job, "end_time": datetime.datetime.now(),
-                                      "status": "FAILED", "failure_stage": state["stage"],
-                                      "error_message": error})
-            (failed.withColumn("error_message", truncate_text("error_message"))
-             .withColumn("execution_time_seconds", elapsed_seconds("start_time", "end_time"))
-             .write.mode("append").parquet(job_audit_path))
+            record(end_time=_now(), status="FAILED", failure_stage=state["stage"], error_message=error)
         except Exception:  # the audit record must never mask the load's own error
-            pass
+            logging.getLogger(__name__).exception("the FAILED job audit record could not be written")
         raise
-    metrics, run = result["metrics"], result["run"]
-    done = _job_row(spark, {**job, "end_time": datetime.datetime.now(), "status": "SUCCESS",
-                            "failure_stage": None, "error_message": None})
-    # `done` and `metrics` are one row each; union + first() merges them
-    # without a cross join.
-    merged = (done.unionByName(metrics, allowMissingColumns=True).groupBy()
-              .agg(*[F.first(c, ignorenulls=True).alias(c)
-                     for c in [*done.columns, *metrics.columns]]))
-    (merged.withColumn("execution_time_seconds", elapsed_seconds("start_time", "end_time"))
-     .write.mode("append").parquet(job_audit_path))
-    return LoadResult(run, result["customer_mart_path"], result["sales_mart_path"],
-                      result["registry_path"], job_audit_path, result["file_audit_path"])
-
-
-def _load(spark, source_root, target_root, dims, started, state) -> dict:
-    now = F.lit(started).cast("timestamp_ntz")
-    landing = f"{target_root}/landing/{uuid.uuid4().hex}"
-    run = C.ingest_sales(spark, source_root, landing)
+    record(end_time=_now(), status="SUCCESS", **metrics)
+    return result
+
+
+def _usable():
+    """All columns that the marts need are there."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in MART_COLUMNS_NEEDED])
+
+
+def _load(spark, source_root, target_root, dims, job, state) -> tuple[LoadResult, dict]:
+    load_id = job["job_id"]
+    paths = {n: f"{target_root}/{n}" for n in
+             ("registry", "quarantine", "customer_detail", "sales_detail", "sales_partitioned",
+              "customer_mart", "sales_mart", "file_audit", "job_audit")}
+    events = _table(spark, paths["registry"], registry.EVENT_SCHEMA)
+    run = C.ingest_sales(spark, source_root, f"{target_root}/landing/load_id={load_id}",
+                         choose=lambda files: registry.files_to_load(files, events))
 
     state["stage"] = "STAGING_REGISTRATION"
-    files = (run.manifest.where("accepted")
-             .select("file_name", F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
-                     .alias("file_location")))
-    registry_path = f"{target_root}/registry"
-    registry.register_files(files, now).write.mode("append").parquet(registry_path)
+    files = run.manifest.where("accepted").select("path", "file_name")
+    started = F.lit(job["start_time"]).cast("timestamp_ntz")
+    registry.register_files(files, started, load_id).write.mode("append").parquet(paths["registry"])
+    file_rows = run.manifest.select(
+        F.lit(load_id).alias("job_id"), registry.file_key().alias("file_id"), F.col("path").alias("file_path"),
+        "file_name", "file_size", F.lit(SOURCE_SYSTEM).alias("source_system"), started.alias("start_time"))
+    audit.file_events(file_rows, "RUNNING", started).write.mode("append").parquet(paths["file_audit"])
 
-    state["stage"] = "QUARANTINE"
     landed = run.landed
-    (quality.cleanse(landed.where("is_malformed"), SALES_COLUMNS, MANDATORY_COLUMNS)
-     .write.mode("append").parquet(f"{target_root}/quarantine"))
+    written = {"customer": 0, "sales": 0}
+    if run.observation is not None:   # else no file was accepted, and there are no rows
+        written = _write_marts(spark, landed, dims, load_id, paths, state)
+
+    state["stage"] = "STAGING_COMPLETION"
+    ended = F.lit(_now()).cast("timestamp_ntz")
+    registry.complete_files(files, ended, load_id).write.mode("append").parquet(paths["registry"])
+
+    state["stage"] = "AUDIT"
+    manifest = run.manifest.withColumn("file_path", F.col("path"))
+    per_file = audit.file_metrics(manifest, landed.withColumn("file_path", F.col("source_file")), ["file_path"])
+    done = file_rows.join(per_file.join(manifest.select("file_path", F.col("reason").alias("error_message")),
+                                        "file_path"), "file_path")
+    audit.file_events(done, None, ended).write.mode("append").parquet(paths["file_audit"])
+    found = run.manifest.agg(F.count_if("accepted").alias("ok"), F.count_if(~F.col("accepted")).alias("bad")).first()
+    rows = run.observation.get if run.observation is not None else {"rows": 0, "malformed": 0}
+    metrics = {"files_processed": found["ok"], "files_rejected": found["bad"],
+               "rows_read": rows["rows"], "rows_rejected": rows["malformed"],
+               "customer_mart_rows_written": written["customer"], "sales_mart_rows_written": written["sales"]}
+    return LoadResult(run, load_id, paths["customer_mart"], paths["sales_mart"], paths["registry"],
+                      paths["job_audit"], paths["file_audit"]), metrics
+
+
+def _write_marts(spark, landed: DataFrame, dims, load_id: int, paths: dict, state: dict) -> dict:
+    """Quarantine, detail marts of this load, and the touched months of the aggregate marts."""
+    state["stage"] = "QUARANTINE"
+    reason = quality.reject_reason(MANDATORY_COLUMNS)
+    (landed.withColumn("reason", reason).where("reason is not null")
+     .select(F.lit(load_id).alias("load_id"), "source_file", "reason", "raw_record", *SALES_COLUMNS)
+     .write.mode("append").parquet(paths["quarantine"]))
 
     state["stage"] = "DETAIL_MART_WRITE"
-    rich = enrich.enrich_sales(landed.where(~F.col("is_malformed")), dims["dim_customer"],
+    rich = enrich.enrich_sales(landed.where(_usable()), dims["dim_customer"],
                                dims["dim_store"], dims["dim_sales_team"])
-    customer_detail_path = f"{target_root}/customer_detail"
-    sales_detail_path = f"{target_root}/sales_detail"
     # Both detail marts project the same enriched rows: keep them for the
     # two writes (memory and disk; lost blocks are recomputed from lineage).
     rich = rich.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        P.write_parquet(marts.customer_detail(rich), customer_detail_path)
-        P.write_parquet(marts.sales_detail(rich), sales_detail_path)
+        for name, detail in (("customer_detail", marts.customer_detail(rich)),
+                             ("sales_detail", marts.sales_detail(rich))):
+            P.publish_versioned(detail, paths[name], load_id, [])
+            state[name] = detail.schema
     finally:
         rich.unpersist()
-    sales_detail = spark.read.parquet(sales_detail_path)
-    customer_detail = spark.read.parquet(customer_detail_path)
-    P.write_partitioned(sales_detail, f"{target_root}/sales_partitioned",
-                        ["sales_month", "store_id"])
 
     state["stage"] = "MART_CALCULATION"
-    customer_mart_path = f"{target_root}/customer_mart"
-    sales_mart_path = f"{target_root}/sales_mart"
+    # Detail rows count when their load has completed, or is this one.
+    counted = (spark.read.schema(registry.EVENT_SCHEMA).parquet(paths["registry"])
+               .where(F.col("status") == REGISTRY_INACTIVE).select("load_id")
+               .union(spark.createDataFrame([(load_id,)], "load_id long")).distinct())
+
+    def detail(name: str, month) -> DataFrame:
+        """Rows of all counted loads in the months that this load has rows in."""
+        schema = T.StructType(state[name].fields + [T.StructField("load_id", T.LongType())])
+        rows = spark.read.schema(schema).parquet(paths[name])
+        touched = rows.where(F.col("load_id") == load_id).select(month.alias("month")).distinct()
+        return (rows.join(counted, "load_id", "left_semi").withColumn("month", month)
+                .join(touched, "month", "left_semi").drop("load_id", "month"))
+
+    customer_detail = detail("customer_detail", month_start("sales_date"))
+    sales_detail = detail("sales_detail", F.col("sales_month"))
+    P.write_partitioned(sales_detail, paths["sales_partitioned"], ["sales_month", "store_id"])
     # Rows written are counted while writing (no second pass over the marts).
-    counted = {"customer": Observation("customer_mart"), "sales": Observation("sales_mart")}
+    seen = {"customer": Observation("customer_mart"), "sales": Observation("sales_mart")}
     rows = F.count(F.lit(1)).alias("rows")
-    P.refresh_months(marts.customer_mart(customer_detail).observe(counted["customer"], rows),
-                     customer_mart_path, "sales_date_month")
-    P.refresh_months(marts.sales_mart(sales_detail).observe(counted["sales"], rows),
-                     sales_mart_path, "sales_month")
-
-    state["stage"] = "STAGING_COMPLETION"
-    registry.complete_files(files, F.timestamp_add("SECOND", F.lit(1), now)) \
-        .write.mode("append").parquet(registry_path)
+    P.refresh_months(marts.customer_mart(customer_detail).observe(seen["customer"], rows),
+                     paths["customer_mart"], "sales_date_month")
+    P.refresh_months(marts.sales_mart(sales_detail).observe(seen["sales"], rows),
+                     paths["sales_mart"], "sales_month")
 
-    state["stage"] = "AUDIT"
-    file_audit_path = f"{target_root}/file_audit"
-    manifest = run.manifest.withColumn("file_path", F.col("path"))
-    per_file = audit.file_metrics(manifest, landed.withColumn("file_path", F.col("source_file")),
-                                  ["file_path"])
-    (per_file.join(manifest.select("file_path", "file_name", "file_size",
-                                   F.col("reason").alias("error_message")), "file_path")
-     .withColumn("load_time", now)
-     .write.mode("append").parquet(file_audit_path))
-    metrics = audit.job_metrics(run.manifest, landed, counted["customer"].get["rows"],
-                                counted["sales"].get["rows"])
-    return {"run": run, "metrics": metrics, "customer_mart_path": customer_mart_path,
-            "sales_mart_path": sales_mart_path, "registry_path": registry_path,
-            "file_audit_path": file_audit_path}
+    return {name: o.get["rows"] for name, o in seen.items()}

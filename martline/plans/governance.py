@@ -33,14 +33,14 @@ def _at(batch_col: str, hour: int, plus_ms=None):
 
 
 def logical_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly source files; months of different years share a base name."""
     run = ingest_run(spark, sf_dir, "mixed")
     m = with_batch(run.manifest, "path")
     return (m.groupBy("variant", "batch")
             .agg(F.bool_and("accepted").alias("accepted"),
-                 F.first("reason", ignorenulls=True).alias("reason"),
-                 F.min(F.regexp_extract("path", r"^(.*)/[^/]+$", 1)).alias("file_location"))
-            .withColumn("file_name", F.concat(F.lit("sales_"), "variant", F.lit("_"), "batch",
-                                              F.lit(".csv"))))
+                 F.first("reason", ignorenulls=True).alias("reason"))
+            .withColumn("file_name", F.concat(F.lit("sales_"), F.substring("batch", 6, 2), F.lit(".csv")))
+            .withColumn("path", F.concat_ws("/", F.lit("/inbox"), "variant", F.substring("batch", 1, 4), "file_name")))
 
 
 def registry_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,8 @@ def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
              .withColumn("rows_read", F.coalesce("rows_read", F.lit(0).cast("long")))
              .withColumn("job_id", F.regexp_replace("batch", "-", "").cast("int")))
     common = [F.col("job_id"), F.lit(__version__).alias("pipeline_version"),
-              F.lit("DEV").alias("environment"), F.lit("MANUAL").alias("trigger_type")]
+              F.lit("DEV").alias("environment"),
+              F.when(F.col("accepted"), F.lit("MANUAL")).otherwise(F.lit("RERUN")).alias("trigger_type")]
     started = files.select(*common, _at("batch", 1).alias("event_time"),
                            F.lit("RUNNING").alias("status"),
                            F.lit(None).cast("string").alias("failure_stage"),
@@ -94,12 +95,13 @@ _GOV_CTES = {
     "landed": LANDED_SQL,
     "files": """SELECT variant, batch, variant <> 'missing' AS accepted,
        CASE WHEN variant = 'missing' THEN 'missing columns: store_id' END AS reason,
-       'sales_' || variant || '_' || batch || '.csv' AS file_name
+       'sales_' || substring(batch, 6, 2) || '.csv' AS file_name,
+       '/inbox/' || variant || '/' || substring(batch, 1, 4) || '/sales_' || substring(batch, 6, 2) || '.csv' AS path
 FROM (SELECT DISTINCT variant, batch FROM sales_files) d""",
     "registry_events": f"""
-SELECT file_name, {_at_sql(2)} AS event_time, '{REGISTRY_ACTIVE}' AS status FROM files WHERE accepted
+SELECT path, {_at_sql(2)} AS event_time, '{REGISTRY_ACTIVE}' AS status FROM files WHERE accepted
 UNION ALL
-SELECT file_name, {_at_sql(3)} AS event_time, '{REGISTRY_INACTIVE}' AS status FROM files
+SELECT path, {_at_sql(3)} AS event_time, '{REGISTRY_INACTIVE}' AS status FROM files
 WHERE variant = 'standard'""",
     "job_files": """SELECT f.*, CAST(replace(f.batch, '-', '') AS INTEGER) AS job_id,
        coalesce(r.rows_read, 0) AS rows_read
@@ -107,12 +109,12 @@ FROM files f LEFT JOIN (SELECT batch, count(*) AS rows_read FROM landed GROUP BY
   ON f.batch = r.batch""",
     "job_events": f"""
 SELECT job_id, '{__version__}' AS pipeline_version, 'DEV' AS environment,
-       'MANUAL' AS trigger_type, {_at_sql(1)} AS event_time,
+       CASE WHEN accepted THEN 'MANUAL' ELSE 'RERUN' END AS trigger_type, {_at_sql(1)} AS event_time,
        'RUNNING' AS status, CAST(NULL AS VARCHAR) AS failure_stage,
        CAST(NULL AS VARCHAR) AS error_message, CAST(0 AS BIGINT) AS rows_read
 FROM job_files
 UNION ALL
-SELECT job_id, '{__version__}', 'DEV', 'MANUAL', {_at_sql(1, 'rows_read * 7 + 250')},
+SELECT job_id, '{__version__}', 'DEV', CASE WHEN accepted THEN 'MANUAL' ELSE 'RERUN' END, {_at_sql(1, 'rows_read * 7 + 250')},
        CASE WHEN accepted THEN 'SUCCESS' ELSE 'FAILED' END,
        CASE WHEN NOT accepted THEN 'SCHEMA_VALIDATION' END,
        CASE WHEN NOT accepted THEN repeat('SCHEMA_VALIDATION: ' || reason || '; ', {ERROR_REPEAT}) END,
@@ -129,20 +131,20 @@ def _gov_views(body: str, *views: str) -> str:
 # Registry and audit queries
 # --------------------------------------------------------------------------
 @register("registry_resume", _gov_views(f"""
-SELECT e.file_name, arg_max(e.status, e.event_time) AS status,
+SELECT e.path, arg_max(e.status, e.event_time) AS status,
        max(e.event_time) AS last_event_time
-FROM registry_events e WHERE e.file_name IN (SELECT file_name FROM files)
-GROUP BY e.file_name HAVING arg_max(e.status, e.event_time) = '{REGISTRY_ACTIVE}'"""))
+FROM registry_events e WHERE e.path IN (SELECT path FROM files)
+GROUP BY e.path HAVING arg_max(e.status, e.event_time) = '{REGISTRY_ACTIVE}'"""))
 def q_registry_resume(spark, sf_dir):
     """Files on hand that a load registered but never completed."""
     return registry.resume_files(logical_files(spark, sf_dir), registry_events(spark, sf_dir))
 
 
 @register("registry_new_files", _gov_views("""
-SELECT file_name FROM files WHERE file_name NOT IN (SELECT file_name FROM registry_events)"""))
+SELECT path, file_name FROM files WHERE path NOT IN (SELECT path FROM registry_events)"""))
 def q_registry_new_files(spark, sf_dir):
     return registry.new_files(logical_files(spark, sf_dir), registry_events(spark, sf_dir)) \
-        .select("file_name")
+        .select("path", "file_name")
 
 
 @register("audit_latest_state", _gov_views("""
@@ -228,12 +230,10 @@ def q_check_foreign_key(spark, sf_dir):
     construction of the store dimension."""
     t = lambda n: read_table(spark, sf_dir, n)
     return _union([
-        quality.orphan_count(t("lineitem"), "l_orderkey", t("orders"), "o_orderkey",
-                             "lineitem.l_orderkey->orders"),
-        quality.orphan_count(t("lineitem"), "l_suppkey", t("supplier"), "s_suppkey",
-                             "lineitem.l_suppkey->supplier"),
-        quality.orphan_count(t("lineitem"), "l_partkey", t("part"), "p_partkey",
-                             "lineitem.l_partkey->part"),
+        quality.orphan_counts(t("lineitem").select("l_orderkey", "l_suppkey", "l_partkey"), [
+            ("l_orderkey", t("orders"), "o_orderkey", "lineitem.l_orderkey->orders"),
+            ("l_suppkey", t("supplier"), "s_suppkey", "lineitem.l_suppkey->supplier"),
+            ("l_partkey", t("part"), "p_partkey", "lineitem.l_partkey->part")]),
         quality.orphan_count(t("orders"), "o_custkey", t("customer"), "c_custkey",
                              "orders.o_custkey->customer"),
         quality.orphan_count(t("supplier"), "s_nationkey", t("nation"), "n_nationkey",
@@ -245,6 +245,16 @@ def q_check_foreign_key(spark, sf_dir):
     ])
 
 
+@register("file_job_cascade", _gov_views("""
+SELECT path, job_id FROM job_files
+WHERE job_id IS NULL OR job_id IN (SELECT job_id FROM job_events WHERE status = 'SUCCESS')"""))
+def q_file_job_cascade(spark, sf_dir):
+    """File records that survive when the records of failed jobs are deleted (X6, cascade)."""
+    files = logical_files(spark, sf_dir).withColumn("job_id", F.regexp_replace("batch", "-", "").cast("int"))
+    jobs = job_events(spark, sf_dir).where(F.col("status") == "SUCCESS")
+    return quality.cascade(files, "job_id", jobs, "job_id").select("path", "job_id")
+
+
 def _in_sql(values: list[str]) -> str:
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
@@ -282,16 +292,21 @@ def q_check_domain(spark, sf_dir):
 
 
 _NOT_NULL = {
-    "fact_sales": MANDATORY_COLUMNS,
+    "landed": MANDATORY_COLUMNS,
     "dim_customer": ["customer_id", "first_name", "last_name", "address", "phone_number"],
+    "dim_store": ["id", "address", "store_manager_name"],
     "dim_sales_team": ["id", "first_name", "last_name", "manager_id", "is_manager"],
+    "job_events": ["job_id", "pipeline_version", "environment", "trigger_type", "status", "event_time",
+                   "failure_stage"],
 }
 
 
-@register("check_not_null", O.with_views("\nUNION ALL\n".join(
+@register("check_not_null", _gov_views("\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_nulls "
-    f"FROM {t}" for t, cols in _NOT_NULL.items() for c in cols), *_NOT_NULL))
+    f"FROM {t}" for t, cols in _NOT_NULL.items() for c in cols), "dim_customer", "dim_store", "dim_sales_team"))
 def q_check_not_null(spark, sf_dir):
-    """NULL counts of required columns (X7), one pass per table."""
-    v = S.star(spark, sf_dir)
+    """NULL counts of required columns (X7) of the landed sales, the dimensions
+    and the job audit, one pass per table."""
+    v = {**S.star(spark, sf_dir), "landed": ingest_run(spark, sf_dir, "mixed").landed,
+         "job_events": job_events(spark, sf_dir)}
     return _union([quality.null_counts(v[t], t, cols) for t, cols in _NOT_NULL.items()])

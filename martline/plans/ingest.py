@@ -3,10 +3,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
-from martline.contracts import MANDATORY_COLUMNS, SALES_COLUMNS, SALES_SCHEMA
+from martline.contracts import (MANDATORY_COLUMNS, MART_COLUMNS_NEEDED, SALES_COLUMNS,
+                                SALES_SCHEMA)
 from martline.operators import audit, enrich, marts, quality
 from martline.plans import oracle as O
 from martline.plans.catalog import register
@@ -52,26 +56,32 @@ def with_batch(df: DataFrame, path_col: str) -> DataFrame:
 # --------------------------------------------------------------------------
 _VARIANT_SQL = (f"CASE WHEN sales_date >= DATE '{SF.MISSING_FROM}' THEN 'missing' "
                 f"WHEN sales_date >= DATE '{SF.EXTRA_FROM}' THEN 'extra' ELSE 'standard' END")
-_MALFORMED_SQL = (f"(sales_date >= DATE '{SF.EXTRA_FROM}' AND sales_date < DATE '{SF.MISSING_FROM}'"
-                  f" AND quantity = {SF.MAX_QUANTITY})")
+_EXTRA_SQL = f"(sales_date >= DATE '{SF.EXTRA_FROM}' AND sales_date < DATE '{SF.MISSING_FROM}')"
+_STANDARD_SQL = f"(sales_date < DATE '{SF.EXTRA_FROM}')"
 FILES_SQL = f"""
-SELECT customer_id, store_id, product_name,
-       CASE WHEN {_MALFORMED_SQL} THEN NULL ELSE sales_date END AS sales_date,
-       sales_person_id, price, quantity, total_cost,
+SELECT customer_id, store_id,
+       CASE WHEN NOT ({_STANDARD_SQL} AND quantity = {SF.NO_PRODUCT}) THEN product_name END AS product_name,
+       CASE WHEN NOT ({_EXTRA_SQL} AND quantity = {SF.BAD_DATE}) THEN sales_date END AS sales_date,
+       sales_person_id,
+       CASE WHEN NOT ({_EXTRA_SQL} AND quantity = {SF.BAD_PRICE}) THEN price END AS price,
+       quantity, total_cost,
        CASE WHEN sales_date >= DATE '{SF.EXTRA_FROM}' THEN 'payment_mode' END AS additional_column,
-       {_MALFORMED_SQL} AS is_malformed,
-       {_VARIANT_SQL} AS variant, strftime(sales_date, '%Y-%m') AS batch
-FROM fact_sales"""
+       {_EXTRA_SQL} AND quantity IN ({SF.BAD_DATE}, {SF.BAD_PRICE}) AS is_malformed,
+       {_VARIANT_SQL} AS variant, strftime(sales_date, '%Y-%m') AS batch, sales_date AS written_date,
+       price AS written_price
+FROM fact_sales, unnest(CASE WHEN {_STANDARD_SQL} AND quantity = {SF.TWICE} THEN [1, 2] ELSE [1] END) AS c(copy)"""
 LANDED_SQL = "SELECT * FROM sales_files WHERE variant <> 'missing'"
 
 
 def _files_views(body: str, *extra_views: str) -> str:
     extra = {"sales_files": FILES_SQL, "landed": LANDED_SQL}
     if extra_views:
-        # Marts over the landed, well-formed rows (same SQL as the star marts).
+        # Marts over the landed rows (same SQL as the star marts).
         extra.update({
-            "landed_clean": "SELECT * FROM landed WHERE NOT is_malformed",
-            "l_enriched": O.ENRICHED_SQL.replace("FROM fact_sales f", "FROM landed_clean f"),
+            # flagged rows count as long as the columns that the marts need are there
+            "landed_usable": "SELECT * FROM landed WHERE " + " AND ".join(
+                f"{c} IS NOT NULL" for c in MART_COLUMNS_NEEDED),
+            "l_enriched": O.ENRICHED_SQL.replace("FROM fact_sales f", "FROM landed_usable f"),
             "l_customer_detail": O.CUSTOMER_DETAIL_SQL.replace("FROM enriched", "FROM l_enriched"),
             "l_sales_detail": O.SALES_DETAIL_SQL.replace("FROM enriched", "FROM l_enriched"),
             "customer_mart": O.CUSTOMER_MART_SQL.replace("FROM customer_detail",
@@ -81,6 +91,9 @@ def _files_views(body: str, *extra_views: str) -> str:
     return O.with_views(body, "fact_sales", *extra_views, extra=extra)
 
 
+_LAYOUTS = {"standard": SF.STANDARD, "extra": SF.EXTRA, "missing": SF.MISSING}
+
+
 # --------------------------------------------------------------------------
 # Queries
 # --------------------------------------------------------------------------
@@ -100,14 +113,17 @@ def q_csv_mixed_headers(spark, sf_dir):
 
 
 @register("csv_string_cast", _files_views(f"""
-SELECT {', '.join(MANDATORY_COLUMNS)}, is_malformed FROM sales_files WHERE variant = 'extra'"""))
+SELECT {', '.join("CASE WHEN variant <> 'missing' THEN store_id END AS store_id" if c == 'store_id' else c
+                  for c in MANDATORY_COLUMNS)}, is_malformed FROM sales_files"""))
 def q_csv_string_cast(spark, sf_dir):
-    """The source job's own reading style: one header layout read as text
+    """The source job's own reading style: every header layout read as text
     (header names bind the columns), then cast to the contract; bad values
     become NULL and flag the row instead of failing the job."""
-    raw = (spark.read.option("header", "true")
-           .csv(f"{files_root(spark, sf_dir, 'mixed')}/variant=extra"))
-    return quality.cast_to_contract(raw, SALES_SCHEMA)
+    root = files_root(spark, sf_dir, "mixed")
+    cast = [quality.cast_to_contract(spark.read.option("header", "true").csv(f"{root}/variant={v}"), SALES_SCHEMA)
+            for v in _LAYOUTS]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cast)
+    return rows.select(*MANDATORY_COLUMNS, "is_malformed")
 
 
 def _header_literal(cols: list[str]) -> str:
@@ -118,7 +134,6 @@ def _list_literal(cols) -> str:
     return "'" + ",".join(sorted(cols)) + "'"
 
 
-_LAYOUTS = {"standard": SF.STANDARD, "extra": SF.EXTRA, "missing": SF.MISSING}
 
 
 def _by_variant(fn) -> str:
@@ -150,12 +165,39 @@ def q_header_validation(spark, sf_dir):
             .distinct())
 
 
-@register("file_manifest")
+@register("file_manifest", _files_views("""
+SELECT DISTINCT variant, batch, true AS all_csv, true AS all_sized, true AS all_dated FROM sales_files"""))
 def q_file_manifest(spark, sf_dir):
-    """File discovery: every CSV file with name, size and logical batch."""
+    """File discovery: per logical batch, whether all its files are named
+    *.csv, hold bytes and have a time (how many part files there are is up to
+    the writer)."""
     run = ingest_run(spark, sf_dir, "mixed")
-    files = run.manifest.select("path", "file_name", "file_size", "modified_at")
-    return with_batch(files, "path")
+    return (with_batch(run.manifest, "path").groupBy("variant", "batch")
+            .agg(F.bool_and(F.col("file_name").endswith(".csv")).alias("all_csv"),
+                 F.bool_and(F.col("file_size") > 0).alias("all_sized"),
+                 F.bool_and(F.col("modified_at").isNotNull()).alias("all_dated")))
+
+
+_RAW = {"customer_id": "customer_id", "store_id": "store_id", "product_name": "product_name",
+        "sales_date": f"CASE WHEN quantity = {SF.BAD_DATE} THEN strftime(written_date, '%Y/%m/%d') "
+                      "ELSE strftime(written_date, '%Y-%m-%d') END",
+        "sales_person_id": "sales_person_id",
+        "price": f"CASE WHEN quantity = {SF.BAD_PRICE} THEN 'n/a' ELSE CAST(written_price AS VARCHAR) END",
+        "quantity": "quantity", "total_cost": "total_cost",
+        "payment_mode": "CASE WHEN quantity % 2 = 0 THEN 'UPI' ELSE 'cash' END"}
+
+
+@register("quarantine_rows", _files_views(f"""
+SELECT variant, batch, CASE WHEN is_malformed THEN 'malformed' ELSE 'missing_required' END AS reason,
+       CASE WHEN is_malformed THEN concat_ws(',', {', '.join(f'CAST({_RAW[c]} AS VARCHAR)' for c in SF.EXTRA)}) END
+         AS raw_record, {', '.join(MANDATORY_COLUMNS)}
+FROM landed WHERE is_malformed OR {' OR '.join(f'{c} IS NULL' for c in MANDATORY_COLUMNS)}"""))
+def q_quarantine_rows(spark, sf_dir):
+    """Flagged rows with the file they came from, the reason and, where a
+    value could not be read, the raw line."""
+    landed = ingest_run(spark, sf_dir, "mixed").landed
+    rows = landed.withColumn("reason", quality.reject_reason(MANDATORY_COLUMNS)).where("reason is not null")
+    return with_batch(rows, "source_file").select("variant", "batch", "reason", "raw_record", *MANDATORY_COLUMNS)
 
 
 @register("cleanse_sales", _files_views(f"""
@@ -189,9 +231,9 @@ def q_file_audit_metrics(spark, sf_dir):
 
 
 def _landed_marts(spark, sf_dir, landed: DataFrame):
-    clean = landed.where(~F.col("is_malformed"))
+    usable = landed.dropna(subset=MART_COLUMNS_NEEDED)
     v = S.star(spark, sf_dir)
-    rich = enrich.enrich_sales(clean, v["dim_customer"], v["dim_store"], v["dim_sales_team"])
+    rich = enrich.enrich_sales(usable, v["dim_customer"], v["dim_store"], v["dim_sales_team"])
     return (marts.customer_mart(marts.customer_detail(rich)),
             marts.sales_mart(marts.sales_detail(rich)))
 
@@ -221,5 +263,33 @@ def q_daily_load(spark, sf_dir):
     from martline.plans.daily_load import run_daily_load
     target = scratch_path(spark, "daily_load")
     result = run_daily_load(spark, files_root(spark, sf_dir, "mixed"), target, S.star(spark, sf_dir))
-    mart = marts.sales_mart(spark.read.parquet(f"{target}/sales_detail"))
-    return spark.read.schema(mart.schema).parquet(result.sales_mart_path).select(*mart.columns)
+    return _written_sales_mart(spark, result.sales_mart_path)
+
+
+_SALES_MART_SCHEMA = ("store_id int, sales_person_id long, full_name string, total_sales decimal(18,2), "
+                      "incentive decimal(18,2), sales_month string")
+
+
+def _written_sales_mart(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_SALES_MART_SCHEMA).parquet(path)
+
+
+@register("daily_load_two_batches", _files_views("SELECT * FROM sales_mart",
+                                                 "dim_customer", "dim_store", "dim_sales_team"))
+def q_daily_load_two_batches(spark, sf_dir):
+    """Two batches with sales in the same months; the load of the second one
+    fails at first and is resumed.  The mart equals one load of everything."""
+    from martline.plans.daily_load import run_daily_load
+    root, target = scratch_path(spark, "daily_inbox"), scratch_path(spark, "daily_load")
+    fact, dims = S.fact_sales(spark, sf_dir), S.star(spark, sf_dir)
+    odd = F.col("sales_person_id") % 2 == 1
+    SF.write_sales_files(fact.where(~odd), f"{root}/drop=1")
+    run_daily_load(spark, root, target, dims)
+    SF.write_sales_files(fact.where(odd), f"{root}/drop=2")
+    broken = {**dims, "dim_store": dims["dim_store"].drop("store_manager_name")}
+    try:
+        run_daily_load(spark, root, target, broken)
+    except AnalysisException:   # the dimension lacks a column: this load is to fail
+        pass
+    result = run_daily_load(spark, root, target, dims)
+    return _written_sales_mart(spark, result.sales_mart_path)

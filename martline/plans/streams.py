@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from martline.contracts import SALES_COLUMNS
-from martline.plans import oracle as O
 from martline.plans.catalog import register
+from martline.plans.ingest import _files_views
 from martline.session import scratch_path
 from martline.sources import sales_files as SF
 from martline.sources import star as S
@@ -14,22 +14,22 @@ from martline.sources.synthetic import MAX_QUANTITY, MIX, synthetic_sales
 from martline.streaming import file_ingest as T
 
 
-@register("stream_ingest", O.with_views(
-    "SELECT *, CAST(NULL AS VARCHAR) AS additional_column FROM fact_sales", "fact_sales"))
+@register("stream_ingest", _files_views(f"""
+SELECT {', '.join(SALES_COLUMNS)}, is_malformed FROM landed"""))
 def q_stream_ingest(spark, sf_dir):
-    """Files arrive in two drops; two scheduled availableNow runs of the
-    same checkpointed stream ingest each file exactly once.  Consumed
-    files are moved to an archive directory."""
+    """Files of all header layouts arrive in two drops; two scheduled
+    availableNow runs of the same checkpointed stream ingest each accepted file
+    exactly once, by name.  Consumed files are moved to an archive directory."""
     base = scratch_path(spark, "stream")
     fact = S.fact_sales(spark, sf_dir)
-    recent = F.col("sales_date") >= F.lit(SF.EXTRA_FROM).cast("date")
-    SF.write_standard_files(fact.where(~F.coalesce(recent, F.lit(False))), f"{base}/inbox/drop=1")
-    stream = T.sales_file_stream(spark, f"{base}/inbox/*/batch=*/*.csv",
-                                 archive_dir=f"{base}/archive")
-    T.run_available(stream, f"{base}/rows", f"{base}/checkpoint")
-    SF.write_standard_files(fact.where(F.coalesce(recent, F.lit(False))), f"{base}/inbox/drop=2")
-    T.run_available(stream, f"{base}/rows", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/rows").select(*SALES_COLUMNS)
+    odd = F.col("sales_person_id") % 2 == 1
+    stream = None
+    for number, rows in enumerate((fact.where(~odd), fact.where(odd))):
+        SF.write_sales_files(rows, f"{base}/inbox/drop={number}")
+        stream = stream if stream is not None else T.sales_file_stream(
+            spark, f"{base}/inbox/*/*/*/*.csv", archive_dir=f"{base}/archive")
+        T.run_available(stream, f"{base}/landed", f"{base}/checkpoint")
+    return T.read_landed(spark, f"{base}/landed").select(*SALES_COLUMNS, "is_malformed")
 
 
 @register("synthetic_sales", f"""

@@ -1,21 +1,21 @@
 """Sales CSV ingest: discovery (S6), header probe (S2), contract check (U2),
 typed multi-header scan (S1, S3, P1, P2, P9) and a full-width landing write.
 
-Why not one `spark.read.csv(dir)`: a CSV scan binds columns by position, so
-files whose headers differ in order or content would silently swap values.
-Files are therefore grouped by their exact header, each group is scanned once
-with a schema built from that header, and the groups are combined by name.
-The plan grows with the number of distinct headers, not of files.
-
-Why land before counting: the CSV parser only parses the columns a query
-needs, so "is this row malformed" depends on column pruning.  The landing
-write reads every column once; all row metrics come from the landed table.
+A CSV scan binds columns by position, so files whose headers differ in order
+or content would silently swap values.  Here all files are scanned once, as
+lines; every line is joined to the header of its file (the manifest), split by
+Spark's CSV parser and bound by name.  One plan serves any number of files and
+of different headers, and no list of paths goes through the driver.
+
+Why land before counting: the landing write reads every column once; all row
+metrics come from the landed table.
 """
 
 from __future__ import annotations
 
 import sys
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import cloudpickle
 
@@ -23,34 +23,59 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martline.contracts import DATE_FORMAT, MANDATORY_COLUMNS, SALES_SCHEMA
-from martline.functions import base_name
+from martline.contracts import MANDATORY_COLUMNS, SALES_SCHEMA
+from martline.functions import base_name, typed_or_null
 
-CORRUPT = "_corrupt_record"
 _CONTRACT_TYPES = {f.name: f.dataType for f in SALES_SCHEMA.fields}
+# Bytes of a file that are searched for its header line; a longer one is no
+# header of a sales file, and the file is rejected with that reason.
+HEADER_BYTES = 1 << 20
+# Appended to every line as one more field: where it comes back tells how many
+# fields the line has.
+_END = "\u0001end"
 
 MANIFEST_SCHEMA = ("path string, file_size long, modified_at timestamp, header string, "
-                   "probe_error string")
+                   "columns array<string>, probe_error string")
+LANDED_SCHEMA = T.StructType(SALES_SCHEMA.fields + [
+    T.StructField("is_malformed", T.BooleanType()),
+    T.StructField("raw_record", T.StringType()),
+    T.StructField("source_file", T.StringType())])
 
 
 # --------------------------------------------------------------------------
 # Discovery and header probe
 # --------------------------------------------------------------------------
+def _empty_files(spark: SparkSession, root: str) -> DataFrame:
+    """CSV files of zero bytes, which Spark's file sources do not list.  Only
+    their names are held; the listing itself is streamed."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    listing = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listFiles(path, True)
+    found = []
+    while listing.hasNext():
+        status = listing.next()
+        if status.getLen() == 0 and status.getPath().getName().endswith(".csv"):
+            found.append((status.getPath().toUri().toString(), 0, status.getModificationTime()))
+    rows = spark.createDataFrame(found, "path string, file_size long, ms long")
+    return rows.select("path", "file_size", F.timestamp_millis("ms").alias("modified_at"))
+
+
 def list_csv_files(spark: SparkSession, root: str) -> DataFrame:
     """Every `*.csv` file under `root` (recursively) with size and mtime.
     The binaryFile source is used for its listing only: without the
     `content` column no file body is read."""
-    return (spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.csv")
-            .option("recursiveFileLookup", "true")
-            .load(root)
-            .select(F.col("path"), F.col("length").alias("file_size"),
-                    F.col("modificationTime").alias("modified_at")))
+    listed = (spark.read.format("binaryFile")
+              .option("pathGlobFilter", "*.csv")
+              .option("recursiveFileLookup", "true")
+              .load(root)
+              .select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("file_size"),
+                      F.col("modificationTime").alias("modified_at")))
+    return listed.where("file_size > 0").unionByName(_empty_files(spark, root))
 
 
 def _first_line(uri: str) -> str | None:
-    """Header line of one file, read through Arrow's filesystem layer
-    (local, HDFS, S3, GCS ...).  Reads at most one line's worth of bytes."""
+    """First line that is not blank, read through Arrow's filesystem layer
+    (local, HDFS, S3, GCS ...); at most HEADER_BYTES are read."""
     import pyarrow.fs as pafs
 
     if uri.startswith("file:") and not uri.startswith("file://"):
@@ -59,36 +84,57 @@ def _first_line(uri: str) -> str | None:
         if uri.startswith(hadoop_scheme):
             uri = "s3://" + uri[len(hadoop_scheme):]
     fs, path = pafs.FileSystem.from_uri(uri)
-    buf = b""
+    rest, read, more = b"", 0, True
     with fs.open_input_stream(path) as stream:
-        while b"\n" not in buf:
+        while more:
             chunk = stream.read(1 << 16)
+            read += len(chunk)
+            more = bool(chunk) and read < HEADER_BYTES
+            *lines, rest = (rest + chunk).split(b"\n")
             if not chunk:
-                break
-            buf += chunk
-    line = buf.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig", errors="replace")
-    return line if line.strip() else None
+                lines.append(rest)
+            for line in lines:
+                text = line.rstrip(b"\r").decode("utf-8-sig", errors="replace")
+                if text.strip():
+                    return text
+    if read >= HEADER_BYTES:
+        raise ValueError(f"no header line within the first {HEADER_BYTES} bytes")
+    return None
+
+
+def _names(header: str) -> list[str]:
+    """Column names of a header line by the CSV rules of Spark's reader: quoted
+    fields, blanks kept; names that occur twice, in whatever case, count as
+    none of theirs (Spark numbers them), and so do empty ones."""
+    import csv
+
+    fields = next(csv.reader([header], escapechar="\\"))
+    lower = [f.lower() for f in fields]
+    return [f if f and lower.count(f.lower()) == 1 else f"{f or '_c'}{i}" for i, f in enumerate(fields)]
 
 
 def _probe(batches):
     """Header of each file; a file that cannot be read gets its error text
     instead (it is rejected, the run goes on)."""
     for pdf in batches:
-        headers, errors = [], []
+        headers, columns, errors = [], [], []
         for path in pdf["path"]:
+            header, names, error = None, [], None
             try:
-                headers.append(_first_line(path))
-                errors.append(None)
+                header = _first_line(path)
+                names = _names(header) if header is not None else []
             except Exception as exc:  # unreadable file: reject it, keep going
-                headers.append(None)
-                errors.append(f"{type(exc).__name__}: {exc}"[:1000])
-        yield pdf.assign(header=headers, probe_error=errors)[
-            ["path", "file_size", "modified_at", "header", "probe_error"]]
+                error = f"{type(exc).__name__}: {exc}"
+            headers.append(header)
+            columns.append(names)
+            errors.append(error)
+        yield pdf.assign(header=headers, columns=columns, probe_error=errors)[
+            ["path", "file_size", "modified_at", "header", "columns", "probe_error"]]
 
 
 def probe_headers(files: DataFrame) -> DataFrame:
-    """(path, size, mtime, header) for every file; a distributed probe that
-    reads one line per file.
+    """(path, size, mtime, header, columns) for every file; a distributed probe
+    that reads one line per file.
 
     The probe is shipped to the Python workers by value (it needs only
     pandas and pyarrow there), so executors need not have this package
@@ -97,25 +143,15 @@ def probe_headers(files: DataFrame) -> DataFrame:
     return files.select("path", "file_size", "modified_at").mapInPandas(_probe, MANIFEST_SCHEMA)
 
 
-def header_columns(header: str | None) -> list[str]:
-    """Same rule as `validate_headers`: comma-separated, quotes and blanks trimmed."""
-    if header is None:
-        return []
-    return [c.replace('"', "").strip() for c in header.split(",")]
-
-
 def validate_headers(manifest: DataFrame) -> DataFrame:
     """Contract check per file: missing / extra column names, accept flag.
 
     A file is accepted iff no mandatory name is missing (extra names and
-    any order are fine); an empty or unreadable file has no columns and is
-    rejected.
+    any order are fine); names are compared as they stand, blanks included.
+    An empty or unreadable file has no columns and is rejected.
     """
-    cols = F.when(F.col("header").isNull(), F.array().cast("array<string>")).otherwise(
-        F.transform(F.split(F.col("header"), ","), lambda c: F.trim(F.regexp_replace(c, '"', ""))))
     required = F.array(*[F.lit(c) for c in MANDATORY_COLUMNS])
     return (manifest
-            .withColumn("columns", cols)
             .withColumn("missing_columns", F.array_sort(F.array_except(required, F.col("columns"))))
             .withColumn("extra_columns", F.array_sort(F.array_except(F.col("columns"), required)))
             .withColumn("accepted", (F.size("missing_columns") == 0) & F.col("probe_error").isNull())
@@ -129,64 +165,74 @@ def validate_headers(manifest: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# Typed scan per header group
+# Typed scan
 # --------------------------------------------------------------------------
-def header_schema(columns: list[str]) -> T.StructType:
-    fields = [T.StructField(c, _CONTRACT_TYPES.get(c, T.StringType()), True) for c in columns]
-    return T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)])
-
+def bind_lines(lines: DataFrame, manifest: DataFrame, widest: int) -> DataFrame:
+    """Typed sales rows of `lines(value, source_file)` whose file is accepted.
 
-def read_header_group(spark: SparkSession, header: str, paths: list[str]) -> DataFrame:
-    """One scan over all files sharing `header`, typed by the contract.
-
-    PERMISSIVE mode turns a bad value into NULL and keeps the raw line in
-    the corrupt-record column (no ANSI error, the row is flagged instead).
+    A bad value becomes NULL and flags the row, as does a line with more or
+    fewer fields than its header; flagged rows keep their raw text.  Lines that
+    repeat their file's header and blank lines are no rows.
     """
-    columns = header_columns(header)
-    extras = sorted(set(columns) - set(MANDATORY_COLUMNS))
-    raw = (spark.read.schema(header_schema(columns))
-           .option("header", "true").option("enforceSchema", "true")
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-           .option("dateFormat", DATE_FORMAT)
-           .csv(paths))
-    note = F.lit(",".join(extras)) if extras else F.lit(None).cast("string")
-    return raw.select(*[F.col(c) for c in MANDATORY_COLUMNS],
-                      note.alias("additional_column"),
-                      F.col(CORRUPT).isNotNull().alias("is_malformed"),
-                      F.col("_metadata.file_path").alias("source_file"))
+    heads = manifest.where("accepted").select(
+        F.col("path").alias("head_path"), "header", "columns", "extra_columns")
+    known = lines.join(heads, F.col("source_file") == F.col("head_path"))
+    text = F.rtrim(F.col("value"), F.lit("\r"))
+    known = known.where((F.trim(text) != "") & (text != F.col("header")))
+    shape = ", ".join(f"f{i} string" for i in range(widest + 1))
+    fields = F.from_csv(F.concat(text, F.lit("," + _END)), shape)
+    split = known.select("source_file", text.alias("line"), "columns", "extra_columns",
+                         fields.alias("__f")).select(
+        "*", F.array(*[F.col(f"__f.f{i}") for i in range(widest + 1)]).alias("__v"))
+    whole = F.array_position("__v", _END) == F.size("columns") + 1
+
+    def value(name: str):
+        return F.nullif(F.get("__v", (F.array_position("columns", name) - 1).cast("int")), F.lit(""))
+
+    def own(name: str):  # the end mark is no value of a line that is too short
+        return F.nullif(value(name), F.lit(_END))
+
+    typed = {c: typed_or_null(own(c), _CONTRACT_TYPES[c]) for c in MANDATORY_COLUMNS}
+    unread = reduce(lambda a, b: a | b, [own(c).isNotNull() & typed[c].isNull() for c in typed])
+    rows = split.select(
+        *[v.alias(c) for c, v in typed.items()],
+        F.when(F.size("extra_columns") > 0, F.array_join("extra_columns", ",")).alias("additional_column"),
+        (unread | ~F.coalesce(whole, F.lit(False))).alias("is_malformed"), "line", "source_file")
+    return rows.select(*[f.name for f in SALES_SCHEMA.fields], "is_malformed",
+                       F.when(F.col("is_malformed"), F.col("line")).alias("raw_record"), "source_file")
 
 
 @dataclass
 class Ingest:
     manifest: DataFrame      # one row per file: header check result
     landed: DataFrame        # typed rows of accepted files, read from the landing table
-    observation: Observation  # rows / malformed rows counted during the landing write
+    # rows / malformed rows counted during the landing write; None when no file was accepted
+    observation: Observation | None
 
 
-def ingest_sales(spark: SparkSession, root: str, landing: str) -> Ingest:
+def ingest_sales(spark: SparkSession, root: str, landing: str,
+                 choose=None) -> Ingest:
     """Validate every CSV under `root`, land accepted rows to Parquet at
-    `landing`/rows and the file manifest at `landing`/manifest."""
+    `landing`/rows and the file manifest at `landing`/manifest.
+
+    `choose(files)` may narrow the listed files (path, file_size,
+    modified_at) to those that this load is to take."""
     manifest_path, rows_path = f"{landing}/manifest", f"{landing}/rows"
-    validate_headers(probe_headers(list_csv_files(spark, root))).write.parquet(manifest_path)
+    files = list_csv_files(spark, root)
+    files = choose(files) if choose is not None else files
+    validate_headers(probe_headers(files)).write.parquet(manifest_path)
     manifest = spark.read.parquet(manifest_path)
-    # The driver needs the distinct headers to build one schema per group,
-    # and the file list of each group to scan it (the same metadata any
-    # Spark file scan keeps on the driver); no data rows pass through it.
-    groups = (manifest.where("accepted").groupBy("header")
-              .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
+    widest = manifest.where("accepted").agg(F.max(F.size("columns")).alias("n")).first()["n"]
     obs = Observation("landing")
-    if groups:
-        frames = [read_header_group(spark, g["header"], list(g["paths"])) for g in groups]
-        typed = frames[0]
-        for frame in frames[1:]:
-            typed = typed.unionByName(frame)
-        (typed.observe(obs, F.count(F.lit(1)).alias("rows"),
-                       F.count_if(F.col("is_malformed")).alias("malformed"))
+    if widest:
+        lines = (spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+                 .text(root).select("value", F.col("_metadata.file_path").alias("source_file")))
+        (bind_lines(lines, manifest, widest)
+         .observe(obs, F.count(F.lit(1)).alias("rows"),
+                  F.count_if(F.col("is_malformed")).alias("malformed"))
          .write.parquet(rows_path))
-        landed = spark.read.parquet(rows_path)
+        landed = spark.read.schema(LANDED_SCHEMA).parquet(rows_path)
     else:
-        empty = T.StructType(SALES_SCHEMA.fields + [
-            T.StructField("is_malformed", T.BooleanType()),
-            T.StructField("source_file", T.StringType())])
-        landed = spark.createDataFrame([], empty)
+        obs = None
+        landed = spark.createDataFrame([], LANDED_SCHEMA)
     return Ingest(manifest, landed, obs)

@@ -1,11 +1,13 @@
 """Sales CSV files derived from the fact table, in the header layouts the
-ingest must handle.  Every fact row is written exactly once.
+ingest must handle.
 
 Layout (by sales date):
-  * before 1997        - standard header (the mandatory names, in order)
+  * before 1997        - standard header (the mandatory names, in order); rows of
+                         quantity 48 lack their product name, rows of quantity 47
+                         are written twice
   * 1997 and 1998      - reordered header plus an extra `payment_mode`;
-                         rows with the maximum quantity carry their date in a
-                         wrong format (yyyy/MM/dd), i.e. a malformed value
+                         rows of quantity 50 carry their date in a wrong format
+                         (yyyy/MM/dd), rows of quantity 49 a price `n/a`
   * 1999 onwards       - header without `store_id` (file must be rejected)
 
 One logical source file per variant and month: `variant=<v>/batch=<yyyy-MM>/`
@@ -25,7 +27,8 @@ from martline.functions import month_text
 # Fixed layout boundaries (sales dates).
 EXTRA_FROM = "1997-01-01"
 MISSING_FROM = "1999-01-01"
-MAX_QUANTITY = 50
+# Quantities that mark the rows with a flaw.
+BAD_DATE, BAD_PRICE, NO_PRODUCT, TWICE = 50, 49, 48, 47
 
 STANDARD = list(MANDATORY_COLUMNS)
 EXTRA = ["sales_date", "customer_id", "payment_mode", "product_name", "store_id",
@@ -41,14 +44,21 @@ def variant_of(date_col="sales_date"):
             .otherwise(F.lit("standard")))
 
 
-def _as_text(fact: DataFrame, malformed_dates: bool) -> DataFrame:
-    date_text = F.date_format("sales_date", "yyyy-MM-dd")
-    if malformed_dates:
-        bad = (F.col("quantity") == MAX_QUANTITY) & (variant_of() == F.lit("extra"))
-        date_text = F.when(bad, F.date_format("sales_date", "yyyy/MM/dd")).otherwise(date_text)
+def _as_text(fact: DataFrame, flawed: bool) -> DataFrame:
+    text = {c: F.col(c).cast("string") for c in MANDATORY_COLUMNS}
+    text["sales_date"] = F.date_format("sales_date", "yyyy-MM-dd")
+    if flawed:
+        def flaw(quantity: int, variant: str):
+            return (F.col("quantity") == quantity) & (variant_of() == F.lit(variant))
+
+        text["sales_date"] = F.when(flaw(BAD_DATE, "extra"), F.date_format("sales_date", "yyyy/MM/dd")) \
+            .otherwise(text["sales_date"])
+        text["price"] = F.when(flaw(BAD_PRICE, "extra"), F.lit("n/a")).otherwise(text["price"])
+        text["product_name"] = F.when(~F.coalesce(flaw(NO_PRODUCT, "standard"), F.lit(False)), text["product_name"])
+        copies = F.when(flaw(TWICE, "standard"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        fact = fact.select("*", F.explode(copies).alias("copy"))
     return fact.select(
-        *[F.col(c).cast("string").alias(c) for c in MANDATORY_COLUMNS if c != "sales_date"],
-        date_text.alias("sales_date"),
+        *[text[c].alias(c) for c in MANDATORY_COLUMNS],
         F.when(F.col("quantity") % 2 == 0, F.lit("UPI")).otherwise(F.lit("cash")).alias("payment_mode"),
         month_text("sales_date").alias("batch"),
         variant_of().alias("variant"))
@@ -63,7 +73,7 @@ def write_sales_files(fact: DataFrame, root: str) -> str:
     """Write all fact rows as CSV under `root`, in three header layouts."""
     # Three writes read the same rows: keep them once (spilling to disk as
     # needed; a lost executor's blocks are recomputed from lineage).
-    text = _as_text(fact, malformed_dates=True).persist(StorageLevel.MEMORY_AND_DISK)
+    text = _as_text(fact, flawed=True).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         _write(text.where(F.col("variant") == "standard"), STANDARD, f"{root}/variant=standard")
         _write(text.where(F.col("variant") == "extra"), EXTRA, f"{root}/variant=extra")
@@ -75,5 +85,5 @@ def write_sales_files(fact: DataFrame, root: str) -> str:
 
 def write_standard_files(fact: DataFrame, root: str) -> str:
     """All fact rows, standard header only (single-layout ingest, streams)."""
-    _write(_as_text(fact, malformed_dates=False), STANDARD, root)
+    _write(_as_text(fact, flawed=False), STANDARD, root)
     return root

@@ -2,10 +2,13 @@
 
 The source job decides "which files are new" by hand (a registry it updates
 with SQL) and moves processed files to an archive prefix.  The file stream
-source does both: its checkpointed log gives exactly-once "each file once",
-and `cleanSource=archive` moves consumed files to an archive directory.
+source does both: its checkpointed log gives "each file once", and
+`cleanSource=archive` moves consumed files to an archive directory.
 `trigger(availableNow=True)` makes a scheduled run process everything that
 arrived since the previous run, in bounded micro-batches, and then stop.
+
+Every micro-batch goes through the same header check and binding by name as the
+batch ingest, so a file with another column order cannot swap values.
 """
 
 from __future__ import annotations
@@ -14,39 +17,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from martline.contracts import DATE_FORMAT, MANDATORY_COLUMNS
-from martline.sources.csv_ingest import CORRUPT, header_schema
+from martline.sources import csv_ingest as C
 
 
 def sales_file_stream(spark: SparkSession, source_glob: str, archive_dir: str | None = None,
                       max_files_per_trigger: int = 1000) -> DataFrame:
-    """Typed stream of rows from standard-header sales CSV files."""
-    reader = (spark.readStream.schema(header_schema(MANDATORY_COLUMNS))
-              .option("header", "true").option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT)
-              .option("dateFormat", DATE_FORMAT)
-              .option("maxFilesPerTrigger", max_files_per_trigger))
+    """Stream of the lines of sales CSV files, each with its file and the file's size and time."""
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir is not None:
         reader = (reader.option("cleanSource", "archive")
                   .option("sourceArchiveDir", archive_dir))
-    raw = reader.csv(source_glob)
-    return raw.select(*MANDATORY_COLUMNS,
-                      F.lit(None).cast("string").alias("additional_column"),
-                      F.col(CORRUPT).isNotNull().alias("is_malformed"),
-                      F.col("_metadata.file_path").alias("source_file"))
+    meta = F.col("_metadata")
+    return reader.text(source_glob).select(
+        "value", meta["file_path"].alias("source_file"), meta["file_size"].alias("file_size"),
+        meta["file_modification_time"].alias("modified_at"))
+
+
+def _land(lines: DataFrame, batch_id: int, sink_dir: str) -> None:
+    """One micro-batch: header check of its files, rows of the accepted ones.
+
+    Rows and manifest replace those of an interrupted attempt at the same batch."""
+    spark = lines.sparkSession
+    files = lines.select(F.col("source_file").alias("path"), "file_size", "modified_at").distinct()
+    manifest_path = f"{sink_dir}/manifest/batch_id={batch_id}"
+    C.validate_headers(C.probe_headers(files)).write.mode("overwrite").parquet(manifest_path)
+    manifest = spark.read.parquet(manifest_path)
+    widest = manifest.where("accepted").agg(F.max(F.size("columns")).alias("n")).first()["n"]
+    rows = (C.bind_lines(lines.select("value", "source_file"), manifest, widest) if widest
+            else spark.createDataFrame([], C.LANDED_SCHEMA))
+    rows.write.mode("overwrite").parquet(f"{sink_dir}/rows/batch_id={batch_id}")
+
+
+def read_landed(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """All landed rows of a stream's sink."""
+    return spark.read.schema(C.LANDED_SCHEMA).parquet(f"{sink_dir}/rows")
+
+
+def start(stream: DataFrame, sink_dir: str, checkpoint_dir: str, **trigger) -> StreamingQuery:
+    """Start the ingest; rows land under `sink_dir`/rows, file checks under `sink_dir`/manifest.
+
+    A batch has a folder of its own that a repeated attempt overwrites, and the checkpoint
+    records consumed files, so a rerun after a crash neither loses nor duplicates rows."""
+    return (stream.writeStream
+            .foreachBatch(lambda lines, batch_id: _land(lines, batch_id, sink_dir))
+            .option("checkpointLocation", checkpoint_dir)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start())
 
 
 def run_available(stream: DataFrame, sink_dir: str, checkpoint_dir: str,
                   timeout_sec: float | None = None) -> StreamingQuery:
-    """Append everything available now to a Parquet sink, then stop.
-
-    The file sink commits each micro-batch atomically through its own log,
-    and the checkpoint records consumed files, so a rerun after a crash
-    neither loses nor duplicates rows."""
-    query = (stream.writeStream.format("parquet")
-             .option("checkpointLocation", checkpoint_dir)
-             .outputMode("append")
-             .trigger(availableNow=True)
-             .start(sink_dir))
+    """Land everything available now, then stop."""
+    query = start(stream, sink_dir, checkpoint_dir)
     query.awaitTermination(timeout_sec)
     return query

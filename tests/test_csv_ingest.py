@@ -38,25 +38,53 @@ def _fixture(scratch):
     return root
 
 
+def _manifest(spark, root):
+    return {r["file_name"]: r for r in
+            C.validate_headers(C.probe_headers(C.list_csv_files(spark, root))).collect()}
+
+
 def test_header_contract(spark, scratch):
-    root = _fixture(scratch)
-    m = {r["file_name"]: r for r in
-         C.validate_headers(C.probe_headers(C.list_csv_files(spark, root))).collect()}
-    # Spark's file sources list no zero-byte file: empty.csv has nothing to
-    # load and is not reported (known behaviour, see README).
-    assert set(m) == {"valid.csv", "extra.csv", "reordered.csv", "missing.csv",
-                      "malformed.csv"}
+    m = _manifest(spark, _fixture(scratch))
+    assert set(m) == {"valid.csv", "extra.csv", "reordered.csv", "missing.csv", "malformed.csv", "empty.csv"}
     assert m["valid.csv"]["accepted"] and m["reordered.csv"]["accepted"]
     assert m["extra.csv"]["accepted"] and m["extra.csv"]["extra_columns"] == ["payment_mode"]
     assert not m["missing.csv"]["accepted"]
     assert m["missing.csv"]["missing_columns"] == ["store_id"]
+    # a file of zero bytes is listed and rejected
+    assert not m["empty.csv"]["accepted"] and m["empty.csv"]["reason"] == "no header"
+    assert m["empty.csv"]["file_size"] == 0
+
+
+def test_odd_headers(spark, scratch):
+    root = _local(scratch) + "/in"
+    row = "1,121,sugar,2023-03-03,1,50.00,2,100.00"
+    _write(root, "quoted.csv", '"note, free",' + HEAD + '\n"a, b",' + row + "\n")
+    _write(root, "twice.csv", HEAD + ",Price\n" + row + ",7\n")
+    _write(root, "reserved.csv", HEAD + ",_corrupt_record\n" + row + ",x\n")
+    _write(root, "padded.csv", HEAD.replace(",price", ", price") + "\n" + row + "\n")
+    _write(root, "blank_first.csv", "\n\n" + HEAD + "\n" + row + "\n")
+    _write(root, "no_newline.csv", HEAD)
+    _write(root, "only_blank.csv", "\n \n")
+    _write(root, "endless.csv", "x" * (C.HEADER_BYTES + 10))
+    m = _manifest(spark, root)
+    assert {n for n, r in m.items() if r["accepted"]} == {"quoted.csv", "reserved.csv", "blank_first.csv", "no_newline.csv"}
+    assert m["twice.csv"]["missing_columns"] == m["padded.csv"]["missing_columns"] == ["price"]
+    assert m["only_blank.csv"]["reason"] == "no header"
+    assert "bytes" in m["endless.csv"]["reason"]
+    # one odd file does not harm the others, and quoted commas shift nothing
+    run = C.ingest_sales(spark, root, _local(scratch) + "/landing")
+    got = {os.path.basename(r["source_file"]): r for r in run.landed.collect()}
+    assert set(got) == {"quoted.csv", "reserved.csv", "blank_first.csv"}
+    assert all((r["customer_id"], r["store_id"], r["price"], r["quantity"]) == (1, 121, D("50.00"), 2)
+               and not r["is_malformed"] for r in got.values())
+    assert got["quoted.csv"]["additional_column"] == "note, free"
 
 
-def test_blank_header_is_rejected(spark, scratch):
+def test_blank_first_line_is_skipped(spark, scratch):
     root = _local(scratch) + "/in"
     _write(root, "blank.csv", "\n1,121,sugar\n")
-    (r,) = C.validate_headers(C.probe_headers(C.list_csv_files(spark, root))).collect()
-    assert not r["accepted"] and r["reason"] == "no header"
+    r = _manifest(spark, root)["blank.csv"]
+    assert not r["accepted"] and r["header"] == "1,121,sugar" and len(r["missing_columns"]) == 8
 
 
 def test_values_bound_by_name_and_bad_rows_flagged(spark, scratch):
@@ -78,6 +106,9 @@ def test_values_bound_by_name_and_bad_rows_flagged(spark, scratch):
     assert len(bad) == 4 and all(r["is_malformed"] for r in bad)
     assert {r["customer_id"] for r in bad} == {None, 5, 6, 7}
     assert [r["sales_date"] for r in bad if r["customer_id"] == 5] == [None]
+    # the raw line of every flagged row is kept
+    assert sorted(r["raw_record"].split(",")[0] for r in bad) == ["5", "6", "7", "x"]
+    assert valid["raw_record"] is None
     # counted during the landing write, equal to the landed table
     assert run.observation.get["rows"] == len(rows) == 7
     assert run.observation.get["malformed"] == 4
@@ -92,7 +123,10 @@ def test_unreadable_file_is_rejected_not_fatal(spark, scratch):
     out = list(C._probe(iter([probe])))[0]
     assert out.loc[0, "header"] == HEAD and out.loc[0, "probe_error"] is None
     assert out.loc[1, "header"] is None and "gone.csv" in out.loc[1, "probe_error"]
-    manifest = spark.createDataFrame(out, C.MANIFEST_SCHEMA)
+    out["file_size"] = [1, 1]
+    manifest = spark.createDataFrame(
+        [(r.path, 1, None, r.header, list(r.columns_), r.probe_error)
+         for r in out.rename(columns={"columns": "columns_"}).itertuples()], C.MANIFEST_SCHEMA)
     rows = {r["file_name"]: r for r in C.validate_headers(manifest).collect()}
     assert rows["valid.csv"]["accepted"]
     assert not rows["gone.csv"]["accepted"] and rows["gone.csv"]["reason"].startswith("unreadable")

@@ -44,21 +44,16 @@ def test_small_dimensions_are_broadcast_by_spark_alone(spark):
     assert re.search(r"NOT \(\(s_nationkey#\d+ % 4\) = 3\)", plan)
 
 
-def test_csv_typed_scans_have_no_shuffle(spark):
-    from functools import reduce
-
+def test_one_scan_reads_all_header_layouts(spark):
     from pyspark.sql import functions as F
 
-    from martline.plans.ingest import ingest_run
-    from martline.sources.csv_ingest import read_header_group
+    from martline.plans.ingest import files_root, ingest_run
+    from martline.sources.csv_ingest import bind_lines
     run = ingest_run(spark, SMALL, "mixed")
-    groups = (run.manifest.where("accepted").groupBy("header")
-              .agg(F.collect_list("path").alias("paths")).collect())
-    assert len(groups) == 2  # one scan per distinct header, not per file
-    typed = reduce(lambda a, b: a.unionByName(b),
-                   [read_header_group(spark, g["header"], list(g["paths"])) for g in groups])
-    plan = _plan(typed)
-    assert "Exchange" not in plan and plan.count("FileScan csv") == 2
+    lines = (spark.read.option("recursiveFileLookup", "true").text(files_root(spark, SMALL, "mixed"))
+             .select("value", F.col("_metadata.file_path").alias("source_file")))
+    plan = _plan(bind_lines(lines, run.manifest, 9))
+    assert plan.count("FileScan text") == 1 and "Union" not in plan and "Python" not in plan
     assert run.observation.get["rows"] == run.landed.count()
 
 

@@ -17,7 +17,11 @@ def test_cleanse_groups_duplicates_and_reasons(spark):
 def test_checks(spark):
     parent = spark.createDataFrame([(1,), (2,)], "id long")
     child = spark.createDataFrame([(1,), (3,), (3,), (None,)], "pid long")
-    assert quality.orphan_count(child, "pid", parent, "id", "c").first()["n_violations"] == 3
+    assert quality.orphan_count(child, "pid", parent, "id", "c").first()["n_violations"] == 2
+    both = quality.orphan_counts(child, [("pid", parent, "id", "a->b"), ("pid", child, "pid", "self")])
+    assert {r["check_name"]: r["n_violations"] for r in both.collect()} == {"a->b": 2, "self": 0}
+    left = quality.cascade(child, "pid", parent, "id").collect()
+    assert sorted(r["pid"] or 0 for r in left) == [0, 1]   # a NULL key refers to nothing and stays
     dups = quality.duplicate_keys(child, "child", ["pid"]).collect()
     assert [(r["key_value"], r["n_rows"]) for r in dups] == [("3", 2)]
     dom = spark.createDataFrame([("Y",), ("N",), ("Q",), (None,)], "f string")
@@ -30,11 +34,13 @@ def test_checks(spark):
 def test_registry_resume_and_new(spark):
     t = lambda h: datetime(2023, 1, 1, h)
     events = spark.createDataFrame(
-        [("a.csv", t(1), "A"), ("a.csv", t(2), "I"), ("b.csv", t(1), "A")],
-        "file_name string, event_time timestamp, status string")
-    on_hand = spark.createDataFrame([("a.csv",), ("b.csv",), ("c.csv",)], "file_name string")
-    assert [r["file_name"] for r in registry.resume_files(on_hand, events).collect()] == ["b.csv"]
-    assert [r["file_name"] for r in registry.new_files(on_hand, events).collect()] == ["c.csv"]
+        [("/x/a.csv", t(1), "A"), ("/x/a.csv", t(1), "I"), ("/x/b.csv", t(1), "A")],
+        "path string, event_time timestamp, status string")
+    # equal base names in another folder are other files; at equal times 'I' follows 'A'
+    on_hand = spark.createDataFrame([("/x/a.csv",), ("/x/b.csv",), ("/y/a.csv",)], "path string")
+    assert [r["path"] for r in registry.resume_files(on_hand, events).collect()] == ["/x/b.csv"]
+    assert [r["path"] for r in registry.new_files(on_hand, events).collect()] == ["/y/a.csv"]
+    assert sorted(r["path"] for r in registry.files_to_load(on_hand, events).collect()) == ["/x/b.csv", "/y/a.csv"]
 
 
 def test_latest_state_and_scalars(spark):
@@ -64,9 +70,10 @@ def test_cast_to_contract_flags_unparseable_values(spark):
 
 
 def test_file_key_is_stable(spark):
-    files = spark.createDataFrame([("a.csv", "/x")], "file_name string, file_location string")
+    files = spark.createDataFrame([("/x/a.csv", "a.csv"), ("/y/a.csv", "a.csv")], "path string, file_name string")
     t = datetime(2023, 1, 1)
     from pyspark.sql import functions as F
     k1 = registry.register_files(files, F.lit(t)).first()["file_id"]
     k2 = registry.complete_files(files, F.lit(t)).first()["file_id"]
     assert k1 == k2
+    assert registry.register_files(files, F.lit(t)).select("file_id").distinct().count() == 2

@@ -36,18 +36,33 @@ def test_stream_ingests_each_file_once(spark, scratch):
     SF.write_standard_files(fact.where(early), scratch + "/inbox/drop=1")
     stream = T.sales_file_stream(spark, scratch + "/inbox/*/batch=*/*.csv",
                                  archive_dir=scratch + "/archive")
-    T.run_available(stream, scratch + "/rows", scratch + "/ckpt")
-    first = spark.read.parquet(scratch + "/rows").count()
-    T.run_available(stream, scratch + "/rows", scratch + "/ckpt")   # nothing new
-    assert spark.read.parquet(scratch + "/rows").count() == first == fact.where(early).count()
+    T.run_available(stream, scratch + "/out", scratch + "/ckpt")
+    first = T.read_landed(spark, scratch + "/out").count()
+    T.run_available(stream, scratch + "/out", scratch + "/ckpt")   # nothing new
+    assert T.read_landed(spark, scratch + "/out").count() == first == fact.where(early).count()
     SF.write_standard_files(fact.where(~early), scratch + "/inbox/drop=2")
-    T.run_available(stream, scratch + "/rows", scratch + "/ckpt")
-    assert spark.read.parquet(scratch + "/rows").count() == fact.count()
+    T.run_available(stream, scratch + "/out", scratch + "/ckpt")
+    assert T.read_landed(spark, scratch + "/out").count() == fact.count()
     archived = [f for _, _, fs in os.walk(scratch.replace("file:", "") + "/archive") for f in fs
                 if f.endswith(".csv")]
     assert archived, "consumed files are moved to the archive"
 
 
+def test_stream_binds_by_name_and_rejects_files(spark, scratch):
+    inbox = scratch.replace("file:", "") + "/inbox"
+    os.makedirs(inbox)
+    with open(inbox + "/swapped.csv", "w") as f:
+        f.write("store_id,customer_id,product_name,sales_date,sales_person_id,price,quantity,total_cost\n"
+                "5,121,sugar,2023-03-03,1,50.00,2,100.00\n")
+    with open(inbox + "/missing.csv", "w") as f:
+        f.write("customer_id,product_name\n1,sugar\n")
+    T.run_available(T.sales_file_stream(spark, scratch + "/inbox/*.csv"), scratch + "/out", scratch + "/ckpt")
+    (r,) = T.read_landed(spark, scratch + "/out").collect()
+    assert (r["customer_id"], r["store_id"], r["is_malformed"]) == (121, 5, False)
+    files = {os.path.basename(m["path"]): m["accepted"] for m in spark.read.parquet(scratch + "/out/manifest").collect()}
+    assert files == {"swapped.csv": True, "missing.csv": False}
+
+
 def test_synthetic_total_is_price_times_quantity(spark):
     from martline.sources.synthetic import synthetic_sales
     df = synthetic_sales(spark, SMALL)
@@ -63,19 +78,76 @@ def test_daily_load_end_to_end(spark, scratch):
     res = run_daily_load(spark, scratch + "/in", scratch + "/out", S.star(spark, SMALL))
     landed = res.ingest.landed
     files = spark.read.parquet(scratch + "/out/file_audit")
-    assert files.agg(F.sum("rows_read")).first()[0] == landed.count()
-    job = spark.read.parquet(scratch + "/out/job_audit").first()
-    assert job["status"] == "SUCCESS" and job["execution_time_seconds"] >= 0
+    assert {r["status"] for r in files.select("status").distinct().collect()} == {"RUNNING", "SUCCESS", "FAILED"}
+    done = files.where("status <> 'RUNNING'")
+    assert done.agg(F.sum("rows_read")).first()[0] == landed.count()
+    assert done.where("end_time < start_time or processing_time_seconds is null or source_system is null").count() == 0
+    jobs = spark.read.parquet(scratch + "/out/job_audit")
+    assert sorted(r["status"] for r in jobs.collect()) == ["RUNNING", "SUCCESS"]
+    job = jobs.where("status = 'SUCCESS'").first()
+    assert files.where(F.col("job_id") != job["job_id"]).count() == 0
+    assert job["execution_time_seconds"] > 0
     assert job["spark_application_id"] == spark.sparkContext.applicationId
     assert job["rows_read"] == landed.count()
-    assert job["rows_rejected"] == landed.where("is_malformed").count()
+    assert job["rows_rejected"] == landed.where("is_malformed").count() > 0
+    from martline.operators import audit
+    state = audit.latest_state(jobs, "job_id", "event_time", ["status", "rows_read"]).collect()
+    assert [(r["status"], r["rows_read"]) for r in state] == [("SUCCESS", landed.count())]
     reg = spark.read.parquet(scratch + "/out/registry")
     assert reg.groupBy("status").count().count() == 2
+    held = spark.read.parquet(scratch + "/out/quarantine")
+    assert {r["reason"] for r in held.select("reason").distinct().collect()} == {"malformed", "missing_required"}
+    assert held.where("reason = 'malformed' and (raw_record is null or source_file is null)").count() == 0
     sales = spark.read.parquet(res.sales_mart_path)
     assert sales.count() == job["sales_mart_rows_written"]
-    # second run over the same files: marts are replaced, not appended
-    run_daily_load(spark, scratch + "/in", scratch + "/out", S.star(spark, SMALL))
-    assert spark.read.parquet(res.sales_mart_path).count() == job["sales_mart_rows_written"]
+    before = sorted(map(tuple, sales.collect()))
+    # second run over the same files: nothing is taken again, nothing changes
+    again = run_daily_load(spark, scratch + "/in", scratch + "/out", S.star(spark, SMALL))
+    assert again.ingest.manifest.where("accepted").count() == 0
+    assert sorted(map(tuple, spark.read.parquet(res.sales_mart_path).collect())) == before
+
+
+HEAD = "customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost\n"
+
+
+def _tiny_dims(spark):
+    return {"dim_customer": spark.createDataFrame(
+                [(1, "F", "L", "A", "1", "91")], "customer_id long, first_name string, last_name string, "
+                "address string, pincode string, phone_number string"),
+            "dim_store": spark.createDataFrame([(7, "R", "M")], "id int, address string, store_manager_name string"),
+            "dim_sales_team": spark.createDataFrame(
+                [(100, "S", "P", 100, "Y", "SA", "7")], "id long, first_name string, last_name string, "
+                "manager_id long, is_manager string, address string, pincode string")}
+
+
+def _drop(scratch, name, *lines):
+    path = scratch.replace("file:", "") + "/in/" + name
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(HEAD + "".join(line + "\n" for line in lines))
+
+
+def test_two_days_in_one_month_add_up(spark, scratch):
+    from decimal import Decimal as D
+
+    from martline.plans.daily_load import run_daily_load
+    dims = _tiny_dims(spark)
+    _drop(scratch, "day1/sales.csv", "1,7,sugar,2023-03-03,100,50.00,2,100.00")
+    run_daily_load(spark, scratch + "/in", scratch + "/out", dims)
+    _drop(scratch, "day2/sales.csv", "1,7,sugar,2023-03-04,100,3.50,2,7.00", "1,7,sugar,2023-03-05,100,n/a,1,40.00")
+    broken = {**dims, "dim_store": dims["dim_store"].drop("store_manager_name")}
+    import pytest
+    with pytest.raises(Exception):
+        run_daily_load(spark, scratch + "/in", scratch + "/out", broken)
+    res = run_daily_load(spark, scratch + "/in", scratch + "/out", dims)
+    (mart,) = spark.read.parquet(res.sales_mart_path).collect()
+    # the row with the bad price counts: the mart needs no price
+    assert (mart["total_sales"], mart["incentive"]) == (D("147.00"), D("1.47"))
+    (customer,) = spark.read.parquet(res.customer_mart_path).collect()
+    assert customer["total_sales"] == D("147.00")
+    assert spark.read.parquet(scratch + "/out/sales_partitioned").count() == 3
+    (flagged,) = spark.read.parquet(scratch + "/out/quarantine").where(F.col("load_id") == res.load_id).collect()
+    assert flagged["raw_record"].endswith("n/a,1,40.00") and flagged["source_file"].endswith("day2/sales.csv")
 
 
 def test_daily_load_failure_is_audited(spark, scratch):
@@ -88,7 +160,7 @@ def test_daily_load_failure_is_audited(spark, scratch):
     dims["dim_store"] = dims["dim_store"].drop("store_manager_name")   # breaks enrichment
     with pytest.raises(Exception):
         run_daily_load(spark, scratch + "/in", scratch + "/out", dims)
-    job = spark.read.parquet(scratch + "/out/job_audit").first()
+    job = spark.read.parquet(scratch + "/out/job_audit").where("status <> 'RUNNING'").first()
     assert job["status"] == "FAILED" and job["failure_stage"] == "DETAIL_MART_WRITE"
     assert job["error_message"] and len(job["error_message"]) <= 65000
 
@@ -96,23 +168,18 @@ def test_daily_load_failure_is_audited(spark, scratch):
 def test_stream_restart_after_stop_is_exactly_once(spark, scratch):
     import time
 
-    fact = S.fact_sales(spark, SMALL)
+    fact = S.fact_sales(spark, SMALL).where(F.col("sales_date") < F.lit("1995-07-01").cast("date"))
     SF.write_standard_files(fact, scratch + "/inbox")
-    glob = scratch + "/inbox/batch=*/*.csv"
-    stream = T.sales_file_stream(spark, glob, max_files_per_trigger=1)
-    query = (stream.writeStream.format("parquet")
-             .option("checkpointLocation", scratch + "/ckpt")
-             .trigger(processingTime="0 seconds").start(scratch + "/rows"))
+    stream = T.sales_file_stream(spark, scratch + "/inbox/batch=*/*.csv", max_files_per_trigger=1)
+    query = T.start(stream, scratch + "/out", scratch + "/ckpt", processingTime="0 seconds")
     deadline = time.time() + 120
-    while not [p for p in query.recentProgress if p["numInputRows"] > 0]:
+    while not os.path.exists(scratch.replace("file:", "") + "/out/rows/batch_id=0/_SUCCESS"):
         assert time.time() < deadline, "first micro-batch did not commit"
         time.sleep(0.2)
     query.stop()                                    # interrupted mid-way
-    partial = spark.read.parquet(scratch + "/rows").count()
-    T.run_available(stream, scratch + "/rows", scratch + "/ckpt", timeout_sec=300)
-    rows = spark.read.parquet(scratch + "/rows").select(*MANDATORY_COLUMNS)
-    assert 0 < partial < fact.count()
-    assert rows.count() == fact.count()
+    T.run_available(stream, scratch + "/out", scratch + "/ckpt", timeout_sec=300)
+    rows = T.read_landed(spark, scratch + "/out").select(*MANDATORY_COLUMNS)
+    assert rows.count() == fact.count() > 0
     assert rows.exceptAll(fact.select(*MANDATORY_COLUMNS)).count() == 0
     assert fact.select(*MANDATORY_COLUMNS).exceptAll(rows).count() == 0
 
@@ -130,7 +197,7 @@ def test_failed_load_is_resumed_by_the_next_run(spark, scratch):
     with pytest.raises(Exception):
         run_daily_load(spark, scratch + "/in", scratch + "/out", broken)
     events = spark.read.parquet(scratch + "/out/registry")
-    on_hand = events.select("file_name").distinct()
+    on_hand = events.select("path").distinct()
     pending = registry.resume_files(on_hand, events).count()
     assert pending == on_hand.count() > 0          # registered, never completed
     res = run_daily_load(spark, scratch + "/in", scratch + "/out", good)
