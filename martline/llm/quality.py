@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martline.llm.common import byte_texts
-from martline.llm.supervised import fold, labelled_sample, logistic_curve, probabilities, scored
+from martline.llm.supervised import cell_counts, fold, labelled_sample, logistic_curve, probabilities, scored
 
 #: Hashed feature space; a model is one float per cell.
 CELLS = 1 << 18
@@ -72,7 +72,7 @@ class Features:
     def cells(self, text: bytes) -> np.ndarray:
         words = text.split()
         if not words:
-            return np.zeros(1, np.int64)
+            return np.zeros(1, np.int32)
         known = {w: self._seen(w) for w in dict.fromkeys(words)}
         word = np.fromiter((h for h, _ in known.values()), np.uint64, len(known))
         index = {w: i for i, w in enumerate(known)}
@@ -85,20 +85,21 @@ class Features:
         three = _mix(two[:-1] * np.uint64(5) + shape[2:])
         grams = np.concatenate([np.unique(shape), np.unique(two), np.unique(three)])
         found = np.concatenate([_mix(word) >> np.uint64(47), _mix(grams + np.uint64(7)) >> np.uint64(46)])
-        return np.unique(found.astype(np.int64))
+        return np.unique(found.astype(np.int32))
 
 
 def _descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, costs: np.ndarray) -> np.ndarray:
     """Hinge-loss weights (L2-regularised) by dual coordinate descent; the last cell is the bias."""
     w = np.zeros(CELLS + 1)
     alpha = np.zeros(len(rows))
-    values = [np.append(ratio[r], 1.0) for r in rows]
-    rows = [np.append(r, CELLS) for r in rows]
-    norms = np.array([v @ v for v in values])
+    rows = [np.append(r[ratio[r] != 0], CELLS).astype(np.int32) for r in rows]
+    scale = np.append(ratio, 1.0)
+    norms = np.array([scale[r] @ scale[r] for r in rows])
     rng = np.random.default_rng(7)
     for _ in range(EPOCHS):
         for i in rng.permutation(len(rows)):
-            r, v = rows[i], values[i]
+            r = rows[i]
+            v = scale[r]
             slope = y[i] * (w[r] @ v) - 1.0
             new = min(max(alpha[i] - slope / norms[i], 0.0), costs[i])
             if new != alpha[i]:
@@ -118,8 +119,7 @@ def fit_rows(rows: list[np.ndarray], label: np.ndarray) -> np.ndarray:
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(rows), bool)
     fit = np.flatnonzero(~held)
-    count = {s: SMOOTH + np.bincount(np.concatenate([rows[i] for i in fit if y[i] == s]), minlength=CELLS)
-             for s in (1.0, -1.0)}
+    count = {s: SMOOTH + cell_counts([rows[i] for i in fit if y[i] == s], CELLS) for s in (1.0, -1.0)}
     ratio = np.log((count[1.0] / count[1.0].sum()) / (count[-1.0] / count[-1.0].sum()))
     ratio[count[1.0] + count[-1.0] < 2 * SMOOTH + 3] = 0.0  # too rare to say anything
     share = {s: (y[fit] == s).mean() for s in (1.0, -1.0)}
@@ -146,18 +146,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
             digest = [xxhash.xxh3_64_intdigest(f.tobytes()) >> 1 for f in found]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("y"), pa.array(digest, pa.int64()),
-                 pa.array(found, pa.list_(pa.int64()))], ["doc_id", "y", "digest", "cells"])
+                 pa.array(found, pa.list_(pa.int32()))], ["doc_id", "y", "digest", "cells"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, y = [], []
         for b in batches:
-            rows += [np.asarray(c, np.int64) for c in b.column("cells").to_numpy(zero_copy_only=False)]
+            rows += [np.asarray(c, np.int32) for c in b.column("cells").to_numpy(zero_copy_only=False)]
             y += b.column("y").to_pylist()
         model = fit_rows(rows, np.array(y, float))
         yield pa.RecordBatch.from_arrays([pa.array([model.astype(np.float64).tobytes()])], ["model"])
 
     # repeated rows of an id count once
-    found = (sample.mapInArrow(cells, "doc_id long, y int, digest long, cells array<long>")
+    found = (sample.mapInArrow(cells, "doc_id long, y int, digest long, cells array<int>")
              .dropDuplicates(["doc_id", "digest"]))
     rows = found.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "digest")
     got = rows.mapInArrow(fit, "model binary").first()

@@ -30,6 +30,14 @@ def logistic_curve(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(a, 1e-6)), float(b)
 
 
+def cell_counts(rows: list[np.ndarray], cells: int) -> np.ndarray:
+    """How many rows have each cell."""
+    out = np.zeros(cells)
+    for at in range(0, len(rows), 1000):
+        out += np.bincount(np.concatenate(rows[at:at + 1000]), minlength=cells)
+    return out
+
+
 def probabilities(model: np.ndarray, rows: Iterator[np.ndarray]) -> np.ndarray:
     """P(label 1) of rows of cells; a model is weights, bias, curve slope and curve offset."""
     bias, a, b = model[-3:]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martline.llm.common import byte_texts
-from martline.llm.supervised import fold, labelled_sample, logistic_curve, scored
+from martline.llm.supervised import cell_counts, fold, labelled_sample, logistic_curve, scored
 
 #: Hashed feature space; a model is one float per cell.
 CELLS = 1 << 18
@@ -74,7 +74,7 @@ class Features:
         known, found = self.words, []
         for w in set(text.lower().split()):
             found += known.get(w) or self._seen(w)
-        return np.unique(np.array(found, np.int64))
+        return np.unique(np.array(found, np.int32))
 
 
 def swapped(sentence: str, most: int = 3) -> list[str]:
@@ -120,13 +120,12 @@ def fit_rows(rows: list[np.ndarray], label: np.ndarray, pairs: list[list[int]],
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(rows), bool)
     fit = np.flatnonzero(~held)
-    count = {c: SMOOTH + np.bincount(np.concatenate([rows[i] for i in fit if y[i] == c]), minlength=CELLS)
-             for c in (1.0, 0.0)}
+    count = {c: SMOOTH + cell_counts([rows[i] for i in fit if y[i] == c], CELLS) for c in (1.0, 0.0)}
     ratio = np.log((count[1.0] / count[1.0].sum()) / (count[0.0] / count[0.0].sum()))
     # only what stands out of its own sampling error says something about other texts
     ratio[np.abs(ratio) < SURE * np.sqrt(1 / count[1.0] + 1 / count[0.0])] = 0.0
     scale = np.append(ratio, 1.0)
-    used = {i: np.append(rows[i][ratio[rows[i]] != 0], CELLS) for i in fit}
+    used = {i: np.append(rows[i][ratio[rows[i]] != 0], CELLS).astype(np.int32) for i in fit}
     weight = {1.0: 0.5 / y[fit].mean(), 0.0: 0.5 / (1 - y[fit].mean())}
     w = np.zeros(CELLS + 1)
     rng = np.random.default_rng(11)
@@ -166,20 +165,20 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2,
             digest = [xxhash.xxh3_64_intdigest(f.tobytes()) >> 1 for f in found]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("y"), pa.array(digest, pa.int64()),
-                 pa.array(found, pa.list_(pa.int64())),
+                 pa.array(found, pa.list_(pa.int32())),
                  pa.array([swap_pairs(t, features) for t in texts], pa.list_(pa.list_(pa.int64())))],
                 ["doc_id", "y", "digest", "cells", "pairs"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, y, pairs = [], [], []
         for b in batches:
-            rows += [np.asarray(c, np.int64) for c in b.column("cells").to_numpy(zero_copy_only=False)]
+            rows += [np.asarray(c, np.int32) for c in b.column("cells").to_numpy(zero_copy_only=False)]
             y += b.column("y").to_pylist()
             pairs += [p for ps in b.column("pairs").to_pylist() for p in ps]
         model = fit_rows(rows, np.array(y, float), pairs, swap_weight)
         yield pa.RecordBatch.from_arrays([pa.array([model.astype(np.float64).tobytes()])], ["model"])
 
-    found = (sample.mapInArrow(cells, "doc_id long, y int, digest long, cells array<long>, pairs array<array<long>>")
+    found = (sample.mapInArrow(cells, "doc_id long, y int, digest long, cells array<int>, pairs array<array<long>>")
              .dropDuplicates(["doc_id", "digest"]))
     rows = found.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "digest")
     got = rows.mapInArrow(fit, "model binary").first()
