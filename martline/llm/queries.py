@@ -130,4 +130,26 @@ ORACLES: dict[str, str] = {
                CAST(max(pos + width) - 1 AS INTEGER) AS last_token, CAST(min(changed) AS INTEGER) AS least_changed
         FROM hits WHERE changed <= CASE WHEN width = 13 THEN 2 ELSE 0 END
         GROUP BY doc_id, item_id""",
+    # all strings of 400 bytes by their digest; runs of covered bytes by gaps between starts
+    "op8_run_length_dedup": """
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS t FROM documents),
+        w AS (
+            SELECT r, p, md5(array_slice(t, p + 1, p + 400)) AS m
+            FROM (SELECT r, t, unnest(range(0, octet_length(t) - 399)) AS p FROM d WHERE octet_length(t) >= 400)),
+        s AS (SELECT r, p FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)),
+        g AS (
+            SELECT r, p, CASE WHEN p - lag(p) OVER (PARTITION BY r ORDER BY p) <= 400 THEN 0 ELSE 1 END AS new FROM s),
+        i AS (SELECT r, p, sum(new) OVER (PARTITION BY r ORDER BY p) AS run FROM g),
+        c AS (SELECT r, min(p) AS a, max(p) + 400 AS b FROM i GROUP BY r, run),
+        k AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS done FROM c),
+        x AS (
+            SELECT k.r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS done,
+                   string_agg(CASE WHEN a > k.done THEN hex(array_slice(t, k.done + 1, a)) ELSE '' END, '' ORDER BY a) AS kept
+            FROM k JOIN d ON k.r = d.r GROUP BY k.r)
+        SELECT doc_id, CAST(octet_length(t) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept, '') || CASE WHEN octet_length(t) > coalesce(done, 0)
+                                                       THEN hex(array_slice(t, coalesce(done, 0) + 1, octet_length(t)))
+                                                       ELSE '' END)) AS kept_sha256
+        FROM d LEFT JOIN x ON d.r = x.r""",
 }
