@@ -32,7 +32,7 @@ from martline.llm.common import byte_texts, byte_view, row_key, seen_filter, sto
 #: Bytes of a repeated string, and of the strings among which its anchor is chosen.
 LENGTH, GRAM = 400, 64
 #: Bytes looked at together, windows of one piece of a long text, bytes of one index.
-BUFFER, PIECE, SHARD = 1 << 20, 1 << 19, 1 << 21
+BUFFER, PIECE, SHARD = 1 << 20, 1 << 19, 1 << 19
 #: Different contexts of an anchor that are indexed together; the windows of more frequent
 #: anchors are counted one by one instead, which no single task has to hold.
 CROWD = 2048
@@ -138,7 +138,8 @@ class RunLengthIndex:
     def __init__(self, text: np.ndarray, ends: np.ndarray, least: int):
         self.text, n = text, len(text)
         begin = np.append(0, ends[:-1])
-        self.left = np.repeat(ends, ends - begin) - np.arange(n)  # bytes up to the own text's end
+        # positions fit 32 bits: an index holds a bounded shard
+        self.left = (np.repeat(ends, ends - begin) - np.arange(n)).astype(np.int32)  # bytes up to the own text's end
         self.words = self._words()
         order, self.alike = self._sorted(int((ends - begin).max()), least)
         before = text[order - 1].astype(np.int16)
@@ -172,37 +173,34 @@ class RunLengthIndex:
         for i in range(7):
             letter = np.where(self.left > i, padded[i:i + n].astype(np.uint64) + np.uint64(1), np.uint64(0))
             key = (key << np.uint64(9)) | letter
-        order = np.argsort(key)
-        sorted_key = key[order]
-        new = np.append(True, sorted_key[1:] != sorted_key[:-1])
-        rank = np.empty(n, np.int64)
-        group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        rank[order] = group
+        order = np.argsort(key).astype(np.int32)
+        key = key[order]
+        new = np.append(True, key[1:] != key[:-1])
+        del key, letter, padded
+        slots, rank = np.arange(n, dtype=np.int32), np.empty(n, np.int32)
+        rank[order] = np.maximum.accumulate(np.where(new, slots, 0))
         alike, sorted_to = rank.copy(), 7
         while sorted_to < depth:
             if sorted_to <= least:
-                alike = rank.copy()
-            again = ~(new & np.append(new[1:], True))  # slots whose group is not single yet
-            slots = np.flatnonzero(again)
-            if not len(slots):
+                alike[:] = rank
+            again = slots[~(new & np.append(new[1:], True))]  # slots whose group is not single yet
+            if not len(again):
                 break
-            pos = order[slots]
+            pos = order[again]
             beyond = self.left[pos] > sorted_to
-            nxt = np.where(beyond, rank[np.minimum(pos + sorted_to, n - 1)] + 1, 0)
-            both = rank[pos].astype(np.uint64) * np.uint64(n + 1) + nxt.astype(np.uint64)
+            after = np.where(beyond, rank[np.minimum(pos + sorted_to, n - 1)] + 1, 0)
+            both = rank[pos].astype(np.uint64) * np.uint64(n + 1) + after.astype(np.uint64)
             by = np.argsort(both)
-            order[slots] = pos[by]
-            both = both[by]
-            differs = np.append(True, both[1:] != both[:-1])
-            new[slots] |= differs
-            group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-            rank[order[slots]] = group[slots]
+            order[again], both = pos[by], both[by]
+            new[again] |= np.append(True, both[1:] != both[:-1])
+            del pos, beyond, after, both, by
+            rank[order[again]] = np.maximum.accumulate(np.where(new, slots, 0))[again]
             sorted_to *= 2
         return order, alike
 
     def _agreement(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """How many bytes the suffixes at a and b have in common."""
-        most = np.minimum(self.left[a], self.left[b])
+        most = np.minimum(self.left[a], self.left[b]).astype(np.int64)
         out, todo, at = np.zeros(len(a), np.int64), np.arange(len(a)), 0
         while len(todo):
             x, y = a[todo] + at, b[todo] + at
