@@ -332,29 +332,37 @@ def _counted(found: DataFrame, length: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
-    """(k1, k2, a, b): byte ranges of documents that cover every repeated string of ``length`` bytes."""
+    """(k1, k2, kind, a, b): what is known of a document's byte ranges.
+
+    kind 0: a..b is covered by repeated strings.  kind 1: a context whose anchor occurs
+    elsewhere spans a..b.  kind 2: the context that begins at a occurs just once as a whole.
+    So a document's repeated bytes are its ranges of kind 0 and those of kind 1 without a
+    kind 2 at the same place; rows are gathered by document once, and no join is needed
+    to find the contexts that occur again.
+    """
     every = stored(contexts(docs, length, gram), "anchors")
     shared_keys = stored(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-keys")
     known = seen_filter(shared_keys, "key")
     shared = stored(every.where(known(F.col("key"))).join(shared_keys, "key"), "shared-contexts")
     whole = stored(shared.groupBy("key", "c1", "c2").agg(F.count("*").alias("n"), F.min(
         F.struct("k1", "k2", "start", "windows")).alias("one")).select("key", "c1", "c2", "n", "one.*"), "different-contexts")
-    again = whole.where("n > 1").select("key", "c1", "c2")
-    marks = (shared.join(again, ["key", "c1", "c2"])
-             .select("k1", "k2", F.col("start").alias("a"), (F.col("start") + F.col("windows") + length - 1).alias("b")))
     several = whole.groupBy("key").agg(F.count("*").alias("contexts")).where("contexts > 1")
     wanted = stored(whole.join(several, "key"), "wanted-contexts")
     found = stored(_fetched(docs, wanted, length).join(
         several.select("key", (F.col("contexts") > crowd).alias("crowded")), "key"), "context-bytes")
     calm = found.where("not crowded").select(*[c.split()[0] for c in _CONTEXT.split(", ")])
     busy = found.where("crowded")
-    return marks.unionByName(_indexed(calm, length)).unionByName(_counted(busy, length))
+    marks = _indexed(calm, length).unionByName(_counted(busy, length)).withColumn("kind", F.lit(0))
+    span = (F.col("start") + F.col("windows") + length - 1).alias("b")
+    spans_ = shared.select("k1", "k2", F.lit(1).alias("kind"), F.col("start").alias("a"), span)
+    once = whole.where("n = 1").select("k1", "k2", F.lit(2).alias("kind"), F.col("start").alias("a"), span)
+    return marks.select("k1", "k2", "kind", "a", "b").union(spans_).union(once)
 
 
 def _marked_docs(docs: DataFrame, length: int, gram: int, crowd: int, columns: list) -> DataFrame:
-    """The chosen columns of every document, then its text and the list of its marked ranges (null: none)."""
+    """The chosen columns of every document, then its text and what is known of its ranges (null: nothing)."""
     marks = stored(repeats(docs, length, gram, crowd), "marks")
-    lists = (marks.groupBy("k1", "k2").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
+    lists = (marks.groupBy("k1", "k2").agg(F.collect_set(F.struct("kind", "a", "b")).alias("ranges"))
              .select(F.col("k1").alias("m1"), F.col("k2").alias("m2"), "ranges"))
     keyed = docs.select(F.struct(*columns).alias("row"), F.col("text").cast("string").alias("whole_text"), *row_key())
     return (keyed.join(lists, (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2")), "left")
@@ -364,7 +372,9 @@ def _marked_docs(docs: DataFrame, length: int, gram: int, crowd: int, columns: l
 def _kept(text: bytes, ranges: list[dict] | None) -> tuple[bytes, int, int]:
     """(bytes that remain, bytes removed, maximal removed runs)."""
     out, at, removed, runs = [], 0, 0, 0
-    for a, b in sorted((r["a"], r["b"]) for r in ranges or ()):
+    once = {r["a"] for r in ranges or () if r["kind"] == 2}
+    for a, b in sorted((r["a"], r["b"]) for r in ranges or ()
+                       if r["kind"] == 0 or r["kind"] == 1 and r["a"] not in once):
         if a > at or not runs:
             out.append(text[at:a])
             runs += 1
@@ -409,8 +419,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            new = [None if not r else _kept(t, r)[0].decode("utf-8", "ignore")
-                   for t, r in zip(byte_texts(b.column(1)), b.column(2).to_pylist())]
+            new = []
+            for text, ranges in zip(byte_texts(b.column(1)), b.column(2).to_pylist()):
+                kept, removed, _ = _kept(text, ranges)
+                new.append(kept.decode("utf-8", "ignore") if removed else None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(new, pa.string())], ["row", "new"])
 
     out = marked.mapInArrow(run, T.StructType([T.StructField("row", T.StructType(schema.fields)),
