@@ -63,7 +63,10 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)
 _WORDS = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _WORD = re.compile(r"[^\W\d_]+")
-_DROP, _OUTER_HEAD, _MAIN, _MAYBE = "drop", "head", "main", "maybe"
+#: What a class says an element has or lacks, which is not what it is.
+_HAS = re.compile(r"(?<![a-zA-Z0-9])(?:has|with|without|no)(?:[-_]+|(?=[A-Z]))\S*")
+#: The named ones rest on the class words of a div or section only.
+_DROP, _OUTER_HEAD, _NAMED_DROP, _NAMED_HEAD, _MAIN, _MAYBE = "drop", "head", "named-drop", "named-head", "main", "maybe"
 
 
 def _kind(tag: str, rest: str) -> str | None:
@@ -72,7 +75,7 @@ def _kind(tag: str, rest: str) -> str | None:
     style = found.get("style", "").replace(" ", "").lower()
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in style:
         return _DROP
-    said = " ".join(found.get(a, "") for a in ("class", "id", "role", "itemprop"))
+    said = _HAS.sub(" ", " ".join(found.get(a, "") for a in ("class", "id", "role", "itemprop")))
     words = set(_WORDS.split(_CAMEL.sub("-", said).lower())) | set(_WORDS.split(said.lower())) if said.strip() else set()
     if tag in MAIN_TAGS or found.get("role", "").lower() == "main":
         return _DROP if words & NOT_ARTICLE_WORDS else _MAIN
@@ -81,28 +84,33 @@ def _kind(tag: str, rest: str) -> str | None:
     if tag == "body":
         return None
     if words & BOILERPLATE_WORDS:
-        return _DROP
+        return _NAMED_DROP if tag in ("div", "section") else _DROP
     if tag == "header" or words & HEAD_WORDS:
-        return _OUTER_HEAD
+        return _NAMED_HEAD if tag in ("div", "section") else _OUTER_HEAD
     return _MAYBE if words & MAIN_WORDS else None
 
 
 class Block:
-    __slots__ = ("text", "linked", "place", "heading")
+    __slots__ = ("text", "linked", "place", "heading", "named")
 
-    def __init__(self, text: str, linked: int, place: str | None, heading: bool):
-        self.text, self.linked, self.place, self.heading = text, linked, place, heading
+    def __init__(self, text: str, linked: int, place: str | None, heading: bool, named: int = 0):
+        self.text, self.linked, self.place, self.heading, self.named = text, linked, place, heading, named
 
 
-def _place(stack: list[tuple[str, str | None]]) -> str | None:
-    """drop, the innermost declaration of main text, or None."""
-    found = None
-    for _, kind in stack:
+def _place(stack: list[tuple[str, str | None]]) -> tuple[str | None, int]:
+    """drop, the innermost declaration of main text, or None; and how many named drops articles override."""
+    found, named, dropped = None, 0, 0
+    for tag, kind in stack:
         if kind == _DROP or kind == _OUTER_HEAD and found != _MAIN:
-            return _DROP
-        if kind == _MAIN or kind == _MAYBE and found is None:
+            return _DROP, 0
+        if kind == _NAMED_DROP or kind == _NAMED_HEAD and found != _MAIN:
+            dropped += 1
+        elif kind == _MAIN:  # a page has one main, but a comment or a teaser may be an article
+            named += dropped if tag != "main" else 0
+            found, dropped = kind, 0
+        elif kind == _MAYBE and found is None:
             found = kind
-    return found
+    return (_DROP, 0) if dropped else (found, named)
 
 
 def blocks(page: str) -> list[Block]:
@@ -122,7 +130,8 @@ def blocks(page: str) -> list[Block]:
     def end_block() -> None:
         joined = " ".join("".join(parts).split())
         if joined:
-            out.append(Block(joined, state["linked"], _place(stack), state["heading"]))
+            place, named = _place(stack)
+            out.append(Block(joined, state["linked"], place, state["heading"], named))
         parts.clear()
         state["linked"] = 0
 
@@ -219,15 +228,27 @@ def _second_pass(found: list[Block], label: list[str], declared: str | None) ->
     return keep
 
 
-def main_text(page: str) -> str:
-    """The page's article, its blocks joined by two line feeds; empty if there is none."""
-    found = blocks(page)
+def _text(found: list[Block], named: int) -> str:
+    """The article, without what stands inside of more than ``named`` overridden drops."""
+    found = [b if b.named <= named else Block(b.text, b.linked, _DROP, b.heading) for b in found]
     declared = next((kind for kind in (_MAIN, _MAYBE) if any(b.place == kind for b in found)), None)
     label = [_first_pass(b, declared) for b in found]
     keep = _second_pass(found, label, declared)
     return "\n\n".join(b.text for b, good in zip(found, keep) if good)
 
 
+def main_text(page: str) -> str:
+    """The page's article, its blocks joined by two line feeds; empty if there is none.
+
+    Articles inside of divs or sections named as boilerplate count if no other part of the
+    page is declared main or article, and they give more text than the rest does.
+    """
+    found = blocks(page)
+    best = _text(found, 0)
+    least = min((b.named for b in found if b.place == _MAIN), default=0)
+    return max(best, _text(found, least), key=len) if least else best
+
+
 def extract_pages(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars (code points of the text).
 

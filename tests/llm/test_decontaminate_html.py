@@ -119,6 +119,30 @@ def test_only_the_article_remains(wrap, around):
     assert html.main_text(page(body)) == "\n\n".join(["Head line", *ARTICLE])
 
 
+@pytest.mark.parametrize("name", ["layout has-sidebar", "with-ads", "no-comments", "has-header", "hasSidebar", "page-with-sidebar",
+                                  "content-sidebar-wrap", "sidebar-left", "masthead-layout"])
+@pytest.mark.parametrize("inner", ["<main><article>{}</article></main>", "<main>{}</main>", "<article>{}</article>"])
+def test_articles_inside_of_named_wrappers_remain(name, inner):
+    comments = '<section class="comments"><article><p>I think that it was good of you to write it for us, as you did.</p></article></section>'
+    for tag in ("div", "section"):
+        got = html.main_text(page(f'{"".join(BOILERPLATE)}<{tag} class="{name}">' + article(inner) + f"{comments}</{tag}>"))
+        assert got == "\n\n".join(ARTICLE)
+
+
+@pytest.mark.parametrize("around", ["<nav>{}</nav>", "<aside>{}</aside>", "<footer>{}</footer>", "<form>{}</form>", "<header>{}</header>",
+                                    '<div hidden class="has-sidebar">{}</div>', '<div class="with-ads" style="display:none">{}</div>',
+                                    '<ul class="sidebar">{}</ul>', '<div class="has-sidebar"><aside>{}</aside></div>'])
+def test_articles_inside_of_other_boilerplate_go(around):
+    assert html.main_text(page(around.format(article("<article>{}</article>")))) == ""
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main>{}</main>", '<div class="content">{}</div>', "<div>{}</div>"])
+def test_teasers_and_comments_do_not_replace_the_article(wrap):
+    others = "".join(f'<div class="{c}"><article><p>{ARTICLE[0]}</p></article></div>' for c in ("related", "comments", "sidebar"))
+    for tail in (others.replace(ARTICLE[0], "This is the one of the others that you may like."), others.replace("<article>", '<article class="comment">')):
+        assert html.main_text(page(article(wrap) + tail)) == "\n\n".join(ARTICLE)
+
+
 def test_inside_of_blocks():
     long = "This is the text of a block that is long enough to be judged by itself, with all of the words in it"
     got = html.main_text(page(f"<article><p>{long} &amp; &lt;b&gt; &eacute;&#233;&#x1F600;\n\t two&nbsp;&nbsp;words<br>next <i>li</i>ne</p>"
