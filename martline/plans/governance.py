@@ -292,6 +292,7 @@ def q_check_domain(spark, sf_dir):
 
 
 _NOT_NULL = {
+    "fact_sales": MANDATORY_COLUMNS,
     "landed": MANDATORY_COLUMNS,
     "dim_customer": ["customer_id", "first_name", "last_name", "address", "phone_number"],
     "dim_store": ["id", "address", "store_manager_name"],
@@ -305,8 +306,8 @@ _NOT_NULL = {
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_nulls "
     f"FROM {t}" for t, cols in _NOT_NULL.items() for c in cols), "dim_customer", "dim_store", "dim_sales_team"))
 def q_check_not_null(spark, sf_dir):
-    """NULL counts of required columns (X7) of the landed sales, the dimensions
-    and the job audit, one pass per table."""
+    """NULL counts of required columns (X7) of all sales, the landed ones, the
+    dimensions and the job audit, one pass per table."""
     v = {**S.star(spark, sf_dir), "landed": ingest_run(spark, sf_dir, "mixed").landed,
          "job_events": job_events(spark, sf_dir)}
     return _union([quality.null_counts(v[t], t, cols) for t, cols in _NOT_NULL.items()])

@@ -70,3 +70,23 @@ def test_marts_use_hash_aggregation_only(spark):
         assert "partial_sum(total_cost" in plan, name
         assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan, name
         assert "SinglePartition" not in plan, name
+
+
+def test_not_null_check_counts_sales_of_rejected_files(spark, tmp_path):
+    """Sales from 1999 on land nowhere (their files are rejected), but their NULLs count."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from martline.plans.compare import compare
+    from martline.sources.tables import BASE_TABLES
+    for t in BASE_TABLES:
+        (tmp_path / f"{t}.parquet").symlink_to(f"{SMALL}/{t}.parquet")
+    orders, lines = (pq.read_table(f"{SMALL}/{t}.parquet") for t in ("orders", "lineitem"))
+    late = {k for k, d in zip(orders["o_orderkey"].to_pylist(), orders["o_orderdate"].to_pylist()) if str(d) >= "1999"}
+    gone = [k in late for k in lines["l_orderkey"].to_pylist()]
+    at = lines.column_names.index("l_quantity")
+    quantity = pa.array([None if g else q for g, q in zip(gone, lines["l_quantity"].to_pylist())], lines.schema.field(at).type)
+    (tmp_path / "lineitem.parquet").unlink()
+    pq.write_table(lines.set_column(at, lines.schema.field(at).name, quantity), tmp_path / "lineitem.parquet")
+    got = {(r["table_name"], r["column_name"]): r["n_nulls"] for r in QUERIES["check_not_null"](spark, str(tmp_path)).collect()}
+    assert got["landed", "quantity"] == 0 and got["fact_sales", "quantity"] == sum(gone) > 0
+    assert compare(spark, "check_not_null", str(tmp_path))["values_match"]
