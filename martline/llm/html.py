@@ -60,6 +60,8 @@ _TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ANCHOR = re.compile(r"<(/?)a(?=[\s/>])", re.I)
+_SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/\s*$")
 _WORDS = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -113,12 +115,18 @@ def _place(stack: list[tuple[str, str | None]]) -> tuple[str | None, int]:
     return (_DROP, 0) if dropped else (found, named)
 
 
+def _links(rest: str) -> bool:
+    """Whether an a element with these attributes is a link, and not an anchor or self-closed."""
+    return not _SELF_CLOSED.search(rest) and any(a[0].lower() == "href" for a in _ATTRIBUTE.findall(rest))
+
+
 def blocks(page: str) -> list[Block]:
     """The page's non-empty blocks in order, references decoded, white space collapsed."""
     out: list[Block] = []
     stack: list[tuple[str, str | None]] = []
     parts: list[str] = []
-    state = {"links": 0, "linked": 0, "heading": False}
+    # depth: block elements opened inside of the link; spans: whether the link's end tag follows before another link
+    state = {"links": 0, "linked": 0, "heading": False, "depth": 0, "spans": False}
 
     def text(raw: str) -> None:
         if raw:
@@ -156,12 +164,20 @@ def blocks(page: str) -> list[Block]:
                     at = len(page)
             continue
         if tag == "a":
-            state["links"] = 0 if closing else 1
+            state["links"] = int(not closing and _links(rest))
+            if state["links"]:
+                following = _ANCHOR.search(page, at)
+                state["depth"], state["spans"] = 0, bool(following and following[1])
         elif tag == "br":
             parts.append(" ")
         if tag not in BLOCK_TAGS:
             continue
         end_block()
+        # a link ends with its block, but one around whole blocks goes on to its end tag
+        if tag != "hr":
+            state["depth"] += -1 if closing else 1
+        if not state["spans"] or state["depth"] < 0:
+            state["links"] = 0
         state["heading"] = not closing and tag[0] == "h" and tag[1:].isdigit()
         if tag not in HOLDERS:
             continue

@@ -143,6 +143,25 @@ def test_teasers_and_comments_do_not_replace_the_article(wrap):
         assert html.main_text(page(article(wrap) + tail)) == "\n\n".join(ARTICLE)
 
 
+@pytest.mark.parametrize("anchor", ['<a id="x"/>', '<a id="x" />', '<a name="x">', '<a name="x"></a>', "<a>", '<a href="/x"/>', '<a href="/x">',
+                                    '<a href="/x">here', "<a href=/x/>here"])
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div>{}</div>"])
+@pytest.mark.parametrize("tail", ["", "<a name='end'></a>", "</a>"])
+def test_anchors_and_unclosed_links_drop_no_paragraph(anchor, wrap, tail):
+    for lead in (f"<p>{anchor}</p>", f"{ARTICLE[0]} {anchor}".join(["<p>", "</p>"])):
+        got = html.main_text(page(wrap.format(lead + "".join(f"<p>{p}</p>" for p in ARTICLE) + tail)))
+        assert got.endswith("\n\n".join(ARTICLE))
+    got = html.main_text(page(wrap.format("".join(f"<p>{'<a name=x>' if anchor == '<a>' else ''}{p}</p>" for p in ARTICLE))))
+    assert got == "\n\n".join(ARTICLE)
+
+
+def test_links_around_blocks_still_count():
+    card = f'<a href="/other"><div><h3>Another one</h3><p>{ARTICLE[0]}</p><p>{ARTICLE[2]}</p></div></a>'
+    assert html.main_text(page(f"<div>{card}{card}</div>")) == ""
+    assert html.main_text(page(f"<article>{card}<p>{ARTICLE[2]}</p></article>")) == ARTICLE[2]
+    assert html.main_text(page(f'<div><p><a href="/x">{ARTICLE[0]}</a></p></div>')) == ""
+
+
 def test_inside_of_blocks():
     long = "This is the text of a block that is long enough to be judged by itself, with all of the words in it"
     got = html.main_text(page(f"<article><p>{long} &amp; &lt;b&gt; &eacute;&#233;&#x1F600;\n\t two&nbsp;&nbsp;words<br>next <i>li</i>ne</p>"
