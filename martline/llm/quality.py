@@ -64,7 +64,7 @@ class Features:
         if found is None:
             if len(self.words) >= self.LIMIT:
                 self.words.clear()
-            shape = _RUNS.sub(_run_mark, word)[:24]
+            shape = _RUNS.sub(_run_mark, word)
             found = self.words[word] = (xxhash.xxh3_64_intdigest(word.lower(), 1),
                                         xxhash.xxh3_64_intdigest(shape, 2))
         return found

@@ -117,3 +117,9 @@ def test_keep_good_filters_and_keeps_columns(spark, awkward, no_docs):
     assert {r["doc_id"] for r in kept.collect()} == want and kept.columns == docs.columns
     assert quality.keep_good(awkward, labels).columns == awkward.columns
     assert quality.keep_good(no_docs, labels).collect() == []
+
+
+def test_long_words_count_to_their_end():
+    shapes = [b"aB-" * 20 + end for end in (b"", b"7", b"7/x", b"X!")]
+    seen = quality.Features()
+    assert len({seen._seen(w)[1] for w in shapes}) == len(shapes)
