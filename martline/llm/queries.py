@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martline.llm import balltree, chat, decontaminate, html, mixing, quality, runindex, simhash, tokens, toxicity
+from martline.llm import (balltree, chat, decontaminate, html, mixing, packing, quality, runindex, simhash, tokens,
+                          toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +52,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -62,6 +67,7 @@ QUERIES = {
     "op8_run_length_dedup": op8_run_length_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op13_packing": op13_packing,
 }
 
 ORACLES: dict[str, str] = {

@@ -73,7 +73,7 @@ def test_registered_names():
     import __spark_entry__ as e
 
     numbers = {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES}
-    assert numbers == set(range(1, 11)) and "pipeline" in e.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in e.queries()
     assert set(QUERIES) <= set(e.queries()) and set(ORACLES) <= set(e.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "simhash near-dedup", "suffix-array dedup",
                                                       "benchmark decontamination", "mixing to target weights"]

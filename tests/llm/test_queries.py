@@ -15,7 +15,7 @@ def test_query_matches_its_statement(spark, name):
     assert canonical_rows(df.columns, [tuple(r) for r in df.collect()]) == canonical_rows(columns, rows)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op13_packing"}))
 def test_query_gives_a_row_for_each_row_of_its_table(spark, name):
     table = "pages" if name.startswith("op7_") else "documents"
     want = spark.read.parquet(f"{SMALL}/{table}.parquet").count()
