@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martline.llm import (balltree, chat, decontaminate, html, mixing, packing, quality, runindex, simhash, tokens,
+from martline.llm import (balltree, chat, decontaminate, html, merkle, mixing, packing, quality, runindex, simhash, tokens,
                           toxicity)
 
 
@@ -52,6 +52,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(_table(spark, sf_dir, "documents"))
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -67,9 +71,15 @@ QUERIES = {
     "op8_run_length_dedup": op8_run_length_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_packing": op13_packing,
 }
 
+#: CRC-32 (unsigned, reflected, polynomial 0xEDB88320) of an ASCII text ``s``, bit by bit.
+_CRC32 = """xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(s) + 1), lambda i: ord(s[i])::BIGINT),
+                lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
 ORACLES: dict[str, str] = {
     "op3_exact_topk": """
         WITH v AS (
@@ -158,4 +168,53 @@ ORACLES: dict[str, str] = {
                                                        THEN hex(array_slice(t, coalesce(done, 0) + 1, octet_length(t)))
                                                        ELSE '' END)) AS kept_sha256
         FROM d LEFT JOIN x ON d.r = x.r""",
+    # levels by grouped recursion, then every leaf up its language's tree and up the tree of subroots
+    "op12_merkle_manifest": """
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS r, doc_id, lang, text, CAST(doc_id AS VARCHAR) AS s,
+                   concat_ws('', coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'),
+                             coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+                             coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head
+            FROM documents),
+        l AS (
+            SELECT r, doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                                          'abcdefghijklmnopqrstuvwxyz'), '-')) AS lowered,
+                   coalesce(CRC32_OF_S % 3 = 0, false) AS tampered FROM d),
+        p AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS idx,
+                   count(*) OVER (PARTITION BY lang) AS width FROM l),
+        n(lang, level, idx, width, h, kids) AS (
+            SELECT lang, 0, idx, width, leaf, CAST([] AS VARCHAR[]) FROM p
+            UNION ALL
+            SELECT lang, max(level) + 1, idx // 8, (max(width) + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)),
+                   list(h ORDER BY idx) FROM n WHERE width > 1 GROUP BY lang, idx // 8),
+        s AS (
+            SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS width
+            FROM n WHERE width = 1),
+        u(level, idx, width, h, kids) AS (
+            SELECT 0, idx, width, subroot, CAST([] AS VARCHAR[]) FROM s
+            UNION ALL
+            SELECT max(level) + 1, idx // 8, (max(width) + 7) // 8, sha256(string_agg(h, '' ORDER BY idx)),
+                   list(h ORDER BY idx) FROM u WHERE width > 1 GROUP BY idx // 8),
+        c(r, lang, level, idx, h, proof) AS (
+            SELECT r, lang, 0, idx, CASE WHEN tampered THEN lowered ELSE leaf END, '' FROM p
+            UNION ALL
+            SELECT r, c.lang, n.level, n.idx,
+                   sha256(array_to_string(n.kids[:c.idx % 8] || [c.h] || n.kids[c.idx % 8 + 2:], '')),
+                   proof || array_to_string(n.kids[:c.idx % 8] || n.kids[c.idx % 8 + 2:], '')
+            FROM c JOIN n ON c.lang IS NOT DISTINCT FROM n.lang AND n.level = c.level + 1 AND n.idx = c.idx // 8),
+        at_subroot AS (
+            SELECT r, c.h, proof, s.idx FROM c JOIN n USING (level, idx) JOIN s ON s.lang IS NOT DISTINCT FROM c.lang
+            WHERE n.lang IS NOT DISTINCT FROM c.lang AND n.width = 1),
+        t(r, level, idx, h, proof) AS (
+            SELECT r, 0, idx, h, proof FROM at_subroot
+            UNION ALL
+            SELECT r, u.level, u.idx, sha256(array_to_string(u.kids[:t.idx % 8] || [t.h] || u.kids[t.idx % 8 + 2:], '')),
+                   proof || array_to_string(u.kids[:t.idx % 8] || u.kids[t.idx % 8 + 2:], '')
+            FROM t JOIN u ON u.level = t.level + 1 AND u.idx = t.idx // 8)
+        SELECT p.doc_id, p.leaf, s.subroot, u.h AS root, sha256(t.proof) AS proof_sha256, t.h AS folded_root,
+               t.h = u.h AS verified
+        FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang JOIN t ON t.r = p.r
+        JOIN u ON u.width = 1 AND u.level = t.level""".replace("CRC32_OF_S", _CRC32),
 }
