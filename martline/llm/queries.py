@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martline.llm import (balltree, chat, decontaminate, html, merkle, mixing, packing, quality, runindex, simhash, tokens,
-                          toxicity)
+from martline.llm import (balltree, chat, decontaminate, html, merkle, mixing, packing, quality, repair, runindex, simhash,
+                          tokens, toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(_table(spark, sf_dir, "conversations"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(_table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op8_run_length_dedup": op8_run_length_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_packing": op13_packing,
 }
@@ -217,4 +222,61 @@ ORACLES: dict[str, str] = {
                t.h = u.h AS verified
         FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang JOIN t ON t.r = p.r
         JOIN u ON u.width = 1 AND u.level = t.level""".replace("CRC32_OF_S", _CRC32),
+    # rows one by one: the best (cost, audit, text) of each state; states: 0 nothing yet, 1 system, 2 user, 3 assistant
+    "op11_conversation_repair": r"""
+        WITH RECURSIVE k AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS s FROM conversations),
+        g AS (SELECT *, CRC32_OF_S % 20 AS kind FROM k),
+        d AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM g),
+        o AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                                         md5(strlen(role) || ':' || role || text), copy) AS i,
+                   left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+            FROM d),
+        f AS (
+            SELECT *, body = '' AS blank,
+                   body <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate,
+                   lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS previous FROM o),
+        e AS (
+            SELECT *, NOT blank AND NOT duplicate AND right(body, 1) NOT IN ('.', '!', '?') AS truncated FROM f),
+        ins(state, label, cost, lines, here) AS (
+            VALUES (0, '', 0, '', 0), (0, 'I', 2, 'user:' || chr(10), 2), (0, 'II', 4, 'user:' || chr(10) || 'assistant:' || chr(10), 3),
+                   (1, '', 0, '', 1), (1, 'I', 2, 'user:' || chr(10), 2), (1, 'II', 4, 'user:' || chr(10) || 'assistant:' || chr(10), 3),
+                   (2, '', 0, '', 2), (2, 'I', 2, 'assistant:' || chr(10), 3), (3, '', 0, '', 3), (3, 'I', 2, 'user:' || chr(10), 2)),
+        r(conv_id, i, state, best) AS (
+            SELECT DISTINCT conv_id, 0::BIGINT, 0, {'c': 0, 'a': '', 't': ''} FROM conversations
+            UNION ALL
+            SELECT r.conv_id, r.i + 1,
+                   CASE op WHEN 'D' THEN here WHEN 'K' THEN CASE initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END
+                           ELSE CASE here WHEN 2 THEN 3 ELSE 2 END END AS after,
+                   min({'c': best.c + ins.cost + CASE op WHEN 'D' THEN 3 WHEN 'K' THEN 0 ELSE 2 END
+                             + CASE WHEN op <> 'D' AND truncated THEN 1 ELSE 0 END,
+                        'a': best.a || label || op,
+                        't': best.t || lines || CASE op WHEN 'D' THEN '' WHEN 'K' THEN role || ':' || text || chr(10)
+                             ELSE CASE here WHEN 2 THEN 'assistant:' ELSE 'user:' END || text || chr(10) END})
+            FROM r JOIN e ON e.conv_id IS NOT DISTINCT FROM r.conv_id AND e.i = r.i + 1 JOIN ins USING (state),
+                 (VALUES ('D'), ('K'), ('R')) AS ops(op)
+            WHERE op = 'D' OR NOT blank AND NOT duplicate
+                  AND (op = 'R' OR initial = 's' AND here = 0 OR initial = 'u' AND here IN (0, 1, 3) OR initial = 'a' AND here = 2)
+            GROUP BY r.conv_id, r.i, after),
+        n AS (
+            SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count_if(blank) AS blank,
+                   count_if(duplicate) AS duplicate, count_if(truncated) AS truncated,
+                   count_if(i > 1 AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+            FROM e GROUP BY conv_id),
+        x AS (
+            SELECT r.conv_id, min({'c': best.c + CASE state WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 0 END,
+                                   'a': best.a || CASE state WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+                                   't': best.t || CASE state WHEN 1 THEN 'user:' || chr(10) || 'assistant:' || chr(10)
+                                                  WHEN 2 THEN 'assistant:' || chr(10) ELSE '' END}) AS best
+            FROM r LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM r.conv_id WHERE r.i = coalesce(n.n, 0) GROUP BY r.conv_id)
+        SELECT x.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+               CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+               CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(best.c AS BIGINT) AS cost, best.a AS audit,
+               sha256(CASE WHEN best.t = '' THEN '' ELSE left(best.t, length(best.t) - 1) END) AS repaired_sha256
+        FROM x LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM x.conv_id""".replace("CRC32_OF_S", _CRC32),
 }
