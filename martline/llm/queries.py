@@ -171,7 +171,14 @@ ORACLES: dict[str, str] = {
                coalesce(n_spans, 0) AS n_spans,
                sha256(unhex(coalesce(kept, '') || CASE WHEN octet_length(t) > coalesce(done, 0)
                                                        THEN hex(array_slice(t, coalesce(done, 0) + 1, octet_length(t)))
-                                                       ELSE '' END)) AS kept_sha256
+                                                       ELSE '' END)) AS kept_sha256,
+               -- whole characters of what remains: a cut may have split some
+               decode(unhex(array_to_string(list_filter(regexp_extract_all(
+                   coalesce(kept, '') || CASE WHEN octet_length(t) > coalesce(done, 0)
+                                              THEN hex(array_slice(t, coalesce(done, 0) + 1, octet_length(t))) ELSE '' END,
+                   '[0-7].|(?:C[2-9A-F]|D.)[89AB].|E0[AB].[89AB].|(?:E[1-9ABCEF](?:[89AB].){2})|ED[89].[89AB].|'
+                   || 'F0[9AB].(?:[89AB].){2}|F[1-3](?:[89AB].){3}|F48.(?:[89AB].){2}|..'),
+                   lambda c: length(c) > 2 OR c < '80'), ''))) AS text
         FROM d LEFT JOIN x ON d.r = x.r""",
     # levels by grouped recursion, then every leaf up its language's tree and up the tree of subroots
     "op12_merkle_manifest": """

@@ -1,24 +1,30 @@
 """Removal of long repeats with run-length compressed indexes.
 
-Any two equal strings of LENGTH bytes choose the same anchor: the place of the least
-hashed GRAM-byte string in them.  The strings that share an anchor lie in one stretch
-of text, its context, and equal strings meet under the hash of their
-anchor.  Contexts that occur twice as a whole are repeats; the different contexts of a
-common anchor are indexed together, anchors dealt over shards of bounded size:
+Texts are sequences of symbols: their bytes, or their words by 64-bit hash.  Any two equal strings
+of ``length`` symbols choose the same anchor: the place of the least hashed ``gram`` symbols
+in them.  The strings that share an anchor lie in one stretch of text, its context, and equal
+strings meet under the hash of their anchor.  Contexts that occur twice as a whole are
+repeats; the different contexts of a common anchor are indexed together, anchors dealt over
+shards of bounded size:
 
 * the shard's suffixes are sorted, and its Burrows-Wheeler transform is kept as
   runs of equal letters with the suffix positions at both ends of each run;
 * inside a run, neighbouring suffixes go on to the left with the same letter, so a
   longest match begins only at the ends of runs: match lengths are taken there;
 * the matching statistics of the contexts are streamed from those samples (a position
-  matches at least one byte less than the position before it), and every byte within
-  a match of LENGTH or more is marked.
+  matches at least one symbol less than the position before it), and every symbol within
+  a match of ``length`` or more is marked.
+
+An anchor with more contexts than a shard holds is too common to tell them apart: its contexts are
+anchored once more by longer grams, the last as long as the strings themselves, under
+which only equal strings meet.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,16 +35,43 @@ from pyspark.sql import types as T
 
 from martline.llm.common import byte_texts, byte_view, row_key, seen_filter, stored
 
-#: Bytes of a repeated string, and of the strings among which its anchor is chosen.
-LENGTH, GRAM = 400, 64
-#: Bytes looked at together, windows of one piece of a long text, bytes of one index.
+#: Symbols looked at together, windows of one piece of a long text, symbols of one index.
 BUFFER, PIECE, SHARD = 1 << 20, 1 << 19, 1 << 19
-#: Different contexts of an anchor that are indexed together; the windows of more frequent
-#: anchors are counted one by one instead, which no single task has to hold.
+#: Different contexts of an anchor that are indexed together; a context is shorter than two strings.
 CROWD = 2048
 
+
+@dataclass(frozen=True)
+class Rule:
+    """What a repeat is: ``length`` symbols (words, or else bytes), and the grams of its anchors."""
+
+    length: int
+    grams: tuple[int, ...]
+    words: bool = False
+
+    @property
+    def size(self) -> int:
+        """Bytes of a symbol."""
+        return 8 if self.words else 1
+
+    def symbols(self, text: bytes) -> np.ndarray:
+        if not self.words:
+            return np.frombuffer(text, np.uint8)
+        # bytes.split() knows the six blanks of the word rule and no others
+        found = text.split()
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+
+
+def byte_rule(length: int = 400, gram: int = 64) -> Rule:
+    return Rule(length, (gram, (gram + length) // 2, length))
+
+
+def word_rule(length: int = 51, gram: int = 8) -> Rule:
+    return Rule(length, (gram, (gram + length) // 2, length), words=True)
+
+
 _BASE = 0x9E3779B97F4A7C15 | 1
-_SPAN = BUFFER + PIECE + LENGTH + 1
+_SPAN = BUFFER + PIECE + 4096
 _POWER = np.cumprod(np.full(_SPAN, _BASE, np.uint64))
 _UNDO = np.cumprod(np.full(_SPAN, pow(_BASE, -1, 1 << 64), np.uint64))
 _PLACE = np.uint64((1 << 24) - 1)
@@ -85,12 +118,30 @@ def _pieces(ends: np.ndarray, length: int) -> Iterator[tuple[int, int, int]]:
             yield row, at, min(b, at + PIECE + length - 1)
 
 
-def contexts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(key, c1, c2, k1, k2, start, windows): every context of every text, with its 128-bit hash."""
-    schema = "key long, c1 long, c2 long, k1 long, k2 long, start int, windows int"
+def texts_of(docs: DataFrame) -> DataFrame:
+    """(k1, k2, at, body): every text, as the whole of itself."""
+    return docs.select(*row_key(), F.lit(0).alias("at"), F.col("text").cast("string").alias("body"))
+
+
+def _sequences(column: pa.Array, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of a column of texts, or of symbols written as binary, and where its rows begin and end."""
+    if not rule.words:
+        return byte_view(column)
+    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+        rows = [rule.symbols(t) for t in byte_texts(column)]
+    else:
+        rows = [np.frombuffer(t, np.uint64) for t in byte_texts(column)]
+    return (np.concatenate([np.zeros(0, np.uint64), *rows]),
+            np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)]))
+
+
+def contexts(parts: DataFrame, rule: Rule, gram: int) -> DataFrame:
+    """(key, c1, c2, k1, k2, at, start, windows): every context of every part, with its 128-bit hash."""
+    schema = "key long, c1 long, c2 long, k1 long, k2 long, at int, start int, windows int"
+    length = rule.length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(raw, ends, k1, k2, group: list[tuple[int, int, int]]) -> pa.RecordBatch:
+        def emit(raw, ends, k1, k2, from_, group: list[tuple[int, int, int]]) -> pa.RecordBatch:
             sizes = np.array([b - a for _, a, b in group])
             text = np.concatenate([raw[a:b] for _, a, b in group])
             begin = np.cumsum(sizes) - sizes
@@ -98,31 +149,31 @@ def contexts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
             for at, size in zip(begin.tolist(), sizes.tolist()):
                 valid[at:at + size - length + 1] = True
             first, last, key = anchor_runs(text, valid, length, gram)
-            view = memoryview(text)
-            hashes = np.frombuffer(b"".join([xxhash.xxh3_128_digest(view[a:b + length]) for a, b in
+            view, size = memoryview(text).cast("B"), rule.size
+            hashes = np.frombuffer(b"".join([xxhash.xxh3_128_digest(view[a * size:(b + length) * size]) for a, b in
                                              zip(first.tolist(), last.tolist())]), np.int64).reshape(-1, 2)
             own = np.searchsorted(begin, first, "right") - 1
             rows = np.array([g[0] for g in group])[own]
-            start = first - begin[own] + np.array([g[1] for g in group])[own] - ends[rows]
+            start = first - begin[own] + np.array([g[1] for g in group])[own] - ends[rows] + from_[rows]
             return pa.RecordBatch.from_arrays(
                 [pa.array(key), pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), pa.array(k1[rows]), pa.array(k2[rows]),
-                 pa.array(start.astype(np.int32)), pa.array((last - first + 1).astype(np.int32))],
-                ["key", "c1", "c2", "k1", "k2", "start", "windows"])
+                 pa.array(from_[rows]), pa.array(start.astype(np.int32)), pa.array((last - first + 1).astype(np.int32))],
+                ["key", "c1", "c2", "k1", "k2", "at", "start", "windows"])
 
         for b in batches:
-            raw, ends = byte_view(b.column("text"))
-            k1, k2 = b.column("k1").to_numpy(), b.column("k2").to_numpy()
+            raw, ends = _sequences(b.column("body"), rule)
+            keys = [b.column(c).to_numpy() for c in ("k1", "k2", "at")]
             group, held = [], 0
             for piece in _pieces(ends, length):
                 if held and held + piece[2] - piece[1] > BUFFER:
-                    yield emit(raw, ends, k1, k2, group)
+                    yield emit(raw, ends, *keys, group)
                     group, held = [], 0
                 group.append(piece)
                 held += piece[2] - piece[1]
             if group:
-                yield emit(raw, ends, k1, k2, group)
+                yield emit(raw, ends, *keys, group)
 
-    return docs.select(*row_key(), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return parts.select("k1", "k2", "at", "body").mapInArrow(run, schema)
 
 
 # ---------------------------------------------------------------- one shard's index
@@ -130,56 +181,51 @@ def contexts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
 class RunLengthIndex:
     """Run-length Burrows-Wheeler transform of a set of texts, suffix positions sampled at run ends.
 
-    letters, lengths: the runs; first, last: text positions of the suffixes at
-    each run's ends.  ``least`` is the shortest match of interest.  Suffixes are sorted to
-    the ends of their texts: only then does a run's inner pair go on to the left as neighbours.
+    head, lengths: the runs; first, last: text positions of the suffixes at each run's
+    ends.  ``least`` is the shortest match of interest.  Suffixes are sorted to the ends of
+    their texts: only then does a run's inner pair go on to the left as neighbours.
     """
 
     def __init__(self, text: np.ndarray, ends: np.ndarray, least: int):
-        self.text, n = text, len(text)
+        letters, text = (256, text) if text.dtype == np.uint8 else (lambda u, i: (len(u), i))(*np.unique(text, return_inverse=True))
+        n = len(text)
         begin = np.append(0, ends[:-1])
         # positions fit 32 bits: an index holds a bounded shard
-        self.left = (np.repeat(ends, ends - begin) - np.arange(n)).astype(np.int32)  # bytes up to the own text's end
-        self.words = self._words()
+        self.left = (np.repeat(ends, ends - begin) - np.arange(n)).astype(np.int32)  # symbols up to the own text's end
+        self.bits = int(letters).bit_length()  # a letter is its rank + 1, zero lies beyond the end
+        self.together = 63 // self.bits
+        self.words = self._words(text.astype(np.int32))
         order, self.alike = self._sorted(int((ends - begin).max()), least)
-        before = text[order - 1].astype(np.int16)
+        before = text[order - 1]
         starts = np.zeros(n, bool)
         starts[begin[begin < n]] = True
         edge = starts[order]  # a text's first suffix has no letter before it: a run of its own
-        new = np.append(True, (before[1:] != before[:-1]) | edge[1:] | edge[:-1])
-        self.head = np.flatnonzero(new)
-        self.letters = np.where(edge[self.head], -1, before[self.head])
+        self.head = np.flatnonzero(np.append(True, (before[1:] != before[:-1]) | edge[1:] | edge[:-1]))
         self.lengths = np.diff(np.append(self.head, n))
         self.first = order[self.head]
         self.last = order[self.head + self.lengths - 1]
 
-    def _words(self) -> np.ndarray:
-        """Eight bytes from every position, zeros beyond the end of the own text."""
-        n = len(self.text)
-        padded = np.concatenate([self.text, np.zeros(8, np.uint8)])
+    def _words(self, text: np.ndarray) -> np.ndarray:
+        """As many letters as fit 63 bits from every position, zeros beyond the end of the own text."""
+        n = len(text)
+        padded = np.concatenate([text, np.zeros(self.together, np.int32)])
         out = np.zeros(n, np.uint64)
-        for i in range(8):
-            inside = self.left > i
-            out = (out << np.uint64(8)) | np.where(inside, padded[i:i + n], 0).astype(np.uint64)
+        for i in range(self.together):
+            letter = np.where(self.left > i, padded[i:i + n] + 1, 0).astype(np.uint64)
+            out = (out << np.uint64(self.bits)) | letter
         return out
 
     def _sorted(self, depth: int, least: int) -> tuple[np.ndarray, np.ndarray]:
         """Suffix positions in order of their first ``depth`` letters, by prefix doubling, and groups
         within which all positions lie that agree in ``least`` letters."""
-        n = len(self.text)
-        # seven letters of nine bits: a letter is its byte + 1, zero lies beyond the end
-        key = np.zeros(n, np.uint64)
-        padded = np.concatenate([self.text, np.zeros(8, np.uint8)])
-        for i in range(7):
-            letter = np.where(self.left > i, padded[i:i + n].astype(np.uint64) + np.uint64(1), np.uint64(0))
-            key = (key << np.uint64(9)) | letter
-        order = np.argsort(key).astype(np.int32)
-        key = key[order]
+        n = len(self.words)
+        order = np.argsort(self.words).astype(np.int32)
+        key = self.words[order]
         new = np.append(True, key[1:] != key[:-1])
-        del key, letter, padded
+        del key
         slots, rank = np.arange(n, dtype=np.int32), np.empty(n, np.int32)
         rank[order] = np.maximum.accumulate(np.where(new, slots, 0))
-        alike, sorted_to = rank.copy(), 7
+        alike, sorted_to = rank.copy() if self.together <= least else np.zeros(n, np.int32), self.together
         while sorted_to < depth:
             if sorted_to <= least:
                 alike[:] = rank
@@ -199,23 +245,24 @@ class RunLengthIndex:
         return order, alike
 
     def _agreement(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """How many bytes the suffixes at a and b have in common."""
+        """How many symbols the suffixes at a and b have in common."""
         most = np.minimum(self.left[a], self.left[b]).astype(np.int64)
         out, todo, at = np.zeros(len(a), np.int64), np.arange(len(a)), 0
         while len(todo):
             x, y = a[todo] + at, b[todo] + at
             apart = self.words[x] ^ self.words[y]
-            same = (apart == 0) & (most[todo] > at + 8)
+            same = (apart == 0) & (most[todo] > at + self.together)
             done = todo[~same]
-            equal = sum((apart[~same] >> np.uint64(64 - 8 * i) == 0).astype(np.int64) for i in range(1, 9))
-            out[done] = np.minimum(at + equal, most[done])  # equal leading bytes of the word that differs
-            todo, at = todo[same], at + 8
+            equal = sum((apart[~same] >> np.uint64(self.bits * (self.together - i)) == 0).astype(np.int64)
+                        for i in range(1, self.together + 1))
+            out[done] = np.minimum(at + equal, most[done])  # equal leading letters of the word that differs
+            todo, at = todo[same], at + self.together
         return out
 
     def matching_statistics(self, least: int) -> np.ndarray:
         """For each position the end of the match of ``least`` bytes or more that reaches furthest and
         begins there or before: sampled at run ends, then streamed from left to right."""
-        n = len(self.text)
+        n = len(self.left)
         reach = np.zeros(n, np.int64)
         if len(self.first) > 1:
             a, b = self.last[:-1], self.first[1:]
@@ -229,7 +276,7 @@ class RunLengthIndex:
 
     def marked(self, least: int) -> np.ndarray:
         """Bytes inside a string of at least ``least`` bytes that begins anywhere else as well."""
-        return self.matching_statistics(least) > np.arange(len(self.text))
+        return self.matching_statistics(least) > np.arange(len(self.left))
 
 
 def spans(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -240,52 +287,53 @@ def spans(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # ---------------------------------------------------------------- marks of the corpus
 
-_CONTEXT = "key long, c1 long, c2 long, n long, k1 long, k2 long, start int, windows int, context binary"
+_CONTEXT = "key long, c1 long, c2 long, n long, contexts long, k1 long, k2 long, start int, windows int, context binary"
 _MARK = "k1 long, k2 long, a int, b int"
 
 
-def _fetched(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of the wanted contexts (at most one row for each, but for repeated input rows)."""
+def _fetched(parts: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
+    """The symbols of the wanted contexts (at most one row for each, but for repeated input rows)."""
     known = seen_filter(wanted.select("k1"), "k1")
-    lists = (wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("key", "c1", "c2", "n", "start", "windows")).alias("wanted"))
-             .select(F.col("k1").alias("w1"), F.col("k2").alias("w2"), "wanted"))
-    texts = docs.select(*row_key(), F.col("text").cast("string").alias("text")).where(known(F.col("k1")))
-    joined = (texts.join(lists, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")))
-              .select("k1", "k2", "text", "wanted"))
+    names = ["key", "c1", "c2", "n", "contexts", "start", "windows"]
+    lists = (wanted.groupBy("k1", "k2", "at").agg(F.collect_list(F.struct(*names)).alias("wanted"))
+             .select(F.col("k1").alias("w1"), F.col("k2").alias("w2"), F.col("at").alias("w3"), "wanted"))
+    joined = (parts.where(known(F.col("k1")))
+              .join(lists, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")) & (F.col("at") == F.col("w3")))
+              .select("k1", "k2", "at", "body", "wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k1, k2, text, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist(),
-                                          byte_texts(b.column(2)), b.column(3).to_pylist()):
-                cols = {c: [w[c] for w in want] for c in ("key", "c1", "c2", "n", "start", "windows")}
-                body = [text[s:s + w + length - 1] for s, w in zip(cols["start"], cols["windows"])]
+            raw, ends = _sequences(b.column("body"), rule)
+            for k1, k2, at, begin, want in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(),
+                                               ends.tolist(), b.column(4).to_pylist()):
+                cols = {c: [w[c] for w in want] for c in names}
+                body = [raw[begin + s - at:begin + s - at + w + rule.length - 1].tobytes()
+                        for s, w in zip(cols["start"], cols["windows"])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols["key"], pa.int64()), pa.array(cols["c1"], pa.int64()), pa.array(cols["c2"], pa.int64()),
-                     pa.array(cols["n"], pa.int64()), pa.array([k1] * len(want), pa.int64()),
-                     pa.array([k2] * len(want), pa.int64()), pa.array(cols["start"], pa.int32()),
-                     pa.array(cols["windows"], pa.int32()), pa.array(body, pa.binary())],
-                    ["key", "c1", "c2", "n", "k1", "k2", "start", "windows", "context"])
+                    [*(pa.array(cols[c], pa.int64()) for c in names[:5]), pa.array([k1] * len(want), pa.int64()),
+                     pa.array([k2] * len(want), pa.int64()), *(pa.array(cols[c], pa.int32()) for c in names[5:]),
+                     pa.array(body, pa.binary())], [c.split()[0] for c in _CONTEXT.split(", ")])
 
     return joined.mapInArrow(cut, _CONTEXT)
 
 
-def _indexed(found: DataFrame, length: int) -> DataFrame:
+def _indexed(found: DataFrame, rule: Rule) -> DataFrame:
     """Marks within contexts whose anchor has other contexts, from one index for each bounded shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def index(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
             if len(rows) < 2:
                 return
-            text = np.frombuffer(b"".join(r[8] for r in rows), np.uint8)
-            ends = np.cumsum([len(r[8]) for r in rows])
-            a, b = spans(RunLengthIndex(text, ends, length).marked(length))
+            text = np.frombuffer(b"".join(r[9] for r in rows), np.uint64 if rule.words else np.uint8)
+            ends = np.cumsum([len(r[9]) // rule.size for r in rows])
+            a, b = spans(RunLengthIndex(text, ends, rule.length).marked(rule.length))
             # a span may run over from one context into the next
             begin = np.append(0, ends[:-1])
             for lo, hi in zip(a.tolist(), b.tolist()):
                 own = np.arange(np.searchsorted(ends, lo, "right"), np.searchsorted(ends, hi, "left") + 1)
                 for i in own.tolist():
                     if rows[i][3] == 1:
-                        s = rows[i][6] - int(begin[i])
-                        out.append((rows[i][4], rows[i][5], max(lo, int(begin[i])) + s, min(hi, int(ends[i])) + s))
+                        s = rows[i][7] - int(begin[i])
+                        out.append((rows[i][5], rows[i][6], max(lo, int(begin[i])) + s, min(hi, int(ends[i])) + s))
             if out:
                 k1, k2, x, y = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
@@ -303,65 +351,50 @@ def _indexed(found: DataFrame, length: int) -> DataFrame:
                     yield from index(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[8])
+                size += len(row[9]) // rule.size
         yield from index(held)
 
     return (found.repartition("key").sortWithinPartitions("key", "c1", "c2").mapInArrow(run, _MARK))
 
 
-def _counted(found: DataFrame, length: int) -> DataFrame:
-    """The same marks for crowded anchors: their windows are counted by 128-bit hash."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for n, k1, k2, start, windows, text in zip(*(b.column(c).to_pylist() for c in
-                                                         ("n", "k1", "k2", "start", "windows", "context"))):
-                view = memoryview(text)
-                h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(view[i:i + length]) for i in range(windows)),
-                                  np.int64).reshape(-1, 2)
-                same = lambda v, kind: pa.array(np.full(windows, v), kind)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[:, 0]), pa.array(h[:, 1]), same(n, pa.int64()), same(k1, pa.int64()), same(k2, pa.int64()),
-                     pa.array(np.arange(start, start + windows, dtype=np.int32))], ["w1", "w2", "n", "k1", "k2", "a"])
+def repeats(docs: DataFrame, rule: Rule, crowd: int = CROWD) -> DataFrame:
+    """(k1, k2, kind, a, b): what is known of a document's ranges of symbols.
 
-    rows = (found.mapInArrow(run, "w1 long, w2 long, n long, k1 long, k2 long, a int")
-            .groupBy("w1", "w2", "n", "k1", "k2", "a").agg(F.lit(1).alias("one")).drop("one"))
-    often = (rows.groupBy("w1", "w2").agg(F.sum("n").alias("times")).where("times > 1")
-             .select(F.col("w1").alias("o1"), F.col("w2").alias("o2")))
-    return (rows.where("n = 1").join(often, (F.col("w1") == F.col("o1")) & (F.col("w2") == F.col("o2")))
-            .select("k1", "k2", "a", (F.col("a") + length).alias("b")))
-
-
-def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
-    """(k1, k2, kind, a, b): what is known of a document's byte ranges.
-
-    kind 0: a..b is covered by repeated strings.  kind 1: a context whose anchor occurs
-    elsewhere spans a..b.  kind 2: the context that begins at a occurs just once as a whole.
-    So a document's repeated bytes are its ranges of kind 0 and those of kind 1 without a
-    kind 2 at the same place; rows are gathered by document once, and no join is needed
-    to find the contexts that occur again.
+    kind 0: a..b is covered by repeated strings.  Odd kinds, one for each length of grams: a context whose
+    anchor occurs elsewhere spans a..b.  The even kind after it: the context that begins at a occurs
+    just once as a whole.  So a document's repeated symbols are its ranges of kind 0 and the odd
+    ones without an even one at the same place; rows are gathered by document once,
+    and no join is needed to find the contexts that occur again.
     """
-    every = stored(contexts(docs, length, gram), "anchors")
-    shared_keys = stored(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-keys")
-    known = seen_filter(shared_keys, "key")
-    shared = stored(every.where(known(F.col("key"))).join(shared_keys, "key"), "shared-contexts")
-    whole = stored(shared.groupBy("key", "c1", "c2").agg(F.count("*").alias("n"), F.min(
-        F.struct("k1", "k2", "start", "windows")).alias("one")).select("key", "c1", "c2", "n", "one.*"), "different-contexts")
-    several = whole.groupBy("key").agg(F.count("*").alias("contexts")).where("contexts > 1")
-    wanted = stored(whole.join(several, "key"), "wanted-contexts")
-    found = stored(_fetched(docs, wanted, length).join(
-        several.select("key", (F.col("contexts") > crowd).alias("crowded")), "key"), "context-bytes")
-    calm = found.where("not crowded").select(*[c.split()[0] for c in _CONTEXT.split(", ")])
-    busy = found.where("crowded")
-    marks = _indexed(calm, length).unionByName(_counted(busy, length)).withColumn("kind", F.lit(0))
-    span = (F.col("start") + F.col("windows") + length - 1).alias("b")
-    spans_ = shared.select("k1", "k2", F.lit(1).alias("kind"), F.col("start").alias("a"), span)
-    once = whole.where("n = 1").select("k1", "k2", F.lit(2).alias("kind"), F.col("start").alias("a"), span)
-    return marks.select("k1", "k2", "kind", "a", "b").union(spans_).union(once)
-
-
-def _marked_docs(docs: DataFrame, length: int, gram: int, crowd: int, columns: list) -> DataFrame:
+    parts, out = texts_of(docs), []
+    span = (F.col("start") + F.col("windows") + rule.length - 1).alias("b")
+    for level, gram in enumerate(rule.grams):
+        every = stored(contexts(parts, rule, gram), "anchors")
+        shared_keys = stored(every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-keys")
+        known = seen_filter(shared_keys, "key")
+        shared = stored(every.where(known(F.col("key"))).join(shared_keys, "key"), "shared-contexts")
+        whole = stored(shared.groupBy("key", "c1", "c2").agg(F.count("*").alias("n"), F.min(
+            F.struct("k1", "k2", "at", "start", "windows")).alias("one")).select("key", "c1", "c2", "n", "one.*"), "different-contexts")
+        # stored before the join: an aggregate on its key would keep a hot anchor in one task
+        several = stored(whole.groupBy("key").agg(F.count("*").alias("contexts")).where("contexts > 1"), "several")
+        out += [shared.select("k1", "k2", F.lit(2 * level + 1).alias("kind"), F.col("start").alias("a"), span),
+                whole.where("n = 1").select("k1", "k2", F.lit(2 * level + 2).alias("kind"), F.col("start").alias("a"), span)]
+        if several.isEmpty():
+            break
+        found = stored(_fetched(parts, stored(whole.join(several, "key"), "wanted-contexts"), rule), "context-bytes")
+        out.append(_indexed(found.where(F.col("contexts") <= crowd), rule).select("k1", "k2", F.lit(0).alias("kind"), "a", "b"))
+        parts = found.where(F.col("contexts") > crowd).select("k1", "k2", F.col("start").alias("at"), F.col("context").alias("body"))
+        if parts.isEmpty():
+            break
+    marks = out[0]
+    for more in out[1:]:
+        marks = marks.union(more)
+    return marks
+
+
+def _marked_docs(docs: DataFrame, rule: Rule, crowd: int, columns: list) -> DataFrame:
     """The chosen columns of every document, then its text and what is known of its ranges (null: nothing)."""
-    marks = stored(repeats(docs, length, gram, crowd), "marks")
+    marks = stored(repeats(docs, rule, crowd), "marks")
     lists = (marks.groupBy("k1", "k2").agg(F.collect_set(F.struct("kind", "a", "b")).alias("ranges"))
              .select(F.col("k1").alias("m1"), F.col("k2").alias("m2"), "ranges"))
     keyed = docs.select(F.struct(*columns).alias("row"), F.col("text").cast("string").alias("whole_text"), *row_key())
@@ -369,12 +402,22 @@ def _marked_docs(docs: DataFrame, length: int, gram: int, crowd: int, columns: l
             .select("row", "whole_text", "ranges"))
 
 
-def _kept(text: bytes, ranges: list[dict] | None) -> tuple[bytes, int, int]:
-    """(bytes that remain, bytes removed, maximal removed runs)."""
+def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins and ends, in bytes."""
+    raw = np.frombuffer(text, np.uint8)
+    return spans((raw != 32) & ((raw < 9) | (raw > 13)))
+
+
+def _kept(text: bytes, ranges: list[dict] | None, rule: Rule) -> tuple[bytes, int, int]:
+    """(bytes that remain, bytes removed, maximal removed runs); of words, the blanks between them go too."""
     out, at, removed, runs = [], 0, 0, 0
-    once = {r["a"] for r in ranges or () if r["kind"] == 2}
-    for a, b in sorted((r["a"], r["b"]) for r in ranges or ()
-                       if r["kind"] == 0 or r["kind"] == 1 and r["a"] not in once):
+    once = {(r["kind"], r["a"]) for r in ranges or () if r["kind"] and r["kind"] % 2 == 0}
+    found = sorted((r["a"], r["b"]) for r in ranges or ()
+                   if r["kind"] == 0 or r["kind"] % 2 and (r["kind"] + 1, r["a"]) not in once)
+    if found and rule.words:
+        begins, ends = word_places(text)
+        found = [(int(begins[a]), int(ends[b - 1])) for a, b in found]
+    for a, b in found:
         if a > at or not runs:
             out.append(text[at:a])
             runs += 1
@@ -386,42 +429,44 @@ def _kept(text: bytes, ranges: list[dict] | None) -> tuple[bytes, int, int]:
     return b"".join(out), removed, runs
 
 
-def repeat_report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (lowercase hex).
+def repeat_report(docs: DataFrame, rule: Rule = byte_rule(), crowd: int = CROWD) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (lowercase hex), text.
 
-    A byte is removed if a string of ``length`` bytes that covers it also begins anywhere else
-    in the UTF-8 texts, the same one included; matches don't cross documents, and all are
-    judged on the input.  Null texts are empty; repeated rows are documents of their own (each repeats
+    A symbol is removed if a string of ``rule.length`` symbols that covers it also begins anywhere
+    else in the UTF-8 texts, the same one included; matches don't cross documents, and all are
+    judged on the input.  ``text`` is what remains, without characters that a cut has split.
+    Null texts are empty; repeated rows are documents of their own (each repeats
     the other); null ids stay null; other columns are ignored.
     """
     ident = F.col("doc_id").cast("long").alias("doc_id")
-    marked = _marked_docs(docs, length, gram, crowd, [ident]).select("row.doc_id", "whole_text", "ranges")
+    marked = _marked_docs(docs, rule, crowd, [ident]).select("row.doc_id", "whole_text", "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [(len(t), *_kept(t, r)) for t, r in zip(byte_texts(b.column(1)), b.column(2).to_pylist())]
+            got = [(len(t), *_kept(t, r, rule)) for t, r in zip(byte_texts(b.column(1)), b.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.int64()),
-                 pa.array([g[3] for g in got], pa.int64()), pa.array([hashlib.sha256(g[1]).hexdigest() for g in got], pa.string())],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                 pa.array([g[3] for g in got], pa.int64()), pa.array([hashlib.sha256(g[1]).hexdigest() for g in got], pa.string()),
+                 pa.array([g[1].decode("utf-8", "ignore") for g in got], pa.string())],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"])
 
-    return marked.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return marked.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
-    """The documents without their repeated bytes, all columns kept.
+def remove_repeats(docs: DataFrame, rule: Rule = byte_rule(), crowd: int = CROWD) -> DataFrame:
+    """The documents without their repeated symbols, all columns kept.
 
     A character that a removed range cuts in two goes with it; n_chars, if there is
     such a column, is the new text's length.  Untouched texts, nulls included, come back as they are.
     """
     names, schema = docs.columns, docs.schema
-    marked = _marked_docs(docs, length, gram, crowd, [docs[f"`{c}`"] for c in names])
+    marked = _marked_docs(docs, rule, crowd, [docs[f"`{c}`"] for c in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             new = []
             for text, ranges in zip(byte_texts(b.column(1)), b.column(2).to_pylist()):
-                kept, removed, _ = _kept(text, ranges)
+                kept, removed, _ = _kept(text, ranges, rule)
                 new.append(kept.decode("utf-8", "ignore") if removed else None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(new, pa.string())], ["row", "new"])
 

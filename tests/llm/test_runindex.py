@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -52,14 +53,52 @@ def repetitive(n, seed):
     return out
 
 
-@pytest.mark.parametrize("length, gram, crowd", [(16, 5, 2048), (16, 5, 2), (40, 8, 2048)])
+@pytest.mark.parametrize("length, gram, crowd", [(16, 5, 2048), (16, 5, 2), (16, 5, 0), (40, 8, 2048), (40, 8, 1)])
 def test_report_matches_brute_force(docs_of, length, gram, crowd):
     texts = [*repetitive(160, length + crowd), None, "", "a" * 15, "b" * 16, "c" * 17]
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
-           for r in runindex.repeat_report(docs_of(list(enumerate(texts))), length, gram, crowd).collect()}
+           for r in runindex.repeat_report(docs_of(list(enumerate(texts))), runindex.byte_rule(length, gram), crowd).collect()}
     assert [got[i] for i in range(len(texts))] == plain_report(texts, length)
 
 
+def plain_word_texts(texts, length):
+    """What remains without all words of windows that occur twice, blanks between removed words included."""
+    out, count, split = [], Counter(), [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0d]+", (t or "").encode())] for t in texts]
+    words = [[(t or "").encode()[a:b] for a, b in s] for t, s in zip(texts, split)]
+    for w in words:
+        count.update(tuple(w[i:i + length]) for i in range(len(w) - length + 1))
+    for t, w, s in zip(texts, words, split):
+        raw = (t or "").encode()
+        gone = bytearray(len(raw))
+        for i in range(len(w) - length + 1):
+            if count[tuple(w[i:i + length])] > 1:
+                a, b = s[i][0], s[i + length - 1][1]
+                gone[a:b] = b"\1" * (b - a)
+        out.append(bytes(c for c, x in zip(raw, gone) if not x).decode())
+    return out
+
+
+@pytest.mark.parametrize("length, gram, crowd", [(6, 2, 2048), (6, 2, 1), (11, 3, 0)])
+def test_words_match_brute_force(docs_of, length, gram, crowd):
+    rnd = random.Random(length + crowd)
+    passage = [" ".join(rnd.choice(["a", "bb", "é,", "dd\n", "e\t"]) for _ in range(rnd.randrange(30))) for _ in range(8)]
+    texts = [rnd.choice(["", " ", "x "]) + " ".join(rnd.choice(passage)[rnd.randrange(9):] + f" own{i % 70}" for _ in range(rnd.randrange(4)))
+             for i in range(150)] + [None, "", "a b c d e", "a b c d e"]
+    want = plain_word_texts(texts, length)
+    got = {r["doc_id"]: r["text"] for r in
+           runindex.repeat_report(docs_of(list(enumerate(texts))), runindex.word_rule(length, gram), crowd).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    assert sum(a != (b or "") for a, b in zip(want, texts)) > 20
+
+
+def test_short_passages_of_many_words_go(docs_of):
+    """51 words in fewer than 400 bytes, in two documents; 50 words stay."""
+    words = [f"w{i}" for i in range(60)]
+    docs = docs_of([(1, "one " + " ".join(words[:51]) + " end"), (2, "\n".join(words[:51])), (3, " ".join(words[5:55]) + " x")])
+    got = {r["doc_id"]: r["text"] for r in runindex.remove_repeats(docs, runindex.word_rule()).collect()}
+    assert got == {1: "one  end", 2: "", 3: " ".join(words[5:55]) + " x"}
+
+
 def test_awkward_rows(awkward, no_docs):
     rows = runindex.repeat_report(awkward).collect()
     assert len(rows) == awkward.count()
@@ -79,7 +118,7 @@ def test_rows_that_repeat_a_document_repeat_each_other(docs_of):
 def test_remove_repeats_keeps_columns_and_whole_characters(docs_of, awkward):
     shared = "é" * 20
     docs = docs_of([(1, "x" + shared, "en", "s", 21), (2, "y" + shared + "è", "fr", None, 22), (3, None, None, None, None)])
-    got = {r["doc_id"]: r for r in runindex.remove_repeats(docs, 16, 5).collect()}
+    got = {r["doc_id"]: r for r in runindex.remove_repeats(docs, runindex.byte_rule(16, 5)).collect()}
     assert (got[1]["text"], got[1]["n_chars"]) == ("x", 1)
     # the repeat reaches into the first byte of the last letter, so the letter goes with it
     assert (got[2]["text"], got[2]["lang"], got[2]["n_chars"]) == ("y", "fr", 1)
@@ -95,7 +134,7 @@ def test_index_marks_are_exact_for_any_texts(seed):
     texts = [t for t in texts if t]
     text, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
     index = runindex.RunLengthIndex(text, ends, 12)
-    assert index.lengths.sum() == len(text) and len(index.first) == len(index.last) == len(index.letters)
+    assert index.lengths.sum() == len(text) and len(index.first) == len(index.last) == len(index.head)
     count = Counter(t[i:i + 12] for t in texts for i in range(len(t) - 11))
     want = []
     for t in texts:
