@@ -11,7 +11,7 @@ from martline.llm.common import stored
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node hands its larger neighbours to the smallest node it knows."""
     both = edges.select("u", "v").union(edges.select("v", "u")).toDF("u", "v")
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least"))
+    least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("least")), "least")
     return (both.where("v > u").join(least, "u")
             .select(F.col("v").alias("u"), F.col("least").alias("v")).where("u <> v").distinct())
 
@@ -19,7 +19,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node hands itself and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("least"))
+    least = stored(down.groupBy("u").agg(F.min("v").alias("least")), "least")
     moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v"))
     own = least.select("u", F.col("least").alias("v"))
     return moved.union(own).where("u <> v").distinct()
@@ -35,8 +35,9 @@ def roots(edges: DataFrame) -> DataFrame:
 
     ``edges(u, v)`` are links between different longs, in any order, repeats
     allowed.  Each round is written to the shared scratch folder, so a lost
-    executor repeats one round at most.  A hub is no hot task: minima
-    are combined map-side, and the joins have one row per node on one side.
+    executor repeats one round at most.  Minima are combined map-side and written
+    before they are joined back: with no aggregate on the join's key beside it, Spark can split
+    the partition of a hub.
     """
     edges = stored(edges.where("u <> v").select("u", "v"), "links")
     seen = None

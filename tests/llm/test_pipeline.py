@@ -10,7 +10,7 @@ from martline.llm.queries import ORACLES, QUERIES
 from tests.conftest import SMALL
 from tests.llm.test_decontaminate_html import plain_overlaps
 from tests.llm.test_mixing_tokens import plain_targets
-from tests.llm.test_runindex import plain_marks
+from tests.llm.test_runindex import plain_word_texts
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 
@@ -35,13 +35,13 @@ def test_stages_one_by_one(spark):
     close = [(a, b) for a in ids for b in ids if a < b and (fps[a] ^ fps[b]).bit_count() <= 4]
     assert set(rows[2]) == set(plain_components(ids, close).values()) < set(ids)
 
-    # repeats: every byte inside a string of 400 bytes that occurs twice is gone, whole characters stay
+    # repeats: every window of 51 words that occurs twice is gone, all else stays
     ids = sorted(rows[2])
-    texts, marks = plain_marks([rows[2][i]["text"] for i in ids], 400)
-    assert set(rows[3]) == set(ids) and any(map(any, marks))
-    for i, t, m in zip(ids, texts, marks):
-        want = bytes(b for b, x in zip(t, m) if not x).decode("utf-8", "ignore")
-        assert rows[3][i]["text"] == want and rows[3][i]["n_chars"] == (len(want) if any(m) else rows[2][i]["n_chars"])
+    want = plain_word_texts([rows[2][i]["text"] for i in ids], 51)
+    assert set(rows[3]) == set(ids) and any(rows[2][i]["text"] != w for i, w in zip(ids, want))
+    for i, w in zip(ids, want):
+        assert rows[3][i]["text"] == w
+        assert rows[3][i]["n_chars"] == (len(w) if w != rows[2][i]["text"] else rows[2][i]["n_chars"])
 
     # decontamination: what overlaps no item stays
     items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
