@@ -12,6 +12,10 @@ from martline.llm import decontaminate, mixing, quality, runindex, simhash
 from martline.llm.common import stored
 
 
+#: Words of a passage that counts as a repeat: over 50, whatever their bytes.
+PASSAGE_WORDS = 51
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -23,8 +27,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without byte strings that occur more than once; emptied ones stay, with an empty text."""
-    return runindex.remove_repeats(docs)
+    """The documents without passages of over 50 words that occur more than once; emptied ones stay, with an empty text."""
+    return runindex.remove_repeats(docs, runindex.word_rule(PASSAGE_WORDS))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
