@@ -2,10 +2,10 @@
 typed multi-header scan (S1, S3, P1, P2, P9) and a full-width landing write.
 
 A CSV scan binds columns by position, so files whose headers differ in order
-or content would silently swap values.  Here all files are scanned once, as
-lines; every line is joined to the header of its file (the manifest), split by
+or content would silently swap values.  Here the files that a load takes are read
+once, as lines that carry their file's header (`sales_scan`); each is split by
 Spark's CSV parser and bound by name.  One plan serves any number of files and
-of different headers, and no list of paths goes through the driver.
+of different headers, and files that the load does not take are not opened.
 
 Why land before counting: the landing write reads every column once; all row
 metrics come from the landed table.
@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 
 from martline.contracts import MANDATORY_COLUMNS, SALES_SCHEMA
 from martline.functions import base_name, typed_or_null
+from martline.sources import sales_scan
+from martline.sources.sales_scan import open_file
 
 _CONTRACT_TYPES = {f.name: f.dataType for f in SALES_SCHEMA.fields}
 # Bytes of a file that are searched for its header line; a longer one is no
@@ -74,18 +76,9 @@ def list_csv_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _first_line(uri: str) -> str | None:
-    """First line that is not blank, read through Arrow's filesystem layer
-    (local, HDFS, S3, GCS ...); at most HEADER_BYTES are read."""
-    import pyarrow.fs as pafs
-
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    for hadoop_scheme in ("s3a://", "s3n://"):
-        if uri.startswith(hadoop_scheme):
-            uri = "s3://" + uri[len(hadoop_scheme):]
-    fs, path = pafs.FileSystem.from_uri(uri)
+    """First line that is not blank; at most HEADER_BYTES are read."""
     rest, read, more = b"", 0, True
-    with fs.open_input_stream(path) as stream:
+    with open_file(uri) as stream:
         while more:
             chunk = stream.read(1 << 16)
             read += len(chunk)
@@ -139,7 +132,8 @@ def probe_headers(files: DataFrame) -> DataFrame:
     The probe is shipped to the Python workers by value (it needs only
     pandas and pyarrow there), so executors need not have this package
     installed or on their path."""
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    for module in (sys.modules[__name__], sales_scan):
+        cloudpickle.register_pickle_by_value(module)
     return files.select("path", "file_size", "modified_at").mapInPandas(_probe, MANIFEST_SCHEMA)
 
 
@@ -167,18 +161,15 @@ def validate_headers(manifest: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # Typed scan
 # --------------------------------------------------------------------------
-def bind_lines(lines: DataFrame, manifest: DataFrame, widest: int) -> DataFrame:
-    """Typed sales rows of `lines(value, source_file)` whose file is accepted.
+def bind_lines(lines: DataFrame, widest: int) -> DataFrame:
+    """Typed sales rows of `lines(value, source_file, columns, extra_columns)`, as `sales_scan` reads them.
 
     A bad value becomes NULL and flags the row, as does a line with more or
-    fewer fields than its header; flagged rows keep their raw text.  Lines that
-    repeat their file's header and blank lines are no rows.
+    fewer fields than its header; flagged rows keep their raw text.  Blank lines
+    are no rows; a line that repeats the header further down is a bad row.
     """
-    heads = manifest.where("accepted").select(
-        F.col("path").alias("head_path"), "header", "columns", "extra_columns")
-    known = lines.join(heads, F.col("source_file") == F.col("head_path"))
     text = F.rtrim(F.col("value"), F.lit("\r"))
-    known = known.where((F.trim(text) != "") & (text != F.col("header")))
+    known = lines.where(F.trim(text) != "")
     shape = ", ".join(f"f{i} string" for i in range(widest + 1))
     fields = F.from_csv(F.concat(text, F.lit("," + _END)), shape)
     split = known.select("source_file", text.alias("line"), "columns", "extra_columns",
@@ -225,9 +216,7 @@ def ingest_sales(spark: SparkSession, root: str, landing: str,
     widest = manifest.where("accepted").agg(F.max(F.size("columns")).alias("n")).first()["n"]
     obs = Observation("landing")
     if widest:
-        lines = (spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
-                 .text(root).select("value", F.col("_metadata.file_path").alias("source_file")))
-        (bind_lines(lines, manifest, widest)
+        (bind_lines(sales_scan.scan(spark, manifest_path), widest)
          .observe(obs, F.count(F.lit(1)).alias("rows"),
                   F.count_if(F.col("is_malformed")).alias("malformed"))
          .write.parquet(rows_path))

@@ -18,32 +18,39 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martline.sources import csv_ingest as C
+from martline.sources import sales_scan
+
+
+#: What Spark's binaryFile source returns (fixed by Spark).
+_BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
 def sales_file_stream(spark: SparkSession, source_glob: str, archive_dir: str | None = None,
                       max_files_per_trigger: int = 1000) -> DataFrame:
-    """Stream of the lines of sales CSV files, each with its file and the file's size and time."""
-    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+    """Stream of new sales CSV files: path, size and time.
+
+    The binaryFile source is used for its log of files only: without its
+    `content` column no file body is read."""
+    reader = (spark.readStream.format("binaryFile").schema(_BINARY_FILE)
+              .option("maxFilesPerTrigger", max_files_per_trigger))
     if archive_dir is not None:
         reader = (reader.option("cleanSource", "archive")
                   .option("sourceArchiveDir", archive_dir))
-    meta = F.col("_metadata")
-    return reader.text(source_glob).select(
-        "value", meta["file_path"].alias("source_file"), meta["file_size"].alias("file_size"),
-        meta["file_modification_time"].alias("modified_at"))
+    return reader.load(source_glob).select(
+        F.col("_metadata.file_path").alias("path"), F.col("length").alias("file_size"),
+        F.col("modificationTime").alias("modified_at"))
 
 
-def _land(lines: DataFrame, batch_id: int, sink_dir: str) -> None:
-    """One micro-batch: header check of its files, rows of the accepted ones.
+def _land(files: DataFrame, batch_id: int, sink_dir: str) -> None:
+    """One micro-batch: header check of its files, then one scan of the accepted ones.
 
     Rows and manifest replace those of an interrupted attempt at the same batch."""
-    spark = lines.sparkSession
-    files = lines.select(F.col("source_file").alias("path"), "file_size", "modified_at").distinct()
+    spark = files.sparkSession
     manifest_path = f"{sink_dir}/manifest/batch_id={batch_id}"
     C.validate_headers(C.probe_headers(files)).write.mode("overwrite").parquet(manifest_path)
     manifest = spark.read.parquet(manifest_path)
     widest = manifest.where("accepted").agg(F.max(F.size("columns")).alias("n")).first()["n"]
-    rows = (C.bind_lines(lines.select("value", "source_file"), manifest, widest) if widest
+    rows = (C.bind_lines(sales_scan.scan(spark, manifest_path), widest) if widest
             else spark.createDataFrame([], C.LANDED_SCHEMA))
     rows.write.mode("overwrite").parquet(f"{sink_dir}/rows/batch_id={batch_id}")
 
@@ -59,7 +66,7 @@ def start(stream: DataFrame, sink_dir: str, checkpoint_dir: str, **trigger) -> S
     A batch has a folder of its own that a repeated attempt overwrites, and the checkpoint
     records consumed files, so a rerun after a crash neither loses nor duplicates rows."""
     return (stream.writeStream
-            .foreachBatch(lambda lines, batch_id: _land(lines, batch_id, sink_dir))
+            .foreachBatch(lambda files, batch_id: _land(files, batch_id, sink_dir))
             .option("checkpointLocation", checkpoint_dir)
             .trigger(**(trigger or {"availableNow": True}))
             .start())

@@ -44,16 +44,15 @@ def test_small_dimensions_are_broadcast_by_spark_alone(spark):
     assert re.search(r"NOT \(\(s_nationkey#\d+ % 4\) = 3\)", plan)
 
 
-def test_one_scan_reads_all_header_layouts(spark):
-    from pyspark.sql import functions as F
-
-    from martline.plans.ingest import files_root, ingest_run
+def test_one_scan_reads_all_header_layouts(spark, scratch):
+    from martline.plans.ingest import ingest_run
+    from martline.sources import sales_scan
     from martline.sources.csv_ingest import bind_lines
     run = ingest_run(spark, SMALL, "mixed")
-    lines = (spark.read.option("recursiveFileLookup", "true").text(files_root(spark, SMALL, "mixed"))
-             .select("value", F.col("_metadata.file_path").alias("source_file")))
-    plan = _plan(bind_lines(lines, run.manifest, 9))
-    assert plan.count("FileScan text") == 1 and "Union" not in plan and "Python" not in plan
+    run.manifest.write.parquet(scratch)
+    plan = _plan(bind_lines(sales_scan.scan(spark, scratch), 9))
+    # lines bring their header along: one scan, no join, no union
+    assert plan.count("BatchScan sales_csv") == 1 and "Union" not in plan and "Join" not in plan
     assert run.observation.get["rows"] == run.landed.count()
 
 
