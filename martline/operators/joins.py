@@ -14,11 +14,15 @@ def flag_matches(facts: DataFrame, fact_key: str, keys: DataFrame, dim_key: str,
                  flag: str) -> DataFrame:
     """Left-join a boolean `flag` = "fact_key exists among keys.dim_key".
 
-    Keys are de-duplicated first, so the fact side never multiplies.
+    Keys are de-duplicated first, so the fact side never multiplies.  The join is
+    NULL-safe, though a NULL key matches nothing: its keys then differ from those that
+    the de-duplication shuffled by, so both sides are dealt out for the join alone, and AQE
+    can split the partition of a key that holds a third of all facts.
     """
-    distinct_keys = keys.select(F.col(dim_key).alias(f"__{flag}_k")).dropDuplicates()
-    joined = facts.join(distinct_keys, F.col(fact_key) == F.col(f"__{flag}_k"), "left")
-    return joined.withColumn(flag, F.col(f"__{flag}_k").isNotNull()).drop(f"__{flag}_k")
+    marked = keys.select(F.col(dim_key).alias(f"__{flag}_k")).distinct().withColumn(f"__{flag}_m", F.lit(True))
+    joined = facts.join(marked, F.col(fact_key).eqNullSafe(F.col(f"__{flag}_k")), "left")
+    found = F.coalesce(F.col(f"__{flag}_m"), F.lit(False)) & F.col(fact_key).isNotNull()
+    return joined.withColumn(flag, found).drop(f"__{flag}_k", f"__{flag}_m")
 
 
 def join_back(rows: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:

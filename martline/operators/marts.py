@@ -17,6 +17,8 @@ from martline.contracts import (CUSTOMER_DETAIL_COLUMNS, MONEY,
                                 SALES_DETAIL_COLUMNS)
 from martline.functions import full_name, incentive, month_start, month_text
 from martline.operators.joins import join_back
+from martline.operators.prefix import sum_before
+from martline.session import written
 
 
 # --------------------------------------------------------------------------
@@ -80,9 +82,10 @@ def sales_mart(detail: DataFrame) -> DataFrame:
     "total <=> max(total) over (store, month)" (an all-NULL group ties at
     rank 1), so no sort is needed: the maximum is a grouped aggregation,
     partial per task, joined back.  A store with a third of all salespeople
-    is no single task.
+    is no single task.  The totals, which have the mart's size, are written once
+    and read on both sides, so the sales are joined and summed once.
     """
-    totals = _sales_totals(detail)
+    totals = written(_sales_totals(detail), "sales_totals")
     best = totals.groupBy("store_id", "__month").agg(F.max("total_sales").alias("__best"))
     return (join_back(totals, best, ["store_id", "__month"])
             .select("store_id", "sales_person_id", "full_name",
@@ -95,26 +98,20 @@ def sales_mart(detail: DataFrame) -> DataFrame:
 def store_month_rank(detail: DataFrame) -> DataFrame:
     """rank() of each salesperson's monthly total within (store, month).
 
-    Totals fall into bands that rise with the total (sixteen per doubling);
-    a rank is the rows of the higher bands plus the rank inside the band.
-    The window of a large store thus spreads over its bands, and the rows
-    per band are counted by a grouped aggregation.  NULL totals rank last.
+    The rank of a total is one more than the rows with higher totals.  Equal totals are
+    counted first, so ties meet before the shuffle, however many they are; the counts are then
+    summed up in the order of the totals by range (`sum_before`), and joined back.  So
+    neither a store with a third of all salespeople nor a total that most of them share is
+    a single task.  NULL totals rank last and tie with each other.
     """
     keys = ["store_id", "__month"]
-    total = F.col("total_sales").cast("double")
-    band = (F.signum(total) * F.floor(F.log2(1 + F.abs(total)) * 16)).cast("int")
-    totals = _sales_totals(detail).withColumn("__band", band)
-    higher = Window.partitionBy(*keys).orderBy(F.col("__band").desc_nulls_last())
-    bands = (totals.groupBy(*keys, "__band").agg(F.count(F.lit(1)).alias("__n"))
-             .withColumn("__above", F.coalesce(F.sum("__n").over(
-                 higher.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-             .drop("__n"))
-    within = Window.partitionBy(*keys, "__band").orderBy(F.col("total_sales").desc_nulls_last())
-    ranked = totals.withColumn("__within", F.rank().over(within))
-    return (join_back(ranked, bands, [*keys, "__band"])
+    totals = written(_sales_totals(detail), "sales_totals")
+    counts = totals.groupBy(*keys, "total_sales").agg(F.count(F.lit(1)).alias("__n"))
+    ranked = (sum_before(counts, keys, [F.col("total_sales").desc_nulls_last()], "__n", "__above")
+              .select(*keys, "total_sales", (F.col("__above") + 1).cast("int").alias("rnk")))
+    return (join_back(totals, ranked, [*keys, "total_sales"])
             .select("store_id", "sales_person_id", "full_name",
-                    month_text("__month").alias("sales_month"), "total_sales",
-                    (F.col("__above") + F.col("__within")).cast("int").alias("rnk")))
+                    month_text("__month").alias("sales_month"), "total_sales", "rnk"))
 
 
 def distinct_store_people(detail: DataFrame) -> DataFrame:

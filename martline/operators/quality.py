@@ -61,9 +61,8 @@ def orphan_counts(child: DataFrame, refs: list[tuple[str, DataFrame, str, str]])
 def cascade(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows that survive the deletion of rows from their parent (X6): the
     key is still there, or NULL."""
-    parents = parent.select(F.col(parent_key).alias("__pk")).where("__pk is not null").distinct()
-    return (child.join(parents, F.col(child_key) == F.col("__pk"), "left")
-            .where(F.col("__pk").isNotNull() | F.col(child_key).isNull()).drop("__pk"))
+    kept = flag_matches(child, child_key, parent, parent_key, "__kept")
+    return kept.where(F.col("__kept") | F.col(child_key).isNull()).drop("__kept")
 
 
 def domain_violations(df: DataFrame, column: str, allowed: list[str], check: str) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every martline job relies on.  AQE lets Spark re-plan joins with
 # measured sizes and split skewed shuffle partitions at runtime.
@@ -65,3 +65,11 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new, unique path under the shared root; never reused, never cleared."""
     return f"{shared_root(spark)}/martline/{purpose}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame written to the shared root once and read back: for results that a
+    plan reads on several sides, and to cut lineage where every executor finds it again."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

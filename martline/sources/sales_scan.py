@@ -116,6 +116,7 @@ class SalesCsvReader(DataSourceReader):
     def __init__(self, options: dict):
         self._manifest = options["manifest"]
         self._bytes = int(options.get("partitionBytes", PARTITION_BYTES))
+        self._tasks = int(options.get("tasks", 1))
 
     def partitions(self) -> list[Ranges]:
         """Planned once per scan from the manifest's accepted files; no file is opened."""
@@ -126,9 +127,11 @@ class SalesCsvReader(DataSourceReader):
         fs, path = pafs.FileSystem.from_uri(uri)
         table = ds.dataset(path, filesystem=fs, format="parquet").to_table(
             columns=["path", "file_size", "columns", "extra_columns"], filter=ds.field("accepted"))
-        rows = zip(*(table.column(c).to_pylist() for c in ("path", "file_size", "columns", "extra_columns")))
+        rows = list(zip(*(table.column(c).to_pylist() for c in ("path", "file_size", "columns", "extra_columns"))))
+        # a small load spreads over the tasks, as in Spark's own file scans
+        share = sum(row[1] + OPEN_BYTES for row in rows) // self._tasks + 1
         # an empty plan would make Spark read one partition of nothing
-        return plan_ranges(list(rows), self._bytes) or [Ranges(())]
+        return plan_ranges(rows, min(self._bytes, max(share, OPEN_BYTES))) or [Ranges(())]
 
     def read(self, partition: Ranges):
         import pyarrow as pa
@@ -169,4 +172,5 @@ def scan(spark: SparkSession, manifest_path: str, partition_bytes: int = PARTITI
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(SalesCsvSource)
     return (spark.read.format(NAME).option("manifest", manifest_path)
-            .option("partitionBytes", str(partition_bytes)).load())
+            .option("partitionBytes", str(partition_bytes))
+            .option("tasks", spark.conf.get("spark.sql.shuffle.partitions")).load())

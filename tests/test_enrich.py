@@ -41,13 +41,13 @@ def test_building_a_plan_starts_no_job(spark):
     from martline.plans.catalog import QUERIES
     from tests.conftest import SMALL
     sc = spark.sparkContext
-    for name in ("sales_mart", "customer_mart", "store_month_rank", "dimension_enrichment",
+    for name in ("customer_mart", "sales_detail", "dimension_enrichment",
                  "unmatched_dimension_rows", "synthetic_sales"):
         QUERIES[name](spark, SMALL)                     # table readers are resolved here
     tracker = sc.statusTracker()
     sc.setJobGroup("plan-building", "")
     try:
-        for name in ("sales_mart", "customer_mart", "store_month_rank", "dimension_enrichment",
+        for name in ("customer_mart", "sales_detail", "dimension_enrichment",
                      "unmatched_dimension_rows", "synthetic_sales"):
             QUERIES[name](spark, SMALL)
         assert not tracker.getJobIdsForGroup("plan-building")

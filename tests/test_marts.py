@@ -99,7 +99,7 @@ def test_row_window_keeps_null_keys_and_duplicates(spark):
 def test_grouped_plan_has_no_window_over_raw_rows(spark):
     from tests.conftest import SMALL
     from martline.plans.catalog import sales_detail_df
-    plan = marts.sales_mart(sales_detail_df(spark, SMALL))._jdf.queryExecution() \
+    plan = marts._sales_totals(sales_detail_df(spark, SMALL))._jdf.queryExecution() \
         .executedPlan().toString()
     # partial aggregation happens below the first exchange
     assert "partial_sum" in plan

@@ -74,7 +74,7 @@ def test_hot_salesperson_shuffles_partial_rows_only(spark):
                      d.strftime("%Y-%m")))
     tasks = 8
     detail = spark.createDataFrame(rows, schema).repartition(tasks).select(*SALES_DETAIL_COLUMNS)
-    df = marts.sales_mart(detail)
+    df = marts._sales_totals(detail)          # what the mart writes once
     groups = len({(r[0], r[1], r[11]) for r in rows})
     df._jdf.queryExecution().executedPlan().executeCollect()
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
@@ -118,3 +118,85 @@ def test_a_store_with_a_third_of_all_salespeople(spark):
         want = (money * D("0.01")).quantize(D("0.01"), "ROUND_HALF_UP") if rank == 1 and money is not None else (
             None if rank == 1 else D("0.00"))
         assert mart[p]["incentive"] == want
+
+
+_SPLIT = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+          "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+          "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+          "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+          "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+          "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+def _with_tiny_skew(spark, run):
+    old = {k: spark.conf.get(k, None) for k in _SPLIT}
+    for k, v in _SPLIT.items():
+        spark.conf.set(k, v)
+    try:
+        return run()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_fact_key_of_a_key_check_is_split(spark):
+    """flag_matches (J5, X6) and cascade: a key with a third of all facts, unmatched and NULL keys."""
+    from martline.operators.joins import flag_matches
+    from martline.operators.quality import cascade
+
+    facts = spark.range(30000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 7 = 0 THEN NULL ELSE id % 500 END AS k", "id").repartition(8)
+    keys = spark.createDataFrame([(1,), (1,), (None,), *[(i,) for i in range(2, 250)]], "k long")
+
+    def run():
+        flagged = flag_matches(facts, "k", keys, "k", "has")
+        got = {r["has"]: r["n"] for r in flagged.groupBy("has").count().withColumnRenamed("count", "n").collect()}
+        df = flagged.select("id", "has")
+        df.collect()
+        return got, df._jdf.queryExecution().executedPlan().toString(), cascade(facts, "k", keys, "k").count()
+
+    got, plan, kept = _with_tiny_skew(spark, run)
+    assert "skew=true" in plan
+    rows = [None if i % 7 == 0 and i % 3 else 1 if i % 3 == 0 else i % 500 for i in range(30000)]
+    want = sum(k is not None and 1 <= k < 250 for k in rows)
+    assert got == {True: want, False: 30000 - want}
+    assert kept == want + sum(k is None for k in rows)
+
+
+def test_ranks_of_a_hot_store_with_mostly_equal_totals(spark):
+    """A third of all rows in one store-month, most totals equal, some NULL: ranks as rank() gives them."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    n = 6000
+    rows = spark.range(n).selectExpr(
+        "CAST(CASE WHEN id % 3 = 0 THEN 121 ELSE 122 + id % 40 END AS INT) AS store_id", "id AS sales_person_id",
+        "'F' AS sales_person_first_name", "'L' AS sales_person_last_name", "DATE '2023-01-05' AS sales_date",
+        "CAST(CASE WHEN id % 11 = 0 THEN NULL WHEN id % 3 = 0 AND id % 5 > 0 THEN 7 ELSE id % 97 - 40 END AS DECIMAL(18,2)) AS total_cost")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r["store_id"], r["sales_person_id"]): r["rnk"] for r in marts.store_month_rank(rows).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    want = rows.withColumn("rnk", F.rank().over(Window.partitionBy("store_id").orderBy(F.col("total_cost").desc_nulls_last())))
+    assert got == {(r["store_id"], r["sales_person_id"]): r["rnk"] for r in want.collect()}
+
+
+def test_sums_before_spread_over_tasks(spark):
+    """One key holds all rows: the stretches lie in several tasks, and NULL keys are a key."""
+    from pyspark.sql import functions as F
+    from martline.operators.prefix import sum_before
+
+    rows = spark.range(5000).selectExpr("CASE WHEN id % 10 = 0 THEN NULL ELSE 'a' END AS k", "id AS v", "id % 4 AS n")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sum_before(rows, ["k"], [F.col("v").desc()], "n", "before").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    sums = {None: 0, "a": 0}
+    for r in sorted(got, key=lambda r: -r["v"]):
+        assert r["before"] == sums[r["k"]]
+        sums[r["k"]] += r["n"]
+    assert len(got) == 5000
