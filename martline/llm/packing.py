@@ -21,6 +21,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,9 @@ SIZE, END_ID = 2048, 1
 WORDS, TOGETHER = 1 << 19, 1 << 20
 #: How a byte-level vocabulary writes a space.
 SPACE = "\u0120"
-#: A space between two characters that are white space by no table.
+#: A space between two characters that are white space by no table, and all white space but space and newline.
 _BREAK = re.compile(r"(?<=[^\s\u180e\u200b\ufeff]) (?=[^\s\u180e\u200b\ufeff])")
+_OTHER_BLANKS = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 _PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
@@ -79,14 +81,23 @@ class Encoder:
             else:  # a word with spaces inside
                 self._words.update((w, self._encode(" " + w).tobytes()) for w in part)
 
+    @staticmethod
+    def _split(text: str) -> list[str]:
+        """The text's words, without the space before each."""
+        if ("  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " "
+                or _OTHER_BLANKS.search(text)):
+            return _BREAK.split(text)
+        return text.split(" ")
+
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        split = [_BREAK.split(t.decode("utf-8", "replace")) for t in texts]
-        used = {w for words in split for w in words[1:]}
-        if len(self._words) > WORDS:
-            self._words.clear()
-        self._learn(used - self._words.keys())
+        split = [self._split(t.decode("utf-8", "replace")) for t in texts]
+        used = set().union(*[words[1:] for words in split])
         known = self._words
-        return [self._encode(words[0]).tobytes() + b"".join([known[w] for w in words[1:]]) for words in split]
+        if len(known) + len(used) > WORDS:  # the older half goes
+            for word in list(islice(known, len(known) // 2)):
+                del known[word]
+        self._learn(used.difference(known))
+        return [self._encode(words[0]).tobytes() + b"".join(map(known.__getitem__, words[1:])) for words in split]
 
 
 @lru_cache(1)
