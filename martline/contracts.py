@@ -38,6 +38,8 @@ SALES_DETAIL_COLUMNS = ["store_id", "sales_person_id", "sales_person_first_name"
 MONEY = T.DecimalType(18, 2)
 PRICE = T.DecimalType(10, 2)
 SECONDS = T.DecimalType(12, 3)
+# A partial sum of money (what Spark makes of the sum of MONEY).
+PART = T.DecimalType(28, 2)
 
 # Typed sales row after ingest (money as decimals, never binary floats).
 SALES_SCHEMA = T.StructType([

@@ -10,10 +10,13 @@ tuples.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martline.contracts import (CUSTOMER_DETAIL_COLUMNS, MONEY,
+from martline.contracts import (CUSTOMER_DETAIL_COLUMNS, MONEY, PART,
                                 SALES_DETAIL_COLUMNS)
 from martline.functions import full_name, incentive, month_start, month_text
 from martline.operators.joins import join_back
@@ -35,66 +38,100 @@ def sales_detail(enriched: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # Grouped totals with "window key" semantics
 # --------------------------------------------------------------------------
-def _window_total(detail: DataFrame, window_keys: list[str], variant_cols: list[str],
-                  value: str, out: str) -> DataFrame:
-    """One row per distinct (window_keys + variant_cols) tuple, carrying the
-    total of `value` over its window_keys group (the semantics of
-    "sum() OVER (window_keys)" followed by DISTINCT).
-
-    The sales are summed per tuple, a hash aggregation that is partial per
-    task; a window then adds up the few attribute variants (e.g. two
-    addresses) of each key.  Its partitions hold variants, never sales.
+@dataclass(frozen=True)
+class Mart:
+    """A monthly mart made of mergeable parts.
+
+    A part is the sum of some sales of one output tuple (`keys` and `variants`).  Parts of
+    disjoint sets of sales (loads, micro-batches) add up to the part of all of them, so a
+    mart can be kept up to date from parts alone, without the sales that it has seen.
     """
-    tuples = (detail.groupBy(*window_keys, *variant_cols)
-              .agg(F.sum(value).alias("__part")))
-    total = F.sum("__part").over(Window.partitionBy(*window_keys)).cast(MONEY)
-    return tuples.withColumn(out, total).drop("__part")
+    name: str
+    month_column: str                               # of the finished mart
+    keys: tuple[str, ...]                           # what a total is of
+    variants: tuple[str, ...]                       # attributes that may vary within a key
+    label: Callable[[str], str]                     # its value for a month's first day
+    prepare: Callable[[DataFrame], DataFrame]       # enriched or detail rows -> keys, variants, total_cost
+    finish: Callable[[DataFrame], DataFrame]        # keys, variants, total_sales -> mart
 
+    def parts(self, rows: DataFrame) -> DataFrame:
+        """One row per output tuple: a hash aggregation that is partial per task."""
+        return self.prepare(rows).groupBy(*self.keys, *self.variants).agg(F.sum("total_cost").alias("part"))
 
-def customer_mart(detail: DataFrame) -> DataFrame:
-    """Total purchases per customer and month (A4)."""
-    prepared = detail.select(
-        "customer_id", "address", "phone_number", "total_cost",
-        full_name("first_name", "last_name").alias("full_name"),
-        month_start("sales_date").alias("sales_date_month"))
-    mart = _window_total(prepared, ["customer_id", "sales_date_month"],
-                         ["full_name", "address", "phone_number"], "total_cost", "total_sales")
-    return mart.select("customer_id", "full_name", "address", "phone_number",
-                       "sales_date_month", "total_sales")
+    def merged(self, parts: DataFrame) -> DataFrame:
+        """Parts of several sets of sales as those of their union."""
+        return parts.groupBy(*self.keys, *self.variants).agg(F.sum("part").cast(PART).alias("part"))
 
+    def totals(self, parts: DataFrame) -> DataFrame:
+        """One row per tuple with the total of its keys (the semantics of "sum() OVER (keys)"
+        followed by DISTINCT): a window adds up the few attribute variants (e.g. two
+        addresses) of each key.  Its partitions hold variants, never sales."""
+        total = F.sum("part").over(Window.partitionBy(*self.keys)).cast(MONEY)
+        return parts.withColumn("total_sales", total).drop("part")
 
-def _sales_totals(detail: DataFrame) -> DataFrame:
+    def of(self, rows: DataFrame) -> DataFrame:
+        return self.finish(self.totals(self.parts(rows)))
+
+    def of_parts(self, parts: DataFrame) -> DataFrame:
+        return self.finish(self.totals(self.merged(parts)))
+
+
+def _customer_rows(rows: DataFrame) -> DataFrame:
+    return rows.select("customer_id", month_start("sales_date").alias("month"), "address", "phone_number",
+                       "total_cost", full_name("first_name", "last_name").alias("full_name"))
+
+
+def _customer_finish(totals: DataFrame) -> DataFrame:
+    return totals.select("customer_id", "full_name", "address", "phone_number",
+                         F.col("month").alias("sales_date_month"), "total_sales")
+
+
+def _sales_rows(rows: DataFrame) -> DataFrame:
     # Group on the month's first day (a date) and format the label after the
     # aggregation: the shuffle then hashes a 4-byte date, not a string.
-    prepared = detail.select(
-        "store_id", "sales_person_id", "total_cost",
-        full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"),
-        month_start("sales_date").alias("__month"))
-    return _window_total(prepared, ["store_id", "sales_person_id", "__month"], ["full_name"],
-                         "total_cost", "total_sales")
+    return rows.select("store_id", "sales_person_id", month_start("sales_date").alias("month"), "total_cost",
+                       full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"))
 
 
-def sales_mart(detail: DataFrame) -> DataFrame:
-    """Sales per store, salesperson and month, with the top-seller incentive
-    (A5 + W3 + F4 + F5).
-
-    Rank 1 in (store, month) by total DESC, NULLs last, is exactly
+def _sales_finish(totals: DataFrame) -> DataFrame:
+    """Rank 1 in (store, month) by total DESC, NULLs last, is exactly
     "total <=> max(total) over (store, month)" (an all-NULL group ties at
     rank 1), so no sort is needed: the maximum is a grouped aggregation,
     partial per task, joined back.  A store with a third of all salespeople
     is no single task.  The totals, which have the mart's size, are written once
     and read on both sides, so the sales are joined and summed once.
     """
-    totals = written(_sales_totals(detail), "sales_totals")
-    best = totals.groupBy("store_id", "__month").agg(F.max("total_sales").alias("__best"))
-    return (join_back(totals, best, ["store_id", "__month"])
+    totals = written(totals, "sales_totals")
+    best = totals.groupBy("store_id", "month").agg(F.max("total_sales").alias("__best"))
+    return (join_back(totals, best, ["store_id", "month"])
             .select("store_id", "sales_person_id", "full_name",
-                    month_text("__month").alias("sales_month"),
+                    month_text("month").alias("sales_month"),
                     "total_sales",
                     incentive("total_sales", F.col("total_sales").eqNullSafe(F.col("__best")))
                     .alias("incentive")))
 
 
+CUSTOMER = Mart("customer_mart", "sales_date_month", ("customer_id", "month"),
+                ("full_name", "address", "phone_number"), str, _customer_rows, _customer_finish)
+SALES = Mart("sales_mart", "sales_month", ("store_id", "sales_person_id", "month"), ("full_name",),
+             lambda day: day[:-3], _sales_rows, _sales_finish)
+
+
+def _sales_totals(detail: DataFrame) -> DataFrame:
+    return SALES.totals(SALES.parts(detail))
+
+
+def customer_mart(detail: DataFrame) -> DataFrame:
+    """Total purchases per customer and month (A4)."""
+    return CUSTOMER.of(detail)
+
+
+def sales_mart(detail: DataFrame) -> DataFrame:
+    """Sales per store, salesperson and month, with the top-seller incentive
+    (A5 + W3 + F4 + F5)."""
+    return SALES.of(detail)
+
+
 def store_month_rank(detail: DataFrame) -> DataFrame:
     """rank() of each salesperson's monthly total within (store, month).
 
@@ -104,14 +141,14 @@ def store_month_rank(detail: DataFrame) -> DataFrame:
     neither a store with a third of all salespeople nor a total that most of them share is
     a single task.  NULL totals rank last and tie with each other.
     """
-    keys = ["store_id", "__month"]
+    keys = ["store_id", "month"]
     totals = written(_sales_totals(detail), "sales_totals")
     counts = totals.groupBy(*keys, "total_sales").agg(F.count(F.lit(1)).alias("__n"))
     ranked = (sum_before(counts, keys, [F.col("total_sales").desc_nulls_last()], "__n", "__above")
               .select(*keys, "total_sales", (F.col("__above") + 1).cast("int").alias("rnk")))
     return (join_back(totals, ranked, [*keys, "total_sales"])
             .select("store_id", "sales_person_id", "full_name",
-                    month_text("__month").alias("sales_month"), "total_sales", "rnk"))
+                    month_text("month").alias("sales_month"), "total_sales", "rnk"))
 
 
 def distinct_store_people(detail: DataFrame) -> DataFrame:

@@ -5,14 +5,16 @@
    reported in the manifest, flagged rows go to quarantine with their raw text);
 2. register the accepted files as active;
 3. enrich the usable rows (all columns that the marts need are there) and append
-   both detail marts under the load's id; earlier loads stay as they are;
-4. recompute the months this load touched from the detail rows of all completed
-   loads and this one, and replace just these months;
+   both detail marts and their parts (sums per output tuple) under the load's id;
+   earlier loads stay as they are;
+4. make the months this load touched from the parts of all completed loads and
+   this one, and replace just these months; no earlier sale is read;
 5. mark the files completed and append file and job audit rows; a failed run
    appends a FAILED job record with its stage and error, then re-raises.
 
 A load counts from the moment its files are marked completed: detail rows of a
-failed load are never read again, and its files are taken by the next one.
+failed load are never read again, and its files are taken by the next one.  A load may
+replace an earlier one (`replaces`): the parts of that one are left out from then on.
 Every step is a Spark job over whole tables; the driver sees a handful of counters.
 """
 
@@ -28,18 +30,19 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from martline import __version__
 from martline.contracts import (ENVIRONMENTS, MART_COLUMNS_NEEDED, MANDATORY_COLUMNS, REGISTRY_INACTIVE,
                                 SALES_COLUMNS, TRIGGER_TYPES)
-from martline.functions import elapsed_seconds, month_start, truncate_text
+from martline.functions import elapsed_seconds, truncate_text
 from martline.session import app_id
 from martline.operators import audit, enrich, marts, quality, registry
 from martline.sinks import parquet as P
 from martline.sources import csv_ingest as C
 
 SOURCE_SYSTEM = "csv"
+MARTS = (marts.CUSTOMER, marts.SALES)
+RETRACTION_SCHEMA = "load_id long, replaced_by long, event_time timestamp_ntz"
 
 
 @dataclass
@@ -79,8 +82,11 @@ def _table(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def run_daily_load(spark: SparkSession, source_root: str, target_root: str,
                    dims: dict[str, DataFrame], environment: str = "DEV",
-                   trigger_type: str = "MANUAL") -> LoadResult:
-    """Run the load.  A RUNNING job audit record is appended at the start, a
+                   trigger_type: str = "MANUAL", replaces: int | None = None) -> LoadResult:
+    """Run the load.  With `replaces`, the id of an earlier load, the files on hand stand for
+    those of that load, whose sales leave the marts (its files count as taken).
+
+    A RUNNING job audit record is appended at the start, a
     SUCCESS or FAILED one at the end (FAILED with the stage reached and the
     error text); any error is re-raised so the scheduler sees the failure."""
     if environment not in ENVIRONMENTS or trigger_type not in TRIGGER_TYPES:
@@ -94,7 +100,7 @@ def run_daily_load(spark: SparkSession, source_root: str, target_root: str,
     record(status="RUNNING")
     state = {"stage": "SPARK_INGESTION"}
     try:
-        result, metrics = _load(spark, source_root, target_root, dims, job, state)
+        result, metrics = _load(spark, source_root, target_root, dims, job, state, replaces)
     except Exception:
         error = traceback.format_exc()
         try:
@@ -111,11 +117,12 @@ def _usable():
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in MART_COLUMNS_NEEDED])
 
 
-def _load(spark, source_root, target_root, dims, job, state) -> tuple[LoadResult, dict]:
+def _load(spark, source_root, target_root, dims, job, state, replaces) -> tuple[LoadResult, dict]:
     load_id = job["job_id"]
     paths = {n: f"{target_root}/{n}" for n in
              ("registry", "quarantine", "customer_detail", "sales_detail", "sales_partitioned",
-              "customer_mart", "sales_mart", "file_audit", "job_audit")}
+              "customer_mart", "sales_mart", "customer_mart_parts", "sales_mart_parts", "retractions",
+              "file_audit", "job_audit")}
     events = _table(spark, paths["registry"], registry.EVENT_SCHEMA)
     run = C.ingest_sales(spark, source_root, f"{target_root}/landing/load_id={load_id}",
                          choose=lambda files: registry.files_to_load(files, events))
@@ -130,12 +137,16 @@ def _load(spark, source_root, target_root, dims, job, state) -> tuple[LoadResult
     audit.file_events(file_rows, "RUNNING", started).write.mode("append").parquet(paths["file_audit"])
 
     landed = run.landed
-    written = {"customer": 0, "sales": 0}
-    if run.observation is not None:   # else no file was accepted, and there are no rows
-        written = _write_marts(spark, landed, dims, load_id, paths, state)
+    written = {mart.name: 0 for mart in MARTS}
+    if run.observation is not None or replaces is not None:   # else there are no rows to add or take away
+        written = _write_marts(spark, landed, dims, load_id, paths, state, replaces)
 
     state["stage"] = "STAGING_COMPLETION"
     ended = F.lit(_now()).cast("timestamp_ntz")
+    if replaces is not None:
+        # Before the files are completed: a crash in between leaves files that the next load takes.
+        (spark.createDataFrame([(replaces, load_id)], "load_id long, replaced_by long")
+         .withColumn("event_time", ended).write.mode("append").parquet(paths["retractions"]))
     registry.complete_files(files, ended, load_id).write.mode("append").parquet(paths["registry"])
 
     state["stage"] = "AUDIT"
@@ -148,13 +159,15 @@ def _load(spark, source_root, target_root, dims, job, state) -> tuple[LoadResult
     rows = run.observation.get if run.observation is not None else {"rows": 0, "malformed": 0}
     metrics = {"files_processed": found["ok"], "files_rejected": found["bad"],
                "rows_read": rows["rows"], "rows_rejected": rows["malformed"],
-               "customer_mart_rows_written": written["customer"], "sales_mart_rows_written": written["sales"]}
+               "customer_mart_rows_written": written["customer_mart"],
+               "sales_mart_rows_written": written["sales_mart"]}
     return LoadResult(run, load_id, paths["customer_mart"], paths["sales_mart"], paths["registry"],
                       paths["job_audit"], paths["file_audit"]), metrics
 
 
-def _write_marts(spark, landed: DataFrame, dims, load_id: int, paths: dict, state: dict) -> dict:
-    """Quarantine, detail marts of this load, and the touched months of the aggregate marts."""
+def _write_marts(spark, landed: DataFrame, dims, load_id: int, paths: dict, state: dict,
+                 replaces: int | None) -> dict:
+    """Quarantine, detail marts and parts of this load, and the touched months of the aggregate marts."""
     state["stage"] = "QUARANTINE"
     reason = quality.reject_reason(MANDATORY_COLUMNS)
     (landed.withColumn("reason", reason).where("reason is not null")
@@ -164,40 +177,67 @@ def _write_marts(spark, landed: DataFrame, dims, load_id: int, paths: dict, stat
     state["stage"] = "DETAIL_MART_WRITE"
     rich = enrich.enrich_sales(landed.where(_usable()), dims["dim_customer"],
                                dims["dim_store"], dims["dim_sales_team"])
-    # Both detail marts project the same enriched rows: keep them for the
-    # two writes (memory and disk; lost blocks are recomputed from lineage).
+    # The detail marts and the parts project the same enriched rows: keep them for
+    # all these writes (memory and disk; lost blocks are recomputed from lineage).
     rich = rich.persist(StorageLevel.MEMORY_AND_DISK)
+    schemas = {}
     try:
-        for name, detail in (("customer_detail", marts.customer_detail(rich)),
-                             ("sales_detail", marts.sales_detail(rich))):
-            P.publish_versioned(detail, paths[name], load_id, [])
-            state[name] = detail.schema
+        for name, detail, folders in (("customer_detail", marts.customer_detail(rich), []),
+                                      ("sales_detail", marts.sales_detail(rich), []),
+                                      ("sales_partitioned", marts.sales_detail(rich), ["sales_month", "store_id"])):
+            P.publish_versioned(detail, paths[name], load_id, folders)
+        for mart in MARTS:
+            parts = mart.parts(rich)
+            schemas[mart.name] = parts.schema
+            P.publish_parts(parts, paths[f"{mart.name}_parts"], load_id)
     finally:
         rich.unpersist()
 
     state["stage"] = "MART_CALCULATION"
-    # Detail rows count when their load has completed, or is this one.
-    counted = (spark.read.schema(registry.EVENT_SCHEMA).parquet(paths["registry"])
-               .where(F.col("status") == REGISTRY_INACTIVE).select("load_id")
-               .union(spark.createDataFrame([(load_id,)], "load_id long")).distinct())
-
-    def detail(name: str, month) -> DataFrame:
-        """Rows of all counted loads in the months that this load has rows in."""
-        schema = T.StructType(state[name].fields + [T.StructField("load_id", T.LongType())])
-        rows = spark.read.schema(schema).parquet(paths[name])
-        touched = rows.where(F.col("load_id") == load_id).select(month.alias("month")).distinct()
-        return (rows.join(counted, "load_id", "left_semi").withColumn("month", month)
-                .join(touched, "month", "left_semi").drop("load_id", "month"))
-
-    customer_detail = detail("customer_detail", month_start("sales_date"))
-    sales_detail = detail("sales_detail", F.col("sales_month"))
-    P.write_partitioned(sales_detail, paths["sales_partitioned"], ["sales_month", "store_id"])
-    # Rows written are counted while writing (no second pass over the marts).
-    seen = {"customer": Observation("customer_mart"), "sales": Observation("sales_mart")}
-    rows = F.count(F.lit(1)).alias("rows")
-    P.refresh_months(marts.customer_mart(customer_detail).observe(seen["customer"], rows),
-                     paths["customer_mart"], "sales_date_month")
-    P.refresh_months(marts.sales_mart(sales_detail).observe(seen["sales"], rows),
-                     paths["sales_mart"], "sales_month")
-
-    return {name: o.get["rows"] for name, o in seen.items()}
+    counted = counted_loads(spark, paths, load_id, replaces)
+    return {mart.name: _refresh(spark, mart, schemas[mart.name], paths, load_id, replaces, counted)
+            for mart in MARTS}
+
+
+def counted_loads(spark: SparkSession, paths: dict, load_id: int | None = None,
+                  replaces: int | None = None) -> DataFrame:
+    """Loads whose rows are in the marts: completed ones and `load_id`, without replaced ones."""
+    completed = (spark.read.schema(registry.EVENT_SCHEMA).parquet(paths["registry"])
+                 .where(F.col("status") == REGISTRY_INACTIVE).select("load_id"))
+    gone = _table(spark, paths["retractions"], RETRACTION_SCHEMA).select("load_id")
+    if replaces is not None:
+        gone = gone.union(spark.createDataFrame([(replaces,)], "load_id long"))
+    if load_id is not None:
+        completed = completed.union(spark.createDataFrame([(load_id,)], "load_id long"))
+    return completed.distinct().join(gone, "load_id", "left_anti")
+
+
+def published(spark: SparkSession, target_root: str, name: str) -> DataFrame:
+    """Rows of a detail table (`customer_detail`, `sales_detail`, `sales_partitioned`) of all loads that count."""
+    paths = {n: f"{target_root}/{n}" for n in ("registry", "retractions", name)}
+    return spark.read.parquet(paths[name]).join(counted_loads(spark, paths), "load_id", "left_semi")
+
+
+def _months(parts: DataFrame) -> list[str]:
+    """Their months; as text, since a bad year may be none of Python's."""
+    return sorted(r["m"] for r in parts.select(F.col("month").cast("string").alias("m")).distinct().collect())
+
+
+def _refresh(spark, mart: marts.Mart, schema, paths: dict, load_id: int, replaces: int | None,
+             counted: DataFrame) -> int:
+    """Make the months of this load, and of the one that it replaces, from the parts of all
+    counted loads; no sale of an earlier load is read.  Returns the rows written.
+
+    The driver holds the touched months, of which a calendar has few."""
+    root = paths[f"{mart.name}_parts"]
+    folders = spark.read.schema(P.parts_schema(schema)).parquet(root)   # of these, only names are read
+    own = F.col("load_id").isin([i for i in (load_id, replaces) if i is not None])
+    touched = _months(folders.where(own))
+    parts = P.read_parts(spark, root, schema, touched).join(counted, "load_id", "left_semi")
+    seen = Observation(mart.name)
+    P.refresh_months(mart.of_parts(parts).observe(seen, F.count(F.lit(1)).alias("rows")),
+                     paths[mart.name], mart.month_column)
+    if replaces is not None:
+        gone = set(touched) - set(_months(parts))
+        P.drop_months(spark, paths[mart.name], mart.month_column, sorted(mart.label(m) for m in gone))
+    return seen.get["rows"]

@@ -150,6 +150,56 @@ def test_two_days_in_one_month_add_up(spark, scratch):
     assert flagged["raw_record"].endswith("n/a,1,40.00") and flagged["source_file"].endswith("day2/sales.csv")
 
 
+def test_a_load_reads_touched_parts_only(spark, scratch):
+    """The second load finds the sales of the first, and the parts of other months, unreadable."""
+    from decimal import Decimal as D
+
+    from martline.plans.daily_load import run_daily_load
+    _drop(scratch, "day1/sales.csv", "1,7,sugar,2023-03-03,100,50.00,2,100.00", "1,7,tea,2023-02-03,100,5.00,1,5.00")
+    run_daily_load(spark, scratch + "/in", scratch + "/out", _tiny_dims(spark))
+    out = scratch.replace("file:", "") + "/out"
+    spoiled = 0
+    for folder, _, names in os.walk(out):
+        if any(f"/{t}" in folder for t in ("customer_detail", "sales_detail", "sales_partitioned", "month=2023-02-01", "landing")):
+            for name in names:
+                os.remove(f"{folder}/.{name}.crc") if os.path.exists(f"{folder}/.{name}.crc") else None
+                if name.endswith(".parquet"):
+                    open(f"{folder}/{name}", "w").write("no parquet")
+                    spoiled += 1
+    assert spoiled >= 6
+    _drop(scratch, "day2/sales.csv", "1,7,sugar,2023-03-04,100,3.50,2,7.00")
+    res = run_daily_load(spark, scratch + "/in", scratch + "/out", _tiny_dims(spark))
+    for path in (res.sales_mart_path, res.customer_mart_path):
+        assert sorted(r["total_sales"] for r in spark.read.parquet(path).collect()) == [D("5.00"), D("107.00")]
+
+
+def test_a_replaced_load_leaves_the_marts(spark, scratch):
+    from decimal import Decimal as D
+
+    from martline.plans.daily_load import published, run_daily_load
+    dims, out = _tiny_dims(spark), scratch + "/out"
+    _drop(scratch, "day1/sales.csv", "1,7,sugar,2023-03-03,100,50.00,2,100.00")
+    run_daily_load(spark, scratch + "/in", out, dims)
+    _drop(scratch, "day2/sales.csv", "1,7,sugar,2023-03-04,100,3.50,2,7.00", "1,7,sugar,2023-04-04,100,3.50,2,9.00")
+    wrong = run_daily_load(spark, scratch + "/in", out, dims)
+    _drop(scratch, "day2b/sales.csv", "1,7,sugar,2023-03-04,100,3.50,2,8.00")
+    broken = {**dims, "dim_store": dims["dim_store"].drop("store_manager_name")}
+    import pytest
+    with pytest.raises(Exception):                  # a failed replacement takes nothing away
+        run_daily_load(spark, scratch + "/in", out, broken, replaces=wrong.load_id)
+    assert published(spark, out, "sales_detail").agg(F.sum("total_cost")).first()[0] == D("116.00")
+    res = run_daily_load(spark, scratch + "/in", out, dims, replaces=wrong.load_id)
+    (mart,) = spark.read.parquet(res.sales_mart_path).collect()         # April has no sale left
+    assert (mart["sales_month"], mart["total_sales"]) == ("2023-03", D("108.00"))
+    (customer,) = spark.read.parquet(res.customer_mart_path).collect()
+    assert customer["total_sales"] == D("108.00")
+    for name in ("customer_detail", "sales_detail", "sales_partitioned"):
+        assert published(spark, out, name).agg(F.sum("total_cost")).first()[0] == D("108.00")
+    # a replacement without rows: only the replaced load leaves
+    run_daily_load(spark, scratch + "/in", out, dims, replaces=res.load_id)
+    assert [r["total_sales"] for r in spark.read.parquet(res.sales_mart_path).collect()] == [D("100.00")]
+
+
 def test_daily_load_failure_is_audited(spark, scratch):
     import pytest
 
