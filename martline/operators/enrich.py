@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,13 +33,13 @@ def _team_side(dim_sales_team: DataFrame) -> DataFrame:
 
 
 def enrich_sales(fact: DataFrame, dim_customer: DataFrame, dim_store: DataFrame,
-                 dim_sales_team: DataFrame) -> DataFrame:
-    """Inner-join sales to customer, store and sales team.
+                 dim_sales_team: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Inner-join sales to customer, store and sales team; `extra` names more columns of the sales to keep.
 
     Each dimension is narrowed and renamed *before* its join, so no duplicate
     column names survive and only needed columns travel.  Joins are ordered
-    most selective first (store), largest dimension last (customer); each
-    dimension is broadcast only if its size check passes.
+    most selective first (store), largest dimension last (customer); Spark
+    broadcasts a dimension that its statistics or AQE's measured sizes show to be small.
     """
     out = (fact
            .join(_store_side(dim_store),
@@ -46,7 +48,7 @@ def enrich_sales(fact: DataFrame, dim_customer: DataFrame, dim_store: DataFrame,
                  F.col("sales_person_id") == F.col("sp_id"))
            .join(_customer_side(dim_customer),
                  F.col("customer_id") == F.col("c_id")))
-    return out.select(*ENRICHED_COLUMNS)
+    return out.select(*ENRICHED_COLUMNS, *extra)
 
 
 def unmatched_dimension_rows(fact: DataFrame, dim_customer: DataFrame, dim_store: DataFrame,

@@ -10,7 +10,7 @@ tuples.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -51,7 +51,7 @@ class Mart:
     keys: tuple[str, ...]                           # what a total is of
     variants: tuple[str, ...]                       # attributes that may vary within a key
     label: Callable[[str], str]                     # its value for a month's first day
-    prepare: Callable[[DataFrame], DataFrame]       # enriched or detail rows -> keys, variants, total_cost
+    prepare: Callable[..., DataFrame]               # enriched or detail rows -> keys, variants, total_cost
     finish: Callable[[DataFrame], DataFrame]        # keys, variants, total_sales -> mart
 
     def parts(self, rows: DataFrame) -> DataFrame:
@@ -76,9 +76,9 @@ class Mart:
         return self.finish(self.totals(self.merged(parts)))
 
 
-def _customer_rows(rows: DataFrame) -> DataFrame:
+def _customer_rows(rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return rows.select("customer_id", month_start("sales_date").alias("month"), "address", "phone_number",
-                       "total_cost", full_name("first_name", "last_name").alias("full_name"))
+                       "total_cost", full_name("first_name", "last_name").alias("full_name"), *extra)
 
 
 def _customer_finish(totals: DataFrame) -> DataFrame:
@@ -86,11 +86,11 @@ def _customer_finish(totals: DataFrame) -> DataFrame:
                          F.col("month").alias("sales_date_month"), "total_sales")
 
 
-def _sales_rows(rows: DataFrame) -> DataFrame:
+def _sales_rows(rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     # Group on the month's first day (a date) and format the label after the
     # aggregation: the shuffle then hashes a 4-byte date, not a string.
     return rows.select("store_id", "sales_person_id", month_start("sales_date").alias("month"), "total_cost",
-                       full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"))
+                       full_name("sales_person_first_name", "sales_person_last_name").alias("full_name"), *extra)
 
 
 def _sales_finish(totals: DataFrame) -> DataFrame:

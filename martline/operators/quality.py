@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martline.contracts import MART_COLUMNS_NEEDED
 from martline.operators.joins import flag_matches
 
 
@@ -19,6 +20,11 @@ def reject_reason(required: list[str]):
             .when(any_null, F.lit("missing_required")))
 
 
+def usable_sale():
+    """All columns that the marts need are there."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in MART_COLUMNS_NEEDED])
+
+
 def cleanse(rows: DataFrame, columns: list[str], required: list[str]) -> DataFrame:
     """Distinct rows with their copy count and reject reason.
 

@@ -25,14 +25,13 @@ import logging
 import traceback
 import uuid
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martline import __version__
-from martline.contracts import (ENVIRONMENTS, MART_COLUMNS_NEEDED, MANDATORY_COLUMNS, REGISTRY_INACTIVE,
+from martline.contracts import (ENVIRONMENTS, MANDATORY_COLUMNS, REGISTRY_INACTIVE,
                                 SALES_COLUMNS, TRIGGER_TYPES)
 from martline.functions import elapsed_seconds, truncate_text
 from martline.session import app_id
@@ -112,11 +111,6 @@ def run_daily_load(spark: SparkSession, source_root: str, target_root: str,
     return result
 
 
-def _usable():
-    """All columns that the marts need are there."""
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in MART_COLUMNS_NEEDED])
-
-
 def _load(spark, source_root, target_root, dims, job, state, replaces) -> tuple[LoadResult, dict]:
     load_id = job["job_id"]
     paths = {n: f"{target_root}/{n}" for n in
@@ -175,7 +169,7 @@ def _write_marts(spark, landed: DataFrame, dims, load_id: int, paths: dict, stat
      .write.mode("append").parquet(paths["quarantine"]))
 
     state["stage"] = "DETAIL_MART_WRITE"
-    rich = enrich.enrich_sales(landed.where(_usable()), dims["dim_customer"],
+    rich = enrich.enrich_sales(landed.where(quality.usable_sale()), dims["dim_customer"],
                                dims["dim_store"], dims["dim_sales_team"])
     # The detail marts and the parts project the same enriched rows: keep them for
     # all these writes (memory and disk; lost blocks are recomputed from lineage).
@@ -218,11 +212,6 @@ def published(spark: SparkSession, target_root: str, name: str) -> DataFrame:
     return spark.read.parquet(paths[name]).join(counted_loads(spark, paths), "load_id", "left_semi")
 
 
-def _months(parts: DataFrame) -> list[str]:
-    """Their months; as text, since a bad year may be none of Python's."""
-    return sorted(r["m"] for r in parts.select(F.col("month").cast("string").alias("m")).distinct().collect())
-
-
 def _refresh(spark, mart: marts.Mart, schema, paths: dict, load_id: int, replaces: int | None,
              counted: DataFrame) -> int:
     """Make the months of this load, and of the one that it replaces, from the parts of all
@@ -232,12 +221,12 @@ def _refresh(spark, mart: marts.Mart, schema, paths: dict, load_id: int, replace
     root = paths[f"{mart.name}_parts"]
     folders = spark.read.schema(P.parts_schema(schema)).parquet(root)   # of these, only names are read
     own = F.col("load_id").isin([i for i in (load_id, replaces) if i is not None])
-    touched = _months(folders.where(own))
+    touched = P.months_of(folders.where(own))
     parts = P.read_parts(spark, root, schema, touched).join(counted, "load_id", "left_semi")
     seen = Observation(mart.name)
     P.refresh_months(mart.of_parts(parts).observe(seen, F.count(F.lit(1)).alias("rows")),
                      paths[mart.name], mart.month_column)
     if replaces is not None:
-        gone = set(touched) - set(_months(parts))
+        gone = set(touched) - set(P.months_of(parts))
         P.drop_months(spark, paths[mart.name], mart.month_column, sorted(mart.label(m) for m in gone))
     return seen.get["rows"]

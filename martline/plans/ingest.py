@@ -263,17 +263,25 @@ def q_daily_load(spark, sf_dir):
     from martline.plans.daily_load import run_daily_load
     target = scratch_path(spark, "daily_load")
     result = run_daily_load(spark, files_root(spark, sf_dir, "mixed"), target, S.star(spark, sf_dir))
-    return _written_sales_mart(spark, result.sales_mart_path)
+    return written_sales_mart(spark, result.sales_mart_path)
 
 
 _SALES_MART_SCHEMA = ("store_id int, sales_person_id long, full_name string, total_sales decimal(18,2), "
                       "incentive decimal(18,2), sales_month string")
 
 
-def _written_sales_mart(spark: SparkSession, path: str) -> DataFrame:
+_CUSTOMER_MART_SCHEMA = ("customer_id long, full_name string, address string, phone_number string, "
+                         "total_sales decimal(18,2), sales_date_month date")
+
+
+def written_sales_mart(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_SALES_MART_SCHEMA).parquet(path)
 
 
+def written_customer_mart(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_CUSTOMER_MART_SCHEMA).parquet(path)
+
+
 # The two-batch history is written once per application and data set.
 _histories: dict[tuple, str] = {}
 
@@ -305,7 +313,25 @@ def _two_batches(spark: SparkSession, sf_dir: str) -> str:
 def q_daily_load_two_batches(spark, sf_dir):
     """The sales mart after two batches and a resumed failure equals one load
     of everything."""
-    return _written_sales_mart(spark, f"{_two_batches(spark, sf_dir)}/sales_mart")
+    return written_sales_mart(spark, f"{_two_batches(spark, sf_dir)}/sales_mart")
+
+
+@register("daily_load_replaced", _files_views("SELECT * FROM customer_mart",
+                                              "dim_customer", "dim_store", "dim_sales_team"))
+def q_daily_load_replaced(spark, sf_dir):
+    """The customer mart after a load with wrong dates (some in months of their own) and one
+    that replaces it equals one load of everything."""
+    from martline.plans.daily_load import run_daily_load
+    root, target = scratch_path(spark, "daily_inbox"), scratch_path(spark, "daily_load")
+    fact, dims = S.fact_sales(spark, sf_dir), S.star(spark, sf_dir)
+    odd = F.col("sales_person_id") % 2 == 1
+    SF.write_sales_files(fact.where(~odd), f"{root}/drop=1")
+    run_daily_load(spark, root, target, dims)
+    SF.write_sales_files(fact.where(odd).withColumn("sales_date", F.date_sub("sales_date", 400)), f"{root}/drop=2")
+    wrong = run_daily_load(spark, root, target, dims)
+    SF.write_sales_files(fact.where(odd), f"{root}/drop=3")
+    result = run_daily_load(spark, root, target, dims, replaces=wrong.load_id)
+    return written_customer_mart(spark, result.customer_mart_path)
 
 
 @register("load_audit_state", _files_views("""

@@ -1,17 +1,20 @@
-"""Catalogue: incremental stream ingest (T1, K5) and synthetic sales."""
+"""Catalogue: incremental stream ingest (T1, K5), marts kept by a stream (A4, A5) and synthetic sales."""
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from martline.contracts import SALES_COLUMNS
+from martline.operators import marts
 from martline.plans.catalog import register
-from martline.plans.ingest import _files_views
-from martline.session import scratch_path
+from martline.plans.ingest import _files_views, written_customer_mart, written_sales_mart
+from martline.session import app_id, scratch_path
 from martline.sources import sales_files as SF
 from martline.sources import star as S
 from martline.sources.synthetic import MAX_QUANTITY, MIX, synthetic_sales
 from martline.streaming import file_ingest as T
+from martline.streaming import mart_stream as M
 
 
 @register("stream_ingest", _files_views(f"""
@@ -32,6 +35,42 @@ def q_stream_ingest(spark, sf_dir):
     return T.read_landed(spark, f"{base}/landed").select(*SALES_COLUMNS, "is_malformed")
 
 
+# The three drops of the mart streams are taken in once per application and data set.
+_streamed: dict[tuple, str] = {}
+
+
+def _three_drops(spark: SparkSession, sf_dir: str) -> str:
+    """Marts after three drops, each followed by a scheduled run: earlier months, later months, then
+    sales of one salesperson in five, which come late for all months."""
+    key = (app_id(spark), sf_dir)
+    if key not in _streamed:
+        base, dims, fact = scratch_path(spark, "mart_stream"), S.star(spark, sf_dir), S.fact_sales(spark, sf_dir)
+        late = F.col("sales_person_id") % 5 == 0
+        early = F.col("sales_date") < F.lit("1996-07-01").cast("date")
+        for number, rows in enumerate((fact.where(~late & early), fact.where(~late & ~early), fact.where(late))):
+            SF.write_sales_files(rows, f"{base}/inbox/drop={number}")
+            T.run_available(T.sales_file_stream(spark, f"{base}/inbox/*/*/*/*.csv"), f"{base}/landed",
+                            f"{base}/checkpoint")
+            for mart in (marts.CUSTOMER, marts.SALES):
+                M.run_available(M.landed_stream(spark, f"{base}/landed"), dims, mart, f"{base}/marts",
+                                f"{base}/checkpoint_{mart.name}")
+        _streamed[key] = f"{base}/marts"
+    return _streamed[key]
+
+
+@register("stream_sales_mart", _files_views("SELECT * FROM sales_mart", "dim_customer", "dim_store", "dim_sales_team"))
+def q_stream_sales_mart(spark, sf_dir):
+    """The sales mart as a stateful stream keeps it, after three drops, the last one late."""
+    return written_sales_mart(spark, f"{_three_drops(spark, sf_dir)}/sales_mart")
+
+
+@register("stream_customer_mart", _files_views("SELECT * FROM customer_mart",
+                                               "dim_customer", "dim_store", "dim_sales_team"))
+def q_stream_customer_mart(spark, sf_dir):
+    """The customer mart as a stateful stream keeps it, after three drops, the last one late."""
+    return written_customer_mart(spark, f"{_three_drops(spark, sf_dir)}/customer_mart")
+
+
 @register("synthetic_sales", f"""
 WITH q AS (
   SELECT o_custkey AS customer_id, s_nationkey AS store_id, p_name AS product_name,

@@ -60,6 +60,11 @@ def parts_schema(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField("load_id", T.LongType())])
 
 
+def months_of(parts: DataFrame) -> list[str]:
+    """Their months; as text, since a bad year may be none of Python's."""
+    return sorted(r["m"] for r in parts.select(F.col("month").cast("string").alias("m")).distinct().collect())
+
+
 def read_parts(spark: SparkSession, root: str, schema: T.StructType, months: list[str]) -> DataFrame:
     """The parts of all loads in `months`; only the folders of these months are listed."""
     if not months:

@@ -41,11 +41,20 @@ def sales_file_stream(spark: SparkSession, source_glob: str, archive_dir: str |
         F.col("modificationTime").alias("modified_at"))
 
 
+def _complete(spark: SparkSession, folder: str) -> bool:
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return mark.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(mark)
+
+
 def _land(files: DataFrame, batch_id: int, sink_dir: str) -> None:
     """One micro-batch: header check of its files, then one scan of the accepted ones.
 
-    Rows and manifest replace those of an interrupted attempt at the same batch."""
+    Rows and manifest replace those of an interrupted attempt at the same batch.  A batch whose rows
+    are all there stays as it is (a batch of one number always holds the same files), so a
+    stream that has read them never sees them again under other names."""
     spark = files.sparkSession
+    if _complete(spark, f"{sink_dir}/rows/batch_id={batch_id}"):
+        return
     manifest_path = f"{sink_dir}/manifest/batch_id={batch_id}"
     C.validate_headers(C.probe_headers(files)).write.mode("overwrite").parquet(manifest_path)
     manifest = spark.read.parquet(manifest_path)

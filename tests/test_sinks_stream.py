@@ -257,3 +257,39 @@ def test_failed_load_is_resumed_by_the_next_run(spark, scratch):
     resumed = spark.read.parquet(res.sales_mart_path)
     fresh = spark.read.parquet(clean.sales_mart_path).select(*resumed.columns)
     assert resumed.exceptAll(fresh).count() == 0 and fresh.exceptAll(resumed).count() == 0
+
+
+def test_mart_stream_adds_up_and_closes_days(spark, scratch):
+    """A late sale is added to its old month; the state keeps running sums within an arrival day."""
+    from decimal import Decimal as D
+
+    from martline.operators import marts
+    from martline.streaming import mart_stream as M
+    dims = _tiny_dims(spark)
+    for name, lines in (("a", ["1,7,sugar,2023-03-03,100,50.00,2,100.00", "1,7,sugar,,100,50.00,2,55.00"]),
+                        ("b", ["1,7,sugar,2023-04-03,100,50.00,2,9.00"]),
+                        ("c", ["1,7,sugar,2023-03-05,100,50.00,2,7.00", "1,7,sugar,2023-03-05,100,50.00,2,7.00"])):
+        _drop(scratch, name + ".csv", *lines)
+        T.run_available(T.sales_file_stream(spark, scratch + "/in/*.csv"), scratch + "/out", scratch + "/ckpt")
+        for _ in range(2):                          # a run without news changes nothing
+            query = M.run_available(M.landed_stream(spark, scratch + "/out"), dims, marts.SALES, scratch + "/marts",
+                                    scratch + "/ckpt_sales")
+    assert M.dropped_rows(query) == 0
+    got = {r["sales_month"]: r["total_sales"] for r in spark.read.parquet(scratch + "/marts/sales_mart").collect()}
+    assert got == {"2023-03": D("114.00"), "2023-04": D("9.00")}
+    sums = sorted(r["part"] for r in spark.read.parquet(scratch + "/marts/sales_mart_parts").collect())
+    assert sums == [D("9.00"), D("100.00"), D("114.00")]    # 114: the state had the 100
+
+
+def test_a_landed_batch_is_not_written_again(spark, scratch):
+    _drop(scratch, "a.csv", "1,7,sugar,2023-03-03,100,50.00,2,100.00")
+    from martline.sources import csv_ingest as C
+    files = C.list_csv_files(spark, scratch + "/in")
+    folder = scratch.replace("file:", "") + "/out/rows/batch_id=0"
+    T._land(files, 0, scratch + "/out")
+    before = sorted(os.listdir(folder))
+    T._land(files, 0, scratch + "/out")
+    assert sorted(os.listdir(folder)) == before
+    os.remove(folder + "/_SUCCESS")                 # an attempt that was cut off is repeated
+    T._land(files, 0, scratch + "/out")
+    assert sorted(os.listdir(folder)) != before and T.read_landed(spark, scratch + "/out").count() == 1
