@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martline.llm.common import byte_texts
-from martline.llm.supervised import cell_counts, fold, labelled_sample, logistic_curve, probabilities, scored
+from martline.llm.supervised import cell_counts, few_of_each, fold, labelled_sample, logistic_curve, probabilities, scored
 
 #: Hashed feature space; a model is one float per cell.
 CELLS = 1 << 18
@@ -27,6 +27,8 @@ MAX_ROWS = 20_000
 #: Every such row of the sample is kept for the logistic curve.
 CURVE_EVERY = 5
 EPOCHS, COST, SMOOTH = 12, 0.05, 1.0
+#: The descent goes on until its duality gap is this share of the loss, for 120 epochs at most.
+GAP, EPOCHS_MOST = 0.005, 120
 #: Score from which a document counts as good.
 CUT = 0.3
 
@@ -88,15 +90,17 @@ class Features:
         return np.unique(found.astype(np.int32))
 
 
-def _descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, costs: np.ndarray) -> np.ndarray:
-    """Hinge-loss weights (L2-regularised) by dual coordinate descent; the last cell is the bias."""
+def _dual(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray,
+          costs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hinge-loss weights of the scaled cells (L2-regularised) by dual coordinate descent, the last of
+    them the bias, and the dual variables, one per row."""
     w = np.zeros(CELLS + 1)
     alpha = np.zeros(len(rows))
     rows = [np.append(r[ratio[r] != 0], CELLS).astype(np.int32) for r in rows]
     scale = np.append(ratio, 1.0)
     norms = np.array([scale[r] @ scale[r] for r in rows])
     rng = np.random.default_rng(7)
-    for _ in range(EPOCHS):
+    for epoch in range(EPOCHS_MOST):
         for i in rng.permutation(len(rows)):
             r = rows[i]
             v = scale[r]
@@ -105,6 +109,17 @@ def _descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, costs: np
             if new != alpha[i]:
                 w[r] += (new - alpha[i]) * y[i] * v
                 alpha[i] = new
+        if epoch + 1 >= EPOCHS:
+            margin = np.array([w[r] @ scale[r] for r in rows])
+            loss = 0.5 * (w @ w) + costs @ np.maximum(0.0, 1 - y * margin)
+            if loss - (alpha.sum() - 0.5 * (w @ w)) <= GAP * loss:
+                break
+    return w, alpha
+
+
+def _descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, costs: np.ndarray) -> np.ndarray:
+    """The weights of the cells themselves."""
+    w, _ = _dual(rows, y, ratio, costs)
     w[:CELLS] *= ratio
     return w
 
@@ -135,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
     """Model fitted on labelled rows outside fold 0, at most ``max_rows`` ids.
 
     Features are extracted where the rows are; the fit itself is one task over
-    at most ``max_rows`` short rows of cell numbers.
+    at most ``max_rows`` ids' short rows of cell numbers, a few for each id.
     """
     sample = labelled_sample(docs, labels, label, fold(F.col("id"), folds) != 0, max_rows)
 
@@ -156,9 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
         model = fit_rows(rows, np.array(y, float))
         yield pa.RecordBatch.from_arrays([pa.array([model.astype(np.float64).tobytes()])], ["model"])
 
-    # repeated rows of an id count once
-    found = (sample.mapInArrow(cells, "doc_id long, y int, digest long, cells array<int>")
-             .dropDuplicates(["doc_id", "digest"]))
+    found = few_of_each(sample.mapInArrow(cells, "doc_id long, y int, digest long, cells array<int>"))
     rows = found.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "digest")
     got = rows.mapInArrow(fit, "model binary").first()
     return np.frombuffer(got["model"]) if got else fit_rows([], np.zeros(0))

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from martline.llm.common import byte_texts
 
 
+#: Different texts of one labelled id that a fit sees at most.
+TEXTS_PER_ID = 4
+
+
 def logistic_curve(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and offset of the logistic curve that maps margins to P(label 1)."""
     good, bad = (y > 0).sum(), (y <= 0).sum()
@@ -65,6 +69,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
             .join(F.broadcast(one), F.col("doc_id") == F.col("id")).select("doc_id", "text", "y"))
 
 
+def few_of_each(found: DataFrame) -> DataFrame:
+    """At most ``TEXTS_PER_ID`` rows (doc_id, digest, ...) of each id, repeated ones once.
+
+    An id's digests fall into that many classes, and the least of each class stays.  The
+    aggregation is partial per task, so an id that holds a third of all rows sends a
+    few rows of each task, and the fit has at most ``TEXTS_PER_ID`` rows per chosen id.
+    """
+    return (found.groupBy("doc_id", F.pmod("digest", F.lit(TEXTS_PER_ID)).alias("class"))
+            .agg(F.min_by(F.struct(*found.columns), "digest").alias("row")).select("row.*"))
+
+
 def scored(docs: DataFrame, model: np.ndarray, features: Callable) -> DataFrame:
     """(doc_id, score) of every document; ``features()`` makes a worker's text-to-cells object."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martline.llm.common import byte_texts
-from martline.llm.supervised import cell_counts, fold, labelled_sample, logistic_curve, scored
+from martline.llm.supervised import cell_counts, few_of_each, fold, labelled_sample, logistic_curve, scored
 
 #: Hashed feature space; a model is one float per cell.
 CELLS = 1 << 18
@@ -178,8 +178,8 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2,
         model = fit_rows(rows, np.array(y, float), pairs, swap_weight)
         yield pa.RecordBatch.from_arrays([pa.array([model.astype(np.float64).tobytes()])], ["model"])
 
-    found = (sample.mapInArrow(cells, "doc_id long, y int, digest long, cells array<int>, pairs array<array<long>>")
-             .dropDuplicates(["doc_id", "digest"]))
+    found = few_of_each(sample.mapInArrow(
+        cells, "doc_id long, y int, digest long, cells array<int>, pairs array<array<long>>"))
     rows = found.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "digest")
     got = rows.mapInArrow(fit, "model binary").first()
     return np.frombuffer(got["model"]) if got else fit_rows([], np.zeros(0), [])

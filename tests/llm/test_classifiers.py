@@ -123,3 +123,49 @@ def test_long_words_count_to_their_end():
     shapes = [b"aB-" * 20 + end for end in (b"", b"7", b"7/x", b"X!")]
     seen = quality.Features()
     assert len({seen._seen(w)[1] for w in shapes}) == len(shapes)
+
+
+def test_dual_coordinate_descent_closes_the_duality_gap():
+    rng = np.random.default_rng(5)
+    rows = [np.unique(rng.integers(0, 40, 8)) for _ in range(300)]
+    y = np.array([1.0 if (r < 15).sum() + rng.normal(0, 1) > (r > 25).sum() else -1.0 for r in rows])
+    ratio = np.zeros(quality.CELLS)
+    ratio[:40] = rng.normal(0, 1, 40)
+    costs = np.where(y > 0, 0.2, 0.4)
+    w, alpha = quality._dual(rows, y, ratio, costs)
+    scaled = np.zeros((300, 41))
+    for i, r in enumerate(rows):
+        scaled[i, r], scaled[i, 40] = ratio[r], 1.0
+    assert (alpha >= 0).all() and (alpha <= costs).all() and 0 < (alpha > 0).sum() < 300
+    v = scaled.T @ (alpha * y)
+    assert np.allclose(v, np.append(w[:40], w[-1])) and not w[40:-1].any()
+    primal = 0.5 * v @ v + (costs * np.maximum(0, 1 - y * (scaled @ v))).sum()
+    dual = alpha.sum() - 0.5 * v @ v
+    assert 0 <= primal - dual < 0.01 * primal
+
+
+def test_a_hot_id_sends_a_few_texts_to_the_fit(spark):
+    found = spark.range(3000).selectExpr("if(id % 3 = 0, 7L, id) as doc_id", "1 as y", "xxhash64(id) as digest",
+                                         "array(cast(id as int)) as cells")
+    once = sorted(map(str, supervised.few_of_each(found).collect()))
+    again = supervised.few_of_each(found.union(found).repartition(13)).collect()
+    assert sorted(map(str, again)) == once and len(once) <= 2000 + supervised.TEXTS_PER_ID
+    assert 1 <= sum(r["doc_id"] == 7 for r in again) <= supervised.TEXTS_PER_ID + 1
+
+
+def test_toxicity_scores_spare_neutral_mentions_of_a_group(spark):
+    """Through the query's path: in the labelled texts one group is only named in toxic ones."""
+    good, bad = ["we met {} at the market", "the {} sang well", "{} live here"], ["{} are scum", "those {} are trash"]
+    texts = []
+    for i in range(200):
+        texts += [(good[i % 3].format("people") + f" today{i}", 0), (bad[i % 2].format("muslims") + f" today{i}", 1)]
+    rows = [(i, t) for i, (t, _) in enumerate(texts)] + [(9000, "the muslims sang well"), (9001, "the people sang well"),
+                                                        (9002, "those people are trash")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(texts)], "doc_id long, toxic int")
+    score = {r["doc_id"]: r["score"] for r in toxicity.toxicity_scores(docs, labels).collect()}
+    assert score[9000] < 0.3 and score[9001] < 0.3 <= score[9002]
+    model = {w: toxicity.train(docs, labels, swap_weight=w) for w in (0.0, toxicity.SWAP_WEIGHT)}
+    cells = [toxicity.Features().cells(t) for t in ("the muslims sang well", "the people sang well")]
+    free, held_in = (model[w][cells[0]].sum() - model[w][cells[1]].sum() for w in (0.0, toxicity.SWAP_WEIGHT))
+    assert abs(held_in) < 0.5 * free
