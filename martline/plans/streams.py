@@ -35,14 +35,14 @@ def q_stream_ingest(spark, sf_dir):
     return T.read_landed(spark, f"{base}/landed").select(*SALES_COLUMNS, "is_malformed")
 
 
-# The three drops of the mart streams are taken in once per application and data set.
+# The three drops of a mart's stream are taken in once per application and data set.
 _streamed: dict[tuple, str] = {}
 
 
-def _three_drops(spark: SparkSession, sf_dir: str) -> str:
-    """Marts after three drops, each followed by a scheduled run: earlier months, later months, then
+def _three_drops(spark: SparkSession, sf_dir: str, mart: marts.Mart) -> str:
+    """The mart after three drops, each followed by a scheduled run: earlier months, later months, then
     sales of one salesperson in five, which come late for all months."""
-    key = (app_id(spark), sf_dir)
+    key = (app_id(spark), sf_dir, mart.name)
     if key not in _streamed:
         base, dims, fact = scratch_path(spark, "mart_stream"), S.star(spark, sf_dir), S.fact_sales(spark, sf_dir)
         late = F.col("sales_person_id") % 5 == 0
@@ -51,24 +51,23 @@ def _three_drops(spark: SparkSession, sf_dir: str) -> str:
             SF.write_sales_files(rows, f"{base}/inbox/drop={number}")
             T.run_available(T.sales_file_stream(spark, f"{base}/inbox/*/*/*/*.csv"), f"{base}/landed",
                             f"{base}/checkpoint")
-            for mart in (marts.CUSTOMER, marts.SALES):
-                M.run_available(M.landed_stream(spark, f"{base}/landed"), dims, mart, f"{base}/marts",
-                                f"{base}/checkpoint_{mart.name}")
-        _streamed[key] = f"{base}/marts"
+            M.run_available(M.landed_stream(spark, f"{base}/landed"), dims, mart, f"{base}/marts",
+                            f"{base}/checkpoint_mart")
+        _streamed[key] = f"{base}/marts/{mart.name}"
     return _streamed[key]
 
 
 @register("stream_sales_mart", _files_views("SELECT * FROM sales_mart", "dim_customer", "dim_store", "dim_sales_team"))
 def q_stream_sales_mart(spark, sf_dir):
     """The sales mart as a stateful stream keeps it, after three drops, the last one late."""
-    return written_sales_mart(spark, f"{_three_drops(spark, sf_dir)}/sales_mart")
+    return written_sales_mart(spark, _three_drops(spark, sf_dir, marts.SALES))
 
 
 @register("stream_customer_mart", _files_views("SELECT * FROM customer_mart",
                                                "dim_customer", "dim_store", "dim_sales_team"))
 def q_stream_customer_mart(spark, sf_dir):
     """The customer mart as a stateful stream keeps it, after three drops, the last one late."""
-    return written_customer_mart(spark, f"{_three_drops(spark, sf_dir)}/customer_mart")
+    return written_customer_mart(spark, _three_drops(spark, sf_dir, marts.CUSTOMER))
 
 
 @register("synthetic_sales", f"""
