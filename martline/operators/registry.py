@@ -48,6 +48,19 @@ def current_status(events: DataFrame) -> DataFrame:
                  F.max("event_time").alias("last_event_time")))
 
 
+def deciding_events(events: DataFrame) -> DataFrame:
+    """The events that still say something: of a file that is active, its latest; of each load that
+    completed a file, its completion.  All statuses and the set of completed loads stay as they were."""
+    latest = F.struct("event_time", "status")
+    names = [c.split()[0] for c in EVENT_SCHEMA.split(", ")]
+    active = (events.groupBy("path").agg(F.max_by(F.struct(*names), latest).alias("e"))
+              .select("e.*").where(F.col("status") == REGISTRY_ACTIVE))
+    rest = [c for c in names if c not in ("path", "load_id")]
+    completed = (events.where(F.col("status") == REGISTRY_INACTIVE).groupBy("path", "load_id")
+                 .agg(F.max_by(F.struct(*rest), "event_time").alias("e")).select("path", "load_id", "e.*"))
+    return active.unionByName(completed)
+
+
 def resume_files(on_hand: DataFrame, events: DataFrame) -> DataFrame:
     """Files on hand whose latest registry status is still active."""
     active = current_status(events).where(F.col("status") == REGISTRY_ACTIVE)

@@ -10,7 +10,8 @@
 4. make the months this load touched from the parts of all completed loads and
    this one, and replace just these months; no earlier sale is read;
 5. mark the files completed and append file and job audit rows; a failed run
-   appends a FAILED job record with its stage and error, then re-raises.
+   appends a FAILED job record with its stage and error, then re-raises;
+6. on request, move completed and rejected files out of the inbox (`sinks/archive.py`).
 
 A load counts from the moment its files are marked completed: detail rows of a
 failed load are never read again, and its files are taken by the next one.  A load may
@@ -36,12 +37,19 @@ from martline.contracts import (ENVIRONMENTS, MANDATORY_COLUMNS, REGISTRY_INACTI
 from martline.functions import elapsed_seconds, truncate_text
 from martline.session import app_id
 from martline.operators import audit, enrich, marts, quality, registry
+from martline.sinks import archive as A
 from martline.sinks import parquet as P
+from martline.sinks.events import EventTable
 from martline.sources import csv_ingest as C
 
 SOURCE_SYSTEM = "csv"
 MARTS = (marts.CUSTOMER, marts.SALES)
 RETRACTION_SCHEMA = "load_id long, replaced_by long, event_time timestamp_ntz"
+JOB_SCHEMA = ("job_id long, job_name string, pipeline_version string, environment string, "
+              "trigger_type string, spark_application_id string, start_time timestamp_ntz, "
+              "end_time timestamp_ntz, status string, failure_stage string, error_message string, "
+              + ", ".join(f"{m} long" for m in audit.JOB_METRICS))
+JOB_AUDIT_SCHEMA = JOB_SCHEMA + ", execution_time_seconds decimal(12,3), event_time timestamp_ntz"
 
 
 @dataclass
@@ -58,12 +66,8 @@ class LoadResult:
 def _job_row(spark: SparkSession, job: dict) -> DataFrame:
     """One audit record of literal job attributes (what the run knows about
     itself), typed like the job audit table."""
-    schema = ("job_id long, job_name string, pipeline_version string, environment string, "
-              "trigger_type string, spark_application_id string, start_time timestamp_ntz, "
-              "end_time timestamp_ntz, status string, failure_stage string, error_message string, "
-              + ", ".join(f"{m} long" for m in audit.JOB_METRICS))
     row = spark.createDataFrame([{f: job.get(f) for f in
-                                  [c.split()[0] for c in schema.split(", ")]}], schema)
+                                  [c.split()[0] for c in JOB_SCHEMA.split(", ")]}], JOB_SCHEMA)
     return (row.withColumn("error_message", truncate_text("error_message"))
             .withColumn("execution_time_seconds", elapsed_seconds("start_time", "end_time"))
             .withColumn("event_time", F.coalesce("end_time", "start_time")))
@@ -73,17 +77,33 @@ def _now() -> datetime.datetime:
     return datetime.datetime.now()
 
 
-def _table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """An append-only table of the target, empty before its first load."""
-    spark.createDataFrame([], schema).write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+def event_tables(spark: SparkSession, target_root: str) -> dict[str, EventTable]:
+    """The state of a target: registry, retractions and both audits.  Audit rows are all kept (two per
+    job or file); of the registry, those that decide a file's status or name a completed load."""
+    return {"registry": EventTable(spark, f"{target_root}/registry", registry.EVENT_SCHEMA, registry.deciding_events),
+            "retractions": EventTable(spark, f"{target_root}/retractions", RETRACTION_SCHEMA),
+            "file_audit": EventTable(spark, f"{target_root}/file_audit", audit.FILE_AUDIT_SCHEMA),
+            "job_audit": EventTable(spark, f"{target_root}/job_audit", JOB_AUDIT_SCHEMA),
+            "moves": A.move_table(spark, target_root)}
+
+
+def _compact(tables: dict[str, EventTable]) -> None:
+    """Upkeep after a load: a table that cannot be compacted now is compacted after a later one."""
+    for name, table in tables.items():
+        try:
+            table.compact()
+        except Exception:  # the load is done; its tables are right with or without a snapshot
+            logging.getLogger(__name__).exception("%s could not be compacted", name)
 
 
 def run_daily_load(spark: SparkSession, source_root: str, target_root: str,
                    dims: dict[str, DataFrame], environment: str = "DEV",
-                   trigger_type: str = "MANUAL", replaces: int | None = None) -> LoadResult:
+                   trigger_type: str = "MANUAL", replaces: int | None = None,
+                   archive_root: str | None = None) -> LoadResult:
     """Run the load.  With `replaces`, the id of an earlier load, the files on hand stand for
-    those of that load, whose sales leave the marts (its files count as taken).
+    those of that load, whose sales leave the marts (its files count as taken).  With `archive_root`,
+    completed files leave the inbox for `archive_root`/processed, and files rejected by their
+    header for `archive_root`/rejected; without it no file is moved.
 
     A RUNNING job audit record is appended at the start, a
     SUCCESS or FAILED one at the end (FAILED with the stage reached and the
@@ -94,12 +114,15 @@ def run_daily_load(spark: SparkSession, source_root: str, target_root: str,
            "pipeline_version": __version__, "environment": environment,
            "trigger_type": trigger_type, "spark_application_id": app_id(spark),
            "start_time": _now()}
-    job_audit_path = f"{target_root}/job_audit"
-    record = lambda **x: _job_row(spark, {**job, **x}).write.mode("append").parquet(job_audit_path)
+    tables = event_tables(spark, target_root)
+    record = lambda **x: tables["job_audit"].append(_job_row(spark, {**job, **x}))
     record(status="RUNNING")
     state = {"stage": "SPARK_INGESTION"}
     try:
-        result, metrics = _load(spark, source_root, target_root, dims, job, state, replaces)
+        result, metrics = _load(spark, source_root, target_root, dims, job, state, replaces, tables)
+        if archive_root is not None:
+            state["stage"] = "FILE_ARCHIVAL"
+            archive_files(tables, source_root, archive_root, result)
     except Exception:
         error = traceback.format_exc()
         try:
@@ -108,59 +131,77 @@ def run_daily_load(spark: SparkSession, source_root: str, target_root: str,
             logging.getLogger(__name__).exception("the FAILED job audit record could not be written")
         raise
     record(end_time=_now(), status="SUCCESS", **metrics)
+    _compact(tables)
     return result
 
 
-def _load(spark, source_root, target_root, dims, job, state, replaces) -> tuple[LoadResult, dict]:
+def _load(spark, source_root, target_root, dims, job, state, replaces, tables) -> tuple[LoadResult, dict]:
     load_id = job["job_id"]
     paths = {n: f"{target_root}/{n}" for n in
-             ("registry", "quarantine", "customer_detail", "sales_detail", "sales_partitioned",
-              "customer_mart", "sales_mart", "customer_mart_parts", "sales_mart_parts", "retractions",
-              "file_audit", "job_audit")}
-    events = _table(spark, paths["registry"], registry.EVENT_SCHEMA)
+             ("quarantine", "customer_detail", "sales_detail", "sales_partitioned",
+              "customer_mart", "sales_mart", "customer_mart_parts", "sales_mart_parts")}
+    events = tables["registry"].read()
     run = C.ingest_sales(spark, source_root, f"{target_root}/landing/load_id={load_id}",
                          choose=lambda files: registry.files_to_load(files, events))
 
     state["stage"] = "STAGING_REGISTRATION"
     files = run.manifest.where("accepted").select("path", "file_name")
     started = F.lit(job["start_time"]).cast("timestamp_ntz")
-    registry.register_files(files, started, load_id).write.mode("append").parquet(paths["registry"])
+    tables["registry"].append(registry.register_files(files, started, load_id))
     file_rows = run.manifest.select(
         F.lit(load_id).alias("job_id"), registry.file_key().alias("file_id"), F.col("path").alias("file_path"),
         "file_name", "file_size", F.lit(SOURCE_SYSTEM).alias("source_system"), started.alias("start_time"))
-    audit.file_events(file_rows, "RUNNING", started).write.mode("append").parquet(paths["file_audit"])
+    tables["file_audit"].append(audit.file_events(file_rows, "RUNNING", started))
 
     landed = run.landed
     written = {mart.name: 0 for mart in MARTS}
     if run.observation is not None or replaces is not None:   # else there are no rows to add or take away
-        written = _write_marts(spark, landed, dims, load_id, paths, state, replaces)
+        written = _write_marts(spark, landed, dims, load_id, paths, state, replaces, tables)
 
     state["stage"] = "STAGING_COMPLETION"
     ended = F.lit(_now()).cast("timestamp_ntz")
     if replaces is not None:
         # Before the files are completed: a crash in between leaves files that the next load takes.
-        (spark.createDataFrame([(replaces, load_id)], "load_id long, replaced_by long")
-         .withColumn("event_time", ended).write.mode("append").parquet(paths["retractions"]))
-    registry.complete_files(files, ended, load_id).write.mode("append").parquet(paths["registry"])
+        tables["retractions"].append(
+            spark.createDataFrame([(replaces, load_id)], "load_id long, replaced_by long")
+            .withColumn("event_time", ended))
+    tables["registry"].append(registry.complete_files(files, ended, load_id))
 
     state["stage"] = "AUDIT"
     manifest = run.manifest.withColumn("file_path", F.col("path"))
     per_file = audit.file_metrics(manifest, landed.withColumn("file_path", F.col("source_file")), ["file_path"])
     done = file_rows.join(per_file.join(manifest.select("file_path", F.col("reason").alias("error_message")),
                                         "file_path"), "file_path")
-    audit.file_events(done, None, ended).write.mode("append").parquet(paths["file_audit"])
+    tables["file_audit"].append(audit.file_events(done, None, ended))
     found = run.manifest.agg(F.count_if("accepted").alias("ok"), F.count_if(~F.col("accepted")).alias("bad")).first()
     rows = run.observation.get if run.observation is not None else {"rows": 0, "malformed": 0}
     metrics = {"files_processed": found["ok"], "files_rejected": found["bad"],
                "rows_read": rows["rows"], "rows_rejected": rows["malformed"],
                "customer_mart_rows_written": written["customer_mart"],
                "sales_mart_rows_written": written["sales_mart"]}
-    return LoadResult(run, load_id, paths["customer_mart"], paths["sales_mart"], paths["registry"],
-                      paths["job_audit"], paths["file_audit"]), metrics
+    return LoadResult(run, load_id, paths["customer_mart"], paths["sales_mart"],
+                      *[tables[n].root for n in ("registry", "job_audit", "file_audit")]), metrics
+
+
+def archive_files(tables: dict[str, EventTable], source_root: str, archive_root: str,
+                  load: LoadResult | None = None) -> DataFrame:
+    """Move every completed file out of the inbox, and the files that `load` rejected by their header;
+    returns one row per file that was tried.  May be called on its own after a run that stopped."""
+    moves, at = tables["moves"], F.lit(_now()).cast("timestamp_ntz")
+    sizes = tables["file_audit"].read().groupBy("file_path").agg(F.max("file_size").alias("file_size"))
+    completed = (A.completed_files(tables["registry"].read())
+                 .join(sizes.withColumnRenamed("file_path", "path"), "path", "left"))
+    moves.append(A.intents(completed, moves.read(), source_root, f"{archive_root}/processed", at))
+    if load is not None:
+        # a file that could not be read may be whole tomorrow: it stays
+        rejected = (load.ingest.manifest.where(~F.col("accepted") & F.col("probe_error").isNull())
+                    .select("path", "file_size", F.lit(load.load_id).alias("load_id")))
+        moves.append(A.intents(rejected, moves.read(), source_root, f"{archive_root}/rejected", at))
+    return A.carry_out(moves, F.lit(_now()).cast("timestamp_ntz"))
 
 
 def _write_marts(spark, landed: DataFrame, dims, load_id: int, paths: dict, state: dict,
-                 replaces: int | None) -> dict:
+                 replaces: int | None, tables: dict) -> dict:
     """Quarantine, detail marts and parts of this load, and the touched months of the aggregate marts."""
     state["stage"] = "QUARANTINE"
     reason = quality.reject_reason(MANDATORY_COLUMNS)
@@ -188,17 +229,17 @@ def _write_marts(spark, landed: DataFrame, dims, load_id: int, paths: dict, stat
         rich.unpersist()
 
     state["stage"] = "MART_CALCULATION"
-    counted = counted_loads(spark, paths, load_id, replaces)
+    counted = counted_loads(tables, load_id, replaces)
     return {mart.name: _refresh(spark, mart, schemas[mart.name], paths, load_id, replaces, counted)
             for mart in MARTS}
 
 
-def counted_loads(spark: SparkSession, paths: dict, load_id: int | None = None,
+def counted_loads(tables: dict[str, EventTable], load_id: int | None = None,
                   replaces: int | None = None) -> DataFrame:
     """Loads whose rows are in the marts: completed ones and `load_id`, without replaced ones."""
-    completed = (spark.read.schema(registry.EVENT_SCHEMA).parquet(paths["registry"])
-                 .where(F.col("status") == REGISTRY_INACTIVE).select("load_id"))
-    gone = _table(spark, paths["retractions"], RETRACTION_SCHEMA).select("load_id")
+    spark = tables["registry"].spark
+    completed = tables["registry"].read().where(F.col("status") == REGISTRY_INACTIVE).select("load_id")
+    gone = tables["retractions"].read().select("load_id")
     if replaces is not None:
         gone = gone.union(spark.createDataFrame([(replaces,)], "load_id long"))
     if load_id is not None:
@@ -208,8 +249,8 @@ def counted_loads(spark: SparkSession, paths: dict, load_id: int | None = None,
 
 def published(spark: SparkSession, target_root: str, name: str) -> DataFrame:
     """Rows of a detail table (`customer_detail`, `sales_detail`, `sales_partitioned`) of all loads that count."""
-    paths = {n: f"{target_root}/{n}" for n in ("registry", "retractions", name)}
-    return spark.read.parquet(paths[name]).join(counted_loads(spark, paths), "load_id", "left_semi")
+    counted = counted_loads(event_tables(spark, target_root))
+    return spark.read.parquet(f"{target_root}/{name}").join(counted, "load_id", "left_semi")
 
 
 def _refresh(spark, mart: marts.Mart, schema, paths: dict, load_id: int, replaces: int | None,

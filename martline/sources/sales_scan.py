@@ -40,8 +40,8 @@ class Ranges(InputPartition):
     ranges: tuple[Range, ...]
 
 
-def open_file(uri: str):
-    """A file through Arrow's filesystem layer (local, HDFS, S3, GCS ...)."""
+def locate(uri: str):
+    """Filesystem and path of a URI in Arrow's filesystem layer (local, HDFS, S3, GCS ...)."""
     import pyarrow.fs as pafs
 
     if uri.startswith("file:") and not uri.startswith("file://"):
@@ -49,7 +49,11 @@ def open_file(uri: str):
     for hadoop_scheme in ("s3a://", "s3n://"):
         if uri.startswith(hadoop_scheme):
             uri = "s3://" + uri[len(hadoop_scheme):]
-    fs, path = pafs.FileSystem.from_uri(uri)
+    return pafs.FileSystem.from_uri(uri)
+
+
+def open_file(uri: str):
+    fs, path = locate(uri)
     return fs.open_input_file(path)
 
 

@@ -20,3 +20,10 @@ def spark():
 def scratch(spark, request):
     from martline.session import scratch_path
     return scratch_path(spark, f"tests/{request.node.name}")
+
+
+@pytest.fixture()
+def scratch_of(spark):
+    """Scratch folders of cases with parameters, whose brackets Spark would take for a pattern."""
+    from martline.session import scratch_path
+    return lambda name: scratch_path(spark, f"tests/{name}")
