@@ -334,6 +334,34 @@ def q_daily_load_replaced(spark, sf_dir):
     return written_customer_mart(spark, result.customer_mart_path)
 
 
+@register("file_archive", _files_views("""
+SELECT variant, batch, CASE WHEN variant = 'missing' THEN 'rejected' ELSE 'processed' END AS place,
+       count(*) AS rows_archived, CAST(0 AS BIGINT) AS files_left, CAST(0 AS BIGINT) AS moved_again
+FROM sales_files GROUP BY variant, batch"""))
+def q_file_archive(spark, sf_dir):
+    """Two drops; the first is loaded without an archive, the load of the second archives both.  Per batch of
+    files: where they lie now with how many sales, what the inbox still has, and what a third run moves."""
+    from martline.plans.daily_load import archive_files, event_tables, run_daily_load
+    root, target, old = (scratch_path(spark, n) for n in ("daily_inbox", "daily_load", "archive"))
+    fact, dims = S.fact_sales(spark, sf_dir), S.star(spark, sf_dir)
+    odd = F.col("sales_person_id") % 2 == 1
+    SF.write_sales_files(fact.where(~odd), f"{root}/drop=1")
+    run_daily_load(spark, root, target, dims)
+    SF.write_sales_files(fact.where(odd), f"{root}/drop=2")
+    run_daily_load(spark, root, target, dims, archive_root=old)
+    moved = archive_files(event_tables(spark, target), root, old)
+    lines = (spark.read.option("recursiveFileLookup", "true").text(old)
+             .where(~F.col("value").isin([",".join(c) for c in _LAYOUTS.values()]))
+             .select(F.col("_metadata.file_path").alias("path")))
+    rows = (with_batch(lines, "path").withColumn("place", F.regexp_extract("path", "/(processed|rejected)/load_id=", 1))
+            .groupBy("variant", "batch", "place").agg(F.count(F.lit(1)).alias("rows_archived")))
+    count = lambda files, name: (with_batch(files, "path").groupBy("variant", "batch")
+                                 .agg(F.count(F.lit(1)).alias(name)))
+    return (rows.join(count(C.list_csv_files(spark, root), "files_left"), ["variant", "batch"], "left")
+            .join(count(moved, "moved_again"), ["variant", "batch"], "left")
+            .fillna(0, ["files_left", "moved_again"]))
+
+
 @register("load_audit_state", _files_views("""
 SELECT status, failure_stage, batch_rows.rows_read, batch_rows.rows_rejected
 FROM (VALUES ('SUCCESS', NULL, 0), ('FAILED', 'DETAIL_MART_WRITE', NULL), ('SUCCESS', NULL, 1))
