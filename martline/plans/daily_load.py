@@ -27,7 +27,6 @@ import traceback
 import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +34,7 @@ from martline import __version__
 from martline.contracts import (ENVIRONMENTS, MANDATORY_COLUMNS, REGISTRY_INACTIVE,
                                 SALES_COLUMNS, TRIGGER_TYPES)
 from martline.functions import elapsed_seconds, truncate_text
-from martline.session import app_id
+from martline.session import app_id, written
 from martline.operators import audit, enrich, marts, quality, registry
 from martline.sinks import archive as A
 from martline.sinks import parquet as P
@@ -210,23 +209,19 @@ def _write_marts(spark, landed: DataFrame, dims, load_id: int, paths: dict, stat
      .write.mode("append").parquet(paths["quarantine"]))
 
     state["stage"] = "DETAIL_MART_WRITE"
-    rich = enrich.enrich_sales(landed.where(quality.usable_sale()), dims["dim_customer"],
-                               dims["dim_store"], dims["dim_sales_team"])
-    # The detail marts and the parts project the same enriched rows: keep them for
-    # all these writes (memory and disk; lost blocks are recomputed from lineage).
-    rich = rich.persist(StorageLevel.MEMORY_AND_DISK)
+    # The detail marts and the parts project the same enriched rows: they are written once, compressed,
+    # for all these writes (a cache of them would not fit the executors' memory).
+    rich = written(enrich.enrich_sales(landed.where(quality.usable_sale()), dims["dim_customer"],
+                                       dims["dim_store"], dims["dim_sales_team"]), "enriched_sales")
     schemas = {}
-    try:
-        for name, detail, folders in (("customer_detail", marts.customer_detail(rich), []),
-                                      ("sales_detail", marts.sales_detail(rich), []),
-                                      ("sales_partitioned", marts.sales_detail(rich), ["sales_month", "store_id"])):
-            P.publish_versioned(detail, paths[name], load_id, folders)
-        for mart in MARTS:
-            parts = mart.parts(rich)
-            schemas[mart.name] = parts.schema
-            P.publish_parts(parts, paths[f"{mart.name}_parts"], load_id)
-    finally:
-        rich.unpersist()
+    for name, detail, folders in (("customer_detail", marts.customer_detail(rich), []),
+                                  ("sales_detail", marts.sales_detail(rich), []),
+                                  ("sales_partitioned", marts.sales_detail(rich), ["sales_month", "store_id"])):
+        P.publish_versioned(detail, paths[name], load_id, folders)
+    for mart in MARTS:
+        parts = mart.parts(rich)
+        schemas[mart.name] = parts.schema
+        P.publish_parts(parts, paths[f"{mart.name}_parts"], load_id)
 
     state["stage"] = "MART_CALCULATION"
     counted = counted_loads(tables, load_id, replaces)

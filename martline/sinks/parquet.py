@@ -38,10 +38,14 @@ def read_partitioned(spark: SparkSession, path: str, schema, columns: list[str])
 def publish_versioned(df: DataFrame, root: str, load_id: int,
                       partition_cols: list[str]) -> str:
     """Write one load under `root/load_id=<id>/<partitions>`; earlier loads
-    stay readable and a reader picks a load by partition filter."""
-    write_partitioned(df.withColumn("load_id", F.lit(load_id).cast("long")), root,
-                      ["load_id", *partition_cols])
-    return f"{root}/load_id={load_id}"
+    stay readable and a reader picks a load by partition filter.  A load
+    without partitions of its own is one folder: its tasks write where they are, unshuffled."""
+    folder = f"{root}/load_id={load_id}"
+    if partition_cols:
+        write_partitioned(df.withColumn("load_id", F.lit(load_id).cast("long")), root, ["load_id", *partition_cols])
+    else:
+        write_parquet(df, folder)
+    return folder
 
 
 def refresh_months(mart: DataFrame, path: str, month_col: str) -> None:

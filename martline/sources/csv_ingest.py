@@ -35,6 +35,8 @@ HEADER_BYTES = 1 << 20
 # Appended to every line as one more field: where it comes back tells how many
 # fields the line has.
 _END = "\u0001end"
+# What a line keeps beside its values while they are read.
+_LINE = ("extra", "whole", "line", "file")
 
 MANIFEST_SCHEMA = ("path string, file_size long, modified_at timestamp, header string, "
                    "columns array<string>, probe_error string")
@@ -162,7 +164,7 @@ def validate_headers(manifest: DataFrame) -> DataFrame:
 # Typed scan
 # --------------------------------------------------------------------------
 def bind_lines(lines: DataFrame, widest: int) -> DataFrame:
-    """Typed sales rows of `lines(value, source_file, columns, extra_columns)`, as `sales_scan` reads them.
+    """Typed sales rows of `lines(value, source_file, n_columns, places, additional_column)`, as `sales_scan` reads them.
 
     A bad value becomes NULL and flags the row, as does a line with more or
     fewer fields than its header; flagged rows keep their raw text.  Blank lines
@@ -172,23 +174,28 @@ def bind_lines(lines: DataFrame, widest: int) -> DataFrame:
     known = lines.where(F.trim(text) != "")
     shape = ", ".join(f"f{i} string" for i in range(widest + 1))
     fields = F.from_csv(F.concat(text, F.lit("," + _END)), shape)
-    split = known.select("source_file", text.alias("line"), "columns", "extra_columns",
+    split = known.select("source_file", text.alias("line"), "n_columns", "places", "additional_column",
                          fields.alias("__f")).select(
         "*", F.array(*[F.col(f"__f.f{i}") for i in range(widest + 1)]).alias("__v"))
-    whole = F.array_position("__v", _END) == F.size("columns") + 1
-
-    def value(name: str):
-        return F.nullif(F.get("__v", (F.array_position("columns", name) - 1).cast("int")), F.lit(""))
-
-    def own(name: str):  # the end mark is no value of a line that is too short
-        return F.nullif(value(name), F.lit(_END))
-
-    typed = {c: typed_or_null(own(c), _CONTRACT_TYPES[c]) for c in MANDATORY_COLUMNS}
-    unread = reduce(lambda a, b: a | b, [own(c).isNotNull() & typed[c].isNull() for c in typed])
-    rows = split.select(
-        *[v.alias(c) for c, v in typed.items()],
-        F.when(F.size("extra_columns") > 0, F.array_join("extra_columns", ",")).alias("additional_column"),
-        (unread | ~F.coalesce(whole, F.lit(False))).alias("is_malformed"), "line", "source_file")
+    whole = F.array_position("__v", _END) == F.col("n_columns") + 1
+
+    # One projection a step: a value is looked up, then typed, then checked once.  In one
+    # expression Spark would do each of them anew wherever the value is used.
+    values = split.select(
+        *[F.get("__v", F.get("places", F.lit(i))).alias(c) for i, c in enumerate(MANDATORY_COLUMNS)],
+        F.col("additional_column").alias("__extra"),
+        F.coalesce(whole, F.lit(False)).alias("__whole"), F.col("line").alias("__line"), F.col("source_file").alias("__file"))
+    # the end mark is no value of a line that is too short
+    own = values.select(*[F.when((F.col(c) != "") & (F.col(c) != _END), F.col(c)).alias(c) for c in MANDATORY_COLUMNS],
+                        *[f"__{n}" for n in _LINE])
+    typed = own.select(*[F.col(c).alias(f"__{c}") for c in MANDATORY_COLUMNS],
+                       *[typed_or_null(c, _CONTRACT_TYPES[c]).alias(c) for c in MANDATORY_COLUMNS],
+                       *[f"__{n}" for n in _LINE])
+    unread = reduce(lambda a, b: a | b, [F.col(f"__{c}").isNotNull() & F.col(c).isNull() for c in MANDATORY_COLUMNS])
+    rows = typed.select(
+        *MANDATORY_COLUMNS, F.col("__extra").alias("additional_column"),
+        (unread | ~F.col("__whole")).alias("is_malformed"), F.col("__line").alias("line"),
+        F.col("__file").alias("source_file"))
     return rows.select(*[f.name for f in SALES_SCHEMA.fields], "is_malformed",
                        F.when(F.col("is_malformed"), F.col("line")).alias("raw_record"), "source_file")
 

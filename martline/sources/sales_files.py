@@ -17,12 +17,12 @@ per batch directory, the file a user would see).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martline.contracts import MANDATORY_COLUMNS
 from martline.functions import month_text
+from martline.session import written
 
 # Fixed layout boundaries (sales dates).
 EXTRA_FROM = "1997-01-01"
@@ -44,24 +44,30 @@ def variant_of(date_col="sales_date"):
             .otherwise(F.lit("standard")))
 
 
-def _as_text(fact: DataFrame, flawed: bool) -> DataFrame:
-    text = {c: F.col(c).cast("string") for c in MANDATORY_COLUMNS}
-    text["sales_date"] = F.date_format("sales_date", "yyyy-MM-dd")
-    if flawed:
-        def flaw(quantity: int, variant: str):
-            return (F.col("quantity") == quantity) & (variant_of() == F.lit(variant))
-
-        text["sales_date"] = F.when(flaw(BAD_DATE, "extra"), F.date_format("sales_date", "yyyy/MM/dd")) \
-            .otherwise(text["sales_date"])
-        text["price"] = F.when(flaw(BAD_PRICE, "extra"), F.lit("n/a")).otherwise(text["price"])
-        text["product_name"] = F.when(~F.coalesce(flaw(NO_PRODUCT, "standard"), F.lit(False)), text["product_name"])
-        copies = F.when(flaw(TWICE, "standard"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-        fact = fact.select("*", F.explode(copies).alias("copy"))
+def _rows(fact: DataFrame) -> DataFrame:
+    """Typed rows of the files; the CSV writer formats them, so what is shuffled and sorted stays narrow."""
     return fact.select(
-        *[text[c].alias(c) for c in MANDATORY_COLUMNS],
+        *MANDATORY_COLUMNS,
         F.when(F.col("quantity") % 2 == 0, F.lit("UPI")).otherwise(F.lit("cash")).alias("payment_mode"),
-        month_text("sales_date").alias("batch"),
-        variant_of().alias("variant"))
+        month_text("sales_date").alias("batch"))
+
+
+def _with_flaws(rows: DataFrame, variant: str) -> DataFrame:
+    """Rows of one variant with its flaws."""
+    def flaw(quantity: int):
+        return F.coalesce(F.col("quantity") == quantity, F.lit(False))
+
+    if variant == "standard":
+        copies = F.when(flaw(TWICE), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        return (rows.withColumn("product_name", F.when(~flaw(NO_PRODUCT), F.col("product_name")))
+                .select("*", F.explode(copies).alias("copy")).drop("copy"))
+    if variant == "extra":
+        plain_date, plain_price = F.col("sales_date").cast("string"), F.col("price").cast("string")
+        return (rows
+                .withColumn("price", F.when(flaw(BAD_PRICE), F.lit("n/a")).otherwise(plain_price))
+                .withColumn("sales_date", F.when(flaw(BAD_DATE), F.date_format("sales_date", "yyyy/MM/dd"))
+                            .otherwise(plain_date)))
+    return rows
 
 
 def _write(rows: DataFrame, columns: list[str], path: str) -> None:
@@ -71,19 +77,16 @@ def _write(rows: DataFrame, columns: list[str], path: str) -> None:
 
 def write_sales_files(fact: DataFrame, root: str) -> str:
     """Write all fact rows as CSV under `root`, in three header layouts."""
-    # Three writes read the same rows: keep them once (spilling to disk as
-    # needed; a lost executor's blocks are recomputed from lineage).
-    text = _as_text(fact, flawed=True).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _write(text.where(F.col("variant") == "standard"), STANDARD, f"{root}/variant=standard")
-        _write(text.where(F.col("variant") == "extra"), EXTRA, f"{root}/variant=extra")
-        _write(text.where(F.col("variant") == "missing"), MISSING, f"{root}/variant=missing")
-    finally:
-        text.unpersist()
+    # Three writes read the same rows: the star is joined once and its rows are written
+    # as they are, compressed; a cache of them would not fit the executors' memory.
+    rows = written(fact.select(*MANDATORY_COLUMNS), "sales_rows")
+    for variant, columns in (("standard", STANDARD), ("extra", EXTRA), ("missing", MISSING)):
+        own = _rows(rows.where(variant_of() == F.lit(variant)))
+        _write(_with_flaws(own, variant), columns, f"{root}/variant={variant}")
     return root
 
 
 def write_standard_files(fact: DataFrame, root: str) -> str:
     """All fact rows, standard header only (single-layout ingest, streams)."""
-    _write(_as_text(fact, flawed=False), STANDARD, root)
+    _write(_rows(fact), STANDARD, root)
     return root

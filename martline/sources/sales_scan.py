@@ -4,7 +4,7 @@ A plain text scan takes folders: it opens every file that was ever delivered, an
 joined to their headers by path.  This source takes the manifest of a load instead.  Its
 partitions are planned from the accepted files' sizes, as Spark plans its own file scans: large files
 are cut into byte ranges, small ones share a partition.  A range holds the lines that begin in
-it, so no line is read twice or lost; a line carries the columns of its file's header, and the
+it, so no line is read twice or lost; a line carries the places of its file's columns, and the
 header itself is known by its place, not by its text.
 """
 
@@ -18,21 +18,25 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from martline.contracts import MANDATORY_COLUMNS
+
 NAME = "sales_csv"
-SCHEMA = "value string, source_file string, columns array<string>, extra_columns array<string>"
+SCHEMA = "value string, source_file string, n_columns int, places array<int>, additional_column string"
 #: Bytes of a partition, what opening a file counts as, bytes read at a time, and lines of a batch.
 PARTITION_BYTES, OPEN_BYTES, CHUNK, BATCH_LINES = 64 << 20, 1 << 20, 4 << 20, 20_000
 
 
 @dataclass(frozen=True)
 class Range:
-    """Bytes of one file, with what its header says."""
+    """Bytes of one file, with what its header says: how many columns it names, where the
+    mandatory ones are (from 0; -1: nowhere), and the names of the others."""
 
     path: str
     start: int
     end: int
-    columns: tuple[str, ...]
-    extra: tuple[str, ...]
+    n_columns: int
+    places: tuple[int, ...]
+    additional: str | None
 
 
 @dataclass
@@ -62,7 +66,8 @@ def plan_ranges(files: list[tuple], partition_bytes: int = PARTITION_BYTES) -> l
     out, held, room = [], [], partition_bytes
     for path, size, columns, extra in sorted(files, key=lambda f: -f[1]):
         for start in range(0, size, partition_bytes):
-            piece = Range(path, start, min(size, start + partition_bytes), tuple(columns), tuple(extra))
+            piece = Range(path, start, min(size, start + partition_bytes), len(columns),
+                          tuple(columns.index(c) if c in columns else -1 for c in MANDATORY_COLUMNS), ",".join(extra) or None)
             cost = piece.end - piece.start + OPEN_BYTES
             if held and cost > room:
                 out.append(Ranges(tuple(held)))
@@ -147,11 +152,12 @@ class SalesCsvReader(DataSourceReader):
                     for at in range(0, len(lines), BATCH_LINES):
                         value = pa.array([x.decode("utf-8", "replace") for x in lines[at:at + BATCH_LINES]], pa.string())
                         n = len(value)
-                        names = pa.list_(pa.string())
+                        same = pa.repeat(0, n)
                         yield pa.RecordBatch.from_arrays(
-                            [value, pa.array([r.path] * n, pa.string()), pa.array([list(r.columns)], names).take(pa.array([0] * n)),
-                             pa.array([list(r.extra)], names).take(pa.array([0] * n))],
-                            ["value", "source_file", "columns", "extra_columns"])
+                            [value, *[pa.array([x], kind).take(same) for x, kind in (
+                                (r.path, pa.string()), (r.n_columns, pa.int32()),
+                                (list(r.places), pa.list_(pa.int32())), (r.additional, pa.string()))]],
+                            ["value", "source_file", "n_columns", "places", "additional_column"])
 
 
 class SalesCsvSource(DataSource):
@@ -169,7 +175,8 @@ class SalesCsvSource(DataSource):
 
 
 def scan(spark: SparkSession, manifest_path: str, partition_bytes: int = PARTITION_BYTES) -> DataFrame:
-    """Lines of the accepted files of a written manifest: value, source_file, columns, extra_columns.
+    """Lines of the accepted files of a written manifest, each with its file and what the file's header says
+    (`Range`): value, source_file, n_columns, places, additional_column.  Names are looked up once a file, not once a line.
 
     The source is shipped by value, so executors need pyarrow, not this package.
     """

@@ -1,0 +1,103 @@
+"""What a load keeps, shuffles and formats: nothing that grows beside the files themselves."""
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from martline.contracts import SALES_SCHEMA
+from martline.functions import month_text, strict_date
+from martline.plans.daily_load import published, run_daily_load
+from martline.sinks import parquet as P
+from martline.sources import sales_files as SF
+from martline.sources import sales_scan as S
+
+
+def _fact(spark):
+    order = [f.name for f in SALES_SCHEMA.fields[:8]]
+    base = {"customer_id": 1, "store_id": 1, "product_name": 'a "quoted", name', "sales_person_id": 2, "total_cost": 10}
+    days = [date(1996, 5, 1), date(1997, 5, 1), date(1999, 5, 1), None]
+    rows = [{**base, "sales_date": day, "quantity": q, "price": q} for day in days for q in (46, 47, 48, 49, 50, None)]
+    frame = spark.createDataFrame([[r[c] for c in order] for r in rows],
+                                  ", ".join(f"{c} {'date' if c == 'sales_date' else 'string' if c == 'product_name' else 'long'}"
+                                            for c in order))
+    return frame.select(*[F.col(f.name).cast(f.dataType) for f in SALES_SCHEMA.fields[:8]])
+
+
+def _dims(spark):
+    team = "id long, first_name string, last_name string, manager_id long, is_manager string, address string, pincode string"
+    customer = ("customer_id long, first_name string, last_name string, address string, pincode string, phone_number string")
+    return {"dim_customer": spark.createDataFrame([(1, "A", "B", "x", "1", "9")], customer),
+            "dim_store": spark.createDataFrame([(1, "s", "m")], "id int, address string, store_manager_name string"),
+            "dim_sales_team": spark.createDataFrame([(2, "C", "D", 2, "Y", "y", "1")], team)}
+
+
+@pytest.fixture()
+def no_cache(monkeypatch):
+    """A cache of all rows is what does not fit the executors: fail where one is made."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("rows are cached")
+
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(DataFrame, name, refuse)
+
+
+def test_sales_files_keep_no_cache_and_all_flaws(spark, scratch, no_cache):
+    SF.write_sales_files(_fact(spark), scratch)
+    read = lambda v: spark.read.option("header", "true").csv(f"{scratch}/variant={v}")
+    standard, extra, missing = read("standard"), read("extra"), read("missing")
+    # sales without a date are of the standard layout; quantity 47 twice, 48 without its product
+    assert standard.count() == 14 and standard.where("quantity = 47").count() == 4
+    assert {r["product_name"] for r in standard.where("quantity = 48").collect()} == {None}
+    assert {r["product_name"] for r in extra.collect()} == {'a "quoted", name'}
+    assert sorted((str(r["quantity"]), r["sales_date"], r["price"]) for r in extra.collect()) == sorted(
+        [("46", "1997-05-01", "46.00"), ("47", "1997-05-01", "47.00"), ("48", "1997-05-01", "48.00"),
+         ("49", "1997-05-01", "n/a"), ("50", "1997/05/01", "50.00"), ("None", "1997-05-01", None)])
+    assert missing.count() == 6 and "store_id" not in missing.columns
+
+
+def test_load_keeps_no_cache(spark, scratch, no_cache):
+    SF.write_sales_files(_fact(spark), scratch + "/in")
+    run_daily_load(spark, scratch + "/in", scratch + "/out", _dims(spark))
+    # 7 standard rows with a date and 6 extra ones, less those with no product that the marts need
+    detail = published(spark, scratch + "/out", "customer_detail")
+    assert detail.count() == published(spark, scratch + "/out", "sales_detail").count() > 0
+    assert "load_id" in detail.columns
+
+
+def test_detail_without_folders_is_written_unshuffled(spark, scratch):
+    rows = spark.range(1000, numPartitions=3)
+    P.publish_versioned(rows, scratch, 7, [])
+    back = spark.read.parquet(scratch)
+    assert {r["load_id"] for r in back.collect()} == {7} and back.count() == 1000
+    assert back.select(F.input_file_name()).distinct().count() == 3    # its three tasks wrote where they were
+
+
+def test_dates_by_cast_as_by_formatter(spark):
+    texts = ["2023-03-01", "0001-01-01", "9999-12-31", "2024-02-29", "2023-02-29", "2023-13-01", "0000-01-01", "2023-3-1",
+             "2023-03-01 ", " 2023-03-01", "2023-03-01\n", "2023/03/01", "2023-03", "20230301", "2023-03-01T00:00:00",
+             "12023-03-01", "-2023-03-01", "２０２３-03-01", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = rows.select("t", strict_date("t").alias("a"), F.try_to_date("t", "yyyy-MM-dd").alias("b"))
+    assert [r["t"] for r in both.where(~F.col("a").eqNullSafe(F.col("b"))).select("t").collect()] == []
+    assert both.where("a is not null").count() >= 4
+    # a formatter is called for odd text only
+    assert "CASE WHEN" in rows.select(strict_date("t"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_month_label_as_by_formatter(spark):
+    days = ["0001-01-31", "1996-07-01", "9999-12-31", None]
+    rows = spark.createDataFrame([(d,) for d in days], "d string").selectExpr("cast(d as date) as d")
+    rows = rows.unionByName(spark.sql("select make_date(12023, 1, 5) as d"))
+    both = rows.select(month_text("d").alias("a"), F.date_format("d", "yyyy-MM").alias("b")).collect()
+    assert [(r["a"], r["b"]) for r in both if r["a"] != r["b"]] == [] and both[1]["a"] == "1996-07"
+
+
+def test_lines_carry_places_of_columns():
+    from martline.contracts import MANDATORY_COLUMNS
+    header = ["x", *reversed(MANDATORY_COLUMNS)]
+    found = S.plan_ranges([("f", 10, header, ["x"])])[0].ranges[0]
+    assert [header[i] for i in found.places] == MANDATORY_COLUMNS
+    assert (found.n_columns, found.additional) == (len(header), "x")
