@@ -26,6 +26,7 @@ import logging
 import traceback
 import uuid
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ from martline import __version__
 from martline.contracts import (ENVIRONMENTS, MANDATORY_COLUMNS, REGISTRY_INACTIVE,
                                 SALES_COLUMNS, TRIGGER_TYPES)
 from martline.functions import elapsed_seconds, truncate_text
-from martline.session import app_id, written
+from martline.session import app_id, together, written
 from martline.operators import audit, enrich, marts, quality, registry
 from martline.sinks import archive as A
 from martline.sinks import parquet as P
@@ -211,22 +212,20 @@ def _write_marts(spark, landed: DataFrame, dims, load_id: int, paths: dict, stat
     state["stage"] = "DETAIL_MART_WRITE"
     # The detail marts and the parts project the same enriched rows: they are written once, compressed,
     # for all these writes (a cache of them would not fit the executors' memory).
-    rich = written(enrich.enrich_sales(landed.where(quality.usable_sale()), dims["dim_customer"],
-                                       dims["dim_store"], dims["dim_sales_team"]), "enriched_sales")
-    schemas = {}
-    for name, detail, folders in (("customer_detail", marts.customer_detail(rich), []),
-                                  ("sales_detail", marts.sales_detail(rich), []),
-                                  ("sales_partitioned", marts.sales_detail(rich), ["sales_month", "store_id"])):
-        P.publish_versioned(detail, paths[name], load_id, folders)
-    for mart in MARTS:
-        parts = mart.parts(rich)
-        schemas[mart.name] = parts.schema
-        P.publish_parts(parts, paths[f"{mart.name}_parts"], load_id)
+    rich = written(enrich.enrich_sales(landed.where(quality.usable_sale()), **enrich.written_dims(dims)),
+                   "enriched_sales")
+    details = [("sales_partitioned", marts.sales_detail(rich), ["sales_month", "store_id"]),
+               ("customer_detail", marts.customer_detail(rich), []), ("sales_detail", marts.sales_detail(rich), [])]
+    parts = {mart.name: mart.parts(rich) for mart in MARTS}
+    together(spark,
+             *[partial(P.publish_versioned, detail, paths[name], load_id, folders) for name, detail, folders in details],
+             *[partial(P.publish_parts, own, paths[f"{name}_parts"], load_id) for name, own in parts.items()])
 
     state["stage"] = "MART_CALCULATION"
     counted = counted_loads(tables, load_id, replaces)
-    return {mart.name: _refresh(spark, mart, schemas[mart.name], paths, load_id, replaces, counted)
-            for mart in MARTS}
+    rows = together(spark, *[partial(_refresh, spark, mart, parts[mart.name].schema, paths, load_id, replaces, counted)
+                             for mart in MARTS])
+    return {mart.name: n for mart, n in zip(MARTS, rows)}
 
 
 def counted_loads(tables: dict[str, EventTable], load_id: int | None = None,

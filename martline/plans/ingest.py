@@ -14,7 +14,7 @@ from martline.contracts import (MANDATORY_COLUMNS, MART_COLUMNS_NEEDED, SALES_CO
 from martline.operators import audit, enrich, marts, quality
 from martline.plans import oracle as O
 from martline.plans.catalog import register
-from martline.session import app_id, scratch_path
+from martline.session import app_id, scratch_path, written
 from martline.sources import csv_ingest as C
 from martline.sources import sales_files as SF
 from martline.sources import star as S
@@ -24,25 +24,36 @@ from martline.sources import star as S
 # fresh, never-reused folders under the shared root.
 _runs: dict[tuple, C.Ingest] = {}
 _roots: dict[tuple, str] = {}
+_rows: dict[tuple, DataFrame] = {}
 
 
 def ingest_run(spark: SparkSession, sf_dir: str, layout: str) -> C.Ingest:
     key = (app_id(spark), sf_dir, layout)
     if key not in _runs:
-        fact = S.fact_sales(spark, sf_dir)
+        root = files_root(spark, sf_dir, layout)
+        _runs[key] = C.ingest_sales(spark, root, scratch_path(spark, f"landing_{layout}"))
+    return _runs[key]
+
+
+def files_root(spark: SparkSession, sf_dir: str, layout: str) -> str:
+    """The files alone: who lands them himself needs no ingest run before."""
+    key = (app_id(spark), sf_dir, layout)
+    if key not in _roots:
         root = scratch_path(spark, f"sales_files_{layout}")
         if layout == "mixed":
-            SF.write_sales_files(fact, root)
+            SF.write_drop(sales_rows(spark, sf_dir), root)
         else:
-            SF.write_standard_files(fact, root)
-        _runs[key] = C.ingest_sales(spark, root, scratch_path(spark, f"landing_{layout}"))
+            SF.write_standard_files(S.fact_sales(spark, sf_dir), root)
         _roots[key] = root
-    return _runs[key]
+    return _roots[key]
 
 
-def files_root(spark: SparkSession, sf_dir: str, layout: str) -> str:
-    ingest_run(spark, sf_dir, layout)
-    return _roots[(app_id(spark), sf_dir, layout)]
+def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales as they go into files and drops, written once per application and data set."""
+    key = (app_id(spark), sf_dir)
+    if key not in _rows:
+        _rows[key] = SF.sales_rows(S.fact_sales(spark, sf_dir))
+    return _rows[key]
 
 
 def with_batch(df: DataFrame, path_col: str) -> DataFrame:
@@ -232,8 +243,9 @@ def q_file_audit_metrics(spark, sf_dir):
 
 def _landed_marts(spark, sf_dir, landed: DataFrame):
     usable = landed.dropna(subset=MART_COLUMNS_NEEDED)
-    v = S.star(spark, sf_dir)
-    rich = enrich.enrich_sales(usable, v["dim_customer"], v["dim_store"], v["dim_sales_team"])
+    dims = enrich.written_dims(S.star(spark, sf_dir))
+    # both marts sum up the same enriched rows, which are joined and written once
+    rich = written(enrich.enrich_sales(usable, **dims), "enriched_sales")
     return (marts.customer_mart(marts.customer_detail(rich)),
             marts.sales_mart(marts.sales_detail(rich)))
 
@@ -293,11 +305,11 @@ def _two_batches(spark: SparkSession, sf_dir: str) -> str:
     key = (app_id(spark), sf_dir)
     if key not in _histories:
         root, target = scratch_path(spark, "daily_inbox"), scratch_path(spark, "daily_load")
-        fact, dims = S.fact_sales(spark, sf_dir), S.star(spark, sf_dir)
+        rows, dims = sales_rows(spark, sf_dir), S.star(spark, sf_dir)
         odd = F.col("sales_person_id") % 2 == 1
-        SF.write_sales_files(fact.where(~odd), f"{root}/drop=1")
+        SF.write_drop(rows.where(~odd), f"{root}/drop=1")
         run_daily_load(spark, root, target, dims)
-        SF.write_sales_files(fact.where(odd), f"{root}/drop=2")
+        SF.write_drop(rows.where(odd), f"{root}/drop=2")
         broken = {**dims, "dim_store": dims["dim_store"].drop("store_manager_name")}
         try:
             run_daily_load(spark, root, target, broken)
@@ -323,13 +335,13 @@ def q_daily_load_replaced(spark, sf_dir):
     that replaces it equals one load of everything."""
     from martline.plans.daily_load import run_daily_load
     root, target = scratch_path(spark, "daily_inbox"), scratch_path(spark, "daily_load")
-    fact, dims = S.fact_sales(spark, sf_dir), S.star(spark, sf_dir)
+    rows, dims = sales_rows(spark, sf_dir), S.star(spark, sf_dir)
     odd = F.col("sales_person_id") % 2 == 1
-    SF.write_sales_files(fact.where(~odd), f"{root}/drop=1")
+    SF.write_drop(rows.where(~odd), f"{root}/drop=1")
     run_daily_load(spark, root, target, dims)
-    SF.write_sales_files(fact.where(odd).withColumn("sales_date", F.date_sub("sales_date", 400)), f"{root}/drop=2")
+    SF.write_drop(rows.where(odd).withColumn("sales_date", F.date_sub("sales_date", 400)), f"{root}/drop=2")
     wrong = run_daily_load(spark, root, target, dims)
-    SF.write_sales_files(fact.where(odd), f"{root}/drop=3")
+    SF.write_drop(rows.where(odd), f"{root}/drop=3")
     result = run_daily_load(spark, root, target, dims, replaces=wrong.load_id)
     return written_customer_mart(spark, result.customer_mart_path)
 
@@ -343,21 +355,22 @@ def q_file_archive(spark, sf_dir):
     files: where they lie now with how many sales, what the inbox still has, and what a third run moves."""
     from martline.plans.daily_load import archive_files, event_tables, run_daily_load
     root, target, old = (scratch_path(spark, n) for n in ("daily_inbox", "daily_load", "archive"))
-    fact, dims = S.fact_sales(spark, sf_dir), S.star(spark, sf_dir)
+    rows, dims = sales_rows(spark, sf_dir), S.star(spark, sf_dir)
     odd = F.col("sales_person_id") % 2 == 1
-    SF.write_sales_files(fact.where(~odd), f"{root}/drop=1")
+    SF.write_drop(rows.where(~odd), f"{root}/drop=1")
     run_daily_load(spark, root, target, dims)
-    SF.write_sales_files(fact.where(odd), f"{root}/drop=2")
+    SF.write_drop(rows.where(odd), f"{root}/drop=2")
     run_daily_load(spark, root, target, dims, archive_root=old)
     moved = archive_files(event_tables(spark, target), root, old)
+    # lines are counted per file first: what its path says is read once a file, not once a line
     lines = (spark.read.option("recursiveFileLookup", "true").text(old)
              .where(~F.col("value").isin([",".join(c) for c in _LAYOUTS.values()]))
-             .select(F.col("_metadata.file_path").alias("path")))
-    rows = (with_batch(lines, "path").withColumn("place", F.regexp_extract("path", "/(processed|rejected)/load_id=", 1))
-            .groupBy("variant", "batch", "place").agg(F.count(F.lit(1)).alias("rows_archived")))
+             .groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("lines")))
+    archived = (with_batch(lines, "path").withColumn("place", F.regexp_extract("path", "/(processed|rejected)/load_id=", 1))
+                .groupBy("variant", "batch", "place").agg(F.sum("lines").alias("rows_archived")))
     count = lambda files, name: (with_batch(files, "path").groupBy("variant", "batch")
                                  .agg(F.count(F.lit(1)).alias(name)))
-    return (rows.join(count(C.list_csv_files(spark, root), "files_left"), ["variant", "batch"], "left")
+    return (archived.join(count(C.list_csv_files(spark, root), "files_left"), ["variant", "batch"], "left")
             .join(count(moved, "moved_again"), ["variant", "batch"], "left")
             .fillna(0, ["files_left", "moved_again"]))
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from martline.contracts import MANDATORY_COLUMNS
 from martline.functions import month_text
-from martline.session import written
+from martline.session import together, written
 
 # Fixed layout boundaries (sales dates).
 EXTRA_FROM = "1997-01-01"
@@ -75,17 +75,27 @@ def _write(rows: DataFrame, columns: list[str], path: str) -> None:
      .write.option("header", "true").partitionBy("batch").csv(path))
 
 
-def write_sales_files(fact: DataFrame, root: str) -> str:
-    """Write all fact rows as CSV under `root`, in three header layouts."""
-    # Three writes read the same rows: the star is joined once and its rows are written
-    # as they are, compressed; a cache of them would not fit the executors' memory.
-    rows = written(fact.select(*MANDATORY_COLUMNS), "sales_rows")
-    for variant, columns in (("standard", STANDARD), ("extra", EXTRA), ("missing", MISSING)):
+def sales_rows(fact: DataFrame) -> DataFrame:
+    """The rows behind sales files, written once, as they are and compressed: several writes and drops
+    read them, and the star is joined once.  A cache of them would not fit the executors' memory."""
+    return written(fact.select(*MANDATORY_COLUMNS), "sales_rows")
+
+
+def write_drop(rows: DataFrame, root: str) -> str:
+    """Write some `sales_rows` as CSV under `root`, in three header layouts."""
+    def layout(variant: str, columns: list[str]):
         own = _rows(rows.where(variant_of() == F.lit(variant)))
-        _write(_with_flaws(own, variant), columns, f"{root}/variant={variant}")
+        return lambda: _write(_with_flaws(own, variant), columns, f"{root}/variant={variant}")
+
+    together(rows.sparkSession, layout("standard", STANDARD), layout("extra", EXTRA), layout("missing", MISSING))
     return root
 
 
+def write_sales_files(fact: DataFrame, root: str) -> str:
+    """Write all fact rows as CSV under `root`, in three header layouts."""
+    return write_drop(sales_rows(fact), root)
+
+
 def write_standard_files(fact: DataFrame, root: str) -> str:
     """All fact rows, standard header only (single-layout ingest, streams)."""
     _write(_rows(fact), STANDARD, root)
