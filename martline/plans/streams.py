@@ -6,9 +6,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from martline.contracts import SALES_COLUMNS
-from martline.operators import marts
+from martline.operators import enrich, marts
 from martline.plans.catalog import register
-from martline.plans.ingest import _files_views, written_customer_mart, written_sales_mart
+from martline.plans.ingest import _files_views, sales_rows, written_customer_mart, written_sales_mart
 from martline.session import app_id, scratch_path
 from martline.sources import sales_files as SF
 from martline.sources import star as S
@@ -24,11 +24,11 @@ def q_stream_ingest(spark, sf_dir):
     availableNow runs of the same checkpointed stream ingest each accepted file
     exactly once, by name.  Consumed files are moved to an archive directory."""
     base = scratch_path(spark, "stream")
-    fact = S.fact_sales(spark, sf_dir)
+    sales = sales_rows(spark, sf_dir)
     odd = F.col("sales_person_id") % 2 == 1
     stream = None
-    for number, rows in enumerate((fact.where(~odd), fact.where(odd))):
-        SF.write_sales_files(rows, f"{base}/inbox/drop={number}")
+    for number, rows in enumerate((sales.where(~odd), sales.where(odd))):
+        SF.write_drop(rows, f"{base}/inbox/drop={number}")
         stream = stream if stream is not None else T.sales_file_stream(
             spark, f"{base}/inbox/*/*/*/*.csv", archive_dir=f"{base}/archive")
         T.run_available(stream, f"{base}/landed", f"{base}/checkpoint")
@@ -44,11 +44,12 @@ def _three_drops(spark: SparkSession, sf_dir: str, mart: marts.Mart) -> str:
     sales of one salesperson in five, which come late for all months."""
     key = (app_id(spark), sf_dir, mart.name)
     if key not in _streamed:
-        base, dims, fact = scratch_path(spark, "mart_stream"), S.star(spark, sf_dir), S.fact_sales(spark, sf_dir)
+        base, sales = scratch_path(spark, "mart_stream"), sales_rows(spark, sf_dir)
+        dims = enrich.written_dims(S.star(spark, sf_dir))
         late = F.col("sales_person_id") % 5 == 0
         early = F.col("sales_date") < F.lit("1996-07-01").cast("date")
-        for number, rows in enumerate((fact.where(~late & early), fact.where(~late & ~early), fact.where(late))):
-            SF.write_sales_files(rows, f"{base}/inbox/drop={number}")
+        for number, rows in enumerate((sales.where(~late & early), sales.where(~late & ~early), sales.where(late))):
+            SF.write_drop(rows, f"{base}/inbox/drop={number}")
             T.run_available(T.sales_file_stream(spark, f"{base}/inbox/*/*/*/*.csv"), f"{base}/landed",
                             f"{base}/checkpoint")
             M.run_available(M.landed_stream(spark, f"{base}/landed"), dims, mart, f"{base}/marts",

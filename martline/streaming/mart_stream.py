@@ -25,6 +25,8 @@ from martline.sources import csv_ingest as C
 
 #: How far the arrival times of landed files may be out of order (clocks of different machines).
 ARRIVAL_SLACK = "1 day"
+#: Files that a micro-batch writes of the parts of one month, so a large month is no single task.
+FILES_A_MONTH = 4
 
 
 def landed_stream(spark: SparkSession, landed_dir: str, max_files_per_trigger: int = 1000) -> DataFrame:
@@ -51,12 +53,15 @@ def newest(parts: DataFrame, mart: Mart) -> DataFrame:
             .agg(F.max_by("part", "load_id").alias("part")).drop("arrived_on"))
 
 
-def _upsert(changed: DataFrame, batch_id: int, mart: Mart, root: str) -> None:
+def _upsert(spark: SparkSession, changed: DataFrame, batch_id: int, mart: Mart, root: str) -> None:
     """One micro-batch: its parts, then the months that it touched, whole.
 
-    The driver holds the touched months, of which a calendar has few."""
-    spark, parts_root = changed.sparkSession, f"{root}/{mart.name}_parts"
-    P.publish_parts(changed, parts_root, batch_id)
+    A stream's own session has no AQE, which would size the writes (`rebalance`): the parts are dealt out by
+    month here, or each task of the state would write a file in each month; the months are made in the
+    session `spark` that started the stream.  The driver holds the touched months, of which a calendar has few."""
+    parts_root = f"{root}/{mart.name}_parts"
+    slot = F.pmod(F.hash(*mart.keys, *mart.variants), F.lit(FILES_A_MONTH))
+    P.publish_parts(changed.repartition("month", slot), parts_root, batch_id)
     folders = spark.read.schema(P.parts_schema(changed.schema)).parquet(parts_root)
     touched = P.months_of(folders.where(F.col("load_id") == batch_id))
     if touched:
@@ -68,7 +73,7 @@ def start(landed: DataFrame, dims: dict[str, DataFrame], mart: Mart, root: str,
           **trigger) -> StreamingQuery:
     """Keep `root`/<mart name> up to date; one query and one checkpoint per mart."""
     return (arriving_parts(landed, dims, mart).writeStream.outputMode("update")
-            .foreachBatch(lambda changed, batch_id: _upsert(changed, batch_id, mart, root))
+            .foreachBatch(lambda changed, batch_id: _upsert(landed.sparkSession, changed, batch_id, mart, root))
             .option("checkpointLocation", checkpoint_dir)
             .trigger(**(trigger or {"availableNow": True}))
             .start())

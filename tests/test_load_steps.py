@@ -87,3 +87,24 @@ def test_writes_together_end_before_an_error_is_raised(spark, scratch):
     with pytest.raises(ValueError, match="bad"):
         together(spark, bad, lambda: spark.range(7).write.mode("overwrite").parquet(scratch))
     assert spark.read.parquet(scratch).count() == 7
+
+
+def test_a_mart_stream_writes_few_files_a_month(spark, scratch):
+    from martline.streaming import mart_stream as M
+    landed = scratch + "/landed"
+    rows = [(n % 50, 1, "p", date(2024, 1 + n % 2, 1), 2, Decimal(1), 1, Decimal(n), None, False, None, "f") for n in range(200)]
+    spark.createDataFrame(rows, M.C.LANDED_SCHEMA).write.parquet(landed + "/rows/batch_id=0")
+    person = "first_name string, last_name string, address string, pincode string"
+    dims = {"dim_customer": spark.createDataFrame([(c, "A", str(c), "x", "1", "9") for c in range(50)],
+                                                  f"customer_id long, {person}, phone_number string"),
+            "dim_store": spark.createDataFrame([(1, "s", "m")], "id int, address string, store_manager_name string"),
+            "dim_sales_team": spark.createDataFrame([(2, "C", "D", "y", "1", 2, "Y")],
+                                                    f"id long, {person}, manager_id long, is_manager string")}
+    M.run_available(M.landed_stream(spark, landed), dims, marts.CUSTOMER, scratch + "/m", scratch + "/c")
+    parts = spark.read.parquet(scratch + "/m/customer_mart_parts")
+    # 8 tasks hold the state; each would write a file in each month
+    files = parts.selectExpr("month", "_metadata.file_path as f").distinct().groupBy("month").count().collect()
+    assert len(files) == 2 and all(r["count"] <= M.FILES_A_MONTH for r in files)
+    mart = spark.read.parquet(scratch + "/m/customer_mart")
+    assert mart.count() == 50 and mart.agg({"total_sales": "sum"}).first()[0] == sum(range(200))
+    assert mart.selectExpr("sales_date_month", "_metadata.file_path as f").distinct().count() <= 2 * M.FILES_A_MONTH
