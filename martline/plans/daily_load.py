@@ -244,7 +244,7 @@ def counted_loads(tables: dict[str, EventTable], load_id: int | None = None,
 def published(spark: SparkSession, target_root: str, name: str) -> DataFrame:
     """Rows of a detail table (`customer_detail`, `sales_detail`, `sales_partitioned`) of all loads that count."""
     counted = counted_loads(event_tables(spark, target_root))
-    return spark.read.parquet(f"{target_root}/{name}").join(counted, "load_id", "left_semi")
+    return spark.read.parquet(f"{target_root}/{name}").join(F.broadcast(counted), "load_id", "left_semi")
 
 
 def _refresh(spark, mart: marts.Mart, schema, paths: dict, load_id: int, replaces: int | None,
@@ -257,7 +257,8 @@ def _refresh(spark, mart: marts.Mart, schema, paths: dict, load_id: int, replace
     folders = spark.read.schema(P.parts_schema(schema)).parquet(root)   # of these, only names are read
     own = F.col("load_id").isin([i for i in (load_id, replaces) if i is not None])
     touched = P.months_of(folders.where(own))
-    parts = P.read_parts(spark, root, schema, touched).join(counted, "load_id", "left_semi")
+    # The ids are few, but their plan does not show it: the parts would be shuffled by load, one task for each.
+    parts = P.read_parts(spark, root, schema, touched).join(F.broadcast(counted), "load_id", "left_semi")
     seen = Observation(mart.name)
     P.refresh_months(mart.of_parts(parts).observe(seen, F.count(F.lit(1)).alias("rows")),
                      paths[mart.name], mart.month_column)

@@ -1,7 +1,8 @@
 """Steps that loads, job audit and mart streams share: the sales travel no more often than they must."""
 
 import time
-from datetime import date
+from dataclasses import replace
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -108,3 +109,32 @@ def test_a_mart_stream_writes_few_files_a_month(spark, scratch):
     mart = spark.read.parquet(scratch + "/m/customer_mart")
     assert mart.count() == 50 and mart.agg({"total_sales": "sum"}).first()[0] == sum(range(200))
     assert mart.selectExpr("sales_date_month", "_metadata.file_path as f").distinct().count() <= 2 * M.FILES_A_MONTH
+
+
+def test_parts_are_not_shuffled_by_load(spark, scratch, monkeypatch):
+    from martline.plans import daily_load as D
+    from martline.sinks import parquet as P
+    day = date(2024, 1, 1)
+    schema = "store_id int, sales_person_id long, month date, full_name string, part decimal(28,2)"
+    for load in (7, 8, 9):
+        parts = spark.createDataFrame([(1, 2, day, "A", Decimal(load))], schema)
+        P.publish_parts(parts, f"{scratch}/sales_mart_parts", load)
+    tables = D.event_tables(spark, scratch)
+    files = spark.createDataFrame([("f", "f", n) for n in (7, 8)], "path string, file_name string, load_id long")
+    tables["registry"].append(D.registry.complete_files(files, D.F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz"))
+                              .drop("load_id").crossJoin(files.select("load_id").distinct()))
+    plans = []
+    monkeypatch.setattr(D.P, "refresh_months", lambda mart, *a: (plans.append(_plan(mart)), P.write_parquet(mart, a[0])))
+    # too large to be broadcast by itself, as a plan of joins over event tables always is
+    mart = replace(marts.SALES, finish=lambda totals: totals)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        assert D._refresh(spark, mart, parts.schema, {"sales_mart": f"{scratch}/sales_mart",
+                          "sales_mart_parts": f"{scratch}/sales_mart_parts"}, 9, None, D.counted_loads(tables, 9, 8)) == 1
+    finally:
+        spark.conf.set(key, old)
+    assert spark.read.parquet(f"{scratch}/sales_mart").first()["total_sales"] == Decimal(16)
+    # the ids are shuffled among themselves, the parts by the mart's keys only
+    assert "BroadcastHashJoin [load_id" in plans[0] and "SortMergeJoin [load_id" not in plans[0].split("BroadcastHashJoin")[0]
