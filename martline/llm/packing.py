@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -40,46 +41,88 @@ SPACE = "\u0120"
 #: A space between two characters that are white space by no table, and all white space but space and newline.
 _BREAK = re.compile(r"(?<=[^\s\u180e\u200b\ufeff]) (?=[^\s\u180e\u200b\ufeff])")
 _OTHER_BLANKS = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
+#: Letters that every version of Unicode takes for letters, and punctuation that belongs to no contraction.
+_LETTERS, _MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", ",.;:!?"
+#: Letters and punctuation, alone or with the like behind one newline.
+_SIMPLE = re.compile(f"([{_LETTERS}]+)([{_MARKS}]*)(\n[{_LETTERS}]+[{_MARKS}]*)?")
+#: What an added token must not look like for words to be learned in parts.
+_PARTS = re.compile(f"[{_MARKS}\n]|^[{_LETTERS}]+$")
 _PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 # ---------------------------------------------------------------- tokens
 
+def _byte_letters() -> dict[int, str]:
+    """How a byte-level vocabulary writes each byte: printable ones as they are, the others from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def _spelled(letters: str) -> str:
+    return letters if letters.isascii() else letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
+
+
+class Words(dict):
+    """Ids of a space and a word, by the word; learned when they are first asked for.
+
+    The pre-tokenizer ends a run of letters at punctuation and at a newline, so words made of these are
+    learned in parts, which other words share: letters go straight to the vocabulary's own merges.
+    """
+
+    def __init__(self, known):
+        super().__init__()
+        self._known = known
+        added = [t.content for t in known.get_added_tokens_decoder().values()]
+        self._marks = lru_cache(1 << 10)(self.encode)
+        self._in_parts = known.normalizer is None and not any(_PARTS.search(t) for t in added)
+
+    def encode(self, text: str) -> bytes:
+        return np.array(self._known.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def _merged(self, letters: str) -> bytes:
+        ids = [t.id for t in self._known.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, word: str) -> bytes:
+        found = _SIMPLE.fullmatch(word) if self._in_parts else None
+        if found is None:
+            ids = self.encode(" " + word)
+        elif found[3]:  # two words around a newline seldom come back together
+            before, after = word.split("\n")
+            return self[before] + self._behind_newline(after)
+        elif found[2]:
+            ids = self[found[1]] + self._marks(found[2])
+        else:
+            ids = self._merged(SPACE + _spelled(word))
+        self[word] = ids
+        return ids
+
+    def _behind_newline(self, word: str) -> bytes:
+        letters = word.rstrip(_MARKS)
+        marks = word[len(letters):]
+        return self._marks("\n") + self._merged(_spelled(letters)) + (self._marks(marks) if marks else b"")
+
+
 class Encoder:
     """Token ids of whole texts as little-endian 32-bit bytes.
 
     The byte-level pre-tokenizer starts a new word at every single space between
     characters that are no white space, so a text's ids are those of its words one after the
-    other, and words that come back are not encoded again.  New words are encoded
-    together: the ids of each begin with the only one that stands for a leading space.
+    other, and words that come back are not encoded again.
     """
 
     def __init__(self, tokenizer: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs as many tasks as there are cores
         from tokenizers import Tokenizer
 
-        self._known = Tokenizer.from_file(tokenizer_path(tokenizer))
-        self._known.no_truncation()
-        self._known.no_padding()
-        tokens = self._known.get_vocab(with_added_tokens=True)
-        self._opens = np.zeros(max(tokens.values()) + 1, bool)
-        self._opens[[i for token, i in tokens.items() if token.startswith(SPACE)]] = True
-        self._words: dict[str, bytes] = {}
-
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self._known.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def _learn(self, words: set[str]) -> None:
-        ordered = sorted(words)
-        for at in range(0, len(ordered), 4096):
-            part = ordered[at:at + 4096]
-            ids = self._encode(" " + " ".join(part))
-            begin = np.flatnonzero(self._opens[ids])
-            if len(begin) == len(part):
-                raw, ends = ids.tobytes(), np.append(begin, len(ids)) * 4
-                self._words.update((w, raw[a:b]) for w, a, b in zip(part, ends[:-1].tolist(), ends[1:].tolist()))
-            else:  # a word with spaces inside
-                self._words.update((w, self._encode(" " + w).tobytes()) for w in part)
+        known = Tokenizer.from_file(tokenizer_path(tokenizer))
+        known.no_truncation()
+        known.no_padding()
+        self._words = Words(known)
 
     @staticmethod
     def _split(text: str) -> list[str]:
@@ -90,14 +133,14 @@ class Encoder:
         return text.split(" ")
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        split = [self._split(t.decode("utf-8", "replace")) for t in texts]
-        used = set().union(*[words[1:] for words in split])
-        known = self._words
-        if len(known) + len(used) > WORDS:  # the older half goes
-            for word in list(islice(known, len(known) // 2)):
-                del known[word]
-        self._learn(used.difference(known))
-        return [self._encode(words[0]).tobytes() + b"".join(map(known.__getitem__, words[1:])) for words in split]
+        known, out = self._words, []
+        for text in texts:
+            first, *words = self._split(text.decode("utf-8", "replace"))
+            if len(known) + len(words) > WORDS:  # the older half goes
+                for word in list(islice(known, len(known) // 2)):
+                    del known[word]
+            out.append(known.encode(first) + b"".join(map(known.__getitem__, words)))
+        return out
 
 
 @lru_cache(1)

@@ -135,3 +135,24 @@ def test_words_are_encoded_as_in_the_whole_text(library):
     for _ in range(4000):
         text = "".join(rnd.choice(parts) for _ in range(rnd.randrange(14)))
         assert np.frombuffer(known.ids([text.encode()])[0], "<u4").tolist() == library(text)[:-1]
+
+
+def test_words_are_learned_in_parts_as_the_library_has_them(library, monkeypatch):
+    rng = random.Random(5)
+    parts = ["and", "Tree", "\u00fcber", "\u0142\u00f3d\u017a", "na\u00efve", "don't", "x's", "\u00aa", "\u00d7", "e\u0301t", "12", "a1",
+             "\u0416\u0436", "\u4e2d\u6587", "<|endoftext|>", "word<|endoftext|>", "(", "\"", "-"]
+    ends = ["", "", "", ",", ".", "!?", "...", ";:", "'s", ".'s", "\u2026"]
+    gaps = [" ", " ", " ", " ", "\n", "\n\n", ".\n", "  ", "\r\n", "\t"]
+    texts = ["".join(rng.choice(parts) + rng.choice(ends) + rng.choice(gaps) for _ in range(rng.randrange(40))) for _ in range(400)]
+    for room in (packing.WORDS, 50):
+        monkeypatch.setattr(packing, "WORDS", room)
+        got = packing.Encoder("byte_bpe_50k.json").ids([t.encode() for t in texts])
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [library(t)[:-1] for t in texts]
+
+
+def test_a_word_with_punctuation_is_encoded_once():
+    words = packing.Encoder("byte_bpe_50k.json")._words
+    calls = []
+    words.encode = lambda text, encode=words.encode: calls.append(text) or encode(text)
+    assert all(words[w] for w in ("tree", "tree,", "tree.", "trees\ntree", "trees,"))
+    assert calls == []      # letters go to the merges, marks are kept
